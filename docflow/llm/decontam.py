@@ -43,7 +43,7 @@ RULES = (
     (r"([^.!?:\x09-\x0D ][ ])[A-Z][a-z]+", "$1" + NAME),
 )
 PUNCTUATION = ".,;:!?\"'()[]{}"
-SPLIT = r"[\x20\x09-\x0D]+"
+SPLIT, SPACES = r"[\x20\x09-\x0D]+", " \t\n\r\x0b\x0c"
 
 
 def canonical(text: Column) -> Column:
@@ -53,17 +53,32 @@ def canonical(text: Column) -> Column:
 
 
 def words(text: Column) -> Column:
-    """Words without punctuation; the same places for a text and its canonical form, as rules keep white space but that before an attached unit."""
-    return F.split(F.regexp_replace(F.translate(text, PUNCTUATION, ""), rf"^{SPLIT}|{SPLIT}$", ""), SPLIT)
+    """Words without punctuation; the same places for a text and its canonical form, as rules keep all white space."""
+    return F.split(F.btrim(F.translate(text, PUNCTUATION, ""), F.lit(SPACES)), SPLIT)
 
 
 def is_slot(word: Column) -> Column:
     return word.contains(NUMBER) | word.contains(UNIT) | word.contains(NAME)
 
 
-def window_array(w: Column, size: int, part) -> Column:
-    """part(i) for every place i of a window of the size."""
-    return F.when(F.size(w) >= size, F.transform(F.sequence(F.lit(0), F.size(w) - size), part)).otherwise(F.array().cast("array<bigint>"))
+def let(x: Column, body) -> Column:
+    """body(x) with x evaluated once, however often body names it."""
+    return F.get(F.transform(F.array(x), lambda v: body(v)), F.lit(0))
+
+
+def window_hashes(w: Column, size: int) -> Column:
+    """The hashes of all windows of the size, by place: those of one word, doubled, then two that overlap."""
+    step = 1 << (size.bit_length() - 1)
+
+    def pairs(h: Column, apart: int) -> Column:
+        return F.zip_with(F.slice(h, F.lit(1), F.size(h) - apart), F.slice(h, F.lit(apart + 1), F.size(h) - apart), lambda x, y: F.xxhash64(x, y))
+
+    def doubled(h: Column, have: int) -> Column:
+        if have < step:
+            return let(pairs(h, have), lambda g: doubled(g, 2 * have))
+        return h if have == size else pairs(h, size - have)
+
+    return F.when(F.size(w) >= size, let(F.transform(w, lambda x: F.xxhash64(x)), lambda h: doubled(h, 1))).otherwise(F.array().cast("array<bigint>"))
 
 
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
@@ -71,9 +86,12 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     items = benchmark.where("text is not null").select(F.col("item_id"), F.col("text").cast("string").alias("text"))
     items = items.select("item_id", words(canonical(F.col("text"))).alias("w"), words(F.lower("text")).alias("raw"))
     items = items.withColumn("size", F.least(F.lit(WINDOW), F.size("w"))).where(F.col("size") >= SHORTEST)
-    rows = items.select("item_id", "size", "w", "raw", F.explode(F.sequence(F.lit(0), F.size("w") - F.col("size"))).alias("ipos"))
-    rows = rows.select("item_id", "size", "ipos", F.slice("w", F.col("ipos") + 1, F.col("size")).alias("window"), F.slice("raw", F.col("ipos") + 1, F.col("size")).alias("values"))
-    rows = rows.where(F.size(F.filter("window", lambda x: ~is_slot(x))) >= LITERALS).withColumn("hash", F.xxhash64(F.array_join("window", " ")))
+    hashes = F.array().cast("array<bigint>")
+    for n in range(SHORTEST, WINDOW + 1):
+        hashes = F.when(F.col("size") == n, window_hashes(F.col("w"), n)).otherwise(hashes)
+    rows = items.select("item_id", "size", "w", "raw", F.posexplode(hashes).alias("ipos", "hash"))
+    rows = rows.select("item_id", "size", "ipos", "hash", F.slice("w", F.col("ipos") + 1, F.col("size")).alias("window"), F.slice("raw", F.col("ipos") + 1, F.col("size")).alias("values"))
+    rows = rows.where(F.size(F.filter("window", lambda x: ~is_slot(x))) >= LITERALS)
     total = rows.groupBy("item_id").agg(F.count_distinct("ipos").alias("n_windows"))
     return rows.join(total, "item_id")
 
@@ -89,8 +107,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     base = base.select("doc_id", "text", words(canonical(F.col("text"))).alias("w"))
     found = None
     for size in sorted(r["size"] for r in sizes):
-        hashes = window_array(F.col("w"), size, lambda i, n=size: F.xxhash64(F.array_join(F.slice(F.col("w"), i + 1, n), " ")))
-        rows = base.select("doc_id", "text", F.posexplode(hashes).alias("pos", "hash"))
+        rows = base.select("doc_id", "text", F.posexplode(window_hashes(F.col("w"), size)).alias("pos", "hash"))
         own = bench.where(F.col("size") == size)
         hit = rows.join(F.broadcast(own) if few else own, "hash")
         hit = hit.select("doc_id", F.xxhash64("text").alias("th"), "pos", "item_id", "ipos", "n_windows", "window", "values", F.slice(words(F.lower("text")), F.col("pos") + 1, size).alias("got"))

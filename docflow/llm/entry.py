@@ -110,9 +110,8 @@ def _canonical_sql(x):
 
 
 def _words_sql(x):
-    cut = r"'^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$'"
     marks = decontam.PUNCTUATION.replace("'", "''")
-    return rf"string_split_regex(regexp_replace(translate({x}, '{marks}', ''), {cut}, '', 'g'), '[\x20\x09-\x0D]+')"
+    return rf"string_split_regex(trim(translate({x}, '{marks}', ''), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{decontam.SPLIT}')"
 
 
 def op6_sql():
