@@ -104,22 +104,25 @@ def _explode(pattern: str, buckets: int):
 
         def rows() -> pa.RecordBatch:
             chunk = part << 32 | no
-            words = sorted((zlib.crc32(w.encode()) % buckets, w) for w in number)
+            # Numbers by falling count, words used once last and in text order: their positions need no number.
+            used = np.concatenate(seq)
+            count = np.bincount(used, minlength=len(number))
+            rank = np.empty(len(number), np.int64)
+            rank[np.argsort(-count, kind="stable")] = np.arange(len(number))
+            positions = np.where(count[used] == 1, 0, rank[used] + 1)
+            words = sorted((zlib.crc32(w.encode()) % buckets, rank[i], w) for w, i in number.items())
             out_b, out_p = [], []
-            order = np.array([number[w] for _, w in words], np.int64)
             at = 0
             while at < len(words):
                 b, end = words[at][0], at
                 while end < len(words) and words[end][0] == b:
                     end += 1
-                raw = [w.encode() for _, w in words[at:end]]
+                raw = [w.encode() for _, _, w in words[at:end]]
+                steps = np.diff([r for _, r, _ in words[at:end]], prepend=0)
                 out_b.append(b)
-                out_p.append(squeezed(struct.pack("<I", len(raw)) + np.array([len(r) for r in raw], "<u4").tobytes() + b"".join(raw)))
+                numbers = planes(np.concatenate([steps, [len(r) for r in raw]]))
+                out_p.append(struct.pack("<II", len(raw), len(numbers)) + numbers + squeezed(b"".join(raw)))
                 at = end
-            # Positions hold the word's place in the order in which the buckets bring the ids back.
-            place = np.empty(len(words), np.int64)
-            place[order] = np.arange(len(words))
-            positions = place[np.concatenate(seq)] if seq else np.zeros(0, np.int64)
             head = pa.record_batch([pa.array(docs, pa.int64()), pa.array(lens, pa.int64())], names=["doc_id", "n"])
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, head.schema) as w:
@@ -156,15 +159,14 @@ def _encode(ranks_path: str):
                 if bucket < 0:
                     out.append(payload)
                     continue
-                raw = opened(payload)
-                n = struct.unpack_from("<I", raw)[0]
-                at, got = 4 + 4 * n, []
-                for m in np.frombuffer(raw, "<u4", n, 4).tolist():
-                    got.append(ids(raw[at:at + m].decode()))
-                    at += m
+                n, m = struct.unpack_from("<II", payload)
+                numbers, raw = unplanes(payload[8:8 + m]), opened(payload[8 + m:])
+                at, got = 0, []
+                for size in numbers[n:].tolist():
+                    got.append(ids(raw[at:at + size].decode()))
+                    at += size
                 flat = np.frombuffer(b"".join(got), "<u4")
-                count = np.array([len(g) // 4 for g in got], "<u4")
-                out.append(struct.pack("<I", n) + planes(np.concatenate([count, flat])))
+                out.append(struct.pack("<I", n) + planes(np.concatenate([numbers[:n], [len(g) // 4 for g in got], flat])))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary()), b.column(3)], names=NAMES)
 
     return run
@@ -180,28 +182,32 @@ def _reassemble(ranks_path: str, keep: bool):
             table.bytes_of = [b""] * (by_id[-1][0] + 1)
             for i, t in by_id:
                 table.bytes_of[i] = t
-        counts, flats, positions, head = {}, {}, None, None
+        ranks, counts, flats, positions, head = [], [], [], None, None
         for r in rows.to_pylist():
             if r["bucket"] < 0:
-                positions, head = unplanes(r["payload"]), pa.ipc.open_stream(opened(r["extra"])).read_all()
+                positions, head = unplanes(r["payload"]).astype(np.int64), pa.ipc.open_stream(opened(r["extra"])).read_all()
             else:
                 n = struct.unpack_from("<I", r["payload"])[0]
                 x = unplanes(r["payload"][4:])
-                counts[r["bucket"]], flats[r["bucket"]] = x[:n], x[n:]
-        order = sorted(counts)
-        count = np.concatenate([counts[b] for b in order]).astype(np.int64) if order else np.zeros(0, np.int64)
-        flat = np.concatenate([flats[b] for b in order]) if order else np.zeros(0, "<u4")
-        start = np.concatenate([[0], np.cumsum(count)])
+                ranks.append(np.cumsum(x[:n].astype(np.int64)))
+                counts.append(x[n:2 * n].astype(np.int64))
+                flats.append(x[2 * n:])
+        none = np.zeros(0, np.int64)
+        rank, came, flat = np.concatenate([none, *ranks]), np.concatenate([none, *counts]), np.concatenate([none.astype("<u4"), *flats])
+        count, start = np.empty(len(rank), np.int64), np.empty(len(rank), np.int64)
+        count[rank], start[rank] = came, np.cumsum(came) - came
+        once = positions == 0
+        positions = np.where(once, len(rank) - int(once.sum()) + np.cumsum(once), positions) - 1
         bytes_of = np.array(table.bytes_of, object)
         doc_ids, lens = head.column(0).to_pylist(), np.array(head.column(1)).astype(np.int64)
         n_tok, sha, dec, ids_out, texts = [], [], [], [], []
         at = 0
         for m in lens.tolist():
-            p = positions[at:at + m].astype(np.int64)
+            p = positions[at:at + m]
             at += m
             c = count[p]
             total = int(c.sum())
-            idx = np.repeat(start[p] - np.concatenate([[0], np.cumsum(c)[:-1]]) if m else np.zeros(0, np.int64), c) + np.arange(total)
+            idx = np.repeat(start[p] - (np.cumsum(c) - c), c) + np.arange(total)
             ids = np.ascontiguousarray(flat[idx], "<u4")
             text = b"".join(bytes_of[ids].tolist())
             n_tok.append(total)
