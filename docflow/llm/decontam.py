@@ -103,20 +103,31 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     if not sizes:
         return docs.sparkSession.createDataFrame([], f"doc_id long, th long, item_id {dict(benchmark.dtypes)['item_id']}, n_matched long, n_windows long, reparameterised boolean")
     few = sum(r["count"] for r in sizes) <= BROADCAST_WINDOWS
-    base = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    base = base.select("doc_id", "text", words(canonical(F.col("text"))).alias("w"))
+    base = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
+    coded = base.select("doc_id", "th", words(canonical(F.col("text"))).alias("w"))
     found = None
     for size in sorted(r["size"] for r in sizes):
-        rows = base.select("doc_id", "text", F.posexplode(window_hashes(F.col("w"), size)).alias("pos", "hash"))
+        rows = coded.select("doc_id", "th", F.posexplode(window_hashes(F.col("w"), size)).alias("pos", "hash"))
         own = bench.where(F.col("size") == size)
-        hit = rows.join(F.broadcast(own) if few else own, "hash")
-        hit = hit.select("doc_id", F.xxhash64("text").alias("th"), "pos", "item_id", "ipos", "n_windows", "window", "values", F.slice(words(F.lower("text")), F.col("pos") + 1, size).alias("got"))
+        hit = rows.join(F.broadcast(own) if few else own, "hash").select("doc_id", "th", "pos", "item_id", "ipos", "n_windows", "size", "window", "values")
         found = hit if found is None else found.unionByName(hit)
-    # Slots as (item's value, document's value); equal literal words are equal by the hash.
-    pairs = F.filter(F.zip_with(F.arrays_zip("window", "values"), "got", lambda a, b: F.struct(a["window"].alias("type"), a["values"].alias("of"), b.alias("to"))), lambda x: is_slot(x["type"]))
-    aligned = found.withColumn("pairs", pairs).groupBy("doc_id", "th", "item_id", "n_windows", (F.col("pos") - F.col("ipos")).alias("shift")).agg(
-        F.count_distinct("ipos").alias("n"), F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"), F.collect_set("ipos").alias("places")
-    )
+    # Slots as (item's value, document's value); equal literal words are equal by the hash. A document's
+    # own words are cut once, for all its matching windows that have a slot.
+    slotted = F.exists("window", is_slot)
+    asked = found.where(slotted).groupBy("doc_id", "th").agg(F.collect_set(F.struct("pos", "item_id", "ipos", "size", "window", "values")).alias("hits"))
+    cut = base.join(asked.select(F.col("doc_id").alias("_d"), F.col("th").alias("_h"), "hits"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_h")))
+
+    def slots(raw: Column, hit: Column) -> Column:
+        got = F.slice(raw, hit["pos"] + 1, hit["size"])
+        both = F.zip_with(F.arrays_zip(hit["window"].alias("type"), hit["values"].alias("of")), got, lambda x, y: F.struct(x["type"].alias("type"), x["of"].alias("of"), y.alias("to")))
+        return F.struct(hit["item_id"].alias("item_id"), (hit["pos"] - hit["ipos"]).alias("shift"), F.filter(both, lambda x: is_slot(x["type"])).alias("pairs"))
+
+    each = cut.select("doc_id", "th", F.explode(let(words(F.lower("text")), lambda raw: F.transform("hits", lambda h: slots(raw, h)))).alias("x"))
+    pairs = each.select("doc_id", "th", "x.item_id", "x.shift", "x.pairs").groupBy("doc_id", "th", "item_id", "shift").agg(F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
+    places = found.groupBy("doc_id", "th", "item_id", "n_windows", (F.col("pos") - F.col("ipos")).alias("shift")).agg(F.collect_set("ipos").alias("places"))
+    named = pairs.select(F.col("doc_id").alias("_d"), F.col("th").alias("_h"), F.col("item_id").alias("_i"), F.col("shift").alias("_s"), "pairs")
+    aligned = places.join(named, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_h")) & (F.col("item_id") == F.col("_i")) & (F.col("shift") == F.col("_s")), "left")
+    aligned = aligned.withColumn("pairs", F.coalesce("pairs", F.array().cast("array<struct<type:string,of:string,to:string>>")))
     one_each = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda x: F.struct(x["type"], x["of"]))))
     aligned = aligned.where(one_each)
     held = aligned.groupBy("doc_id", "th", "item_id", "n_windows").agg(
