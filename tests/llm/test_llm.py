@@ -238,11 +238,13 @@ def test_op2_recall_and_odd_vectors(spark):
 
 
 def test_op4_held_out(spark):
-    docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    # sf0.1: about 2,000 labelled rows to learn from. From sf0.01's 200 the model is no better than "never" (README).
+    docs, labels = spark.read.parquet("/root/testdata/sf0.1/documents.parquet"), spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
     even = labels.where("doc_id % 2 = 0")
     got = {r["doc_id"]: r for r in toxicity.toxicity(docs, even).collect()}
     odd = labels.where("doc_id % 2 = 1").collect()
     assert np.mean([got[r["doc_id"]]["rejected"] == (r["toxic"] == 1) for r in odd]) > 0.9
+    assert np.mean([got[r["doc_id"]]["rejected"] for r in odd if r["toxic"] == 0]) < 0.01
     assert all(0 <= r["severity"] <= 2 for r in got.values())
 
 
