@@ -7,7 +7,7 @@ hash of doc_id) and keeps the WORDS and GRAMS most frequent entries, so what is
 
 Defined cases: a null text or one without a letter gives `und` and score 0; texts of any length are
 read whole; null doc_ids count as crc32 0 (held_out false) but never teach; repeated rows are
-answered one by one; without any labelled row every text is `und`; other columns are ignored.
+answered one by one and teach once; without any labelled row every text is `und`; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import written
+
 SAMPLE_DOCS, WORDS, GRAMS, LONGEST = 6_000, 120_000, 60_000, 4
 #: Distinct words whose scores a worker remembers.
 WORDS_KEPT = 1_000_000
@@ -56,8 +58,11 @@ class WordModel:
 
 def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> WordModel:
     """Counts a model from the labelled rows of docs (doc_id, text, lang)."""
-    rows = docs.where("text is not null and lang is not null and doc_id is not null")
-    rows = rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")).select("lang", "text").limit(sample_docs)
+    rows = docs.where("text is not null and lang is not null and doc_id is not null").select("doc_id", "lang", "text", F.xxhash64("text").alias("th"))
+    # Chosen by ids and hashes alone: texts are read again for the sample_docs rows at most that were chosen.
+    key = ["doc_id", "lang", "th"]
+    chosen = rows.select(key).distinct().orderBy(F.xxhash64("doc_id"), *key).limit(sample_docs)
+    rows = written(rows.join(F.broadcast(chosen), key, "left_semi").dropDuplicates(key).select("lang", "text"), "language-sample")
     count = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     langs = [r["lang"] for r in sorted(count)]
     if not langs:
