@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -34,6 +35,8 @@ BLOCK_IDS = 1 << 15
 CHUNK_IDS = 1 << 20
 #: Distinct space-led pieces that a worker remembers; beyond that it starts anew.
 PIECES_KEPT = 1_000_000
+#: Bytes of text that are encoded at a time, and pieces whose ids are gathered at a time.
+ENCODED_BYTES, GATHERED = 8 << 20, 1 << 20
 TWO_SPACES = re.compile(r"\s\s")
 
 
@@ -57,30 +60,64 @@ class PieceEncoder:
         self.kept: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return self.ids(text).tobytes()
+
+    def ids(self, text: str) -> np.ndarray:
+        return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of every text. Pieces are cut and numbered by Arrow, so that Python meets each distinct one once a call."""
         if len(self.kept) > PIECES_KEPT:
             self.kept.clear()
-        split = [None if not t or TWO_SPACES.search(t) or any(s in t for s in self.special) else t.split(" ") for t in texts]
-        new: set[str] = set()
-        for p in split:
-            if p:
-                new.update(p[1:])
-        new = [p for p in new if p and p not in self.kept]
+        plain = [i for i, t in enumerate(texts) if t and not TWO_SPACES.search(t) and not any(s in t for s in self.special)]
+        out = [b""] * len(texts)
+        for i in set(range(len(texts))).difference(plain):
+            if texts[i]:
+                out[i] = self.whole(texts[i])
+        if not plain:
+            return out
+        lists = pc.split_pattern(pa.array([texts[i] for i in plain], pa.large_string()), " ")
+        offsets = lists.offsets.to_numpy()
+        first = offsets[:-1]
+        numbered = lists.flatten().dictionary_encode()
+        pieces = numbered.dictionary.to_pylist()
+        self.learn(pieces)
+        # A text's first piece has no space before it and is encoded by itself.
+        heads = [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast([pieces[k] for k in numbered.indices.to_numpy()[first]], add_special_tokens=False)]
+        found = [*map(self.kept.__getitem__, pieces), *heads]
+        of = np.array(numbered.indices.to_numpy(), np.int64)
+        of[first] = len(pieces) + np.arange(len(heads))
+        n = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        known, start = np.frombuffer(b"".join(found), "<u4"), np.cumsum(n) - n
+        parts = []
+        for i in range(0, of.size, GATHERED):
+            m = n[of[i:i + GATHERED]]
+            parts.append(known[np.repeat(start[of[i:i + GATHERED]] - np.cumsum(m) + m, m) + np.arange(m.sum())])
+        ids, ends = np.concatenate(parts), np.concatenate([[0], np.cumsum(n[of])])[offsets]
+        for i, x, y in zip(plain, ends[:-1].tolist(), ends[1:].tolist()):
+            out[i] = ids[x:y].tobytes()
+        return out
+
+    def learn(self, pieces: list[str]) -> None:
+        """Encodes the pieces not met yet, each with a space before it, many at a time."""
+        new = [p for p in pieces if p and p not in self.kept]
         for i in range(0, len(new), 20_000):
             some = new[i:i + 20_000]
-            ids = np.array(self.tok.encode(" " + " ".join(some), add_special_tokens=False).ids, "<u4")
+            ids = self.ids(" " + " ".join(some))
             at = np.append(np.flatnonzero(self.led[ids]), ids.size)
             if at.size != len(some) + 1:
                 raise ValueError("the tokenizer doesn't start a token at every space")
             raw = ids.tobytes()
             self.kept.update((p, raw[4 * a:4 * b]) for p, a, b in zip(some, at[:-1].tolist(), at[1:].tolist()))
         self.kept.setdefault("", self.whole(" "))
-        first = [p[0] for p in split if p]
-        heads = iter([np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch(first, add_special_tokens=False)])
-        get = self.kept.__getitem__
-        return [b"".join([next(heads), *map(get, p[1:])]) if p else self.whole(t) if t else b"" for p, t in zip(split, texts)]
+
+
+def spans(col: pa.Array) -> Iterator[tuple[int, int]]:
+    """First and end row of runs of about ENCODED_BYTES of text; a longer text makes a run of its own."""
+    at, end = 0, np.cumsum(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    while at < len(col):
+        to = int(np.searchsorted(end, (end[at - 1] if at else 0) + ENCODED_BYTES, "right"))
+        yield at, (at := max(at + 1, to))
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -148,8 +185,8 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, pl
             ], names=["file_no", "chunk_no", "n_ids", "planes", "doc_ids", "counts", "plane_ends", "payload"])
 
         for b in batches:
-            for i in range(0, b.num_rows, 500):
-                part = b.slice(i, 500)
+            for i, j in spans(b.column(1)):
+                part = b.slice(i, j - i)
                 for d, x in zip(part.column(0).to_pylist(), enc.encode(part.column(1).to_pylist())):
                     ids.append(d)
                     raw.append(x + end)
