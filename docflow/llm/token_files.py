@@ -15,7 +15,6 @@ columns are ignored; text of any length stays in one chunk.
 from __future__ import annotations
 
 import os
-import re
 import struct
 import uuid
 import zlib
@@ -37,7 +36,8 @@ CHUNK_IDS = 1 << 20
 PIECES_KEPT = 1_000_000
 #: Bytes of text that are encoded at a time, and pieces whose ids are gathered at a time.
 ENCODED_BYTES, GATHERED = 8 << 20, 1 << 20
-TWO_SPACES = re.compile(r"\s\s")
+#: Two adjacent characters that are white space to Unicode or ASCII's separators.
+TWO_SPACES = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]{2}"
 
 
 class PieceEncoder:
@@ -65,18 +65,22 @@ class PieceEncoder:
     def ids(self, text: str) -> np.ndarray:
         return np.array(self.tok.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> list[bytes]:
         """The ids of every text. Pieces are cut and numbered by Arrow, so that Python meets each distinct one once a call."""
         if len(self.kept) > PIECES_KEPT:
             self.kept.clear()
-        plain = [i for i, t in enumerate(texts) if t and not TWO_SPACES.search(t) and not any(s in t for s in self.special)]
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        odd = pc.match_substring_regex(texts, TWO_SPACES)
+        for s in self.special:
+            odd = pc.or_(odd, pc.match_substring(texts, s))
+        is_plain = pc.and_not(pc.greater(pc.binary_length(texts), 0), odd).to_numpy(zero_copy_only=False)
+        plain = np.flatnonzero(is_plain).tolist()
         out = [b""] * len(texts)
-        for i in set(range(len(texts))).difference(plain):
-            if texts[i]:
-                out[i] = self.whole(texts[i])
+        for i in np.flatnonzero(odd.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = self.whole(texts[i].as_py())
         if not plain:
             return out
-        lists = pc.split_pattern(pa.array([texts[i] for i in plain], pa.large_string()), " ")
+        lists = pc.split_pattern(texts.filter(pa.array(is_plain)), " ")
         offsets = lists.offsets.to_numpy()
         first = offsets[:-1]
         numbered = lists.flatten().dictionary_encode()
@@ -187,7 +191,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, pl
         for b in batches:
             for i, j in spans(b.column(1)):
                 part = b.slice(i, j - i)
-                for d, x in zip(part.column(0).to_pylist(), enc.encode(part.column(1).to_pylist())):
+                for d, x in zip(part.column(0).to_pylist(), enc.encode(part.column(1))):
                     ids.append(d)
                     raw.append(x + end)
                     counts.append(len(x) // 4 + 1)
