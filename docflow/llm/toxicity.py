@@ -1,8 +1,8 @@
 """Toxicity grades by cumulative-link ordinal regression over sparse word features.
 
 P(grade >= k) is the logistic function of x.w - t[k]: one weight vector is shared by all ordered
-thresholds t[1] < t[2] < ... x has 1 for every distinct word of the text, hashed to FEATURES
-numbers. The model is fitted on the driver from a bounded sample of labelled rows (SAMPLE_DOCS,
+thresholds t[1] < t[2] < ... x has a value for every distinct word of the text, hashed to FEATURES
+numbers; only words whose trend over the grades is significant have a weight. The model is fitted on the driver from a bounded sample of labelled rows (SAMPLE_DOCS,
 those with the least hash of doc_id). The expected severity is the sum of P(grade >= k).
 
 Defined cases: null and empty texts have no feature and get the intercepts' severity; null labels
@@ -21,10 +21,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SAMPLE_DOCS, FEATURES = 8_000, 1 << 20
+SAMPLE_DOCS, FEATURES = 8_000, 1 << 21
+#: Rows whose features are counted at once while the model is fitted.
+CHUNK = 500
 #: A feature teaches only if so many sampled documents have it.
 LEAST_DOCS = 4
-STEPS, RATE, RIDGE = 150, 0.05, 3e-3
+#: ... and if its trend over the grades reaches this chi-squared value (one degree of freedom, p = 1e-6): of a
+#: vocabulary of tens of thousands next to no feature does so by chance, and noise can't outvote those that do.
+TREND = 24.0
+STEPS, RATE, RIDGE = 150, 0.05, 1e-3
 #: The ridge shrinks probabilities, so the one from which a document is rejected is set on a third of
 #: the sample that a first fit leaves out: a wrongly rejected document weighs as much as CLEAN_COST missed ones.
 CLEAN_COST = 3
@@ -37,8 +42,12 @@ def grade_of(toxic: Column, quality: Column) -> Column:
     return F.when(toxic == 0, 0).when(toxic == 1, F.when(quality == 0, 2).otherwise(1))
 
 
+def number(word: str) -> int:
+    return zlib.crc32(word.encode()) % FEATURES
+
+
 def features(text: str | None) -> list[int]:
-    return sorted({zlib.crc32(w.encode()) % FEATURES for w in set(WORD.findall(text.lower()))}) if text else []
+    return sorted({number(w) for w in set(WORD.findall(text.lower()))}) if text else []
 
 
 class Ordinal:
@@ -49,24 +58,57 @@ class Ordinal:
 
     def at_least(self, x: np.ndarray) -> np.ndarray:
         """P(grade >= k) for every score and every threshold."""
-        return 1 / (1 + np.exp(np.clip(self.cuts[None, :] - x[:, None], -40, 40)))
+        return at_least(self.cuts, x)
+
+
+def at_least(cuts: np.ndarray, x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(np.clip(cuts[None, :] - x[:, None], -40, 40)))
+
+
+def flattened(rows: list, at: int, to: int) -> tuple[np.ndarray, np.ndarray]:
+    """The features of rows[at:to], one after another, and the row of each."""
+    flat = np.concatenate([np.asarray(r, np.int64) for r in rows[at:to]])
+    return flat, np.repeat(np.arange(at, to), [len(r) for r in rows[at:to]])
+
+
+def telling(rows: list, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The features in enough rows whose linear trend against the grades, (n - 1) r**2, is significant.
+
+    Beside each its value: features of the very same rows (as in copies of one text) share 1.
+    """
+    n = len(y)
+    df, shift, rows_of = np.zeros(FEATURES), np.zeros(FEATURES), np.zeros(FEATURES)
+    mark = np.random.default_rng(0).random(n)
+    off = y - y.mean()
+    for at in range(0, n, CHUNK):
+        flat, row = flattened(rows, at, min(n, at + CHUNK))
+        df += np.bincount(flat, minlength=FEATURES)
+        shift += np.bincount(flat, off[row], minlength=FEATURES)
+        rows_of += np.bincount(flat, mark[row], minlength=FEATURES)
+    spread = df * (1 - df / n) * y.var() * n
+    chi = np.divide((n - 1) * shift**2, spread, out=np.zeros(FEATURES), where=spread > 0)
+    used = np.flatnonzero((df >= min(LEAST_DOCS, max(1, n // 50))) & (chi >= TREND))
+    _, which, times = np.unique(np.round(rows_of[used], 6), return_inverse=True, return_counts=True)
+    return used, 1 / times[which] if used.size else np.zeros(0)
 
 
-def fit_ordinal(rows: list[list[int]], grades: list[int]) -> Ordinal:
+def fit_ordinal(rows: list, grades: list[int]) -> Ordinal:
     """Proportional-odds fit by full-batch Adam; deterministic for given rows."""
     known = sorted(set(grades))
     if len(known) < 2:
         return Ordinal(known, np.zeros(FEATURES, np.float32), np.zeros(0))
     y = np.searchsorted(known, grades)
     n, k = len(rows), len(known) - 1
-    flat = np.concatenate([np.array(r, np.int64) for r in rows] or [np.zeros(0, np.int64)])
-    row = np.repeat(np.arange(n), [len(r) for r in rows])
-    df = np.bincount(flat, minlength=FEATURES)
-    used = np.flatnonzero(df >= min(LEAST_DOCS, max(1, n // 50)))
-    at = np.full(FEATURES, -1)
+    used, value = telling(rows, y)
+    at = np.full(FEATURES, -1, np.int32)
     at[used] = np.arange(used.size)
-    keep = at[flat] >= 0
-    flat, row = at[flat[keep]], row[keep]
+    parts = []
+    for i in range(0, n, CHUNK):
+        flat, row = flattened(rows, i, min(n, i + CHUNK))
+        keep = at[flat] >= 0
+        parts.append((at[flat[keep]], row[keep]))
+    flat, row = (np.concatenate(x) for x in zip(*parts))
+    val = value[flat]
     share = np.array([(y >= j).mean() for j in range(1, k + 1)])
     w = np.zeros(used.size)
     cuts = np.log((1 - share) / share)
@@ -76,7 +118,7 @@ def fit_ordinal(rows: list[list[int]], grades: list[int]) -> Ordinal:
     m, v = np.zeros_like(p), np.zeros_like(p)
     for step in range(1, STEPS + 1):
         w, cuts = p[: used.size], np.cumsum(np.concatenate([p[used.size: used.size + 1], np.exp(p[used.size + 1:])]))
-        x = np.bincount(row, w[flat], minlength=n)
+        x = np.bincount(row, w[flat] * val, minlength=n)
         s = 1 / (1 + np.exp(np.clip(cuts[None, :] - x[:, None], -40, 40)))
         full = np.concatenate([np.ones((n, 1)), s, np.zeros((n, 1))], axis=1)
         d = np.concatenate([np.zeros((n, 1)), s * (1 - s), np.zeros((n, 1))], axis=1)
@@ -87,15 +129,15 @@ def fit_ordinal(rows: list[list[int]], grades: list[int]) -> Ordinal:
         for j in range(1, k + 1):
             gc[j - 1] = ((y == j) * d[:, j] / prob).sum() / n - ((y == j - 1) * d[:, j] / prob).sum() / n
         tail = np.cumsum(gc[::-1])[::-1]
-        g = np.concatenate([np.bincount(flat, gx[row], minlength=used.size) + RIDGE * w, tail[:1], tail[1:] * np.exp(p[used.size + 1:])])
+        g = np.concatenate([np.bincount(flat, gx[row] * val, minlength=used.size) + RIDGE * w, tail[:1], tail[1:] * np.exp(p[used.size + 1:])])
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         p = p - RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     weights = np.zeros(FEATURES, np.float32)
-    weights[used] = p[: used.size]
+    weights[used] = p[: used.size] * value
     return Ordinal(known, weights, np.cumsum(np.concatenate([p[used.size: used.size + 1], np.exp(p[used.size + 1:])])))
 
 
-def fit(rows: list[list[int]], grades: list[int]) -> Ordinal:
+def fit(rows: list, grades: list[int]) -> Ordinal:
     """A fit on all rows whose rejection probability was set on held-out ones."""
     model = fit_ordinal(rows, grades)
     first = fit_ordinal([x for i, x in enumerate(rows) if i % 3], [g for i, g in enumerate(grades) if i % 3])
@@ -121,37 +163,51 @@ def train(docs: DataFrame, graded: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([features(x) for x in b.column(2).to_pylist()], pa.list_(pa.int32()))], names=["doc_id", "grade", "x"])
 
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id")  # sample_docs rows at most
-    rows = texts.select(F.col("doc_id").cast("long").alias("doc_id"), "grade", "text").mapInArrow(run, "doc_id long, grade int, x array<int>").toArrow().to_pylist()
-    rows = sorted(rows, key=lambda r: (r["doc_id"], r["grade"], r["x"]))
-    return fit([r["x"] for r in rows], [r["grade"] for r in rows])
+    got = texts.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("grade").alias("grade"), "text").mapInArrow(run, "doc_id long, grade int, x array<int>").toArrow().combine_chunks()
+    ids, grades, x = (got.column(i).combine_chunks() for i in range(3))
+    values, off = x.values.to_numpy(), x.offsets.to_numpy()
+    rows = [values[i:j] for i, j in zip(off[:-1], off[1:])]
+    marks = [zlib.crc32(r.tobytes()) for r in rows]
+    order = np.lexsort((marks, grades.to_numpy(), ids.to_numpy()))
+    return fit([rows[i] for i in order], grades.to_numpy()[order].tolist())
+
+
+class Scorer:
+    """P(grade >= k) of texts; a word is hashed once a task."""
+
+    def __init__(self, model: Ordinal):
+        self.grades, self.cuts, self.reject = model.grades, model.cuts, model.reject
+        on = np.flatnonzero(model.weights)
+        self.weights = dict(zip(on.tolist(), model.weights[on].astype(np.float64).tolist()))
+        self.known: dict[str, int] = {}  # -1: no weight
+
+    def sum(self, text: str | None) -> float:
+        idx, known, weights = set(), self.known, self.weights
+        for w in set(WORD.findall(text.lower())) if text else ():
+            f = known.get(w)
+            if f is None:
+                f = number(w)
+                f = known[w] = f if f in weights else -1
+            if f >= 0:
+                idx.add(f)
+        if len(known) > WORDS_KEPT:
+            known.clear()
+        return sum(weights[i] for i in sorted(idx))
+
+    def probabilities(self, texts: list) -> np.ndarray:
+        """[text, threshold]; with no threshold, no column."""
+        return at_least(self.cuts, np.array([self.sum(t) if self.cuts.size else 0.0 for t in texts]))
 
 
 def score(docs: DataFrame, model: Ordinal) -> DataFrame:
     """doc_id, severity (expected), p_toxic, grade (most likely) and rejected of docs."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(Scorer(model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        if not hasattr(m, "number"):
-            m.number = {}
-        number = m.number
         for b in batches:
-            x = np.zeros(b.num_rows)
-            for i, text in enumerate(b.column(1).to_pylist() if m.cuts.size else ()):
-                idx = []
-                for w in set(WORD.findall(text.lower())) if text else ():
-                    j = number.get(w)
-                    if j is None:
-                        j = number[w] = zlib.crc32(w.encode()) % FEATURES
-                        if not m.weights[j]:
-                            j = number[w] = -1
-                    if j >= 0:
-                        idx.append(j)
-                x[i] = m.weights[sorted(set(idx))].sum(dtype=np.float64) if idx else 0.0
-                if len(number) > WORDS_KEPT:
-                    number.clear()
+            p = m.probabilities(b.column(1).to_pylist())
             if m.cuts.size:
-                p = m.at_least(x)
                 steps = np.diff(m.grades)
                 severity = m.grades[0] + (p * steps).sum(1)
                 each = np.concatenate([1 - p[:, :1], p[:, :-1] - p[:, 1:], p[:, -1:]], axis=1)
@@ -172,13 +228,12 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS)
 def keep_clean(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """docs without the rejected rows, all columns kept; the model scores the text beside its row, so no join is needed."""
     model = train(docs, labels.select("doc_id", grade_of(F.col("toxic"), F.col("quality")).alias("grade")), sample_docs)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(Scorer(model))
 
     def rejected(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = sent.value
         for col in batches:
-            x = np.array([m.weights[f].sum(dtype=np.float64) if (f := features(t)) else 0.0 for t in col.to_pylist()])
-            yield pa.array(m.at_least(x)[:, 0] >= m.reject if m.cuts.size else np.full(len(col), bool(m.grades and m.grades[0] > 0)))
+            yield pa.array(m.probabilities(col.to_pylist())[:, 0] >= m.reject if m.cuts.size else np.full(len(col), bool(m.grades and m.grades[0] > 0)))
 
     udf = F.arrow_udf(rejected, "boolean", F.ArrowUDFType.SCALAR_ITER) if hasattr(F, "ArrowUDFType") else None
     if udf is None:
