@@ -340,3 +340,18 @@ def test_pipeline_stages(spark):
     five = stage["bpe_encoding"](spark, four, D)
     assert {r["doc_id"]: r["decoded_sha256"] for r in five.collect()} == {r["doc_id"]: hashlib.sha256((r["text"] or "").encode()).hexdigest() for r in four.collect()}
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+def test_op1_length_classes(spark):
+    rows = spark.range(1, 400).select(F.col("id").alias("m")).withColumn("n", F.explode(F.expr("sequence(1, int(m))")))
+    can = rows.where(order_minhash.near_in_length(F.col("n"), F.col("m")))
+    assert can.where("n < m").count() and not can.where(~F.arrays_overlap(order_minhash.lengths("n"), order_minhash.lengths("m"))).count()
+    assert {r["n"] for r in can.where("m = 10").collect()} == {8, 9, 10}
+
+
+def test_op4_words_that_tell():
+    y = np.array([0, 1] * 50)
+    rows = [np.array([1, 2, 10 + i % 7] if g else [10 + i % 7, 3 + i % 4]) for i, g in enumerate(y)]
+    used, value = toxicity.telling(rows, y)
+    assert {1, 2} <= set(used.tolist()) and not set(range(10, 17)) & set(used.tolist())
+    assert [value[list(used).index(i)] for i in (1, 2)] == [0.5, 0.5]
