@@ -3,9 +3,12 @@
 The k-mers are word 5-shingles, each labelled with its occurrence number in the text. For each of
 SKETCHES hash orders the PICKED k-mers of least hash are taken and kept in text order: two texts
 share that entry only if they share the k-mers and their order, which follows edit similarity.
-Texts that share an entry are candidates: each is compared with a pivot of its entry, never with all
-others. Entries that still hold several classes are then split by length, so that a pivot meets only
-texts it could be linked with, and each part gets PIVOTS further pivots. A pair is linked if banded alignment of its words finds an edit distance of at most
+Texts that share an entry are candidates: each is compared with a pivot of its entry first. Entries that still hold several classes are then split by length, so that a pivot meets only
+texts it could be linked with, and each part gets PIVOTS further pivots. What still holds several
+classes then is searched whole: every pair of different classes whose lengths and words (see
+could_link) don't rule a link out is aligned, first the most alike one of any two classes, then all
+that are still of different classes. So each pair that shares an entry is aligned, ruled out, or of
+one class. A pair is linked if banded alignment of its words finds an edit distance of at most
 (1 - SIMILARITY) of the longer text. Links make classes by connected components.
 
 Equal texts are merged before (by a 128-bit hash, pre-aggregated), so copies cost nothing more.
@@ -34,32 +37,52 @@ SHINGLE, SIMILARITY, SKETCHES, PICKED = 5, 0.8, 20, 2
 ORDERS = 4
 #: Pivots of each length class of an entry that holds several classes after the first turn.
 PIVOTS = 4
+#: Rows of a part of an entry that are compared with each other or with as many others in one place; larger parts are cut.
+CELL = 4096
 MOST = U64(0xFFFFFFFFFFFFFFFF)
 
 
-def sketch_block(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """[text, sketch] entries, 0 where a text has no word; and the number of words of each text."""
+def word_bits(sym: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """The words of each text, labelled by occurrence number, as a set of hashed bits; as many bits as words, a power of two."""
+    n = np.diff(at)
+    row = np.repeat(np.arange(len(n)), n)
+    h = mix(sym + nth_of(sym, row).astype(U64) * U64(0xC2B2AE3D27D4EB4F))
+    size = 1 << np.ceil(np.log2(np.maximum(n, 64))).astype(np.int64)
+    start = np.concatenate([[0], np.cumsum(size)])
+    flat = np.zeros(start[-1], bool)
+    flat[start[row] + (h & (size[row] - 1).astype(U64)).astype(np.int64)] = True
+    raw = np.packbits(flat).tobytes()
+    return [raw[i:j] for i, j in zip((start[:-1] // 8).tolist(), (start[1:] // 8).tolist())]
+
+
+def nth_of(h: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Occurrence numbers of equal values of a row."""
+    g = h ^ mix(row.astype(U64) + U64(1))
+    o = np.argsort(g, kind="stable")
+    new = np.concatenate([[True], g[o][1:] != g[o][:-1]])[: len(h)]
+    nth = np.empty(len(h), np.int64)
+    nth[o] = np.arange(len(h)) - np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
+    return nth
+
+
+def sketch_block(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """[text, sketch] entries, 0 where a text has no word; and the number of words and the word bits of each text."""
     sym, at = symbols("word", raw, off)
     n = np.diff(at)
     out = np.zeros((len(n), SKETCHES), U64)
     pre = WORD_HASH.prefixes(sym)
     full = np.maximum(n - SHINGLE + 1, np.minimum(n, 1))  # k-mers of a text
     has = np.flatnonzero(full)
+    bits = word_bits(sym, at)
     if not has.size:
-        return out, n
+        return out, n, bits
     m = full[has]
     first = np.concatenate([[0], np.cumsum(m)[:-1]])
     row = np.repeat(np.arange(len(has)), m)
     start = np.arange(int(m.sum())) - first[row] + at[:-1][has][row]
     end = np.minimum(start + SHINGLE, at[1:][has][row])
     h = WORD_HASH.ranges(pre, start, end)
-    # Occurrence numbers of equal k-mers of a text.
-    g = h ^ mix(row.astype(U64) + U64(1))
-    o = np.argsort(g, kind="stable")
-    new = np.concatenate([[True], g[o][1:] != g[o][:-1]])
-    nth = np.empty(len(h), np.int64)
-    nth[o] = np.arange(len(h)) - np.maximum.accumulate(np.where(new, np.arange(len(h)), 0))
-    h = mix(h + nth.astype(U64) * U64(0xC2B2AE3D27D4EB4F))
+    h = mix(h + nth_of(h, row).astype(U64) * U64(0xC2B2AE3D27D4EB4F))
     for s in range(SKETCHES):
         v = (h ^ U64(0x9E3779B97F4A7C15 * (s + 1) & 0xFFFFFFFFFFFFFFFF)) * U64(0xD6E8FEB86659FD93)
         v ^= v >> U64(32)
@@ -78,15 +101,15 @@ def sketch_block(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
         for q in p:
             entry = mix(entry * U64(0x9E3779B97F4A7C15) + np.where(q >= 0, h[np.maximum(q, 0)], U64(7)))
         out[has, s] = entry
-    return out, n
+    return out, n, bits
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for i, j, raw, off in text_blocks(b.column(3)):
-            e, n = sketch_block(raw, off)
+            e, n, bits = sketch_block(raw, off)
             part, e = b.slice(i, j - i), e.view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()), pa.FixedSizeListArray.from_arrays(pa.array(e.ravel()), SKETCHES).cast(pa.list_(pa.int64()))], names=["h1", "h2", "node", "n", "entries"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()), pa.FixedSizeListArray.from_arrays(pa.array(e.ravel()), SKETCHES).cast(pa.list_(pa.int64())), pa.array(bits, pa.binary())], names=["h1", "h2", "node", "n", "entries", "bits"])
 
 
 def banded_distance(x: list, y: list, most: int) -> int:
@@ -164,6 +187,89 @@ def lengths(n: str) -> Column:
     return F.array(at, at + 1)
 
 
+def could_link(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Whether texts of n and m words with bits x and y (a row each) can be similar, and how many bits one lacks of the other.
+
+    An edit changes one labelled word, so no text lacks more bits of the other than the edit distance. Never false for a link.
+    """
+    both = x @ y.T
+    lack = np.maximum(x.sum(1)[:, None], y.sum(1)[None, :]) - both
+    longest = np.maximum(n[:, None], m[None, :])
+    most = np.floor((1 - SIMILARITY) * longest + 1e-9)
+    return (lack <= most) & (longest - np.minimum(n[:, None], m[None, :]) <= most), lack
+
+
+def _bit_rows(bits: list[bytes], size: int) -> np.ndarray:
+    """Sets of bits folded to size bytes, as rows of zeros and ones."""
+    out = np.zeros((len(bits), size), np.uint8)
+    for i, b in enumerate(bits):
+        out[i] = np.bitwise_or.reduce(np.frombuffer(b, np.uint8).reshape(-1, size), axis=0)
+    return np.unpackbits(out, axis=1).astype(np.float32)
+
+
+CELL_KEY = ["s", "entry", "length", "i", "j"]
+CELL_ROW = [*CELL_KEY, "own", "node", "label", "n", "low", "bits"]
+
+
+def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by cell to the pairs of different labels that could link; whole cells at a time."""
+
+    def solve(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
+        cross = rows[0][3] != rows[0][4]
+        rows.sort(key=lambda r: len(r[10]))  # texts of like size together, so that little is folded
+        own, node, label, n, low = (np.array([r[c] for r in rows], np.int64) for c in range(5, 10))
+        step, length = 512, rows[0][2]
+        for a in range(0, len(rows), step):
+            u = slice(a, a + step)
+            for b in range(a, len(rows), step):
+                v = slice(b, b + step)
+                size = len(rows[a][10])
+                x = _bit_rows([r[10] for r in rows[u]], size)
+                y = x if a == b else _bit_rows([r[10] for r in rows[v]], size)
+                ok, lack = could_link(x, y, n[u], n[v])
+                ok &= label[u][:, None] != label[v][None, :]
+                # Of the one or two length classes that a pair shares, the one that is always shared.
+                ok &= np.maximum(low[u][:, None], low[v][None, :]) == length
+                if cross:
+                    ok &= own[u][:, None] != own[v][None, :]
+                if a == b:
+                    ok = np.triu(ok, 1)
+                p, q = np.nonzero(ok)
+                if p.size:
+                    one, two = node[u][p], node[v][q]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(lack[p, q].astype(np.int64))], names=["a", "b", "lack"])
+
+    held: list[tuple] = []
+    for b in batches:
+        for r in zip(*(c.to_pylist() for c in b.columns)):
+            if held and held[0][:5] != r[:5]:
+                yield from solve(held)
+                held = []
+            held.append(r)
+    if held:
+        yield from solve(held)
+
+
+def searched(mixed: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b, lack) of mixed (s, entry, node, n, label, length) that share an entry, have different labels and could link."""
+    key = ["s", "entry", "length"]
+    parts = mixed.groupBy(*key).agg(F.count("*").alias("rows"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
+    parts = parts.select(*key, F.ceil(F.col("rows") / CELL).cast("int").alias("blocks"))
+    at = mixed.join(parts, key).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    at = at.select(*key, "node", "label", "n", "own", other).select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    cells = at.join(nodes.select("node", "bits"), "node").withColumn("low", lengths("n")[0]).select(*CELL_ROW)
+    pairs = cells.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY).mapInArrow(_search, "a long, b long, lack long")
+    return pairs.groupBy("a", "b").agg(F.min("lack").alias("lack"))
+
+
+def labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """pairs whose texts are of different classes, with the labels la and lb."""
+    for x in ("a", "b"):
+        pairs = pairs.join(labels.select(F.col("node").alias(x), F.col("label").alias(f"l{x}")), x, "left").withColumn(f"l{x}", F.coalesce(f"l{x}", x))
+    return pairs.where("la <> lb")
+
+
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The linked pairs (a, b) among pairs; texts (node, text) has every node once."""
     one = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
@@ -185,6 +291,22 @@ def _pairs(at: DataFrame, key: list[str], orders: list[Column]) -> DataFrame:
     return pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
 
+def _mixed(rows: DataFrame, labels: DataFrame, key: list[str]) -> DataFrame:
+    """The rows of entries that hold several classes, with label, once for each of their length classes."""
+    at = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    mixed = at.groupBy(*key).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select(*key)
+    return at.join(mixed, key).withColumn("length", F.explode(lengths("n")))
+
+
+def _linked(pairs: DataFrame, texts: DataFrame, links: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """links with those found among pairs, and the labels they make."""
+    new = written(verified(pairs, texts), "links")
+    if not new.limit(1).count():
+        return links, labels
+    links = links.unionByName(new)
+    return links, written(components(links), "labels")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, class_id and kept (one row of each class) of every row of docs."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
@@ -195,8 +317,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     lost = -2 - F.abs(F.shiftright("h1", 1))
     sole = _sole(docs)
     own = F.col("doc_id") if sole else lost
-    nodes = worded.select("h1", "h2", own.alias("node"), "text").mapInArrow(_sketch, "h1 long, h2 long, node long, n long, entries array<long>")
-    nodes = written(nodes.groupBy("h1", "h2").agg(F.min("node").alias("node"), F.first("n").alias("n"), F.first("entries").alias("entries")), "nodes")
+    nodes = worded.select("h1", "h2", own.alias("node"), "text").mapInArrow(_sketch, "h1 long, h2 long, node long, n long, entries array<long>, bits binary")
+    nodes = written(nodes.groupBy("h1", "h2").agg(F.min("node").alias("node"), F.first("n").alias("n"), F.first("entries").alias("entries"), F.first("bits").alias("bits")), "nodes")
     rows = nodes.select("node", "n", F.posexplode("entries").alias("s", "entry"))
     texts = worded.select(own.alias("node"), "text")
     if not sole:
@@ -206,14 +328,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = written(verified(tested, texts), "links")
     labels = written(components(links), "labels")
     # Entries that still hold several classes; written, so that the pivots of a hot one are found by partial aggregation.
-    at = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = at.groupBy(*key).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select(*key)
-    at = written(at.join(mixed, key), "mixed").withColumn("length", F.explode(lengths("n")))
+    mixed = written(_mixed(rows, labels, key), "mixed")
     orders = [F.xxhash64("node", F.pmod("s", F.lit(ORDERS)), F.lit(k)) for k in range(1, PIVOTS + 1)]
-    more = written(_pairs(at, [*key, "length"], orders).join(tested, ["a", "b"], "left_anti"), "pairs")
-    new = written(verified(more, texts), "links")
-    if new.limit(1).count():
-        labels = written(components(links.unionByName(new)), "labels")
+    more = written(_pairs(mixed, [*key, "length"], orders).join(tested, ["a", "b"], "left_anti"), "pairs")
+    links, labels = _linked(more, texts, links, labels)
+    tested = tested.unionByName(more)
+    # The rest, whole: of any two classes the most alike pair, then all pairs that are still of different classes.
+    rest = written(searched(_mixed(rows, labels, key), nodes).join(tested, ["a", "b"], "left_anti"), "pairs")
+    now = labelled(rest, labels).groupBy(F.least("la", "lb"), F.greatest("la", "lb")).agg(F.min_by(F.struct("a", "b"), "lack").alias("p"))
+    now = written(now.select("p.a", "p.b"), "pairs")
+    links, labels = _linked(now, texts, links, labels)
+    last = labelled(rest.join(now, ["a", "b"], "left_anti"), labels)
+    links, labels = _linked(last.select("a", "b"), texts, links, labels)
     members = base.select("doc_id", "h1", "h2").join(nodes.select("h1", "h2", "node"), ["h1", "h2"], "left").join(labels, "node", "left")
     members = members.select("doc_id", F.coalesce("label", "node").alias("label"), "h1")
     if sole:

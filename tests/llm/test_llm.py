@@ -355,3 +355,38 @@ def test_op4_words_that_tell():
     used, value = toxicity.telling(rows, y)
     assert {1, 2} <= set(used.tolist()) and not set(range(10, 17)) & set(used.tolist())
     assert [value[list(used).index(i)] for i in (1, 2)] == [0.5, 0.5]
+
+
+@pytest.mark.parametrize("cell", [4096, 64])
+def test_op1_links_among_strangers_of_one_entry(spark, monkeypatch, cell):
+    """Pairs of 0.8 that share nothing but a passage that all texts hold: no pivot of an entry meets both."""
+    monkeypatch.setattr(order_minhash, "CELL", cell)
+    passage, docs = [f"p{i}" for i in range(60)], []
+    for g in range(150):
+        own = [f"{g}w{i}" for i in range(40)]
+        docs += [(2 * g, " ".join(passage + own)), (2 * g + 1, " ".join(passage + [w if i % 2 else "new" + w for i, w in enumerate(own)]))]
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i, _ in docs}
+
+
+def test_op1_word_bits_never_rule_out_a_link():
+    rng, linked, out = random.Random(8), 0, 0
+    for _ in range(200):
+        base = [str(rng.randint(0, 60)) for _ in range(rng.randint(1, 150))]
+        texts = [base]
+        for share in (0.1, 0.2, 0.5):
+            x = list(base)
+            for _ in range(int(share * len(x))):
+                p = rng.randrange(len(x))
+                x[p:p + 1] = rng.choice([[], ["a"], [x[p], "b"]]) or x[p:p + 1][len(x) > 1:]
+            texts.append(x)
+        raw = [" ".join(x).encode() for x in texts]
+        _, n, bits = order_minhash.sketch_block(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+        rows = order_minhash._bit_rows(bits, min(map(len, bits)))
+        ok, _ = order_minhash.could_link(rows, rows, n, n)
+        for i, a in enumerate(raw):
+            for j, b in enumerate(raw):
+                link = order_minhash.similar(a.decode(), b.decode())
+                linked, out = linked + link, out + (not ok[i, j])
+                assert ok[i, j] or not link
+    assert linked > 800 and out > 100
