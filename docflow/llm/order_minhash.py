@@ -3,6 +3,8 @@
 The k-mers are word 5-shingles, each labelled with its occurrence number in the text. For each of
 SKETCHES hash orders the PICKED k-mers of least hash are taken and kept in text order: two texts
 share that entry only if they share the k-mers and their order, which follows edit similarity.
+Scattered edits leave few 5-shingles in common, so MORE adds sketches of one shorter shingle each;
+what they share is searched only behind the bound by words.
 Texts that share an entry are candidates: each is compared with a pivot of its entry first. Entries that still hold several classes are then split by length, so that a pivot meets only
 texts it could be linked with, and each part gets PIVOTS further pivots. What still holds several
 classes then is searched whole: every pair of different classes whose lengths and words (see
@@ -33,6 +35,10 @@ from .common import U64, mix, text_blocks, written
 from .components import components
 
 SHINGLE, SIMILARITY, SKETCHES, PICKED = 5, 0.8, 20, 2
+#: Further sketches of one k-mer: (words of a k-mer, sketches, words of a text at most). Shares of k-mers that scattered edits
+#: leave at 0.8: about 0.34 of 3-shingles; all of a short text's may go, but at least a third of its 2-shingles stay.
+MORE = ((3, 24, None), (2, 16, 20))
+ALL_SKETCHES = SKETCHES + sum(m[1] for m in MORE)
 #: Orders by which an entry's pivot is chosen: each entry uses one, so a text meets different pivots.
 ORDERS = 4
 #: Pivots of each length class of an entry that holds several classes after the first turn.
@@ -43,11 +49,11 @@ MOST = U64(0xFFFFFFFFFFFFFFFF)
 
 
 def word_bits(sym: np.ndarray, at: np.ndarray) -> list[bytes]:
-    """The words of each text, labelled by occurrence number, as a set of hashed bits; as many bits as words, a power of two."""
+    """The words of each text, labelled by occurrence number, as a set of hashed bits: a power of two, four bits a word at least."""
     n = np.diff(at)
     row = np.repeat(np.arange(len(n)), n)
     h = mix(sym + nth_of(sym, row).astype(U64) * U64(0xC2B2AE3D27D4EB4F))
-    size = 1 << np.ceil(np.log2(np.maximum(n, 64))).astype(np.int64)
+    size = 1 << np.ceil(np.log2(np.maximum(4 * n, 64))).astype(np.int64)
     start = np.concatenate([[0], np.cumsum(size)])
     flat = np.zeros(start[-1], bool)
     flat[start[row] + (h & (size[row] - 1).astype(U64)).astype(np.int64)] = True
@@ -69,25 +75,30 @@ def sketch_block(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
     """[text, sketch] entries, 0 where a text has no word; and the number of words and the word bits of each text."""
     sym, at = symbols("word", raw, off)
     n = np.diff(at)
-    out = np.zeros((len(n), SKETCHES), U64)
-    pre = WORD_HASH.prefixes(sym)
-    full = np.maximum(n - SHINGLE + 1, np.minimum(n, 1))  # k-mers of a text
-    has = np.flatnonzero(full)
-    bits = word_bits(sym, at)
-    if not has.size:
-        return out, n, bits
-    m = full[has]
+    out = np.zeros((len(n), ALL_SKETCHES), U64)
+    pre, s = WORD_HASH.prefixes(sym), 0
+    for size, sketches, picked, most in [(SHINGLE, SKETCHES, PICKED, None), *((size, sketches, 1, most) for size, sketches, most in MORE)]:
+        full = np.maximum(n - size + 1, np.minimum(n, 1))  # k-mers of a text
+        has = np.flatnonzero(full if most is None else (full > 0) & (n <= most))
+        if has.size:
+            _entries(pre, at, has, full[has], size, range(s, s + sketches), picked, out)
+        s += sketches
+    return out, n, word_bits(sym, at)
+
+
+def _entries(pre: np.ndarray, at: np.ndarray, has: np.ndarray, m: np.ndarray, size: int, numbers: range, picked: int, out: np.ndarray) -> None:
+    """Fills the columns numbers of out for the texts has, which have m k-mers of size words each."""
     first = np.concatenate([[0], np.cumsum(m)[:-1]])
     row = np.repeat(np.arange(len(has)), m)
     start = np.arange(int(m.sum())) - first[row] + at[:-1][has][row]
-    end = np.minimum(start + SHINGLE, at[1:][has][row])
+    end = np.minimum(start + size, at[1:][has][row])
     h = WORD_HASH.ranges(pre, start, end)
     h = mix(h + nth_of(h, row).astype(U64) * U64(0xC2B2AE3D27D4EB4F))
-    for s in range(SKETCHES):
+    for s in numbers:
         v = (h ^ U64(0x9E3779B97F4A7C15 * (s + 1) & 0xFFFFFFFFFFFFFFFF)) * U64(0xD6E8FEB86659FD93)
         v ^= v >> U64(32)
         places = []
-        for _ in range(PICKED):
+        for _ in range(picked):
             least = np.minimum.reduceat(v, first)
             hit = np.flatnonzero(v == least[row])
             r = row[hit]
@@ -101,7 +112,6 @@ def sketch_block(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
         for q in p:
             entry = mix(entry * U64(0x9E3779B97F4A7C15) + np.where(q >= 0, h[np.maximum(q, 0)], U64(7)))
         out[has, s] = entry
-    return out, n, bits
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -109,7 +119,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, j, raw, off in text_blocks(b.column(3)):
             e, n, bits = sketch_block(raw, off)
             part, e = b.slice(i, j - i), e.view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()), pa.FixedSizeListArray.from_arrays(pa.array(e.ravel()), SKETCHES).cast(pa.list_(pa.int64())), pa.array(bits, pa.binary())], names=["h1", "h2", "node", "n", "entries", "bits"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()), pa.FixedSizeListArray.from_arrays(pa.array(e.ravel()), ALL_SKETCHES).cast(pa.list_(pa.int64())), pa.array(bits, pa.binary())], names=["h1", "h2", "node", "n", "entries", "bits"])
 
 
 def banded_distance(x: list, y: list, most: int) -> int:
@@ -319,16 +329,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     own = F.col("doc_id") if sole else lost
     nodes = worded.select("h1", "h2", own.alias("node"), "text").mapInArrow(_sketch, "h1 long, h2 long, node long, n long, entries array<long>, bits binary")
     nodes = written(nodes.groupBy("h1", "h2").agg(F.min("node").alias("node"), F.first("n").alias("n"), F.first("entries").alias("entries"), F.first("bits").alias("bits")), "nodes")
-    rows = nodes.select("node", "n", F.posexplode("entries").alias("s", "entry"))
+    rows = nodes.select("node", "n", F.posexplode("entries").alias("s", "entry")).where("entry <> 0")
+    ordered = rows.where(F.col("s") < SKETCHES)
     texts = worded.select(own.alias("node"), "text")
     if not sole:
         texts = texts.groupBy("node").agg(F.first("text").alias("text"))
     key = ["s", "entry"]
-    tested = written(_pairs(rows, key, [F.xxhash64("node", F.pmod("s", F.lit(ORDERS)))]), "pairs")
+    tested = written(_pairs(ordered, key, [F.xxhash64("node", F.pmod("s", F.lit(ORDERS)))]), "pairs")
     links = written(verified(tested, texts), "links")
     labels = written(components(links), "labels")
     # Entries that still hold several classes; written, so that the pivots of a hot one are found by partial aggregation.
-    mixed = written(_mixed(rows, labels, key), "mixed")
+    mixed = written(_mixed(ordered, labels, key), "mixed")
     orders = [F.xxhash64("node", F.pmod("s", F.lit(ORDERS)), F.lit(k)) for k in range(1, PIVOTS + 1)]
     more = written(_pairs(mixed, [*key, "length"], orders).join(tested, ["a", "b"], "left_anti"), "pairs")
     links, labels = _linked(more, texts, links, labels)

@@ -390,3 +390,19 @@ def test_op1_word_bits_never_rule_out_a_link():
                 linked, out = linked + link, out + (not ok[i, j])
                 assert ok[i, j] or not link
     assert linked > 800 and out > 100
+
+
+@pytest.mark.parametrize("words", [10, 40, 100, 300])
+@pytest.mark.parametrize("similarity", [0.8, 0.82, 0.85, 0.88, 0.9])
+def test_op1_scattered_edits_share_an_entry(words, similarity):
+    """Distinct words, substitutions at random places: the harder side of every band."""
+    rng, shared, n = random.Random(words), 0, 300
+    for g in range(n):
+        x = [f"{g}w{i}" for i in range(words)]
+        y = list(x)
+        for i in rng.sample(range(words), int((1 - similarity) * words + 1e-9)):
+            y[i] += "new"
+        raw = [" ".join(t).encode() for t in (x, y)]
+        e = order_minhash.sketch_block(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))[0]
+        shared += bool(((e[0] == e[1]) & (e[0] != 0)).any())
+    assert shared >= 0.99 * n, shared / n
