@@ -69,8 +69,8 @@ def _as_long(x: np.ndarray) -> np.ndarray:
     return x.view(np.int64)
 
 
-def scan(spec: Spec):
-    """Anchors of (doc_id, th, text) batches; lr packs the context's reach, or -1 marks a span [pos, ctx) known to repeat."""
+def scan(spec: Spec, every: bool = False):
+    """Anchors of (doc_id, th, text) batches; lr packs the context's reach, or -1 marks a span [pos, ctx) known to repeat (never with every)."""
 
     def block(raw, off):
         sym, at = symbols(spec.unit, raw, off)
@@ -106,6 +106,8 @@ def scan(spec: Spec):
             first = o[np.maximum.accumulate(np.where(new, np.arange(len(o)), 0))]
             again = np.zeros(len(o), bool)
             again[o] = ~new if spec.within else doc[o] != doc[first]
+            if every:
+                again[:] = False
             keep = ~again
             cols = [key[keep], ctx[keep], doc[keep], th[keep], pos[keep], lr[keep]]
             if again.any():

@@ -6,7 +6,9 @@ suffix array enhanced with the common-prefix lengths of neighbours; a stack scan
 tree of common-prefix intervals. In every interval the suffixes are ordered by the bytes on their
 left, and a second stack scan over the common lengths to the left splits them where left extensions
 differ: what comes out are the maximal repeat groups (left-diverse, right-diverse, or at the reach of
-the context), each with all its occurrences. Repeats longer than a context come as overlapping groups.
+the context). For spans (repeat_spans) the occurrences with equal contexts are dealt with by hash
+before, and a suffix that a longer group has taken isn't told again; groups() keeps every occurrence
+of every group. Repeats longer than a context come as overlapping groups.
 
 Groups of more than GROUP_MOST suffixes of one anchor are split exactly instead: their windows are
 counted by hash, which pre-aggregates and needs no group in one place.
@@ -26,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import WORD_HASH, Spec, lists_of, repeated, symbols, union_of, with_lists
+from .anchors import A_SCHEMA, WORD_HASH, Spec, lists_of, repeated, scan, symbols, union_of, with_lists
 from .common import keyed, unique_ids, written
 
 GRAM, GROUP_MOST = 24, 20_000
@@ -221,6 +223,78 @@ def repeat_spans(base: DataFrame, spec: Spec) -> DataFrame:
     return spans.unionByName(groups.select("doc", "th", "a", "b"))
 
 
+def _whole_groups(spec: Spec):
+    """Contexts sorted by key, one of each class, to the classes of every maximal repeat group; whole keys at a time."""
+    own_anchors = scan(spec, every=True)
+
+    def anchored(u: bytes, depth: int) -> bool:
+        """Whether the anchor is chosen by a window inside u, so that all occurrences of u have it."""
+        batch = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([0]), pa.array([u], pa.binary())], names=["doc_id", "th", "text"])
+        return any(depth in b.column(4).to_pylist() for b in own_anchors(iter([batch])))
+
+    def solve(rows: list[tuple]) -> Iterator[tuple]:
+        rows = [r for r in rows for _ in range(2)]  # a class of several occurrences is a group by itself
+        back, n_back = _matrix([r[4] for r in rows], spec.reach)
+        fore, n_fore = _matrix([r[5] for r in rows], spec.window)
+        sa = np.lexsort((n_fore, np.ascontiguousarray(fore).view(f"S{spec.window}")[:, 0]))
+        place = np.empty(len(sa), np.int64)
+        place[sa] = np.arange(len(sa))
+        for length, i, j in intervals(_common(fore, n_fore, sa[:-1], sa[1:]).tolist(), spec.gram):
+            need = max(0, spec.window - length)
+            node = sa[i:j][n_back[sa[i:j]] >= need]
+            if len(node) < 2:
+                continue
+            node = node[np.lexsort((n_back[node], np.ascontiguousarray(back[node]).view(f"S{spec.reach}")[:, 0]))]
+            for depth, a, b in intervals(_common(back, n_back, node[:-1], node[1:]).tolist(), need):
+                own = node[a:b]
+                ends = own[place[own].argmin()], own[place[own].argmax()]
+                if _common(fore, n_fore, *(np.array([e]) for e in ends))[0] > length:
+                    continue  # they go on together: a deeper node's group
+                u = rows[own[0]][4][:depth][::-1] + rows[own[0]][5][:length]
+                if anchored(u, depth):
+                    gid = int.from_bytes(hashlib.blake2b(u, digest_size=8).digest(), "little", signed=True)
+                    for r in {rows[k][:4] for k in own}:
+                        yield *r, gid, depth, depth + length
+
+    def out(rows) -> Iterator[pa.RecordBatch]:
+        found = list(zip(*solve(rows)))
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, [pa.int64()] * 3 + [pa.int32(), pa.int64()] + [pa.int32()] * 2)], names=["key", "doc", "th", "a", "id", "depth", "length"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for b in batches:
+            for r in zip(*(c.to_pylist() for c in b.columns)):
+                if held and held[0][0] != r[0]:
+                    yield from out(held)
+                    held = []
+                held.append(r)
+        if held:
+            yield from out(held)
+
+    return run
+
+
+def groups(docs: DataFrame, window: int = 100) -> DataFrame:
+    """id, length, doc, th and a (where it starts) of every occurrence of every maximal repeat group of docs.
+
+    A group's occurrences are all places of its string in the corpus. Classes of equal contexts meet as
+    one suffix and get their members back by a join; the different contexts of an anchor meet in one task.
+    """
+    spec, base = Spec("byte", window, GRAM, within=True), keyed(docs)
+    found = written(base.where("doc_id is not null").select("doc_id", "th", "text").distinct().mapInArrow(scan(spec, every=True), A_SCHEMA), "anchors")
+    classes = found.groupBy("key", "ctx").agg(F.min(F.struct("doc", "th", "pos", "lr")).alias("x"), F.count("*").alias("n"))
+    again = found.groupBy("key").count().where("count > 1").select("key")
+    classes = written(classes.join(again, "key").select("key", "ctx", "n", "x.doc", "x.th", F.col("x.pos").alias("a"), F.col("x.lr").alias("b")), "classes")
+    asked = with_lists(base.dropDuplicates(["doc_id", "th"]), classes, "inner", "key", "a", "b").select("doc_id", "th", "text", "_key", "_a", "_b")
+    told = asked.mapInArrow(_contexts, R_SCHEMA).repartition("key").sortWithinPartitions("key").mapInArrow(_whole_groups(spec), "key long, doc long, th long, a int, id long, depth int, length int")
+    told = told.join(classes.select("key", "doc", "th", "a", "ctx", "n"), ["key", "doc", "th", "a"]).select("key", "ctx", "n", "id", "depth", "length")
+    many = written(told, "groups")
+    several = many.groupBy("key", "id", "depth", "length").agg(F.sum("n").alias("n")).where("n > 1").drop("n")
+    many = many.drop("n").join(several, ["key", "id", "depth", "length"])
+    return many.join(found, ["key", "ctx"]).select("id", "length", "doc", "th", (F.col("pos") - F.col("depth")).alias("a")).distinct()
+
+
 def _cut():
     """Removes the spans' bytes and hashes what is left."""
 

@@ -406,3 +406,24 @@ def test_op1_scattered_edits_share_an_entry(words, similarity):
         e = order_minhash.sketch_block(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))[0]
         shared += bool(((e[0] == e[1]) & (e[0] != 0)).any())
     assert shared >= 0.99 * n, shared / n
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_op3_groups_against_plain(spark, seed):
+    """Every group has all places of its string, and the groups cover all places of every window that repeats."""
+    docs = corpus(seed)
+    docs += [(i + 100, docs[0][1]) for i in range(5)]
+    raw, found, places = {i: t.encode() for i, t in docs}, {}, {}
+    for r in repeats.groups(spark.createDataFrame(docs, "doc_id long, text string")).collect():
+        found.setdefault((r["id"], r["length"]), set()).add((r["doc"], r["a"]))
+    for i, b in raw.items():
+        for p in range(len(b) - 99):
+            places.setdefault(b[p:p + 100], set()).add((i, p))
+    covered = set()
+    for (_, n), got in found.items():
+        doc, a = min(got)
+        u = raw[doc][a:a + n]
+        assert len(u) == n >= 100 and got == {(i, p) for i, p in places[u[:100]] if raw[i][p:p + n] == u} and len(got) > 1
+        for i, p in got:
+            covered |= {(i, p + k) for k in range(n - 99)}
+    assert covered == {x for s in places.values() if len(s) > 1 for x in s}
