@@ -4,6 +4,7 @@ A word that the model knows scores by its log frequency in every language; an un
 to its character n-grams of length LONGEST, those unseen to shorter ones, down to single letters.
 The model is counted from a bounded sample of labelled rows (SAMPLE_DOCS, those with the least
 hash of doc_id) and keeps the WORDS and GRAMS most frequent entries, so what is broadcast is bounded.
+Words of 60 or more letters and words seen once are not kept, but their n-grams count like all others.
 
 Defined cases: a null text or one without a letter gives `und` and score 0; texts of any length are
 read whole; null doc_ids count as crc32 0 (held_out false) but never teach; repeated rows are
@@ -14,7 +15,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,20 +75,32 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> WordModel:
         seen: Counter = Counter()
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                seen.update((lang, w) for w in LETTERS.findall(text.lower()) if len(w) < 60)
+                seen.update((lang, w) for w in LETTERS.findall(text.lower()))
+        k = list(seen)
+        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in k], pa.string()), pa.array([x[1] for x in k], pa.string()), pa.array([seen[x] for x in k], pa.int64())], names=["lang", "w", "n"])
+
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: Counter = Counter()
+        for b in batches:
+            for lang, w, c in zip(*(x.to_pylist() for x in b.columns)):
+                s = f"<{w}>"
+                for k in range(1, LONGEST + 1):
+                    for i in range(len(s) - k + 1):
+                        seen[lang, s[i:i + k]] += c
         k = list(seen)
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in k], pa.string()), pa.array([x[1] for x in k], pa.string()), pa.array([seen[x] for x in k], pa.int64())], names=["lang", "w", "n"])
 
-    counted = rows.mapInArrow(words, "lang string, w string, n long").groupBy("w").pivot("lang", langs).sum("n").na.fill(0)
     total = sum((F.col(f"`{x}`") for x in langs), F.lit(0))
-    kept = counted.withColumn("_n", total).where("_n >= 2").orderBy(F.desc("_n"), "w").limit(WORDS).collect()
-    table = {r["w"]: np.array([r[x] for x in langs], float) for r in kept}
-    gram_counts: list[dict[str, np.ndarray]] = [defaultdict(lambda: np.zeros(n)) for _ in range(LONGEST)]
-    for w, c in table.items():
-        s = f"<{w}>"
-        for k in range(1, LONGEST + 1):
-            for i in range(len(s) - k + 1):
-                gram_counts[k - 1][s[i:i + k]] += c
+
+    def most_frequent(counted: DataFrame, least: int, most: int) -> dict[str, np.ndarray]:
+        kept = counted.withColumn("_n", total).where(F.col("_n") >= least).orderBy(F.desc("_n"), "w").limit(most).collect()
+        return {r["w"]: np.array([r[x] for x in langs], float) for r in kept}
+
+    every = written(rows.mapInArrow(words, "lang string, w string, n long").groupBy("lang", "w").agg(F.sum("n").alias("n")), "language-words")
+    table = most_frequent(every.where(F.length("w") < 60).groupBy("w").pivot("lang", langs).sum("n").na.fill(0), 2, WORDS)
+    # From all words, whatever their length or count: long words seldom repeat where a script has no spaces.
+    by_gram = written(every.mapInArrow(grams, "lang string, w string, n long").groupBy("w").pivot("lang", langs).sum("n").na.fill(0), "language-grams")
+    gram_counts = [most_frequent(by_gram.where(F.length("w") == k), 1, GRAMS) for k in range(1, LONGEST + 1)]
 
     def logs(d: dict[str, np.ndarray], most: int) -> tuple[dict[str, int], np.ndarray]:
         keys = sorted(d, key=lambda x: (-d[x].sum(), x))[:most]

@@ -427,3 +427,14 @@ def test_op3_groups_against_plain(spark, seed):
         for i, p in got:
             covered |= {(i, p + k) for k in range(n - 99)}
     assert covered == {x for s in places.values() if len(s) > 1 for x in s}
+
+
+def test_op8_words_that_never_repeat_teach(spark):
+    """Texts without spaces: every run of letters is seen once, most have 60 letters or more."""
+    rng, docs = random.Random(4), []
+    for i in range(80):
+        first, lang = ((0x4E00, "zh"), (0x3041, "ja"))[i % 2]
+        docs.append((i, "".join(chr(first + rng.randrange(60)) for _ in range(rng.randint(30, 120))), lang))
+    model = langid.train(spark.createDataFrame(docs[:40], "doc_id long, text string, lang string"))
+    got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(spark.createDataFrame(docs[40:], "doc_id long, text string, lang string"), model).collect()}
+    assert got == {i: lang for i, _, lang in docs[40:]}
