@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_WORDS, U64, Rolling, minimizers, mix, text_blocks
+from .common import BYTE_WORDS, U64, Rolling, in_rows, minimizers, mix, pieces, text_blocks, tidy
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -91,7 +91,7 @@ def scan(spec: Spec, every: bool = False):
         return grams[sel], ctx, r, sel - at[r], (sel - lo) << 16 | (hi - sel)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches, 2):
             found = [(x[0], x[1], x[2] + i, x[3], x[4]) for i, _, raw, off in text_blocks(b.column(2)) if (x := block(raw, off))]
             if not found:
                 continue
@@ -116,11 +116,11 @@ def scan(spec: Spec, every: bool = False):
                 salt = mix(d.astype(U64) * U64(31) + left.astype(U64))
                 more = [salt, right.astype(U64), d, t, left, np.full(len(d), -1)]
                 cols = [np.concatenate([a, m]) for a, m in zip(cols, more)]
-            yield pa.RecordBatch.from_arrays([
+            yield from in_rows(pa.RecordBatch.from_arrays([
                 pa.array(_as_long(cols[0])), pa.array(_as_long(cols[1])), pa.array(cols[2]), pa.array(cols[3]), pa.array(cols[4].astype(np.int32)), pa.array(cols[5].astype(np.int32)),
-            ], names=A_NAMES)
+            ], names=A_NAMES))
 
-    return run
+    return tidy(run)
 
 
 def merged(doc, th, left, right):
@@ -187,7 +187,7 @@ def classify(spec: Spec):
                     pending.append((key[w], doc[w], th[w], pos[w], lr[w]))
             last_key, last_ctx, last_doc = key[-1], ctx[-1], first_doc[-1]
 
-    return run
+    return tidy(run)
 
 
 def repeated(docs: DataFrame, spec: Spec) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import n_partitions
+from .common import n_partitions, tidy
 
 CHUNK_BYTES = 24 << 20
 #: Words are dealt to so many buckets: one for every BUCKET_BYTES of text, at most BUCKETS.
@@ -145,7 +145,7 @@ def _explode(pattern: str, buckets: int):
         if docs:
             yield rows()
 
-    return run
+    return tidy(run)
 
 
 def _encode(ranks_path: str):
@@ -169,7 +169,7 @@ def _encode(ranks_path: str):
                 out.append(struct.pack("<I", n) + planes(np.concatenate([numbers[:n], [len(g) // 4 for g in got], flat])))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out, pa.binary()), b.column(3)], names=NAMES)
 
-    return run
+    return tidy(run)
 
 
 def _reassemble(ranks_path: str, keep: bool):
@@ -226,10 +226,9 @@ def _reassemble(ranks_path: str, keep: bool):
 
 def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, keep: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256 and decoded_sha256 of every row; with keep, also ids and decoded."""
-    spark = docs.sparkSession
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    buckets = int(min(BUCKETS, max(n_partitions(spark), size // BUCKET_BYTES)))
+    buckets = int(min(BUCKETS, max(n_partitions(docs), size // BUCKET_BYTES)))
     words = base.mapInArrow(_explode(pattern, buckets), ROWS)
     encoded = words.repartition(buckets, "bucket").mapInArrow(_encode(ranks_path), ROWS)
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded binary" if keep else "")

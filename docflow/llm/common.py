@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that the vectorised scans take at a time; one longer text makes a block of its own.
 BLOCK_BYTES = 1 << 18
+#: Bytes of text for which rows are gathered before they are sent on, and rows of a batch that is sent:
+#: the JVM holds a batch outside its heap.
+PIECE_BYTES, BATCH_ROWS = 4 << 20, 8_192
+#: Bytes of input for each partition of a shuffle whose number of partitions is not left to adaptive execution.
+PARTITION_BYTES = 64 << 20
 U64 = np.uint64
 
 
@@ -39,8 +47,47 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def n_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def n_partitions(df: DataFrame) -> int:
+    """Partitions for a shuffle of df: as many as the session asks for, more where the files read are large."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    files = [x for x in map(leaves.apply, range(leaves.size())) if x.getClass().getSimpleName() == "LogicalRelation"]
+    size = sum(int(str(x.stats().sizeInBytes())) for x in files)
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), size // PARTITION_BYTES)
+
+
+def tidy(run: Callable) -> Callable:
+    """run, a function of batches, after which the worker gives freed memory back: it stays alive beside later stages."""
+
+    def whole(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return whole
+
+
+def spans(col: pa.Array, most: int = PIECE_BYTES) -> Iterator[tuple[int, int]]:
+    """First and end row of runs of about `most` bytes of text; a longer text makes a run of its own."""
+    at, end = 0, np.cumsum(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    while at < len(col):
+        to = int(np.searchsorted(end, (end[at - 1] if at else 0) + most, "right"))
+        yield at, (at := max(at + 1, to))
+
+
+def pieces(batches: Iterator[pa.RecordBatch], text: int) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of about PIECE_BYTES of the text column."""
+    for b in batches:
+        for i, j in spans(b.column(text)):
+            yield b.slice(i, j - i)
+
+
+def in_rows(b: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of at most BATCH_ROWS."""
+    for i in range(0, b.num_rows, BATCH_ROWS):
+        yield b.slice(i, BATCH_ROWS)
 
 
 def unique_ids(docs: DataFrame) -> bool:

@@ -10,8 +10,10 @@ the context). For spans (repeat_spans) the occurrences with equal contexts are d
 before, and a suffix that a longer group has taken isn't told again; groups() keeps every occurrence
 of every group. Repeats longer than a context come as overlapping groups.
 
-Groups of more than GROUP_MOST suffixes of one anchor are split exactly instead: their windows are
-counted by hash, which pre-aggregates and needs no group in one place.
+Anchors with more than GROUP_MOST suffixes are split first, exactly: by halves of the places that the
+anchor can have in a window, then by the further bytes that all windows of a half hold. A half needs
+only a part of each context, so suffixes that are equal there are merged again; what is still too
+many is halved further. At one place a half is one window, so the splitting ends. See split().
 
 Defined cases: a null text is empty; a row with a null doc_id is returned whole and takes no part;
 under one doc_id different texts count in the order of their hashes; repeated rows get the same
@@ -22,14 +24,15 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .anchors import A_SCHEMA, WORD_HASH, Spec, lists_of, repeated, scan, symbols, union_of, with_lists
-from .common import keyed, unique_ids, written
+from .anchors import A_SCHEMA, Spec, lists_of, repeated, scan, union_of, with_lists
+from .common import BATCH_ROWS, keyed, pieces, tidy, unique_ids, written
 
 GRAM, GROUP_MOST = 24, 20_000
 #: Suffixes that are sorted together.
@@ -39,9 +42,10 @@ R_SCHEMA = "key long, doc long, th long, a int, back binary, fore binary"
 R_NAMES = ["key", "doc", "th", "a", "back", "fore"]
 
 
+@tidy
 def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes around the requested anchors: those before it, nearest first, and those from it on."""
-    for b in batches:
+    for b in pieces(batches, 2):
         text, docs, ths = b.column(2), b.column(0).to_pylist(), b.column(1).to_pylist()
         keys, places, reaches = (lists_of(b.column(i)) for i in (3, 4, 5))
         cols: list[list] = [[] for _ in R_NAMES]
@@ -51,9 +55,9 @@ def _contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 back, fore = lr >> 16, lr & 0xFFFF
                 for c, v in zip(cols, (k, docs[i], ths[i], a, raw[a - back:a][::-1], raw[a:a + fore])):
                     c.append(v)
-            if len(cols[0]) > 20_000:
-                yield _context_batch(cols)
-                cols = [[] for _ in R_NAMES]
+                if len(cols[0]) >= BATCH_ROWS:
+                    yield _context_batch(cols)
+                    cols = [[] for _ in R_NAMES]
         if cols[0]:
             yield _context_batch(cols)
 
@@ -185,52 +189,139 @@ def _repeats(spec: Spec):
         if held[0] and (out := solve(held)):
             yield out
 
-    return run
+    return tidy(run)
 
 
-def _windows(spec: Spec):
-    """Hashes of all windows of the contexts of over-full anchors."""
+def contexts(base: DataFrame, asked: DataFrame) -> DataFrame:
+    """The contexts of asked (key, doc, th, a, b) in the texts of base."""
+    joined = with_lists(base, asked, "inner", "key", "a", "b").select("doc_id", "th", "text", "_key", "_a", "_b")
+    return joined.mapInArrow(_contexts, R_SCHEMA)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for k, d, t, a, back, fore in zip(*(c.to_pylist() for c in b.columns)):
-                raw = np.frombuffer(back[::-1] + fore, np.uint8)
-                pre = WORD_HASH.prefixes(symbols("byte", raw, np.array([0, raw.size]))[0])
-                i = np.arange(raw.size - spec.window + 1)
-                h = WORD_HASH.ranges(pre, i, i + spec.window).view(np.int64)
-                n = len(i)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, k)), pa.array(h), pa.array(np.full(n, d)), pa.array(np.full(n, t)), pa.array((i + a - len(back)).astype(np.int32))], names=["key", "h", "doc", "th", "a"])
 
-    return run
+def _size(c: str) -> Column:
+    return F.octet_length(c)
+
+
+def _halves(rows: DataFrame, window: int) -> DataFrame:
+    """Rows (key, lo, hi, back, fore, ...) once for each half [lo, hi) of the places that the anchor has in a window, as far as
+    the row has such windows: back and fore cut to what they can hold, key made anew from the bytes that all of them hold."""
+    middle = F.floor((F.col("lo") + F.col("hi")) / 2).cast("int")
+    half = F.explode(F.array(F.struct(F.col("lo").alias("l"), middle.alias("h")), F.struct(middle.alias("l"), F.col("hi").alias("h")))).alias("half")
+    rows = rows.select("*", half).drop("lo", "hi").select("*", F.col("half.l").alias("lo"), F.col("half.h").alias("hi")).drop("half")
+    rows = rows.where((F.col("lo") < F.col("hi")) & (F.greatest("lo", F.lit(window) - _size("fore")) <= F.least(F.col("hi") - 1, _size("back"))))
+    core = F.xxhash64("key", "lo", "hi", F.substring("back", F.lit(1), F.col("lo")), F.substring("fore", F.lit(1), F.lit(window + 1) - F.col("hi")))
+    return rows.withColumns({"key": core, "back": F.substring("back", F.lit(1), F.col("hi") - 1), "fore": F.substring("fore", F.lit(1), F.lit(window) - F.col("lo"))})
+
+
+def _over_full(rows: DataFrame) -> DataFrame | None:
+    """The keys of more than GROUP_MOST rows, if any."""
+    crowd = rows.groupBy("key").count().where(F.col("count") > GROUP_MOST).select("key")
+    return crowd if crowd.limit(1).count() else None
+
+
+def split(rows: DataFrame, spec: Spec) -> tuple[list[DataFrame], list[DataFrame]]:
+    """Spans (doc, th, a, b), and contexts of which no key has more than GROUP_MOST rows: together they tell all that rows
+    (contexts of over-full keys) tell. Of equal contexts all but the earliest are spans and only the earliest goes on."""
+    spans, done, place = [], [], F.struct("doc", "th", "a")
+    rows = rows.select("*", F.lit(0).alias("lo"), F.lit(spec.reach + 1).alias("hi"))
+    while True:
+        rows = written(_halves(rows, spec.window), "halves")
+        first = rows.groupBy("key", "lo", "hi", "back", "fore").agg(F.min(place).alias("first"))
+        later = rows.join(first, ["key", "lo", "hi", "back", "fore"]).where(place > F.col("first"))
+        spans.append(later.select("doc", "th", (F.col("a") - _size("back")).alias("a"), (F.col("a") + _size("fore")).alias("b")))
+        rows = first.select("key", "first.doc", "first.th", "first.a", "back", "fore", "lo", "hi")
+        rows = written(rows.join(rows.groupBy("key").count().where("count > 1").select("key"), "key", "left_semi"), "classes")
+        crowd = _over_full(rows)
+        if crowd is None:
+            return spans, [*done, rows.select(R_NAMES)]
+        done.append(rows.join(crowd, "key", "left_anti").select(R_NAMES))
+        rows = rows.join(crowd, "key", "left_semi")
+
+
+def solved(rows: DataFrame, spec: Spec) -> DataFrame:
+    """Spans of the repeats among contexts, a key in one task."""
+    schema = "key long, doc long, th long, a int, b int, first_doc long, first_a int"
+    return rows.repartition("key").sortWithinPartitions("key").mapInArrow(_repeats(spec), schema).select("doc", "th", "a", "b")
 
 
 def repeat_spans(base: DataFrame, spec: Spec) -> DataFrame:
     """doc, th, a, b: spans of base (doc_id, text, th) that an earlier place repeats, each at least a window long."""
     found = written(repeated(base, spec), "anchors")
     asked = found.where("request").select("key", "doc", "th", "a", "b")
-    crowd = asked.groupBy("key").count().where(F.col("count") > GROUP_MOST).select("key")
-    joined = with_lists(base, asked, "inner", "key", "a", "b").select("doc_id", "th", "text", "_key", "_a", "_b")
-    contexts = joined.mapInArrow(_contexts, R_SCHEMA)
-    spans = found.where("not request").select("doc", "th", "a", "b")
-    if crowd.limit(1).count():
-        contexts = written(contexts, "contexts")
-        full = contexts.join(crowd, "key", "left_semi").mapInArrow(_windows(spec), "key long, h long, doc long, th long, a int")
-        first = full.groupBy("key", "h").agg(F.min(F.struct("doc", "th", "a")).alias("least"))
-        later = full.join(first, ["key", "h"]).where(F.struct("doc", "th", "a") > F.col("least"))
-        spans = spans.unionByName(later.select("doc", "th", "a", (F.col("a") + spec.window).alias("b")))
-        contexts = contexts.join(crowd, "key", "left_anti")
-    groups = contexts.repartition("key").sortWithinPartitions("key").mapInArrow(_repeats(spec), "key long, doc long, th long, a int, b int, first_doc long, first_a int")
-    return spans.unionByName(groups.select("doc", "th", "a", "b"))
+    told = found.where("not request").select("doc", "th", "a", "b")
+    crowd = _over_full(asked)
+    if crowd is None:
+        return told.unionByName(solved(contexts(base, asked), spec))
+    more, parts = split(contexts(base, asked.join(crowd, "key", "left_semi")), spec)
+    for rows in [contexts(base, asked.join(crowd, "key", "left_anti")), *parts]:
+        told = told.unionByName(solved(rows, spec))
+    for rows in more:
+        told = told.unionByName(rows)
+    return told
 
 
-def _whole_groups(spec: Spec):
-    """Contexts sorted by key, one of each class, to the classes of every maximal repeat group; whole keys at a time."""
+G_SCHEMA = "doc long, th long, a int, id long, depth int, length int"
+G_NAMES = ["doc", "th", "a", "id", "depth", "length"]
+
+
+def _group_batch(found: list[tuple]) -> Iterator[pa.RecordBatch]:
+    types = [pa.int64()] * 2 + [pa.int32(), pa.int64()] + [pa.int32()] * 2
+    for i in range(0, len(found), BATCH_ROWS):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found[i:i + BATCH_ROWS]), types)], names=G_NAMES)
+
+
+def _group_of(spec: Spec):
+    """A function of a string and its anchor's place: the group's id, or None if no window inside chooses the anchor
+    (else all occurrences of the string have it)."""
     own_anchors = scan(spec, every=True)
 
-    def anchored(u: bytes, depth: int) -> bool:
-        """Whether the anchor is chosen by a window inside u, so that all occurrences of u have it."""
+    def of(u: bytes, depth: int) -> int | None:
         batch = pa.RecordBatch.from_arrays([pa.array([0]), pa.array([0]), pa.array([u], pa.binary())], names=["doc_id", "th", "text"])
-        return any(depth in b.column(4).to_pylist() for b in own_anchors(iter([batch])))
+        if any(depth in b.column(4).to_pylist() for b in own_anchors(iter([batch]))):
+            return int.from_bytes(hashlib.blake2b(u, digest_size=8).digest(), "little", signed=True)
+        return None
+
+    return of
+
+
+def _one_window(spec: Spec):
+    """Contexts cut to a single window, to their groups."""
+    of, known = _group_of(spec), {}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = []
+            for doc, th, a, back, fore in zip(*(b.column(i).to_pylist() for i in range(1, 6))):
+                u = back[::-1] + fore, len(back)
+                if u not in known:
+                    if len(known) > BATCH_ROWS:
+                        known.clear()
+                    known[u] = of(*u)
+                if known[u] is not None:
+                    found.append((doc, th, a, known[u], len(back), len(u[0])))
+            yield from _group_batch(found)
+
+    return tidy(run)
+
+
+def _split_whole(rows: DataFrame, spec: Spec) -> tuple[list[DataFrame], list[DataFrame]]:
+    """As split(), but every row stays: contexts of which no key has more than GROUP_MOST, and contexts that are one window."""
+    done, single = [], []
+    rows = rows.select("*", F.lit(0).alias("lo"), F.lit(spec.reach + 1).alias("hi"))
+    while True:
+        rows = written(_halves(rows, spec.window), "halves")
+        crowd = _over_full(rows)
+        if crowd is None:
+            return [*done, rows.select(R_NAMES)], single
+        done.append(rows.join(crowd, "key", "left_anti").select(R_NAMES))
+        rows = rows.join(crowd, "key", "left_semi")
+        single.append(rows.where("hi - lo = 1").select(R_NAMES))
+        rows = rows.where("hi - lo > 1")
+
+
+def _whole_groups(spec: Spec):
+    """Contexts sorted by key, one of each class, to the classes of every maximal repeat group; whole keys at a time."""
+    group_of = _group_of(spec)
 
     def solve(rows: list[tuple]) -> Iterator[tuple]:
         rows = [r for r in rows for _ in range(2)]  # a class of several occurrences is a group by itself
@@ -251,15 +342,13 @@ def _whole_groups(spec: Spec):
                 if _common(fore, n_fore, *(np.array([e]) for e in ends))[0] > length:
                     continue  # they go on together: a deeper node's group
                 u = rows[own[0]][4][:depth][::-1] + rows[own[0]][5][:length]
-                if anchored(u, depth):
-                    gid = int.from_bytes(hashlib.blake2b(u, digest_size=8).digest(), "little", signed=True)
-                    for r in {rows[k][:4] for k in own}:
+                gid = group_of(u, depth)
+                if gid is not None:
+                    for r in {rows[k][1:4] for k in own}:
                         yield *r, gid, depth, depth + length
 
     def out(rows) -> Iterator[pa.RecordBatch]:
-        found = list(zip(*solve(rows)))
-        if found:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(found, [pa.int64()] * 3 + [pa.int32(), pa.int64()] + [pa.int32()] * 2)], names=["key", "doc", "th", "a", "id", "depth", "length"])
+        yield from _group_batch(list(solve(rows)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -272,23 +361,31 @@ def _whole_groups(spec: Spec):
         if held:
             yield from out(held)
 
-    return run
+    return tidy(run)
 
 
 def groups(docs: DataFrame, window: int = 100) -> DataFrame:
     """id, length, doc, th and a (where it starts) of every occurrence of every maximal repeat group of docs.
 
     A group's occurrences are all places of its string in the corpus. Classes of equal contexts meet as
-    one suffix and get their members back by a join; the different contexts of an anchor meet in one task.
+    one suffix and get their members back by a join; the different contexts of an anchor meet in one task,
+    at most GROUP_MOST of them: more are split as for the spans, and give groups of at most a half's reach.
     """
     spec, base = Spec("byte", window, GRAM, within=True), keyed(docs)
     found = written(base.where("doc_id is not null").select("doc_id", "th", "text").distinct().mapInArrow(scan(spec, every=True), A_SCHEMA), "anchors")
     classes = found.groupBy("key", "ctx").agg(F.min(F.struct("doc", "th", "pos", "lr")).alias("x"), F.count("*").alias("n"))
     again = found.groupBy("key").count().where("count > 1").select("key")
     classes = written(classes.join(again, "key").select("key", "ctx", "n", "x.doc", "x.th", F.col("x.pos").alias("a"), F.col("x.lr").alias("b")), "classes")
-    asked = with_lists(base.dropDuplicates(["doc_id", "th"]), classes, "inner", "key", "a", "b").select("doc_id", "th", "text", "_key", "_a", "_b")
-    told = asked.mapInArrow(_contexts, R_SCHEMA).repartition("key").sortWithinPartitions("key").mapInArrow(_whole_groups(spec), "key long, doc long, th long, a int, id long, depth int, length int")
-    told = told.join(classes.select("key", "doc", "th", "a", "ctx", "n"), ["key", "doc", "th", "a"]).select("key", "ctx", "n", "id", "depth", "length")
+    texts, crowd = base.dropDuplicates(["doc_id", "th"]), _over_full(classes)
+    if crowd is None:
+        parts, single = [contexts(texts, classes)], []
+    else:
+        parts, single = _split_whole(contexts(texts, classes.join(crowd, "key", "left_semi")), spec)
+        parts.append(contexts(texts, classes.join(crowd, "key", "left_anti")))
+    told = [p.repartition("key").sortWithinPartitions("key").mapInArrow(_whole_groups(spec), G_SCHEMA) for p in parts]
+    told = reduce(DataFrame.unionByName, told + [p.mapInArrow(_one_window(spec), G_SCHEMA) for p in single])
+    # A class is known by the place of its earliest member, which has one anchor.
+    told = told.distinct().join(classes.select("doc", "th", "a", "key", "ctx", "n"), ["doc", "th", "a"]).select("key", "ctx", "n", "id", "depth", "length")
     many = written(told, "groups")
     several = many.groupBy("key", "id", "depth", "length").agg(F.sum("n").alias("n")).where("n > 1").drop("n")
     many = many.drop("n").join(several, ["key", "id", "depth", "length"])
@@ -299,7 +396,7 @@ def _cut():
     """Removes the spans' bytes and hashes what is left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches, 1):
             n_bytes, removed, runs, kept = [], [], [], []
             for t, s, e in zip(b.column(1).to_pylist(), lists_of(b.column(2)), lists_of(b.column(3))):
                 raw = t.encode() if t else b""
@@ -318,7 +415,7 @@ def _cut():
             cols = [b.column(0), pa.array(n_bytes, pa.int64()), pa.array(removed, pa.int64()), pa.array(runs, pa.int64()), pa.array([hashlib.sha256(k).hexdigest() for k in kept])]
             yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
-    return run
+    return tidy(run)
 
 
 def dedup(docs: DataFrame, window: int = 100) -> DataFrame:
@@ -328,9 +425,10 @@ def dedup(docs: DataFrame, window: int = 100) -> DataFrame:
     return with_lists(base, spans, "left", "a", "b").select("doc_id", "text", "_a", "_b").mapInArrow(_cut(), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
+@tidy
 def _cut_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The first column's texts without the spans of the next two; a character that a span splits goes whole."""
-    for b in batches:
+    for b in pieces(batches, 0):
         out = []
         for t, s, e in zip(b.column(0).to_pylist(), lists_of(b.column(1)), lists_of(b.column(2))):
             if s is not None and len(s):

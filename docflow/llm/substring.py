@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import WORD_HASH, Spec, lists_of, repeated, symbols, union_of, with_lists
-from .common import keyed, written
+from .common import in_rows, keyed, pieces, tidy, written
 
 
 def _windows(spec: Spec):
@@ -44,16 +44,16 @@ def _windows(spec: Spec):
                 key = np.repeat(keys[i], n)
                 start = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(int(n.sum()))
                 h = WORD_HASH.ranges(pre, start, start + spec.window).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(h), pa.array(np.full(len(h), docs[i])), pa.array(np.full(len(h), ths[i])), pa.array(start.astype(np.int32))], names=["key", "h", "doc", "th", "a"])
+                yield from in_rows(pa.RecordBatch.from_arrays([pa.array(key), pa.array(h), pa.array(np.full(len(h), docs[i])), pa.array(np.full(len(h), ths[i])), pa.array(start.astype(np.int32))], names=["key", "h", "doc", "th", "a"]))
 
-    return run
+    return tidy(run)
 
 
 def _cut():
     """Removes the words of the spans and hashes what is left."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces(batches, 1):
             ids, words_n, removed, spans_n, sha = b.column(0), [], [], [], []
             starts, ends = lists_of(b.column(2)), lists_of(b.column(3))
             for t, s, e in zip(b.column(1).to_pylist(), starts, ends):
@@ -73,7 +73,7 @@ def _cut():
                 sha.append(hashlib.sha256(b" ".join(words)).hexdigest())
             yield pa.RecordBatch.from_arrays([ids, pa.array(words_n, pa.int64()), pa.array(removed, pa.int64()), pa.array(sha, pa.string()), pa.array(spans_n, pa.int64())], names=["doc_id", "n_words", "n_removed", "kept_sha256", "n_spans"])
 
-    return run
+    return tidy(run)
 
 
 def dedup(docs: DataFrame, window: int = 50) -> DataFrame:

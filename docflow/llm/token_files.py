@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_partitions, shared_dir
+from .common import n_partitions, shared_dir, spans, tidy
 
 BLOCK_IDS = 1 << 15
 CHUNK_IDS = 1 << 20
@@ -116,14 +116,6 @@ class PieceEncoder:
         self.kept.setdefault("", self.whole(" "))
 
 
-def spans(col: pa.Array) -> Iterator[tuple[int, int]]:
-    """First and end row of runs of about ENCODED_BYTES of text; a longer text makes a run of its own."""
-    at, end = 0, np.cumsum(pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-    while at < len(col):
-        to = int(np.searchsorted(end, (end[at - 1] if at else 0) + ENCODED_BYTES, "right"))
-        yield at, (at := max(at + 1, to))
-
-
 _encoders: dict[str, PieceEncoder] = {}
 
 
@@ -189,7 +181,7 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, pl
             ], names=["file_no", "chunk_no", "n_ids", "planes", "doc_ids", "counts", "plane_ends", "payload"])
 
         for b in batches:
-            for i, j in spans(b.column(1)):
+            for i, j in spans(b.column(1), ENCODED_BYTES):
                 part = b.slice(i, j - i)
                 for d, x in zip(part.column(0).to_pylist(), enc.encode(part.column(1))):
                     ids.append(d)
@@ -202,10 +194,10 @@ def write_tokens(docs: DataFrame, tokenizer: str, path: str, end_id: int = 0, pl
         if ids:
             yield row()
 
-    n = n_partitions(docs.sparkSession)
+    n = n_partitions(docs)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     order = base.repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text")
-    order.mapInArrow(chunks, CHUNK).write.option("compression", "none").parquet(path)
+    order.mapInArrow(tidy(chunks), CHUNK).write.option("compression", "none").parquet(path)
 
 
 def read_tokens(spark, path: str) -> DataFrame:
@@ -232,7 +224,7 @@ def read_tokens(spark, path: str) -> DataFrame:
         base += r["n"]
     files = spark.createDataFrame(starts, "file_no int, base long")
     at = in_file.join(F.broadcast(files), "file_no").select("file_no", "chunk_no", (F.col("base") + F.col("before")).alias("chunk_start"))
-    rows = stored.mapInArrow(docs, "file_no int, chunk_no int, doc_id long, at long, n_tokens long, ids_crc32 long")
+    rows = stored.mapInArrow(tidy(docs), "file_no int, chunk_no int, doc_id long, at long, n_tokens long, ids_crc32 long")
     return rows.join(at, ["file_no", "chunk_no"]).select("doc_id", (F.col("chunk_start") + F.col("at")).alias("start"), "n_tokens", "ids_crc32")
 
 

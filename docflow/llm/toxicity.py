@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import pieces, spans, tidy
+
 SAMPLE_DOCS, FEATURES = 8_000, 1 << 21
 #: Rows whose features are counted at once while the model is fitted.
 CHUNK = 500
@@ -33,7 +35,8 @@ STEPS, RATE, RIDGE = 150, 0.05, 1e-3
 #: The ridge shrinks probabilities, so the one from which a document is rejected is set on a third of
 #: the sample that a first fit leaves out: a wrongly rejected document weighs as much as CLEAN_COST missed ones.
 CLEAN_COST = 3
-WORDS_KEPT = 2_000_000
+#: Distinct words that a task remembers.
+WORDS_KEPT = 200_000
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -92,6 +95,30 @@ def telling(rows: list, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return used, 1 / times[which] if used.size else np.zeros(0)
 
 
+def thresholds(q: np.ndarray) -> np.ndarray:
+    """Ordered thresholds from the first one and the logarithms of the gaps that follow."""
+    return np.cumsum(np.concatenate([q[:1], np.exp(q[1:])]))
+
+
+def loss(p: np.ndarray, flat: np.ndarray, row: np.ndarray, val: np.ndarray, y: np.ndarray, size: int) -> tuple[float, np.ndarray]:
+    """Mean negative log-likelihood of grades y with the ridge on the weights, and its gradient by p.
+
+    p holds `size` weights, the first threshold and the logarithms of the gaps; entry i of flat, row and
+    val says that the row has the feature with that value.
+    """
+    n, w, cuts = len(y), p[:size], thresholds(p[size:])
+    s = at_least(cuts, np.bincount(row, w[flat] * val, minlength=n))
+    full = np.concatenate([np.ones((n, 1)), s, np.zeros((n, 1))], axis=1)
+    d = np.concatenate([np.zeros((n, 1)), s * (1 - s), np.zeros((n, 1))], axis=1)
+    i = np.arange(n)
+    prob = np.maximum(full[i, y] - full[i, y + 1], 1e-9)
+    by_score = -(d[i, y] - d[i, y + 1]) / prob / n
+    by_cut = np.array([((y == j) * d[:, j] / prob).sum() - ((y == j - 1) * d[:, j] / prob).sum() for j in range(1, len(cuts) + 1)]) / n
+    tail = np.cumsum(by_cut[::-1])[::-1]
+    g = np.concatenate([np.bincount(flat, by_score[row] * val, minlength=size) + RIDGE * w, tail[:1], tail[1:] * np.exp(p[size + 1:])])
+    return float(-np.log(prob).mean() + RIDGE * (w @ w) / 2), g
+
+
 def fit_ordinal(rows: list, grades: list[int]) -> Ordinal:
     """Proportional-odds fit by full-batch Adam; deterministic for given rows."""
     known = sorted(set(grades))
@@ -108,33 +135,17 @@ def fit_ordinal(rows: list, grades: list[int]) -> Ordinal:
         keep = at[flat] >= 0
         parts.append((at[flat[keep]], row[keep]))
     flat, row = (np.concatenate(x) for x in zip(*parts))
-    val = value[flat]
     share = np.array([(y >= j).mean() for j in range(1, k + 1)])
-    w = np.zeros(used.size)
     cuts = np.log((1 - share) / share)
-    # cuts are kept ordered as a first cut and positive gaps
-    gaps = np.log(np.maximum(np.diff(cuts), 1e-3))
-    p = np.concatenate([w, cuts[:1], gaps])
+    p = np.concatenate([np.zeros(used.size), cuts[:1], np.log(np.maximum(np.diff(cuts), 1e-3))])
     m, v = np.zeros_like(p), np.zeros_like(p)
     for step in range(1, STEPS + 1):
-        w, cuts = p[: used.size], np.cumsum(np.concatenate([p[used.size: used.size + 1], np.exp(p[used.size + 1:])]))
-        x = np.bincount(row, w[flat] * val, minlength=n)
-        s = 1 / (1 + np.exp(np.clip(cuts[None, :] - x[:, None], -40, 40)))
-        full = np.concatenate([np.ones((n, 1)), s, np.zeros((n, 1))], axis=1)
-        d = np.concatenate([np.zeros((n, 1)), s * (1 - s), np.zeros((n, 1))], axis=1)
-        i = np.arange(n)
-        prob = np.maximum(full[i, y] - full[i, y + 1], 1e-9)
-        gx = -(d[i, y] - d[i, y + 1]) / prob / n
-        gc = np.zeros(k)
-        for j in range(1, k + 1):
-            gc[j - 1] = ((y == j) * d[:, j] / prob).sum() / n - ((y == j - 1) * d[:, j] / prob).sum() / n
-        tail = np.cumsum(gc[::-1])[::-1]
-        g = np.concatenate([np.bincount(flat, gx[row] * val, minlength=used.size) + RIDGE * w, tail[:1], tail[1:] * np.exp(p[used.size + 1:])])
+        _, g = loss(p, flat, row, value[flat], y, used.size)
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         p = p - RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     weights = np.zeros(FEATURES, np.float32)
     weights[used] = p[: used.size] * value
-    return Ordinal(known, weights, np.cumsum(np.concatenate([p[used.size: used.size + 1], np.exp(p[used.size + 1:])])))
+    return Ordinal(known, weights, thresholds(p[used.size:]))
 
 
 def fit(rows: list, grades: list[int]) -> Ordinal:
@@ -205,7 +216,7 @@ def score(docs: DataFrame, model: Ordinal) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = sent.value
-        for b in batches:
+        for b in pieces(batches, 1):
             p = m.probabilities(b.column(1).to_pylist())
             if m.cuts.size:
                 steps = np.diff(m.grades)
@@ -216,8 +227,9 @@ def score(docs: DataFrame, model: Ordinal) -> DataFrame:
                 g = m.grades[0] if m.grades else 0
                 severity, grade, any_ = np.full(b.num_rows, float(g)), np.full(b.num_rows, g), np.full(b.num_rows, float(g > 0))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(severity), pa.array(any_), pa.array(grade.astype(np.int32)), pa.array(any_ >= m.reject)], names=["doc_id", "severity", "p_toxic", "grade", "rejected"])
+        m.known.clear()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, severity double, p_toxic double, grade int, rejected boolean")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), "doc_id long, severity double, p_toxic double, grade int, rejected boolean")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
@@ -233,8 +245,14 @@ def keep_clean(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOC
     def rejected(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = sent.value
         for col in batches:
-            yield pa.array(m.probabilities(col.to_pylist())[:, 0] >= m.reject if m.cuts.size else np.full(len(col), bool(m.grades and m.grades[0] > 0)))
+            if m.cuts.size:
+                parts = [m.probabilities(col.slice(i, j - i).to_pylist())[:, 0] >= m.reject for i, j in spans(col)]
+                yield pa.array(np.concatenate([np.zeros(0, bool), *parts]))
+            else:
+                yield pa.array(np.full(len(col), bool(m.grades and m.grades[0] > 0)))
+        m.known.clear()
 
+    rejected = tidy(rejected)
     udf = F.arrow_udf(rejected, "boolean", F.ArrowUDFType.SCALAR_ITER) if hasattr(F, "ArrowUDFType") else None
     if udf is None:
         from pyspark.sql.pandas.functions import ArrowUDFType

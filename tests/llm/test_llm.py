@@ -349,6 +349,26 @@ def test_op1_length_classes(spark):
     assert {r["n"] for r in can.where("m = 10").collect()} == {8, 9, 10}
 
 
+def test_op4_likelihood_and_gradient():
+    """The loss against the product of plain probabilities, its gradient against differences."""
+    rng = np.random.default_rng(3)
+    y, size = rng.integers(0, 3, 40), 5
+    at = [(int(f), i) for i in range(40) for f in rng.choice(size, 2, replace=False)]
+    flat, row = np.array([f for f, _ in at]), np.array([i for _, i in at])
+    val, p = rng.random(len(at)), rng.normal(size=size + 2)
+    cuts, x = [p[5], p[5] + np.exp(p[6])], [sum(p[f] * v for (f, i), v in zip(at, val) if i == j) for j in range(40)]
+
+    def chance(s, g):
+        above = [1.0, *(1 / (1 + np.exp(c - s)) for c in cuts), 0.0]
+        return above[g] - above[g + 1]
+
+    got, g = toxicity.loss(p, flat, row, val, y, size)
+    assert np.isclose(got, -np.mean([np.log(chance(s, k)) for s, k in zip(x, y)]) + toxicity.RIDGE * sum(p[:5] ** 2) / 2)
+    for i in range(len(p)):
+        e = np.eye(len(p))[i] * 1e-6
+        assert np.isclose(g[i], (toxicity.loss(p + e, flat, row, val, y, size)[0] - toxicity.loss(p - e, flat, row, val, y, size)[0]) / 2e-6, atol=1e-6)
+
+
 def test_op4_words_that_tell():
     y = np.array([0, 1] * 50)
     rows = [np.array([1, 2, 10 + i % 7] if g else [10 + i % 7, 3 + i % 4]) for i, g in enumerate(y)]
@@ -408,9 +428,10 @@ def test_op1_scattered_edits_share_an_entry(words, similarity):
     assert shared >= 0.99 * n, shared / n
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_op3_groups_against_plain(spark, seed):
+@pytest.mark.parametrize("seed, most", [(1, 20_000), (2, 20_000), (1, 2)])
+def test_op3_groups_against_plain(spark, monkeypatch, seed, most):
     """Every group has all places of its string, and the groups cover all places of every window that repeats."""
+    monkeypatch.setattr(repeats, "GROUP_MOST", most)
     docs = corpus(seed)
     docs += [(i + 100, docs[0][1]) for i in range(5)]
     raw, found, places = {i: t.encode() for i, t in docs}, {}, {}
