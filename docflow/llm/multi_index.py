@@ -1,20 +1,23 @@
 """Inverted multi-index for nearest neighbours by inner product.
 
 Vectors are cut in two halves and each half has its own codebook, so K centroids a half give K * K
-cells. A query goes through centroid pairs by summed distance, with a heap over both sorted lists
-(the multi-sequence walk), until the cells hold enough vectors; the entries of those cells are
-reranked by the exact inner product in double precision. Codebooks are fitted on a bounded sample
-(SAMPLE rows, those with the least hash); every row is indexed. The share of rows to visit is found
-on that sample too, as the least share whose recall against brute force reaches TARGET: data without
-structure need a large share, clustered data a small one.
+cells. A half is coded with one more component, which brings all halves of the sample to one norm:
+then the nearest centroid by distance is the one of greatest inner product, however norms vary.
+A query (brought to that norm, with zero as the further component) goes through centroid pairs by
+summed distance, with a heap over both sorted lists (the multi-sequence walk), until the cells hold
+enough vectors; the entries of those cells are reranked by the exact inner product in double
+precision. Codebooks are fitted on a bounded sample (SAMPLE rows, those with the least hash); every
+row is indexed. The share of rows to visit is found on that sample too, as the least share whose
+recall against brute force reaches TARGET: data without structure need a large share, clustered data
+a small one.
 
 Equal vectors tie, and ties go to the smaller vec_id, so of each vector only the k + 1 rows with the
 least vec_id can be answers: the others are left out of the lists, which is exact and bounds a
 group of copies. Cells are dealt into blocks of about BLOCK_ROWS; a larger cell is split.
 
 Defined cases: null or zero vectors, those with a null or non-finite component, those of another
-length than the most frequent, and rows without vec_id take no part; rows that repeat a vec_id are
-separate candidates; no usable row gives an empty result; other columns are ignored.
+length than the most frequent, and rows without vec_id take no part; of rows that repeat a vec_id
+the one of least vector takes part, once; no usable row gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,8 +30,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 SAMPLE, TUNING_QUERIES, TARGET, ROUNDS = 16_000, 256, 0.95, 8
-LEAST_VISITED, BLOCK_ROWS = 1_000, 8_192
+BLOCK_ROWS = 4_096
 
 
 def _distances(y: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -52,15 +57,26 @@ class Codebooks:
 
     def __init__(self, sample: np.ndarray, k: int):
         self.half = sample.shape[1] // 2
-        self.one, self.two = _kmeans(sample[:, : self.half], k, 1), _kmeans(sample[:, self.half:], k, 2)
+        self.most = [(x * x).sum(1).max() for x in self._parts(sample)]
+        self.one, self.two = (_kmeans(x, k, i + 1) for i, x in enumerate(self._level(sample)))
         self.cells = len(self.one) * len(self.two)
 
+    def _parts(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return x[:, : self.half], x[:, self.half:]
+
+    def _level(self, x: np.ndarray) -> list[np.ndarray]:
+        """The halves with a component that brings them to the greatest norm of the sample (longer ones have zero there)."""
+        return [np.hstack([h, np.sqrt(np.maximum(m - (h * h).sum(1), 0))[:, None]]) for h, m in zip(self._parts(x), self.most)]
+
     def cell(self, x: np.ndarray) -> np.ndarray:
-        return _distances(x[:, : self.half], self.one).argmin(1) * len(self.two) + _distances(x[:, self.half:], self.two).argmin(1)
+        one, two = self._level(x)
+        return _distances(one, self.one).argmin(1) * len(self.two) + _distances(two, self.two).argmin(1)
 
     def walk(self, q: np.ndarray, counts: np.ndarray, enough: float) -> list[int]:
         """Cells by summed distance until they hold `enough` rows; empty cells are passed over."""
-        da, db = _distances(q[None, : self.half], self.one)[0], _distances(q[None, self.half:], self.two)[0]
+        q = np.append(q * (np.sqrt(sum(self.most)) / np.sqrt(q @ q)), 0.0)[None]
+        da = _distances(np.hstack([q[:, : self.half], q[:, -1:]]), self.one)[0]
+        db = _distances(q[:, self.half:], self.two)[0]
         ia, ib = da.argsort(kind="stable"), db.argsort(kind="stable")
         sa, sb, ia, ib = da[ia].tolist(), db[ib].tolist(), ia.tolist(), ib.tolist()
         heap, out, held, nb = [(sa[0] + sb[0], 0, 0)], [], 0, len(self.two)
@@ -100,7 +116,10 @@ def usable(vectors: DataFrame) -> DataFrame:
         "vec_id is not null and v is not null and not exists(v, x -> x is null or isnan(x) or abs(x) = double('infinity')) and exists(v, x -> x <> 0)"
     )
     size = ok.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    return ok.where(F.size("v") == (size["n"] if size else 0))
+    ok = ok.where(F.size("v") == (size["n"] if size else 0))
+    if ok.groupBy("vec_id").count().where("count > 1").limit(1).count():
+        ok = ok.groupBy("vec_id").agg(F.min("v").alias("v"))
+    return ok
 
 
 def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
@@ -115,7 +134,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
     sample = np.array(sample.column("v").combine_chunks().flatten()).reshape(sample.num_rows, -1)
     sample = sample[np.sort(np.unique(sample, axis=0, return_index=True)[1])]
     books = Codebooks(sample, int(np.clip(round(4 * n**0.25), 4, 256)))
-    enough = max(LEAST_VISITED, _share(books, sample, k) * n)
+    enough = max(k + 1, _share(books, sample, k) * n)
     sent = spark.sparkContext.broadcast(books)
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -125,7 +144,7 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sent.value.cell(x).astype(np.int32)) if b.num_rows else pa.array([], pa.int32()), v], names=["vec_id", "cell", "v"])
 
     first = F.row_number().over(Window.partitionBy(F.xxhash64("v"), "v").orderBy("vec_id"))
-    entries = ok.withColumn("nth", first).where(F.col("nth") <= k + 1).select("vec_id", "v").mapInArrow(coded, "vec_id long, cell int, v array<double>")
+    entries = ok.withColumn("nth", first).where(F.col("nth") <= k + 1).select("vec_id", "v").mapInArrow(tidy(coded), "vec_id long, cell int, v array<double>")
     counts = np.zeros(books.cells, np.int64)
     for r in entries.groupBy("cell").count().collect():  # at most 256 * 256 cells
         counts[r["cell"]] = r["count"]
@@ -167,8 +186,8 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
 
     names, kind = ["block", "kind", "id", "cells", "v"], "block long, kind int, id long, cells array<int>, v array<double>"
     asked = ok.where(F.col("vec_id") % every == 0).select("vec_id", "v")
-    both = entries.mapInArrow(dealt, kind).unionByName(asked.mapInArrow(probes, kind))
-    near = both.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(_rerank(k), "query_id long, vec_id long, score double")
+    both = entries.mapInArrow(tidy(dealt), kind).unionByName(asked.mapInArrow(tidy(probes), kind))
+    near = both.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(tidy(_rerank(k)), "query_id long, vec_id long, score double")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return near.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
@@ -206,6 +225,7 @@ def _rerank(k: int):
 
 def _answers(k: int, ready, qids: np.ndarray, probed: list[list[int]], q: np.ndarray) -> Iterator[pa.RecordBatch]:
     ids, m, cell, start = ready
+    longest = np.sqrt((m * m).sum(1).max())
     end = np.append(start[1:], len(ids))
     for lo in range(0, len(qids), 256):
         qs, ps, qq = qids[lo:lo + 256], probed[lo:lo + 256], q[lo:lo + 256]
@@ -222,7 +242,9 @@ def _answers(k: int, ready, qids: np.ndarray, probed: list[list[int]], q: np.nda
         for i in range(len(qs)):
             row = s[i]
             least = np.partition(row, -k)[-k] if len(row) > k else -np.inf
-            r = np.flatnonzero((row > -np.inf) & (row >= least - 1e-9))
+            # Products of matrices and sums round otherwise: what may tie with the k-th is summed too.
+            slack = 1e-13 * m.shape[1] * longest * np.sqrt(qq[i] @ qq[i])
+            r = np.flatnonzero((row > -np.inf) & (row >= least - slack))
             exact = (m[r] * qq[i]).sum(axis=1)  # the same sum for equal vectors, wherever they lie
             best = r[o] if (o := np.lexsort((ids[r], -exact))[:k]).size else r[:0]
             qo += [int(qs[i])] * len(best)
