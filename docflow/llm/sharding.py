@@ -1,11 +1,12 @@
 """Vector bin packing of documents into shards, balancing bytes, tokens and rows jointly.
 
-Groups of equal texts are the items. A group that weighs more than 1/PIECE of a shard in any of the
-three measures is an item of its own, split by the hash of doc_id into pieces of about that weight;
-the many small groups are gathered by hash into BUNDLES bundles of geometrically falling size, so the
-driver packs a number of items that doesn't grow with the data. Items go, largest first, where the
-dot product of their vector with the shard's residual capacity is highest. Documents without a
-split group stay with their group.
+Groups of equal texts are the items and stay whole. A group that weighs more than 1/PIECE of a shard in
+any of the three measures is an item of its own; the many smaller groups are gathered by hash into
+bundles of whole groups, BUNDLES of geometrically falling size for each range of text sizes, so the
+driver packs a number of items that doesn't grow with the data and that differ in their bytes a row.
+Only a group that no shard has room for (more than a whole shard in a measure) is split, by the hash
+of doc_id, into pieces of 1/PARTS of a shard. Items go, largest first, where the dot product of their
+vector with the shard's residual capacity is highest.
 
 Law held: `bytes` (sizes near equal). Defined cases: a null text has size 8 and groups with the empty
 ones; a null doc_id hashes like any value; repeated rows are placed each; an empty table gives no
@@ -20,10 +21,11 @@ from pyspark.sql import functions as F
 
 from .common import written
 
-#: A group over 1/PIECE of a shard's capacity is packed on its own, in pieces of at most that.
-PIECE = 64
-#: Bundles of small groups in each of LEVELS sizes; each level's bundles are FALL times smaller.
-BUNDLES, LEVELS, FALL = 384, 5, 4
+#: A group over 1/PIECE of a shard's capacity is packed on its own; one over a whole shard in pieces of 1/PARTS.
+PIECE, PARTS = 64, 8
+#: Bundles of small groups in each of LEVELS sizes; each level's bundles are FALL times smaller. Groups of texts whose
+#: sizes lie between the same powers of FALL share bundles, at most RANGES kinds.
+BUNDLES, LEVELS, FALL, RANGES = 384, 5, 4, 12
 #: Rows that are numbered together inside a shard.
 SLOT_ROWS = 100_000
 
@@ -54,13 +56,16 @@ def pack(docs: DataFrame, n_shards: int = 24) -> DataFrame:
     sums = (F.sum("size").alias("b"), F.sum("tokens").alias("t"), F.count("*").alias("r"))
     # At most 3 * PIECE * n_shards groups weigh so much.
     heavy = base.groupBy("group").agg(*sums).where((F.col("b") > limit[0]) | (F.col("t") > limit[1]) | (F.col("r") > limit[2]))
-    heavy = heavy.select("group", F.ceil(F.greatest(F.col("b") / limit[0], F.col("t") / limit[1], F.col("r") / limit[2])).cast("int").alias("pieces"))
+    # 1: a shard. Equal texts make equal rows, so pieces by rows are pieces by bytes and tokens.
+    weight = F.greatest(F.col("b") / (limit[0] * PIECE), F.col("t") / (limit[1] * PIECE), F.col("r") / (limit[2] * PIECE))
+    heavy = heavy.select("group", F.when(weight > 1, F.ceil(weight * PARTS)).otherwise(1).cast("int").alias("pieces"))
     # The bundle of a small group: the level by falling shares of the hash's range, then a place in the level.
     spread = F.pmod(F.xxhash64("group", F.lit(1)), F.lit(1 << 40)) / float(1 << 40)
     level = F.lit(LEVELS - 1)
     for k in range(LEVELS - 1, 0, -1):
         level = F.when(spread >= FALL**-k, F.lit(k - 1)).otherwise(level)
-    bundle = (level * BUNDLES + F.pmod(F.xxhash64("group", F.lit(2)), F.lit(BUNDLES))).cast("long")
+    kind = F.least(F.floor(F.log(F.col("size").cast("double")) / F.log(F.lit(float(FALL)))), F.lit(RANGES - 1))
+    bundle = ((kind * LEVELS + level) * BUNDLES + F.pmod(F.xxhash64("group", F.lit(2)), F.lit(BUNDLES))).cast("long")
     items = base.join(F.broadcast(heavy), "group", "left").select(
         "doc_id", "size", "text_crc32", "tokens", "id_hash",
         F.when(F.col("pieces").isNull(), F.lit(None).cast("long")).otherwise(F.col("group")).alias("own"),
