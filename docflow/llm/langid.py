@@ -6,6 +6,8 @@ The model is counted from a bounded sample of labelled rows (SAMPLE_DOCS, those
 hash of doc_id) and keeps the WORDS and GRAMS most frequent entries, so what is broadcast is bounded.
 Words of 60 or more letters and words seen once are not kept, but their n-grams count like all others.
 
+A word is a run of letters; numerals that Unicode counts as word characters (as ½) are left out of it.
+
 Defined cases: a null text or one without a letter gives `und` and score 0; texts of any length are
 read whole; null doc_ids count as crc32 0 (held_out false) but never teach; repeated rows are
 answered one by one and teach once; without any labelled row every text is `und`; other columns are ignored.
@@ -23,14 +25,19 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import in_rows, pieces, tidy, written
 
 SAMPLE_DOCS, WORDS, GRAMS, LONGEST = 6_000, 120_000, 60_000, 4
 #: Distinct words whose scores a worker remembers.
-WORDS_KEPT = 1_000_000
+WORDS_KEPT = 300_000
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
+def only_letters(w: str) -> str:
+    """A word of LETTERS without characters that are no letters."""
+    return w if w.isalpha() else "".join(filter(str.isalpha, w))
+
+
 class WordModel:
     """Log probabilities of words and n-grams by language: a number for every entry and a row of scores for every number."""
 
@@ -40,12 +47,11 @@ class WordModel:
 
     def word(self, w: str) -> np.ndarray | None:
         """None: no letter in it."""
+        w = only_letters(w)
         found = self.words[0].get(w)
         if found is not None:
             return self.words[1][found]
-        if not any(map(str.isalpha, w)):
-            return None
-        return self.backoff(f"<{w}>", LONGEST)
+        return self.backoff(f"<{w}>", LONGEST) if w else None
 
     def backoff(self, s: str, n: int) -> np.ndarray:
         """Mean over the n-grams of s; an unseen n-gram is scored by its own shorter ones."""
@@ -75,9 +81,8 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> WordModel:
         seen: Counter = Counter()
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                seen.update((lang, w) for w in LETTERS.findall(text.lower()))
-        k = list(seen)
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in k], pa.string()), pa.array([x[1] for x in k], pa.string()), pa.array([seen[x] for x in k], pa.int64())], names=["lang", "w", "n"])
+                seen.update((at[lang], x) for w in LETTERS.findall(text.lower()) if (x := only_letters(w)))
+        yield from counted(seen)
 
     def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
@@ -87,19 +92,23 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> WordModel:
                 for k in range(1, LONGEST + 1):
                     for i in range(len(s) - k + 1):
                         seen[lang, s[i:i + k]] += c
-        k = list(seen)
-        yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in k], pa.string()), pa.array([x[1] for x in k], pa.string()), pa.array([seen[x] for x in k], pa.int64())], names=["lang", "w", "n"])
+        yield from counted(seen)
 
-    total = sum((F.col(f"`{x}`") for x in langs), F.lit(0))
+    def counted(seen: Counter) -> Iterator[pa.RecordBatch]:
+        k = list(seen)
+        yield from in_rows(pa.RecordBatch.from_arrays([pa.array([x[0] for x in k], pa.int32()), pa.array([x[1] for x in k], pa.string()), pa.array([seen[x] for x in k], pa.int64())], names=["lang", "w", "n"]))
 
-    def most_frequent(counted: DataFrame, least: int, most: int) -> dict[str, np.ndarray]:
-        kept = counted.withColumn("_n", total).where(F.col("_n") >= least).orderBy(F.desc("_n"), "w").limit(most).collect()
-        return {r["w"]: np.array([r[x] for x in langs], float) for r in kept}
+    def most_frequent(table: DataFrame, least: int, most: int) -> dict[str, np.ndarray]:
+        kept = table.where(F.col("total") >= least).orderBy(F.desc("total"), "w").limit(most).collect()
+        return {r["w"]: np.array(r["by"], float) for r in kept}
 
-    every = written(rows.mapInArrow(words, "lang string, w string, n long").groupBy("lang", "w").agg(F.sum("n").alias("n")), "language-words")
-    table = most_frequent(every.where(F.length("w") < 60).groupBy("w").pivot("lang", langs).sum("n").na.fill(0), 2, WORDS)
+    # by has the count of every language, in the order of langs; languages are numbers here, so any name will do.
+    by = F.array(*(F.coalesce(F.sum(F.when(F.col("lang") == i, F.col("n"))), F.lit(0)) for i in range(n)))
+    sums = (F.sum("n").alias("total"), by.alias("by"))
+    every = written(rows.mapInArrow(tidy(words), "lang int, w string, n long").groupBy("lang", "w").agg(F.sum("n").alias("n")), "language-words")
+    table = most_frequent(every.where(F.length("w") < 60).groupBy("w").agg(*sums), 2, WORDS)
     # From all words, whatever their length or count: long words seldom repeat where a script has no spaces.
-    by_gram = written(every.mapInArrow(grams, "lang string, w string, n long").groupBy("w").pivot("lang", langs).sum("n").na.fill(0), "language-grams")
+    by_gram = written(every.mapInArrow(tidy(grams), "lang int, w string, n long").groupBy("w").agg(*sums), "language-grams")
     gram_counts = [most_frequent(by_gram.where(F.length("w") == k), 1, GRAMS) for k in range(1, LONGEST + 1)]
 
     def logs(d: dict[str, np.ndarray], most: int) -> tuple[dict[str, int], np.ndarray]:
@@ -118,7 +127,7 @@ def predict(docs: DataFrame, model: WordModel) -> DataFrame:
         m = sent.value
         number: dict[str, int] = {}
         scores = np.zeros((1 << 12, len(m.langs)))
-        for b in batches:
+        for b in pieces(batches, 1):
             pred, conf = [], []
             for text in b.column(1).to_pylist():
                 idx = []
@@ -149,7 +158,7 @@ def predict(docs: DataFrame, model: WordModel) -> DataFrame:
                     number = {}
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(pred, pa.string()), pa.array(conf, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(tidy(run), "doc_id long, lang_pred string, score double")
 
 
 def language_id(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
