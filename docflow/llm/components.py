@@ -13,9 +13,10 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large stars hang a node's greater neighbours on its least one, small stars the lesser ones; in
     logarithmically many rounds every component is one star. Each round is a written table, so it
-    survives lost executors; joins on hot nodes are split by adaptive execution.
+    survives lost executors; joins on hot nodes are split by adaptive execution. An edge with a null end,
+    or from a node to itself, says nothing: its nodes come only by other edges. No edge gives no row.
     """
-    e = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
+    e = written(edges.where("a is not null and b is not null").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), "edges")
     last = None
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -372,12 +372,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     if _sole(docs):
         gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("_gone"))
         return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
-    keyed = docs.withColumn("_h", F.xxhash64(F.coalesce("text", F.lit(""))))
-    word = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     # Ids don't tell rows apart: equal rows first become one, then each text stands for its least id.
-    once = keyed.where(word).dropDuplicates(["doc_id", "_h"]).unionByName(keyed.where(~word))
-    least = once.where(word).groupBy("_h").agg(F.min("doc_id").alias("_id"))
-    texts = once.where(word).join(least, "_h").where(F.col("doc_id").eqNullSafe(F.col("_id"))).drop("_id")
-    numbered = texts.withColumn("_n", F.shiftright(F.col("_h"), 1))
-    classes = near_duplicates(numbered.select(F.col("_n").alias("doc_id"), "text")).where("kept").select(F.col("doc_id").alias("_n"))
-    return numbered.join(classes, "_n", "left_semi").drop("_n", "_h").unionByName(once.where(~word).drop("_h"))
+    names = docs.columns
+    rows = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)))
+    doc_id, text = (F.col(f"c{names.index(c)}") for c in ("doc_id", "text"))
+    rows = rows.withColumn("h", F.xxhash64(F.coalesce(text.cast("string"), F.lit(""))))
+    word = F.coalesce(text.cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    own = [F.col(f"c{i}").alias(c) for i, c in enumerate(names)]
+    once = rows.where(word).withColumn("id", doc_id).dropDuplicates(["id", "h"])
+    least = once.groupBy("h").agg(F.min("id").alias("least"))
+    texts = once.join(least, "h").where(F.col("id").eqNullSafe(F.col("least"))).withColumn("n", F.shiftright("h", 1))
+    classes = near_duplicates(texts.select(F.col("n").alias("doc_id"), text.alias("text"))).where("kept").select(F.col("doc_id").alias("n"))
+    return texts.join(classes, "n", "left_semi").select(own).unionByName(rows.where(~word).select(own))

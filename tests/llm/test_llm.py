@@ -14,8 +14,8 @@ import corpus_pipeline
 from docflow.llm import bpe, components, decontam, entry, langid, multi_index, order_minhash, repeats, sharding, substring, token_files, toxicity
 
 D = "/root/testdata/sf0.001"
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, th long, key string, label int, _a string, h1 int, a int, w string, hash long, node long, number int"
-EXTRA = (7, "k", 1, "x", 2, 3, "w", 4, 5, 6)
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, th long, key string, label int, _a string, h1 int, a int, w string, hash long, node long, number int, _h int, _id int, _n int, h int, id int, least int, n int, c0 int"
+EXTRA = (7, "k", 1, "x", 2, 3, "w", 4, 5, 6, 1, 2, 3, 4, 5, 6, 7, 8)
 LONG = "very long text of words " * 20_000
 
 
@@ -210,31 +210,67 @@ def test_op1_against_all_pairs(spark):
     assert got == {i: root(i) for i, _ in docs}
 
 
+def test_components_of_no_edges(spark):
+    assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+    loops = spark.createDataFrame([(1, 1), (None, 2), (3, None), (4, 5), (5, 4)], "a long, b long")
+    assert {(r["node"], r["label"]) for r in components.components(loops).collect()} == {(4, 4), (5, 4)}
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, 50), (50, 70), (200, 201)]
     got = {r["node"]: r["label"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(31)} | {100: 50, 50: 50, 70: 50, 200: 200, 201: 200}
 
 
-def test_op2_recall_and_odd_vectors(spark):
-    v = [(r["vec_id"], list(r["embedding"])) for r in spark.read.parquet(f"{D}/embeddings.parquet").collect()]
-    odd = [(20_000, None), (20_020, [0.0] * 64), (20_040, [float("nan")] * 64), (20_060, [1.0, None]), (None, v[0][1]), (20_080, [1.0]), (20_100, [])]
-    copies = [(30_000 + i, v[3][1]) for i in range(60)]
-    df = spark.createDataFrame([(*r, 1) for r in v + odd + copies], "vec_id long, embedding array<float>, block int")
-    rows = multi_index.search(df).collect()
-    ids, x = np.array([i for i, _ in v + copies]), np.array([e for _, e in v + copies], np.float32).astype(np.float64)
-    got = {}
+def nearest(rows, x):
+    """rows of (vec_id, vector) and the operator's answers: mean share of the 20 nearest that were found."""
+    ids, got, share = np.array([i for i, _ in x]), {}, []
+    v = np.array([e for _, e in x], np.float32).astype(np.float64)
     for r in sorted(rows, key=lambda r: (r["query_id"], r["rank"])):
         got.setdefault(r["query_id"], []).append(r["vec_id"])
-    share = []
     for q in ids[ids % 20 == 0]:
-        s = (x * x[np.flatnonzero(ids == q)[0]]).sum(1)
+        s = (v * v[np.flatnonzero(ids == q)[0]]).sum(1)
         s[ids == q] = -np.inf
         want = ids[np.lexsort((ids, -s))[:20]].tolist()
+        assert len(got[q]) == len(set(got[q])) == 20 and q not in got[q]
         share.append(len(set(want) & set(got[q])) / 20)
-    assert np.mean(share) >= 0.9
+    return np.mean(share), got
+
+
+def test_op2_recall_and_odd_vectors(spark):
+    v = [(r["vec_id"], list(r["embedding"])) for r in spark.read.parquet(f"{D}/embeddings.parquet").collect()]
+    odd = [(20_000, None), (20_020, [0.0] * 64), (20_040, [float("nan")] * 64), (20_060, [1.0, None]), (None, v[0][1]), (20_080, [1.0]), (20_100, [])]
+    copies = [(30_000 + i, v[3][1]) for i in range(60)]
+    again = [v[0], v[0], v[1]]  # a query and a candidate that come again
+    df = spark.createDataFrame([(*r, 1) for r in v + odd + copies + again], "vec_id long, embedding array<float>, block int")
+    share, got = nearest(multi_index.search(df).collect(), v + copies)
+    assert share >= 0.9
     assert got[30_000][:20] == [3, *range(30_001, 30_020)]
     assert multi_index.search(df.limit(0)).collect() == []
+    few = multi_index.search(df.where("vec_id < 5")).collect()
+    assert sorted((r["query_id"], r["rank"]) for r in few) == [(0, i) for i in (1, 2, 3, 4)]
+
+
+def test_op2_recall_on_more_vectors(spark):
+    x = [(r["vec_id"], list(r["embedding"])) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect()]
+    rng = np.random.default_rng(1)
+    norms = rng.normal(size=(4000, 32)) * np.exp(rng.normal(size=(4000, 1)) / 2)
+    for rows in (x, [(i, e.tolist()) for i, e in enumerate(norms)]):
+        share, _ = nearest(multi_index.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect(), rows)
+        assert share >= 0.9
+
+
+def test_op2_walk_is_in_order():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(500, 8))
+    books = multi_index.Codebooks(x, 6)
+    counts = np.bincount(books.cell(x), minlength=books.cells)
+    q = x[0] * np.sqrt(sum(books.most) / (x[0] @ x[0]))
+    one, two = ((np.append(h, 0) - c) ** 2 for h, c in ((q[:4], books.one), (q[4:], books.two)))
+    order = np.argsort((one.sum(1)[:, None] + two.sum(1)).ravel(), kind="stable")
+    assert books.walk(x[0], counts, np.inf) == [c for c in order.tolist() if counts[c]]
+    part = books.walk(x[0], counts, 100)
+    assert counts[part].sum() >= 100 > counts[part[:-1]].sum()
 
 
 def test_op4_held_out(spark):
@@ -267,6 +303,31 @@ def test_op5_law(spark):
         slots.setdefault(r["shard"], []).append(r["slot"])
     assert len(rows) == len(text) and len(size) == 24 and all(sorted(s) == list(range(len(s))) for s in slots.values())
     assert max(size.values()) < 1.1 * sum(size.values()) / 24
+    assert min(size.values()) > 0.9 * sum(size.values()) / 24
+
+
+@pytest.mark.parametrize("sf, off", [("0.01", 0.025), ("0.1", 0.01)])
+def test_op5_groups_stay_whole(spark, sf, off):
+    docs = spark.read.parquet(f"/root/testdata/sf{sf}/documents.parquet").select("doc_id", "text")
+    text = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    shards, size = {}, np.zeros(24)
+    for r in sharding.pack(docs).collect():
+        shards.setdefault(text[r["doc_id"]], []).append(r["shard"])
+        size[r["shard"]] += r["size"]
+    assert max(map(len, shards.values())) < len(text) / 24 and all(len(set(s)) == 1 for s in shards.values())
+    assert abs(size / size.mean() - 1).max() < off
+
+
+def test_op5_place_against_plain():
+    rng = np.random.default_rng(4)
+    w = rng.integers(1, 50, (60, 3)).astype(float)
+    got, left = sharding.place(w, 5), [[w[:, m].sum() / 5 for m in range(3)] for _ in range(5)]
+    room = [x for x in left[0]]
+    for i in sorted(range(60), key=lambda i: (-max(w[i, m] / room[m] for m in range(3)), i)):
+        dots = [sum(w[i, m] / room[m] * left[s][m] / room[m] for m in range(3)) for s in range(5)]
+        assert np.isclose(dots[got[i]], max(dots))
+        for m in range(3):
+            left[got[i]][m] -= w[i, m]
 
 
 def test_op6_reparameterised(spark):
@@ -450,6 +511,39 @@ def test_op3_groups_against_plain(spark, monkeypatch, seed, most):
     assert covered == {x for s in places.values() if len(s) > 1 for x in s}
 
 
+def test_op8_backoff_against_plain(spark):
+    rows = [(0, "the cat sat on the mat", "en"), (1, "le chat est sur le tapis", "w"), (2, "the dog sat", "en"), (3, "un chien est", "w"), (4, None, "en"), (5, "no label", None)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert model.langs == ["en", "w"]
+    words, grams = {"en": {}, "w": {}}, {k: {"en": {}, "w": {}} for k in range(1, 5)}
+    for _, t, lang in rows[:4]:
+        for x in t.split():
+            words[lang][x] = words[lang].get(x, 0) + 1
+            s = f"<{x}>"
+            for k in grams:
+                for i in range(len(s) - k + 1):
+                    grams[k][lang][s[i:i + k]] = grams[k][lang].get(s[i:i + k], 0) + 1
+
+    def log(table, x, kept, lang):
+        total = sum(table[lang].get(y, 0) for y in kept)
+        return np.log((table[lang].get(x, 0) + 0.3) / (total + 0.3 * (len(kept) + 1)))
+
+    def plain(s, k, lang):
+        if k == 0:
+            return np.log(1e-6)
+        parts = [s[i:i + k] for i in range(max(1, len(s) - k + 1))]
+        kept = set(grams[k]["en"]) | set(grams[k]["w"])
+        return np.mean([log(grams[k], p, kept, lang) if p in kept else plain(p, k - 1, lang) for p in parts])
+
+    often = {x for x in set(words["en"]) | set(words["w"]) if sum(words[n].get(x, 0) for n in words) >= 2}
+    for x in ("the", "est", "chats", "tapis", "zzz", "x"):
+        want = [log(words, x, often, n) if x in often else plain(f"<{x}>", 4, n) for n in ("en", "w")]
+        assert np.allclose(model.word(x), want)
+    texts = [(1, "½ ½"), (2, "½ the ½cat"), (3, "..."), (4, "the cat le"), (5, "the cat le")]
+    got = {r["doc_id"]: (r["lang_pred"], r["score"]) for r in langid.predict(spark.createDataFrame(texts, "doc_id long, text string"), model).collect()}
+    assert got[1] == got[3] == ("und", 0.0) and got[2][0] == "en" and got[4] == got[5]
+
+
 def test_op8_words_that_never_repeat_teach(spark):
     """Texts without spaces: every run of letters is seen once, most have 60 letters or more."""
     rng, docs = random.Random(4), []
