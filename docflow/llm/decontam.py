@@ -1,17 +1,19 @@
 """Benchmark decontamination by template canonicalisation; DataFrame functions only.
 
 Numbers, units after a number and names become typed placeholders (NUMBER, UNIT, NAME), the rest is
-lower-cased without punctuation. Windows of WINDOW canonical words of the documents are hash-joined
+lower-cased without punctuation. Every capitalised word counts as a name, whatever its place and its
+letters' script: a word that only begins a sentence is then a slot that keeps its value. Windows of WINDOW canonical words of the documents are hash-joined
 with those of the benchmark. For every document, item and alignment (place in the document less
 place in the item) the slots of the matching windows are then compared: each value in the item must
 stand for one value in the document. A document holds an item if consistently aligned windows cover
 at least COVERAGE of the item's windows, or LONG words: verbatim and re-parameterised copies alike.
+Alignments count together if their slots agree with each other as well, else the one that covers most.
 
 Windows of the benchmark with fewer than LITERALS literal words say too little and take no part; an
 item with fewer words than WINDOW is one window if it has SHORTEST words, and else never matches.
 
-The benchmark's windows are broadcast only if BROADCAST_WINDOWS at most were counted; more are
-joined by shuffle. Defined cases: null texts have no window; null or repeated doc_ids are told apart
+The benchmark's windows are broadcast only if BROADCAST_WINDOWS at most were counted, the ids of
+matching documents only if BROADCAST_DOCS at most were; more are joined by shuffle. Defined cases: null texts have no window; null or repeated doc_ids are told apart
 by their text's hash, repeated rows give one result row; empty tables give no rows; other columns
 are ignored; whole texts are read.
 """
@@ -21,12 +23,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WINDOW, SHORTEST, LITERALS, COVERAGE, LONG, BROADCAST_WINDOWS = 8, 5, 4, 0.5, 20, 200_000
+from .common import written
+
+WINDOW, SHORTEST, LITERALS, COVERAGE, LONG, BROADCAST_WINDOWS, BROADCAST_DOCS = 8, 5, 4, 0.5, 20, 200_000, 200_000
 #: Placeholders; a digit first, so that no canonical word can be one.
 NUMBER, UNIT, NAME = "0n", "0u", "0a"
 #: Units recognised after a number.
 UNITS = (
-    "mm cm m km in inch inches ft foot feet yd yard yards mi mile miles "
+    "mm cm m km meter meters metre metres in inch inches ft foot feet yd yard yards mi mile miles "
     "mg g kg t gram grams kilogram kilograms ton tons tonnes oz ounce ounces lb lbs pound pounds "
     "ml cl l liter liters litre litres gallon gallons pint pints cup cups "
     "ms s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years "
@@ -38,9 +42,8 @@ UNIT_PATTERN = "|".join(sorted(UNITS.split(), key=lambda u: (-len(u), u)))
 RULES = (
     (r"[0-9]+(?:[.,][0-9]+)*", NUMBER),
     (rf"(0n ?)(?:{UNIT_PATTERN})\b", "$1" + UNIT),
-    # A name is a capitalised word that doesn't begin a sentence; the second pass finds its neighbours.
-    (r"([^.!?:\x09-\x0D ][ ])[A-Z][a-z]+", "$1" + NAME),
-    (r"([^.!?:\x09-\x0D ][ ])[A-Z][a-z]+", "$1" + NAME),
+    # A name is a word that begins with a capital letter and holds a small one.
+    (r"(^|[^\p{L}\p{N}])\p{Lu}\p{L}*\p{Ll}\p{L}*", "$1" + NAME),
 )
 PUNCTUATION = ".,;:!?\"'()[]{}"
 SPLIT, SPACES = r"[\x20\x09-\x0D]+", " \t\n\r\x0b\x0c"
@@ -113,7 +116,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         found = hit if found is None else found.unionByName(hit)
     # Slots as (item's value, document's value); equal literal words are equal by the hash. A document's
     # own words are cut once, for all its matching windows that have a slot.
+    found = written(found, "template-matches")
     slotted = F.exists("window", is_slot)
+    base = only(base, found.where(slotted).select("doc_id", "th").distinct(), "left_semi")
     asked = found.where(slotted).groupBy("doc_id", "th").agg(F.collect_set(F.struct("pos", "item_id", "ipos", "size", "window", "values")).alias("hits"))
     cut = base.join(asked.select(F.col("doc_id").alias("_d"), F.col("th").alias("_h"), "hits"), F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_h")))
 
@@ -130,14 +135,26 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     aligned = aligned.withColumn("pairs", F.coalesce("pairs", F.array().cast("array<struct<type:string,of:string,to:string>>")))
     one_each = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda x: F.struct(x["type"], x["of"]))))
     aligned = aligned.where(one_each)
+    agree = F.array_distinct(F.flatten(F.collect_list("pairs")))
+    one = F.struct(F.size("places").alias("n"), F.exists("pairs", lambda x: x["of"] != x["to"]).alias("changed"))
     held = aligned.groupBy("doc_id", "th", "item_id", "n_windows").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).cast("long").alias("n_matched"), F.max(F.exists("pairs", lambda x: x["of"] != x["to"])).alias("reparameterised")
+        agree.alias("pairs"), F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("n"), F.max(one).alias("best"), F.max(one["changed"]).alias("changed")
+    )
+    held = held.select(
+        "doc_id", "th", "item_id", "n_windows",
+        F.when(one_each, F.col("n")).otherwise(F.col("best.n")).cast("long").alias("n_matched"), F.when(one_each, F.col("changed")).otherwise(F.col("best.changed")).alias("reparameterised"),
     )
     enough = (F.col("n_matched") >= F.ceil(F.col("n_windows") * COVERAGE)) | (F.col("n_matched") >= LONG - WINDOW + 1)
     return held.where(enough).select("doc_id", "th", "item_id", "n_matched", "n_windows", "reparameterised")
 
 
+def only(docs: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """docs joined (left_semi or left_anti) with ids (doc_id, th), which are broadcast if they are few: texts then stay where they are."""
+    ids = written(ids.select(F.col("doc_id").alias("_gone"), F.col("th").alias("_th")), "template-ids")
+    same = docs["doc_id"].cast("long").eqNullSafe(ids["_gone"]) & (F.xxhash64(docs["text"].cast("string")) == ids["_th"])
+    return docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_DOCS else ids, same, how)
+
+
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without the documents that hold an item, all columns kept."""
-    gone = contaminated(docs, benchmark).select(F.col("doc_id").alias("_gone"), F.col("th").alias("_th")).distinct()
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["_gone"]) & (F.xxhash64(docs["text"].cast("string")) == gone["_th"]), "left_anti")
+    return only(docs, contaminated(docs, benchmark).select("doc_id", "th").distinct(), "left_anti")

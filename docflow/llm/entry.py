@@ -103,31 +103,37 @@ FROM d LEFT JOIN sums USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
 
+#: The rules as SQL of their own: what they say must agree with the operator's, so a wrong one shows.
+UNITS_SQL = (
+    "percent|gallons|seconds|minutes|inches|meters|metres|meter|metre|pounds|liters|litres|ounces|gallon|degrees|dollars|second|minute|kilograms|kilogram|months|inch|feet|foot|yards|yard|miles|mile|"
+    "grams|gram|tonnes|tons|ton|ounce|pound|liter|litre|pints|pint|cups|cup|hours|hour|days|day|weeks|week|month|years|year|volts|volt|amps|amp|joules|joule|kcal|cents|cent|euros|euro|dollar|degree|"
+    "km/h|mph|kmh|mhz|ghz|khz|hz|min|sec|usd|eur|bar|psi|cal|mm|cm|km|in|ft|yd|mi|mg|kg|oz|lbs|lb|ml|cl|ms|hr|kw|mw|kj|pa|m|g|t|l|s|h|w|v"
+)
+
+
 def _canonical_sql(x):
-    for pattern, to in decontam.RULES:
-        x = f"regexp_replace({x}, '{pattern}', '{to.replace('$1', chr(92) + '1')}', 'g')"
-    return f"lower({x})"
+    x = f"regexp_replace({x}, '[0-9]+([.,][0-9]+)*', '0n', 'g')"
+    x = rf"regexp_replace({x}, '(0n ?)({UNITS_SQL})\b', '\10u', 'g')"
+    return rf"lower(regexp_replace({x}, '(^|[^\p{{L}}\p{{N}}])\p{{Lu}}\p{{L}}*\p{{Ll}}\p{{L}}*', '\10a', 'g'))"
 
 
 def _words_sql(x):
-    marks = decontam.PUNCTUATION.replace("'", "''")
-    return rf"string_split_regex(trim(translate({x}, '{marks}', ''), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{decontam.SPLIT}')"
+    return rf"""string_split_regex(trim(translate({x}, '.,;:!?"''()[]{{}}', ''), chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '[\x20\x09-\x0D]+')"""
 
 
 def op6_sql():
-    d = decontam
-    slot = " OR ".join(f"contains(x, '{p}')" for p in (d.NUMBER, d.UNIT, d.NAME))
+    slot = "contains(x, '0n') OR contains(x, '0u') OR contains(x, '0a')"
     return f"""
 WITH it AS (
   SELECT item_id, {_words_sql(_canonical_sql('text'))} AS w, {_words_sql('lower(text)')} AS raw FROM benchmark WHERE text IS NOT NULL
 ), sized AS (
-  SELECT *, least({d.WINDOW}, len(w)) AS size FROM it WHERE len(w) >= {d.SHORTEST}
+  SELECT *, least(8, len(w)) AS size FROM it WHERE len(w) >= 5
 ), ex AS (
   SELECT item_id, size, w, raw, unnest(range(len(w) - size + 1)) AS ipos FROM sized
 ), bw0 AS (
   SELECT item_id, size, ipos, w[ipos + 1:ipos + size] AS win, raw[ipos + 1:ipos + size] AS vals FROM ex
 ), bw AS (
-  SELECT *, array_to_string(win, ' ') AS k FROM bw0 WHERE len(list_filter(win, lambda x: NOT ({slot}))) >= {d.LITERALS}
+  SELECT *, array_to_string(win, ' ') AS k FROM bw0 WHERE len(list_filter(win, lambda x: NOT ({slot}))) >= 4
 ), tot AS (
   SELECT item_id, count(DISTINCT ipos) AS n_windows FROM bw GROUP BY item_id
 ), dd AS (
@@ -146,13 +152,25 @@ WITH it AS (
 ), good AS (
   SELECT h.* FROM hit h ANTI JOIN bad b ON h.doc_id IS NOT DISTINCT FROM b.doc_id AND h.th = b.th AND h.item_id = b.item_id AND h.pos - h.ipos = b.shift
 ), changed AS (
-  SELECT DISTINCT s.doc_id, s.th, s.item_id FROM slots s ANTI JOIN bad b ON s.doc_id IS NOT DISTINCT FROM b.doc_id AND s.th = b.th AND s.item_id = b.item_id AND s.shift = b.shift WHERE of_ <> to_
+  SELECT DISTINCT doc_id, th, item_id, shift FROM slots WHERE of_ <> to_
+), clash AS (
+  SELECT DISTINCT doc_id, th, item_id FROM (
+    SELECT s.doc_id, s.th, s.item_id FROM slots s ANTI JOIN bad b ON s.doc_id IS NOT DISTINCT FROM b.doc_id AND s.th = b.th AND s.item_id = b.item_id AND s.shift = b.shift
+    GROUP BY s.doc_id, s.th, s.item_id, s.type, s.of_ HAVING count(DISTINCT s.to_) > 1)
+), one AS (
+  SELECT g.doc_id, g.th, g.item_id, g.n_windows, g.pos - g.ipos AS shift, count(DISTINCT g.ipos) AS n, bool_or(c.shift IS NOT NULL) AS changed
+  FROM good g LEFT JOIN changed c ON g.doc_id IS NOT DISTINCT FROM c.doc_id AND g.th = c.th AND g.item_id = c.item_id AND g.pos - g.ipos = c.shift GROUP BY ALL
+), best AS (
+  SELECT doc_id, th, item_id, max(n) AS n, max(n * 2 + changed::INT) % 2 = 1 AS best_changed, bool_or(changed) AS any_changed FROM one GROUP BY ALL
+), covered AS (
+  SELECT doc_id, th, item_id, n_windows, count(DISTINCT ipos) AS n FROM good GROUP BY ALL
 ), held AS (
-  SELECT doc_id, th, item_id, n_windows, count(DISTINCT ipos) AS n_matched FROM good GROUP BY ALL
+  SELECT v.doc_id, v.item_id, v.n_windows, CASE WHEN k.item_id IS NULL THEN v.n ELSE b.n END AS n_matched, CASE WHEN k.item_id IS NULL THEN b.any_changed ELSE b.best_changed END AS reparameterised
+  FROM covered v JOIN best b ON v.doc_id IS NOT DISTINCT FROM b.doc_id AND v.th = b.th AND v.item_id = b.item_id
+  LEFT JOIN clash k ON v.doc_id IS NOT DISTINCT FROM k.doc_id AND v.th = k.th AND v.item_id = k.item_id
 )
-SELECT h.doc_id, h.item_id, h.n_matched, h.n_windows, c.item_id IS NOT NULL AS reparameterised
-FROM held h LEFT JOIN changed c ON h.doc_id IS NOT DISTINCT FROM c.doc_id AND h.th = c.th AND h.item_id = c.item_id
-WHERE n_matched >= ceil(n_windows * {d.COVERAGE}) OR n_matched >= {d.LONG - d.WINDOW + 1}
+SELECT doc_id, item_id, n_matched, n_windows, reparameterised FROM held
+WHERE n_matched >= ceil(n_windows * 0.5) OR n_matched >= 13
 """
 
 

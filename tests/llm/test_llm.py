@@ -330,6 +330,31 @@ def test_op5_place_against_plain():
             left[got[i]][m] -= w[i, m]
 
 
+@pytest.mark.parametrize("few", [200_000, 0])
+def test_op6_against_sql(spark, monkeypatch, few):
+    """Broadcast or shuffled, the rows are those of the rules written as SQL; templates with other names and numbers among them."""
+    import duckdb
+
+    monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", few)
+    monkeypatch.setattr(decontam, "BROADCAST_DOCS", few)
+    rng, items, docs = random.Random(6), [], []
+    for i in range(12):
+        items.append((i, " ".join(rng.choice(["Anna", "Ben", "Zoë", "12", "3.5 km", "the", "goes", "to", "market", "with", "apples.", "sells", "How", "many", "für", "7 euros"]) for _ in range(rng.randint(3, 30)))))
+    for i in range(60):
+        t = rng.choice(items)[1]
+        for a, b in (("Anna", "Élodie"), ("12", "40"), ("Ben", "Max"), ("goes", "runs"), ("3.5", "4")):
+            t = t.replace(a, b, rng.randint(0, 2)) if rng.random() < 0.5 else t
+        docs.append((i % 50, rng.choice(["", "Intro words. ", t + " and "]) + t + rng.choice(["", " end"])))
+    got = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).drop("th")
+    con = duckdb.connect()
+    for name, rows, key in (("documents", docs, "doc_id"), ("benchmark", items, "item_id")):
+        con.execute(f"create table {name} ({key} bigint, text varchar)")
+        con.executemany(f"insert into {name} values (?, ?)", rows)
+    rel = con.sql(entry.op6_sql())
+    want = sorted(tuple(r) for r in rel.select(*got.columns).fetchall())
+    assert sorted(map(tuple, got.collect())) == want and len(want) > 20
+
+
 def test_op6_reparameterised(spark):
     item = "A farmer has 12 cows and sells 5 of them at the market for 30 euros each, how much money does Anna get in total? Anna knows 12 well."
     docs = [
@@ -338,6 +363,15 @@ def test_op6_reparameterised(spark):
     ]
     got = {r["doc_id"]: r["reparameterised"] for r in decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()}
     assert got[1] is False and got[2] is True and 4 not in got and 5 not in got
+    sue = "Tom has 12 marbles. Sue has 5 marbles. Tom gives 3 marbles to Sue. How many?"
+    anna = "Anna walks to the old market with Ben and buys some apples. Ben pays for them. Anna thanks Ben and walks back home alone."
+    asked = [(1, sue), (2, anna)]
+    told = [(1, sue.replace("Tom", "Max").replace("Sue", "Ida").replace("12", "20")), (2, "First. " + anna.replace("Anna", "Clara").replace("Ben", "Dirk")), (3, anna.replace("Anna", "Zoë").replace("Ben", "Élodie")), (4, sue.replace("Tom has", "Max has")), (5, "Tom gave his marbles away. Anna and Ben went home.")]
+    rows = decontam.contaminated(spark.createDataFrame(told, "doc_id long, text string"), spark.createDataFrame(asked, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in rows if r["reparameterised"]} >= {(1, 1), (2, 2), (3, 2)} and 5 not in {r["doc_id"] for r in rows}
+    # Twice in one text, with other values: the alignments don't agree, so the better one counts.
+    twice = decontam.contaminated(spark.createDataFrame([(1, anna + " " + anna.replace("Anna", "Clara"))], "doc_id long, text string"), spark.createDataFrame(asked, "item_id long, text string")).collect()
+    assert [(r["item_id"], r["n_matched"] == r["n_windows"]) for r in twice] == [(2, True)]
     clash = item.replace("12 cows", "14 cows").replace("knows 12", "knows 15")  # one value stands for two
     assert not decontam.contaminated(spark.createDataFrame([(1, clash)], "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
 
