@@ -2,7 +2,8 @@
 
 Numbers, units after a number and names become typed placeholders (NUMBER, UNIT, NAME), the rest is
 lower-cased without punctuation. Every capitalised word counts as a name, whatever its place and its
-letters' script: a word that only begins a sentence is then a slot that keeps its value. Windows of WINDOW canonical words of the documents are hash-joined
+letters' script: a word that only begins a sentence is then a slot that keeps its value. Windows of
+an item are looked up in small letters as well, so that a copy that lost its capitals is found. Windows of WINDOW canonical words of the documents are hash-joined
 with those of the benchmark. For every document, item and alignment (place in the document less
 place in the item) the slots of the matching windows are then compared: each value in the item must
 stand for one value in the document. A document holds an item if consistently aligned windows cover
@@ -87,14 +88,25 @@ def window_hashes(w: Column, size: int) -> Column:
 def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     """item_id, size, ipos, hash, window, values and n_windows of the items' windows."""
     items = benchmark.where("text is not null").select(F.col("item_id"), F.col("text").cast("string").alias("text"))
-    items = items.select("item_id", words(canonical(F.col("text"))).alias("w"), words(F.lower("text")).alias("raw"))
+    low = words(canonical(F.lower("text")))  # a copy in small letters has no name left
+    items = items.select("item_id", words(canonical(F.col("text"))).alias("w"), low.alias("low"), words(F.lower("text")).alias("raw"))
     items = items.withColumn("size", F.least(F.lit(WINDOW), F.size("w"))).where(F.col("size") >= SHORTEST)
-    hashes = F.array().cast("array<bigint>")
-    for n in range(SHORTEST, WINDOW + 1):
-        hashes = F.when(F.col("size") == n, window_hashes(F.col("w"), n)).otherwise(hashes)
-    rows = items.select("item_id", "size", "w", "raw", F.posexplode(hashes).alias("ipos", "hash"))
-    rows = rows.select("item_id", "size", "ipos", "hash", F.slice("w", F.col("ipos") + 1, F.col("size")).alias("window"), F.slice("raw", F.col("ipos") + 1, F.col("size")).alias("values"))
-    rows = rows.where(F.size(F.filter("window", lambda x: ~is_slot(x))) >= LITERALS)
+
+    def hashes(w: str) -> Column:
+        out = F.array().cast("array<bigint>")
+        for n in range(SHORTEST, WINDOW + 1):
+            out = F.when(F.col("size") == n, window_hashes(F.col(w), n)).otherwise(out)
+        return out
+
+    def at(w: str) -> Column:
+        return F.slice(w, F.col("ipos") + 1, F.col("size"))
+
+    both = F.arrays_zip(hashes("w").alias("w"), hashes("low").alias("low"))
+    rows = items.select("item_id", "size", "w", "low", "raw", F.posexplode(both).alias("ipos", "h"))
+    rows = rows.select("item_id", "size", "ipos", "h", at("w").alias("w"), at("low").alias("low"), at("raw").alias("values"))
+    rows = rows.where(F.size(F.filter("w", lambda x: ~is_slot(x))) >= LITERALS)
+    forms = F.array_distinct(F.array(F.struct(F.col("h.w").alias("hash"), F.col("w").alias("window")), F.struct(F.col("h.low").alias("hash"), F.col("low").alias("window"))))
+    rows = rows.select("item_id", "size", "ipos", "values", F.explode(forms).alias("form")).select("item_id", "size", "ipos", "form.hash", "form.window", "values")
     total = rows.groupBy("item_id").agg(F.count_distinct("ipos").alias("n_windows"))
     return rows.join(total, "item_id")
 

@@ -125,15 +125,17 @@ def op6_sql():
     slot = "contains(x, '0n') OR contains(x, '0u') OR contains(x, '0a')"
     return f"""
 WITH it AS (
-  SELECT item_id, {_words_sql(_canonical_sql('text'))} AS w, {_words_sql('lower(text)')} AS raw FROM benchmark WHERE text IS NOT NULL
+  SELECT item_id, {_words_sql(_canonical_sql('text'))} AS w, {_words_sql(_canonical_sql('lower(text)'))} AS low, {_words_sql('lower(text)')} AS raw FROM benchmark WHERE text IS NOT NULL
 ), sized AS (
   SELECT *, least(8, len(w)) AS size FROM it WHERE len(w) >= 5
 ), ex AS (
-  SELECT item_id, size, w, raw, unnest(range(len(w) - size + 1)) AS ipos FROM sized
+  SELECT item_id, size, w, low, raw, unnest(range(len(w) - size + 1)) AS ipos FROM sized
 ), bw0 AS (
-  SELECT item_id, size, ipos, w[ipos + 1:ipos + size] AS win, raw[ipos + 1:ipos + size] AS vals FROM ex
+  SELECT item_id, size, ipos, w[ipos + 1:ipos + size] AS win, low[ipos + 1:ipos + size] AS lowwin, raw[ipos + 1:ipos + size] AS vals FROM ex
+), bw1 AS (
+  SELECT * FROM bw0 WHERE len(list_filter(win, lambda x: NOT ({slot}))) >= 4
 ), bw AS (
-  SELECT *, array_to_string(win, ' ') AS k FROM bw0 WHERE len(list_filter(win, lambda x: NOT ({slot}))) >= 4
+  SELECT item_id, size, ipos, win, vals, array_to_string(win, ' ') AS k FROM bw1 UNION SELECT item_id, size, ipos, lowwin, vals, array_to_string(lowwin, ' ') FROM bw1
 ), tot AS (
   SELECT item_id, count(DISTINCT ipos) AS n_windows FROM bw GROUP BY item_id
 ), dd AS (

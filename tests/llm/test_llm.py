@@ -344,7 +344,7 @@ def test_op6_against_sql(spark, monkeypatch, few):
         t = rng.choice(items)[1]
         for a, b in (("Anna", "Élodie"), ("12", "40"), ("Ben", "Max"), ("goes", "runs"), ("3.5", "4")):
             t = t.replace(a, b, rng.randint(0, 2)) if rng.random() < 0.5 else t
-        docs.append((i % 50, rng.choice(["", "Intro words. ", t + " and "]) + t + rng.choice(["", " end"])))
+        docs.append((i % 50, rng.choice(["", "Intro words. ", t + " and "]) + (t.lower() if i % 7 == 0 else t) + rng.choice(["", " end"])))
     got = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).drop("th")
     con = duckdb.connect()
     for name, rows, key in (("documents", docs, "doc_id"), ("benchmark", items, "item_id")):
@@ -366,9 +366,9 @@ def test_op6_reparameterised(spark):
     sue = "Tom has 12 marbles. Sue has 5 marbles. Tom gives 3 marbles to Sue. How many?"
     anna = "Anna walks to the old market with Ben and buys some apples. Ben pays for them. Anna thanks Ben and walks back home alone."
     asked = [(1, sue), (2, anna)]
-    told = [(1, sue.replace("Tom", "Max").replace("Sue", "Ida").replace("12", "20")), (2, "First. " + anna.replace("Anna", "Clara").replace("Ben", "Dirk")), (3, anna.replace("Anna", "Zoë").replace("Ben", "Élodie")), (4, sue.replace("Tom has", "Max has")), (5, "Tom gave his marbles away. Anna and Ben went home.")]
+    told = [(1, sue.replace("Tom", "Max").replace("Sue", "Ida").replace("12", "20")), (2, "First. " + anna.replace("Anna", "Clara").replace("Ben", "Dirk")), (3, anna.replace("Anna", "Zoë").replace("Ben", "Élodie")), (4, sue.replace("Tom has", "Max has")), (5, "Tom gave his marbles away. Anna and Ben went home."), (6, sue.lower().replace("12", "9"))]
     rows = decontam.contaminated(spark.createDataFrame(told, "doc_id long, text string"), spark.createDataFrame(asked, "item_id long, text string")).collect()
-    assert {(r["doc_id"], r["item_id"]) for r in rows if r["reparameterised"]} >= {(1, 1), (2, 2), (3, 2)} and 5 not in {r["doc_id"] for r in rows}
+    assert {(r["doc_id"], r["item_id"]) for r in rows if r["reparameterised"]} >= {(1, 1), (2, 2), (3, 2), (6, 1)} and 5 not in {r["doc_id"] for r in rows}
     # Twice in one text, with other values: the alignments don't agree, so the better one counts.
     twice = decontam.contaminated(spark.createDataFrame([(1, anna + " " + anna.replace("Anna", "Clara"))], "doc_id long, text string"), spark.createDataFrame(asked, "item_id long, text string")).collect()
     assert [(r["item_id"], r["n_matched"] == r["n_windows"]) for r in twice] == [(2, True)]
