@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import ctypes
-import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -60,7 +59,6 @@ def tidy(run: Callable) -> Callable:
 
     def whole(batches: Iterator) -> Iterator:
         yield from run(batches)
-        gc.collect()
         pa.default_memory_pool().release_unused()
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
         if trim:

@@ -31,13 +31,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import WORD_HASH, symbols
-from .common import U64, mix, text_blocks, written
+from .common import U64, in_rows, mix, pieces, text_blocks, tidy, written
 from .components import components
 
-SHINGLE, SIMILARITY, SKETCHES, PICKED = 5, 0.8, 20, 2
+SHINGLE, SIMILARITY, SKETCHES, PICKED = 5, 0.8, 10, 2
 #: Further sketches of one k-mer: (words of a k-mer, sketches, words of a text at most). Shares of k-mers that scattered edits
 #: leave at 0.8: about 0.34 of 3-shingles; all of a short text's may go, but at least a third of its 2-shingles stay.
-MORE = ((3, 24, None), (2, 16, 20))
+MORE = ((3, 13, None), (2, 16, 20))
 ALL_SKETCHES = SKETCHES + sum(m[1] for m in MORE)
 #: Orders by which an entry's pivot is chosen: each entry uses one, so a text meets different pivots.
 ORDERS = 4
@@ -45,15 +45,19 @@ ORDERS = 4
 PIVOTS = 4
 #: Rows of a part of an entry that are compared with each other or with as many others in one place; larger parts are cut.
 CELL = 4096
+#: Bits of a text's set for each of its words: two different words fall on one bit, and hide a difference, once in so many.
+WORD_BITS = 16
+#: Bits of the texts of a cell that are unpacked at a time, and the most texts then.
+UNPACKED, STEP = 1 << 23, 512
 MOST = U64(0xFFFFFFFFFFFFFFFF)
 
 
 def word_bits(sym: np.ndarray, at: np.ndarray) -> list[bytes]:
-    """The words of each text, labelled by occurrence number, as a set of hashed bits: a power of two, four bits a word at least."""
+    """The words of each text, labelled by occurrence number, as a set of hashed bits: a power of two, WORD_BITS a word at least."""
     n = np.diff(at)
     row = np.repeat(np.arange(len(n)), n)
     h = mix(sym + nth_of(sym, row).astype(U64) * U64(0xC2B2AE3D27D4EB4F))
-    size = 1 << np.ceil(np.log2(np.maximum(4 * n, 64))).astype(np.int64)
+    size = 1 << np.ceil(np.log2(np.maximum(WORD_BITS * n, 64))).astype(np.int64)
     start = np.concatenate([[0], np.cumsum(size)])
     flat = np.zeros(start[-1], bool)
     flat[start[row] + (h & (size[row] - 1).astype(U64)).astype(np.int64)] = True
@@ -114,8 +118,9 @@ def _entries(pre: np.ndarray, at: np.ndarray, has: np.ndarray, m: np.ndarray, si
         out[has, s] = entry
 
 
+@tidy
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in pieces(batches, 3):
         for i, j, raw, off in text_blocks(b.column(3)):
             e, n, bits = sketch_block(raw, off)
             part, e = b.slice(i, j - i), e.view(np.int64)
@@ -179,8 +184,9 @@ def similar(x: str, y: str, similarity: float = SIMILARITY) -> bool:
     return banded_distance(a, b, most) <= most
 
 
+@tidy
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in pieces(batches, 2):
         keep = [similar(x, y) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
         yield b.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
@@ -217,29 +223,30 @@ def _bit_rows(bits: list[bytes], size: int) -> np.ndarray:
     return np.unpackbits(out, axis=1).astype(np.float32)
 
 
-CELL_KEY = ["s", "entry", "length", "i", "j"]
-CELL_ROW = [*CELL_KEY, "own", "node", "label", "n", "low", "bits"]
+CELL_KEY = ["s", "entry", "i", "j"]
+CELL_ROW = [*CELL_KEY, "own", "node", "label", "n", "bits"]
 
 
+@tidy
 def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by cell to the pairs of different labels that could link; whole cells at a time."""
 
     def solve(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        cross = rows[0][3] != rows[0][4]
-        rows.sort(key=lambda r: len(r[10]))  # texts of like size together, so that little is folded
-        own, node, label, n, low = (np.array([r[c] for r in rows], np.int64) for c in range(5, 10))
-        step, length = 512, rows[0][2]
-        for a in range(0, len(rows), step):
+        cross = rows[0][2] != rows[0][3]
+        rows.sort(key=lambda r: r[7])  # by words: texts of like size together, so that little is folded and lengths rule out whole runs
+        own, node, label, n = (np.array([r[c] for r in rows], np.int64) for c in range(4, 8))
+        longest = np.floor(n / SIMILARITY * (1 + 1e-9)) + 1  # of a text that can be similar to one of n words
+        a = 0
+        while a < len(rows):
+            size = len(rows[a][8])
+            step = max(1, min(STEP, UNPACKED // (8 * size)))
             u = slice(a, a + step)
-            for b in range(a, len(rows), step):
+            x = _bit_rows([r[8] for r in rows[u]], size)
+            for b in range(a, int(np.searchsorted(n, longest[u][-1], "right")), step):
                 v = slice(b, b + step)
-                size = len(rows[a][10])
-                x = _bit_rows([r[10] for r in rows[u]], size)
-                y = x if a == b else _bit_rows([r[10] for r in rows[v]], size)
+                y = x if a == b else _bit_rows([r[8] for r in rows[v]], size)
                 ok, lack = could_link(x, y, n[u], n[v])
                 ok &= label[u][:, None] != label[v][None, :]
-                # Of the one or two length classes that a pair shares, the one that is always shared.
-                ok &= np.maximum(low[u][:, None], low[v][None, :]) == length
                 if cross:
                     ok &= own[u][:, None] != own[v][None, :]
                 if a == b:
@@ -247,12 +254,14 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 p, q = np.nonzero(ok)
                 if p.size:
                     one, two = node[u][p], node[v][q]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(lack[p, q].astype(np.int64))], names=["a", "b", "lack"])
+                    found = pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(lack[p, q].astype(np.int64))], names=["a", "b", "lack"])
+                    yield from in_rows(found)
+            a += step
 
     held: list[tuple] = []
     for b in batches:
         for r in zip(*(c.to_pylist() for c in b.columns)):
-            if held and held[0][:5] != r[:5]:
+            if held and held[0][:4] != r[:4]:
                 yield from solve(held)
                 held = []
             held.append(r)
@@ -261,14 +270,14 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def searched(mixed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b, lack) of mixed (s, entry, node, n, label, length) that share an entry, have different labels and could link."""
-    key = ["s", "entry", "length"]
+    """The pairs (a, b, lack) of mixed (s, entry, node, n, label) that share an entry, have different labels and could link."""
+    key = ["s", "entry"]
     parts = mixed.groupBy(*key).agg(F.count("*").alias("rows"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
     parts = parts.select(*key, F.ceil(F.col("rows") / CELL).cast("int").alias("blocks"))
     at = mixed.join(parts, key).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     at = at.select(*key, "node", "label", "n", "own", other).select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    cells = at.join(nodes.select("node", "bits"), "node").withColumn("low", lengths("n")[0]).select(*CELL_ROW)
+    cells = at.join(nodes.select("node", "bits"), "node").select(*CELL_ROW)
     pairs = cells.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY).mapInArrow(_search, "a long, b long, lack long")
     return pairs.groupBy("a", "b").agg(F.min("lack").alias("lack"))
 
@@ -302,10 +311,10 @@ def _pairs(at: DataFrame, key: list[str], orders: list[Column]) -> DataFrame:
 
 
 def _mixed(rows: DataFrame, labels: DataFrame, key: list[str]) -> DataFrame:
-    """The rows of entries that hold several classes, with label, once for each of their length classes."""
+    """The rows of entries that hold several classes, with label."""
     at = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = at.groupBy(*key).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select(*key)
-    return at.join(mixed, key).withColumn("length", F.explode(lengths("n")))
+    return at.join(mixed, key)
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, links: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -339,7 +348,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links = written(verified(tested, texts), "links")
     labels = written(components(links), "labels")
     # Entries that still hold several classes; written, so that the pivots of a hot one are found by partial aggregation.
-    mixed = written(_mixed(ordered, labels, key), "mixed")
+    mixed = written(_mixed(ordered, labels, key).withColumn("length", F.explode(lengths("n"))), "mixed")
     orders = [F.xxhash64("node", F.pmod("s", F.lit(ORDERS)), F.lit(k)) for k in range(1, PIVOTS + 1)]
     more = written(_pairs(mixed, [*key, "length"], orders).join(tested, ["a", "b"], "left_anti"), "pairs")
     links, labels = _linked(more, texts, links, labels)
