@@ -14,7 +14,9 @@ columns are ignored; text of any length stays in one chunk.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import uuid
 import zlib
@@ -36,16 +38,23 @@ CHUNK_IDS = 1 << 20
 PIECES_KEPT = 1_000_000
 #: Bytes of text that are encoded at a time, and pieces whose ids are gathered at a time.
 ENCODED_BYTES, GATHERED = 8 << 20, 1 << 20
+#: Leads a piece that no space leads; texts that hold it are encoded whole.
+BARE = "\0"
+#: A letter and a mark after it. Only Latin letters, on whose class all versions of Unicode agree; no apostrophe, which can begin
+#: a token of letters.
+LETTER_MARK = r'([A-Za-zÀ-ÖØ-öø-ɏ])([.,;:!?()\[\]{}*#$%&/+=<>@^~|"-])'
+WHITE = re.compile(r"\s")
 #: Two adjacent characters that are white space to Unicode or ASCII's separators.
 TWO_SPACES = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]{2}"
 
 
 class PieceEncoder:
-    """Ids of texts by the tokenizers library, each distinct space-led piece encoded once a worker.
+    """Ids of texts by the tokenizers library, each distinct piece encoded once a worker.
 
-    A byte-level pre-tokenizer starts a token at every single space, so a text without two
-    adjacent white-space characters is the concatenation of its pieces; other texts, and those
-    holding a special token's string, are encoded whole.
+    A byte-level pre-tokenizer starts a token at every single space, between a letter and a mark
+    after it, and on both sides of a single line end, so a text without two adjacent white-space
+    characters is the concatenation of its pieces between these places. A piece that no space leads
+    is BARE. Other texts, and those holding a special token's string, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -56,7 +65,9 @@ class PieceEncoder:
         vocab = self.tok.get_vocab()
         self.led = np.zeros(max(vocab.values()) + 1, bool)
         self.led[[i for t, i in vocab.items() if t.startswith("Ġ")]] = True
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        pre = json.loads(self.tok.to_str()).get("pre_tokenizer") or {}
+        self.by_class = pre.get("type") == "ByteLevel" and bool(pre.get("use_regex", True)) and not pre.get("add_prefix_space")
+        self.special = [BARE, *(t.content for t in self.tok.get_added_tokens_decoder().values())]
         self.kept: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
@@ -80,40 +91,50 @@ class PieceEncoder:
             out[i] = self.whole(texts[i].as_py())
         if not plain:
             return out
-        lists = pc.split_pattern(texts.filter(pa.array(is_plain)), " ")
-        offsets = lists.offsets.to_numpy()
-        first = offsets[:-1]
+        cut = texts.filter(pa.array(is_plain))
+        if self.by_class:
+            cut = pc.replace_substring(pc.replace_substring_regex(cut, LETTER_MARK, rf"\1 {BARE}\2"), "\n", f" {BARE}\n {BARE}")
+        lists = pc.split_pattern(pc.binary_join_element_wise(pa.scalar("", pa.large_string()), cut, pa.scalar(BARE, pa.large_string())), " ")
         numbered = lists.flatten().dictionary_encode()
         pieces = numbered.dictionary.to_pylist()
         self.learn(pieces)
-        # A text's first piece has no space before it and is encoded by itself.
-        heads = [np.array(e.ids, "<u4").tobytes() for e in self.tok.encode_batch_fast([pieces[k] for k in numbered.indices.to_numpy()[first]], add_special_tokens=False)]
-        found = [*map(self.kept.__getitem__, pieces), *heads]
-        of = np.array(numbered.indices.to_numpy(), np.int64)
-        of[first] = len(pieces) + np.arange(len(heads))
+        found = [*map(self.kept.__getitem__, pieces)]
+        of = numbered.indices.to_numpy()
         n = np.fromiter(map(len, found), np.int64, len(found)) // 4
         known, start = np.frombuffer(b"".join(found), "<u4"), np.cumsum(n) - n
         parts = []
         for i in range(0, of.size, GATHERED):
             m = n[of[i:i + GATHERED]]
             parts.append(known[np.repeat(start[of[i:i + GATHERED]] - np.cumsum(m) + m, m) + np.arange(m.sum())])
-        ids, ends = np.concatenate(parts), np.concatenate([[0], np.cumsum(n[of])])[offsets]
+        ids, ends = np.concatenate(parts), np.concatenate([[0], np.cumsum(n[of])])[lists.offsets.to_numpy()]
         for i, x, y in zip(plain, ends[:-1].tolist(), ends[1:].tolist()):
             out[i] = ids[x:y].tobytes()
         return out
 
     def learn(self, pieces: list[str]) -> None:
-        """Encodes the pieces not met yet, each with a space before it, many at a time."""
-        new = [p for p in pieces if p and p not in self.kept]
+        """Encodes the pieces not met yet, many at a time: those led by a space joined by spaces, bare ones by line ends."""
+        kept = self.kept
+        new = [p for p in pieces if p not in kept]
+        self._learn(kept, [p for p in new if p and p[0] != BARE], " ", lambda ids: np.flatnonzero(self.led[ids]))
+        kept.setdefault("", self.whole(" "))
+        bare = [p for p in new if p and p[0] == BARE]
+        alone = [p for p in bare if not self.by_class or len(p) == 1 or WHITE.search(p)]
+        kept.update((p, self.whole(p[1:])) for p in alone)
+        bare = [p[1:] for p in bare if p not in kept]
+        got, end = {}, self.ids("\n")[0]
+        self._learn(got, bare, "\n", lambda ids: np.flatnonzero(ids == end), skip=1)
+        kept.update((BARE + p, x) for p, x in got.items())
+
+    def _learn(self, kept: dict[str, bytes], new: list[str], led_by: str, starts, skip: int = 0) -> None:
+        """kept gets the ids of new; starts finds in the ids of all, each led by led_by, where each begins, `skip` ids after."""
         for i in range(0, len(new), 20_000):
             some = new[i:i + 20_000]
-            ids = self.ids(" " + " ".join(some))
-            at = np.append(np.flatnonzero(self.led[ids]), ids.size)
+            ids = self.ids(led_by + led_by.join(some))
+            at = np.append(starts(ids), ids.size)
             if at.size != len(some) + 1:
-                raise ValueError("the tokenizer doesn't start a token at every space")
+                raise ValueError("the tokenizer doesn't start a token at every space and line end")
             raw = ids.tobytes()
-            self.kept.update((p, raw[4 * a:4 * b]) for p, a, b in zip(some, at[:-1].tolist(), at[1:].tolist()))
-        self.kept.setdefault("", self.whole(" "))
+            kept.update((p, raw[4 * (a + skip):4 * b]) for p, a, b in zip(some, at[:-1].tolist(), at[1:].tolist()))
 
 
 _encoders: dict[str, PieceEncoder] = {}

@@ -406,6 +406,17 @@ def test_op7_and_op10_against_the_libraries(spark, monkeypatch):
         assert (rows[i]["ids"], bytes(rows[i]["decoded"]).decode()) == (enc.encode_ordinary(t), t)
 
 
+def test_op7_pieces_against_the_library():
+    import pyarrow as pa
+
+    rng = random.Random(0)
+    parts = ["ab", "é", "ß", "x1", "9", "½", "'s", "'", "n't", ".", ",", "***", "$$", "_", "\n", "ĳ", "ǅ", "ﬁ", "中", "-", "(", ")", '"', "||", "\t", "×", "\u00a0"]
+    words = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 7))) for _ in range(2000)]
+    texts = [" ".join(rng.sample(words, rng.randint(1, 12))) for _ in range(1500)] + TEXTS + ["a ", "\n", "a\n", "\na", "\0a", "a\0.b"]
+    encoder = token_files.PieceEncoder(JSON)
+    assert encoder.encode(pa.array([*texts, None])) == [*map(encoder.whole, texts), b""]
+
+
 def test_op8_held_out(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     lang = {r["doc_id"]: r["lang"] for r in docs.select("doc_id", "lang").collect()}
