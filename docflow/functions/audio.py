@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+import time
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -19,12 +20,13 @@ def silence_samples(ends_paragraph: Column, profile: Profile, rate: int = SAMPLE
 
 
 def to_pcm16(x: Column) -> Column:
-    """Clipped to -1..1, scaled, truncated."""
+    """Clipped to -1..1, scaled, truncated; NaN is silence."""
+    x = F.nanvl(x.cast("double"), F.lit(0.0))
     return (F.greatest(F.least(x, F.lit(1.0)), F.lit(-1.0)) * 32767).cast("smallint")
 
 
 def pcm_bytes(x: np.ndarray) -> bytes:
-    return (np.clip(x, -1, 1) * 32767).astype("<i2").tobytes()
+    return (np.clip(np.nan_to_num(x, nan=0.0), -1, 1) * 32767).astype("<i2").tobytes()
 
 
 def wav_bytes(pcm: bytes, rate: int = SAMPLE_RATE) -> bytes:
@@ -39,14 +41,15 @@ class Tone:
         return [np.sin(np.arange(100 * len(t), dtype=np.float32) * (0.01 + zlib.crc32(t.encode()) % 97 / 1000)).astype(np.float32) for t in texts]
 
 
-def speak_with_retries(voice: Callable, texts: list[str], tries: int = 20) -> list[np.ndarray]:
-    """The batch; failing that, text by text; failing that, halves at a space; at most `tries` attempts a text."""
+def speak_with_retries(voice: Callable, texts: list[str], tries: int = 20, pause_s: float = 0.0) -> list[np.ndarray]:
+    """The batch; failing that, text by text, with up to `tries` attempts each and pauses that grow linearly; failing that, halves at a space, tried once."""
     try:
         return voice(texts)
     except (MemoryError, RuntimeError):
         if len(texts) > 1:
-            return [speak_with_retries(voice, [t], tries)[0] for t in texts]
-    for _ in range(tries):
+            return [speak_with_retries(voice, [t], tries, pause_s)[0] for t in texts]
+    for attempt in range(1, tries):
+        time.sleep(pause_s * attempt)
         try:
             return voice(texts)
         except (MemoryError, RuntimeError):
@@ -54,22 +57,44 @@ def speak_with_retries(voice: Callable, texts: list[str], tries: int = 20) -> li
     at = texts[0].find(" ", len(texts[0]) // 2)
     if at < 0:
         raise RuntimeError("the voice failed")
-    return [np.concatenate(speak_with_retries(voice, [texts[0][:at]], tries) + speak_with_retries(voice, [texts[0][at + 1:]], tries))]
+    return [np.concatenate(speak_with_retries(voice, [texts[0][:at]], 1) + speak_with_retries(voice, [texts[0][at + 1:]], 1))]
 
 
-def synthesise(segments: DataFrame, profile: Profile, make_voice: Callable[[], Callable] = Tone) -> DataFrame:
-    """Adds pcm (with the silence that follows) to segments (seg, ends_paragraph); the model loads once a task."""
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in segments.schema.fields) + ", pcm binary"
+def _spoken(voice: Callable, texts: list[str], tries: int, pause_s: float) -> Iterator[tuple[np.ndarray | None, str | None]]:
+    """Samples, or the error, of every text."""
+    try:
+        yield from ((x, None) for x in speak_with_retries(voice, texts, tries, pause_s))
+    except Exception as e:  # noqa: BLE001  a bad text must not end the others
+        if len(texts) == 1:
+            yield None, f"{type(e).__name__}: {e}"
+        else:
+            for t in texts:
+                yield from _spoken(voice, [t], tries, pause_s)
+
+
+def synthesise(segments: DataFrame, profile: Profile, make_voice: Callable[[], Callable] = Tone, tries: int = 20, pause_s: float = 0.0) -> DataFrame:
+    """Adds pcm (with the silence that follows) and error to segments (seg, ends_paragraph); the model loads once a task.
+
+    A text that the voice can't render has null pcm and the error; all others are rendered.
+    """
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in segments.schema.fields) + ", pcm binary, error string"
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         voice = make_voice()
         for p in parts:
-            out = []
+            out, errors = [], []
             for i in range(0, len(p), profile.batch):
                 some = p.iloc[i:i + profile.batch]
-                for x, last in zip(speak_with_retries(voice, some["seg"].tolist()), some["ends_paragraph"]):
+                for (x, error), last in zip(_spoken(voice, some["seg"].tolist(), tries, pause_s), some["ends_paragraph"]):
                     rest = np.zeros(int(SAMPLE_RATE * (profile.paragraph_s if last else profile.sentence_s)), np.float32)
-                    out.append(pcm_bytes(np.concatenate([x, rest])))
-            yield p.assign(pcm=out)
+                    out.append(None if x is None else pcm_bytes(np.concatenate([x, rest])))
+                    errors.append(error)
+            yield p.assign(pcm=out, error=errors)
 
     return segments.mapInPandas(run, schema)
+
+
+def failed(said: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, n_failed and error (the first) of chapters with a text that could not be rendered."""
+    bad = said.where("error is not null")
+    return bad.groupBy(*keys).agg(F.count("*").alias("n_failed"), F.min_by("error", F.struct("para_no", "seg_no")).alias("error"))

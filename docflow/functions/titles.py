@@ -37,8 +37,9 @@ def spoken_header(num: Column, label: Column, title: Column) -> Column:
 
 
 def chapter_number(label: Column) -> Column:
+    """0 for a label without a number, or with one that is no 32-bit number."""
     found = F.regexp_extract(label, r"(?i)^CHAPTER\s+(\d+)", 1)
-    return F.when(found == "", F.lit(0)).otherwise(found.cast("int"))
+    return F.coalesce(found.try_cast("int"), F.lit(0))
 
 
 @F.pandas_udf(T.StringType())

@@ -20,6 +20,30 @@ def quarter(text: str) -> int:
     return len(text) // 4
 
 
+class BpeCounter:
+    """Exact token counts by a byte-pair encoding: ranks_path names a public ranks file, pattern its pre-token pattern.
+
+    Sent to workers as these two strings; the encoding is built there once.
+    """
+
+    def __init__(self, ranks_path: str, pattern: str):
+        self.args, self.encoding = (ranks_path, pattern), None
+
+    def __reduce__(self):
+        return BpeCounter, self.args
+
+    def __call__(self, text: str) -> int:
+        if self.encoding is None:
+            import base64
+
+            import tiktoken
+
+            with open(self.args[0], "rb") as f:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
+            self.encoding = tiktoken.Encoding("counter", pat_str=self.args[1], mergeable_ranks=ranks, special_tokens={})
+        return len(self.encoding.encode_ordinary(text))
+
+
 def split_tokens(text: str, size: int, overlap: int, count: Callable[[str], int] = quarter, separators=SEPARATORS) -> list[str]:
     """Chunks of at most `size` tokens, each starting with up to `overlap` tokens of whole pieces of the one before.
 

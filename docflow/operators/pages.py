@@ -13,11 +13,11 @@ def marked(page: Column, text: Column) -> Column:
 
 
 def split_marked(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """keys, page and text of a marked text; what stands before the first marker is dropped."""
+    """keys, page and text of a marked text; what stands before the first marker is dropped. A page that is no 32-bit number is null."""
     mark = r"<!--PAGE:(\d+)-->"
     parts = F.split(F.col(text), mark)
     both = F.arrays_zip(F.regexp_extract_all(F.col(text), F.lit(mark), 1).alias("page"), F.slice(parts, F.lit(2), F.size(parts)).alias("text"))
-    return rows.select(*keys, F.explode(both).alias("x")).select(*keys, F.col("x.page").cast("int").alias("page"), F.col("x.text").alias("text"))
+    return rows.select(*keys, F.explode(both).alias("x")).select(*keys, F.col("x.page").try_cast("int").alias("page"), F.col("x.text").alias("text"))
 
 
 def chapter_map(toc: DataFrame, keys: list[str], last_page: str, start_at: str | None = None, stop_at: str | None = None) -> DataFrame:

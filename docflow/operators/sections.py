@@ -13,17 +13,18 @@ HEADINGS = {
     "bold_numbered": r"##\s+\*\*(\d{1,2})\s+(.+?)\*\*\s*",
     "any": r"#{1,3}\s+(.+)",
     "bold": r"## \*\*(.+?)\*\*\s*",
-    "marked": r"##\s*_Chapter\s+(\d+)_\s*",
 }
 # Titles that open no chapter.
 BACK_MATTER = ("Photographs", "Acknowledgments", "About the Authors", "Notes", "Bibliography", "Index")
 BOILERPLATE = ("Contents", "CLICK HERE TO SIGN UP", "Thank you for downloading this Simon & Schuster ebook.")
 FOOTER_KEYS = ("hackerspainters",)
-NUMBERED = ("numbered", "bold_numbered", "marked")
+NUMBERED = ("numbered", "bold_numbered")
+# The lines that mark the parts of a marked book.
+MARKS = {"chapter": r"##\s*_Chapter\s+(\d+)_\s*", "note": r"##\s*_Note to readers_\s*", "contents": r"##\s*Contents\s*", "preface": r"##\s*Preface\s*", "notes": r"##\s*Notes\s*"}
 
 
-def real_chapter(title: Column) -> Column:
-    t = titles.strip_title(title, titles.QUOTED)
+def real_chapter(title: Column, marks: str = titles.QUOTED) -> Column:
+    t = titles.strip_title(title, marks)
     return ~(t.startswith("—") | t.startswith("-")) & ~t.rlike(r"^\d+$") & ~t.isin(*BACK_MATTER, *BOILERPLATE)
 
 
@@ -41,22 +42,25 @@ def _sliced(rows: DataFrame, keys: list[str], text: str, opens) -> DataFrame:
     return parts.select(*keys, "part", "head", F.array_join(F.transform("_body", lambda x: x["line"]), "\n").alias("body"))
 
 
-def sections(rows: DataFrame, keys: list[str], text: str, kind: str, most_number: int = 200) -> DataFrame:
+def sections(rows: DataFrame, keys: list[str], text: str, kind: str, most_number: int = 200, marks: str = titles.QUOTED) -> DataFrame:
     """keys, part, num, title and body of the sections of rows' markdown.
 
     Numbered kinds give text before the first heading as "Introduction" (num 0) and drop numbers
     over most_number; a text without a heading is one section. For `any`, titles of 1 to 80
     characters with a body of 30 words at least stay. For `bold`, headings that open no chapter are
-    part of the section before.
+    part of the section before, and titles lose the marks named. A number that is no 32-bit number is
+    over most_number. `marked` books are marked_sections.
     """
+    if kind == "marked":
+        return marked_sections(rows, keys, text)
     pattern = "(?d)^" + HEADINGS[kind] + "$"
-    found = (lambda x: x.rlike(pattern) & real_chapter(F.regexp_extract(x, pattern, 1))) if kind == "bold" else (lambda x: x.rlike(pattern))
+    found = (lambda x: x.rlike(pattern) & real_chapter(F.regexp_extract(x, pattern, 1), marks)) if kind == "bold" else (lambda x: x.rlike(pattern))
     parts = _sliced(rows, keys, text, found)
     if kind in NUMBERED:
-        num = F.when(F.col("head").isNull(), F.lit(0)).otherwise(F.regexp_extract("head", pattern, 1).cast("int"))
-        title = F.when(F.col("head").isNull(), F.lit("Introduction")).otherwise(titles.strip_title(F.regexp_extract("head", pattern, 1 if kind == "marked" else 2)))
-        return parts.select(*keys, "part", num.alias("num"), title.alias("title"), titles.stripped(F.col("body")).alias("body")).where((F.col("body") != "") | (F.col("num") > 0)).where(F.col("num") <= most_number)
-    title = F.coalesce(titles.strip_title(F.regexp_extract("head", pattern, 1), titles.QUOTED if kind == "bold" else titles.MARKUP), F.lit(""))
+        num = F.when(F.col("head").isNull(), F.lit(0)).otherwise(F.regexp_extract("head", pattern, 1).try_cast("int"))
+        title = F.when(F.col("head").isNull(), F.lit("Introduction")).otherwise(titles.strip_title(F.regexp_extract("head", pattern, 2)))
+        return parts.select(*keys, "part", num.alias("num"), title.alias("title"), titles.stripped(F.col("body")).alias("body")).where("num is not null").where((F.col("body") != "") | (F.col("num") > 0)).where(F.col("num") <= most_number)
+    title = F.coalesce(titles.strip_title(F.regexp_extract("head", pattern, 1), marks if kind == "bold" else titles.MARKUP), F.lit(""))
     out = parts.select(*keys, "part", title.alias("title"), titles.stripped(F.col("body")).alias("body")).where(F.length("title").between(1, 80))
     if kind == "any":
         out = out.where(titles.word_count(F.col("body")) >= 30)
@@ -65,9 +69,13 @@ def sections(rows: DataFrame, keys: list[str], text: str, kind: str, most_number
 
 
 def best_by_key(rows: DataFrame, keys: list[str], num: str, body: str, place: str) -> DataFrame:
-    """Of sections with one number the longest by words; the first of equals."""
-    best = F.row_number().over(Window.partitionBy(*keys, num).orderBy(titles.word_count(F.col(body)).desc(), F.col(place)))
-    return rows.withColumn("_best", best).where("_best = 1").drop("_best")
+    """Of sections with one number the longest by words; the first of equals. place tells all rows apart.
+
+    Aggregated in part before the shuffle; the bodies are joined after.
+    """
+    best = rows.groupBy(*keys, num).agg(F.min(F.struct((-titles.word_count(F.col(body))).alias("words"), F.col(place).alias("place"))).alias("_best"))
+    best = best.select(*keys, num, F.col("_best.place").alias(place))
+    return rows.join(best, [*keys, num, place], "left_semi")
 
 
 def between(text: Column, start: str, end: str) -> Column:
@@ -101,7 +109,45 @@ def elected_titles(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
 
 
 def without_lines(rows: DataFrame, keys: list[str], text: str, drop: DataFrame) -> DataFrame:
-    """keys and body: the text without the heading lines whose key drop (keys, key) names."""
-    all_ = lines(rows, keys, text).withColumn("key", F.when(F.col("line").rlike(r"^#{1,6}[ \t]*\S"), titles.heading_key(F.regexp_replace("line", r"^#{1,6}[ \t]*", ""))))
+    """keys and body: the text without the heading lines whose key drop (keys, key) names, is empty or a footer's."""
+    heading = F.col("line").rlike("(?d)^#{1,6}[ \t]*.+$")
+    all_ = lines(rows, keys, text).withColumn("key", F.when(heading, titles.heading_key(F.col("line"))))
+    all_ = all_.where(F.col("key").isNull() | ((F.col("key") != "") & ~F.col("key").isin(*FOOTER_KEYS)))
     kept = all_.join(drop.select(*keys, "key").distinct(), [*keys, "key"], "left_anti")
-    return kept.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("body"))
+    body = kept.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("body"))
+    return rows.select(*keys).join(body, keys, "left").withColumn("body", F.coalesce("body", F.lit("")))
+
+
+def marked_sections(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """keys, part, num, title and body of a book whose chapters begin at mark lines.
+
+    The last chapter ends before the first line that marks the notes. Part 0 is the note to readers (up to the contents)
+    and the preface (up to the first chapter), if all three marks are there. Titles are elected among a section's
+    heading lines (else "Chapter n" or "Preface"), which then leave its body.
+    """
+    all_ = lines(rows, keys, text)
+    is_ = {name: F.col("line").rlike(f"(?d)^{pattern}$") for name, pattern in MARKS.items()}
+    book = Window.partitionBy(*keys)
+    for name in ("note", "contents", "preface", "notes"):
+        all_ = all_.withColumn(name, F.min(F.when(is_[name], F.col("line_no"))).over(book))
+    run = book.orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
+    all_ = all_.withColumn("part", F.sum(is_["chapter"].cast("int")).over(run).cast("int")).withColumn("parts", F.max("part").over(book))
+    front = F.when((F.col("line_no") > F.col("note")) & (F.col("line_no") < F.col("contents")) & F.col("preface").isNotNull(), 0)
+    front = front.when((F.col("line_no") > F.col("preface")) & F.col("note").isNotNull() & F.col("contents").isNotNull(), 1)
+    all_ = all_.withColumn("piece", F.when(F.col("part") > 0, 0).otherwise(front)).where("piece is not null")
+    all_ = all_.where((F.col("part") < F.col("parts")) | F.col("notes").isNull() | (F.col("line_no") < F.col("notes")) | ((F.col("part") == 0) & (F.col("piece") == 0)))
+    line = F.when(~is_["chapter"], F.struct("piece", "line_no", "line"))
+    number = F.max(F.when(is_["chapter"], F.regexp_extract("line", MARKS["chapter"], 1).try_cast("int")))
+    spans = all_.groupBy(*keys, "part").agg(number.alias("num"), F.array_sort(F.collect_list(line)).alias("x"))
+
+    def piece(n: int) -> Column:
+        return F.array_join(F.transform(F.filter("x", lambda v: v["piece"] == n), lambda v: v["line"]), "\n")
+
+    pieces = [piece(0), piece(1)]
+    span = F.when(F.col("part") > 0, pieces[0]).otherwise(F.concat_ws("\n\n", *pieces))
+    spans = spans.select(*keys, "part", F.when(F.col("part") > 0, F.col("num")).otherwise(0).alias("num"), span.alias("span")).where("num is not null")
+    elected = elected_titles(spans, [*keys, "part"], "span")
+    bodies = without_lines(spans, [*keys, "part"], "span", elected)
+    label = F.when(F.col("part") > 0, F.concat(F.lit("Chapter "), F.col("num").cast("string"))).otherwise(F.lit("Preface"))
+    named = spans.drop("span").join(elected.select(*keys, "part", "title"), [*keys, "part"], "left").join(bodies, [*keys, "part"])
+    return named.select(*keys, "part", "num", F.coalesce(F.when(F.col("title") != "", F.col("title")), label).alias("title"), titles.stripped(F.col("body")).alias("body"))

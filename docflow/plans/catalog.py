@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -32,12 +31,18 @@ def _paragraphs(s, d):
     return books.table(s, d, "documents").select("doc_id", F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("text"))
 
 
+def shared(s, name):
+    """A new folder that driver and executors share: below spark.checkpoint.dir, or below the warehouse where that is unset."""
+    at = s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getConf().get("spark.checkpoint.dir") or s.conf.get("spark.sql.warehouse.dir")
+    return f"{at.rstrip('/')}/docflow-{name}-{uuid.uuid4().hex}"
+
+
 WS = "chr(32) || chr(9) || chr(10) || chr(13)"
 
 
-def _segments_sql(most):
+def _segments_sql(most, source="(SELECT doc_id, replace(text, chr(10), chr(10) || chr(10)) AS t FROM documents)"):
     return rf"""
-    WITH para AS (SELECT doc_id, unnest(string_split(replace(text, chr(10), chr(10) || chr(10)), chr(10) || chr(10))) AS para, generate_subscripts(string_split(replace(text, chr(10), chr(10) || chr(10)), chr(10) || chr(10)), 1) - 1 AS para_no FROM documents),
+    WITH para AS (SELECT doc_id, unnest(string_split(t, chr(10) || chr(10))) AS para, generate_subscripts(string_split(t, chr(10) || chr(10)), 1) - 1 AS para_no FROM {source}),
     sent AS (SELECT doc_id, para_no, list_filter(list_transform(string_split(regexp_replace(para, '([.!?])\s+', '\1' || chr(31), 'g'), chr(31)), lambda x: trim(x, {WS})), lambda x: x <> '') AS ss FROM para WHERE trim(para, {WS}) <> ''),
     acc AS (SELECT doc_id, para_no, list_reduce(list_transform(ss, lambda x: {{'done': []::VARCHAR[], 'open': x}}), lambda a, x: CASE WHEN length(a.open) + length(x.open) + 1 > {most} AND a.open <> '' THEN {{'done': list_append(a.done, a.open), 'open': x.open}} ELSE {{'done': a.done, 'open': CASE WHEN a.open = '' THEN x.open ELSE a.open || ' ' || x.open END}} END) AS r FROM sent WHERE len(ss) > 0),
     segs AS (SELECT doc_id, para_no, list_append(r.done, r.open) AS segs FROM acc)
@@ -63,16 +68,36 @@ def hard_wrap(s, d):
 _DIRTY = "(SELECT doc_id, '" + books.DIRT.replace("'", "''") + "' || text || ' ' || chr(10) || ' ' AS text FROM documents)"
 
 
+#: The cleaning rules written as SQL of their own, so that a wrong pattern on one side shows.
+_RULES_SQL = {
+    "picture": r"regexp_replace({}, '==>.*?intentionally omitted.*?<==', '', 'gi')",
+    "link": r"regexp_replace({}, '\[([^\]]+)\]\([^)]*\)', '\1', 'g')",
+    "code": r"regexp_replace({}, '`[^`]*`', '', 'g')",
+    "header": r"regexp_replace({}, '(?m)^#{{1,6}}\s*', '', 'g')",
+    "emphasis": r"replace(replace({}, '*', ''), '_', '')",
+    "em_dash": r"replace({}, '—', ', ')",
+    "dashes": r"replace(replace({}, '—', ', '), '–', ', ')",
+    "apostrophes": "replace(replace({}, '‘', chr(39)), '’', chr(39))",
+    "quotes": r"""translate({}, '“”', '""')""",
+    "newlines": r"regexp_replace({}, '\n\n\n+', chr(10) || chr(10), 'g')",
+    "strip": r"regexp_replace(regexp_replace({}, '^\s+', ''), '\s+$', '')",
+    "page_mark": r"regexp_replace({}, '<!--PAGE:[0-9]+-->', '', 'g')",
+    "caption": r"regexp_replace({}, '(?ms)^_\*\*.*?\((Courtesy|Cou[0-9A-Za-z_]*)[^)]*\)_\s*$', '', 'g')",
+    "page_picture": r"regexp_replace({}, '\*?\*?==>.*?intentionally omitted.*?<==\*?\*?', '', 'g')",
+    "credit": r"regexp_replace({}, '\((Courtesy of|Photo by)[^)]*\)', '', 'g')",
+    "endnote": r"regexp_replace({}, '\[\s*[0-9][0-9]?[0-9]?\s*\]', '', 'g')",
+    "spaces": r"regexp_replace({}, '[ \t][ \t]+', ' ', 'g')",
+    # NFKC of what the decorated documents hold: a ligature, an ellipsis, and letters that compose.
+    "nfkc": "nfc_normalize(replace(replace({}, 'ﬁ', 'fi'), '…', '...'))",
+}
+_CHAINS = {
+    "basic": "picture link code header emphasis em_dash apostrophes quotes nfkc newlines strip".split(),
+    "pages": "page_mark caption page_picture credit endnote link code header emphasis dashes apostrophes quotes nfkc spaces newlines strip".split(),
+}
+
+
 def _rule_sql(x, name):
-    pattern, to = next((p, t) for n, p, t in (*clean.BASIC, *clean.PAGES) if n == name)
-    flags = "g" + ("i" if pattern.startswith("(?id)") else "") + ("m" if pattern.startswith("(?md") and "s)" not in pattern[:6] else "") + ("" if pattern.startswith("(?mds)") else "")
-    for lead in ("(?id)", "(?mds)", "(?md)", "(?d)"):
-        pattern = pattern.removeprefix(lead)
-    if name == "caption":
-        pattern = "(?ms)" + pattern
-    elif "m" in flags:
-        pattern, flags = "(?m)" + pattern, flags.replace("m", "")
-    return f"regexp_replace({x}, '{pattern}', '{to.replace(chr(39), chr(39) * 2).replace('$1', chr(92) + '1')}', '{flags}')"
+    return _RULES_SQL[name].format(x)
 
 
 def _rule_query(name):
@@ -87,10 +112,10 @@ for _n in dict.fromkeys(n for n, p, _ in (*clean.BASIC, *clean.PAGES) if p is no
     _rule_query(_n)
 
 
-def _chain_sql(kind):
+def _chain_sql(kind, normalise=False):
     x = "text"
-    for name, pattern, _ in clean.RULES[kind]:
-        if pattern is not None:
+    for name in _CHAINS[kind]:
+        if normalise or name != "nfkc":
             x = _rule_sql(x, name)
     return f"SELECT doc_id, {x} AS text FROM {_DIRTY}"
 
@@ -105,7 +130,7 @@ def clean_pages(s, d):
     return books.dirty(s, d).select("doc_id", clean.clean(F.col("text"), "pages", normalise=False).alias("text"))
 
 
-@query()
+@query(_chain_sql("pages", True))
 def nfkc(s, d):
     return books.dirty(s, d).select("doc_id", clean.clean(F.col("text"), "pages").alias("text"))
 
@@ -123,7 +148,7 @@ def _sliced_sql(pattern, where="TRUE"):
     """
 
 
-_NUM = sections.HEADINGS["numbered"]
+_NUM = r"##\s+.*?\b([0-9]+)\.\s+(.+?)[*_]*\s*"
 _NUMBERED_SQL = _sliced_sql(_NUM) + f"""
     , secs AS (SELECT conv_id, part, CASE WHEN head IS NULL THEN 0 ELSE regexp_extract(head, '^{_NUM}$', 1)::INT END AS num, CASE WHEN head IS NULL THEN 'Introduction' ELSE {_TRIM.format(f"translate(regexp_extract(head, '^{_NUM}$', 2), '*_`#', '')")} END AS title, {_TRIM.format('raw')} AS body FROM parts)
 """
@@ -140,7 +165,17 @@ def best_section_per_key(s, d):
     return sections.best_by_key(rows, [], "title", "body", "place").drop("place")
 
 
-_ANY = sections.HEADINGS["any"]
+_ANY = r"##?#?\s+(.+)"
+
+
+_BOLD_NUM = r"##\s+\*\*([0-9][0-9]?)\s+(.+?)\*\*\s*"
+
+
+@query(_sliced_sql(_BOLD_NUM).replace(". ' || role", " ' || role") + f"""
+    , secs AS (SELECT conv_id, part, CASE WHEN head IS NULL THEN 0 ELSE regexp_extract(head, '^{_BOLD_NUM}$', 1)::INT END AS num, CASE WHEN head IS NULL THEN 'Introduction' ELSE {_TRIM.format(f"translate(regexp_extract(head, '^{_BOLD_NUM}$', 2), '*_`#', '')")} END AS title, {_TRIM.format('raw')} AS body FROM parts)
+    SELECT * FROM secs WHERE body <> '' OR num > 0""")
+def sections_bold_numbered(s, d):
+    return sections.sections(books.book_markdown(s, d, " "), ["conv_id"], "md", "bold_numbered")
 
 
 @query(_sliced_sql(_ANY) + rf"""
@@ -150,11 +185,11 @@ def sections_any_heading(s, d):
     return sections.sections(books.book_markdown(s, d), ["conv_id"], "md", "any")
 
 
-_BOLD = sections.HEADINGS["bold"]
+_BOLD = r"## \*\*(.+?)\*\*\s*"
 _T = f"trim(translate(regexp_extract(line, '^{_BOLD}$', 1), '*_`#\"', ''))"
 
 
-@query(_sliced_sql(_BOLD, f"NOT (starts_with({_T}, '—') OR starts_with({_T}, '-')) AND NOT regexp_matches({_T}, '^[0-9]+$') AND {_T} NOT IN (" + ", ".join("'" + x + "'" for x in (*sections.BACK_MATTER, *sections.BOILERPLATE)) + ")") + rf"""
+@query(_sliced_sql(_BOLD, f"NOT (starts_with({_T}, '—') OR starts_with({_T}, '-')) AND NOT regexp_matches({_T}, '^[0-9]+$') AND {_T} NOT IN ('Photographs', 'Acknowledgments', 'About the Authors', 'Notes', 'Bibliography', 'Index', 'Contents', 'CLICK HERE TO SIGN UP', 'Thank you for downloading this Simon & Schuster ebook.')") + rf"""
     , t AS (SELECT conv_id, part, coalesce({_TRIM.format(f"translate(regexp_extract(head, '^{_BOLD}$', 1), '*_`#{chr(34)}', '')")}, '') AS title, {_TRIM.format('raw')} AS body FROM parts)
     SELECT conv_id, part, (row_number() OVER (PARTITION BY conv_id ORDER BY part) - 1)::INT AS num, title, body FROM t WHERE length(title) BETWEEN 1 AND 80""")
 def sections_bold(s, d):
@@ -180,12 +215,49 @@ def title_election(s, d):
     return sections.elected_titles(books.book_markdown(s, d), ["conv_id"], "md")
 
 
-@query()
+#: Books with a footer on every page, headings without a letter, and a title told in two forms.
+_FOOTED = "(SELECT conv_id, '# Hackers & Painters' || chr(10) || '# TwoForms' || chr(10) || replace(md, chr(10) || chr(10), chr(10) || '# ***' || chr(10) || '### Two Forms' || chr(10) || '# _Hackers & Painters_' || chr(10)) AS md FROM " + _MD + ")"
+
+
+def _footed(s, d):
+    breaks = F.lit("\n# ***\n### Two Forms\n# _Hackers & Painters_\n")
+    return books.book_markdown(s, d).select("conv_id", F.concat(F.lit("# Hackers & Painters\n# TwoForms\n"), F.replace("md", F.lit("\n\n"), breaks)).alias("md"))
+
+
+@query(rf"""
+    WITH ls AS (SELECT conv_id, unnest(string_split(md, chr(10))) AS line, generate_subscripts(string_split(md, chr(10)), 1) AS line_no FROM {_FOOTED}),
+    ks AS (SELECT *, CASE WHEN regexp_matches(line, '^#.') THEN regexp_replace(lower(line), '[^a-z0-9]', '', 'g') END AS key FROM ls),
+    n AS (SELECT conv_id, key, count(*) AS n, min(line_no) AS f FROM ks WHERE key NOT IN ('', 'hackerspainters') GROUP BY ALL),
+    best AS (SELECT conv_id, arg_min(key, (-n, f)) AS best FROM n GROUP BY conv_id)
+    SELECT conv_id, coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (key IS NULL OR (key NOT IN ('', 'hackerspainters') AND key <> best)), '') AS body FROM ks LEFT JOIN best USING (conv_id) GROUP BY conv_id""")
 def title_election_body(s, d):
-    md = books.book_markdown(s, d)
+    md = _footed(s, d)
     return sections.without_lines(md, ["conv_id"], "md", sections.elected_titles(md, ["conv_id"], "md"))
 
 
+def _marked_book(s, d):
+    """A conversation as a marked book: its first turn the note, its second the preface, then chapters, the last one's end among the notes."""
+    turn = F.col("turn")
+    head = F.when(turn == 0, "# Cover\n\n## _Note to readers_\n").when(turn == 1, "## Contents\nlist\n## Preface\n").otherwise(F.concat(F.lit("## _Chapter "), (turn - 1).cast("string"), F.lit("_\n## **TheTurn**\n## The Turn\n# Hackers & Painters\n")))
+    turns = books.table(s, d, "conversations").select("conv_id", "turn", F.concat(head, F.col("text")).alias("t"))
+    md = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "t"))), lambda x: x["t"]), "\n")
+    return turns.groupBy("conv_id").agg(F.concat(md, F.lit("\n## Notes\nall notes")).alias("md"))
+
+
+@query(rf"""
+    WITH c AS (SELECT conv_id, turn, {_TRIM.format('text')} AS text, max(turn) OVER (PARTITION BY conv_id) AS last FROM conversations)
+    SELECT conv_id, (turn - 1)::INT AS part, (turn - 1)::INT AS num, 'The Turn' AS title, text AS body FROM c WHERE turn > 1
+    UNION ALL
+    SELECT conv_id, 0, 0, 'Preface', {_TRIM.format("string_agg(raw, chr(10) || chr(10) ORDER BY turn)")} FROM (SELECT conv_id, turn, text AS raw FROM conversations WHERE turn < 2) GROUP BY conv_id HAVING count(*) = 2""")
+def marked_sections(s, d):
+    return sections.sections(_marked_book(s, d), ["conv_id"], "md", "marked")
+
+
+@query(rf"""SELECT conv_id, CASE WHEN strpos(md, '## **1.') > 0 THEN split_part(substr(md, strpos(md, '## **1.')), '## **3.', 1) ELSE split_part(md, '## **3.', 1) END AS body FROM {_MD}""")
+def text_cut(s, d):
+    return books.book_markdown(s, d).select("conv_id", sections.between(F.col("md"), r"## \*\*1\.", r"## \*\*3\.").alias("body"))
+
+
 _PAGES = "(SELECT source, row_number() OVER (PARTITION BY source ORDER BY doc_id)::INT AS page, text FROM documents)"
 _MAP = f"""
     WITH p AS {_PAGES}, toc AS (SELECT source, ((page - 1) // 10)::INT AS ord, page, max(last) OVER (PARTITION BY source) AS last_page FROM (SELECT *, max(page) OVER (PARTITION BY source) AS last FROM p) WHERE page % 10 = 1),
@@ -208,15 +280,34 @@ def page_span(s, d):
     return chapter_map(s, d).groupBy("source").agg(F.min("start_page").alias("first_page"), F.max("end_page").alias("last_page"))
 
 
-@query(f"SELECT source, page, chr(10) || chr(10) || text || CASE WHEN lead(page) OVER (PARTITION BY source ORDER BY page) IS NULL THEN '' ELSE chr(10) || chr(10) END AS text FROM {_PAGES}")
+@query(f"SELECT source, page, chr(10) || chr(10) || text || CASE WHEN page % 2 = 1 AND lead(page) OVER (PARTITION BY source ORDER BY page) IS NOT NULL THEN chr(10) || chr(10) ELSE '' END AS text FROM {_PAGES}")
 def marked_pages(s, d):
-    """A book of marked pages, cut again at its markers."""
+    """Marked pages, two to a row, cut again at their markers; a whole book never is one row."""
     p = books.book_pages(s, d).select("source", "page", pages.marked(F.col("page"), F.col("text")).alias("t"))
-    book = p.groupBy("source").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "t"))), lambda x: x["t"]), "").alias("md"))
-    return pages.split_marked(book, ["source"], "md")
+    sheet = p.groupBy("source", F.floor((F.col("page") - 1) / 2).alias("sheet")).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", "t"))), lambda x: x["t"]), "").alias("md"))
+    return pages.split_marked(sheet, ["source"], "md")
+
 
+@query(_MAP + """
+    , o AS (SELECT *, ((start_page - 1) // 10)::INT AS ord FROM m),
+    r AS (SELECT *, coalesce(min(ord) FILTER (label = 'Front 1') OVER (PARTITION BY source), 0) AS a, coalesce(min(ord) FILTER (label = 'CHAPTER 2') OVER (PARTITION BY source), 1000000) AS z FROM o)
+    SELECT source, CASE WHEN ord < 2 THEN ord - a - count(*) OVER (PARTITION BY source) ELSE ord - 1 END::INT AS num, label, start_page, end_page FROM r WHERE ord >= a AND ord < z""")
+def toc_slice(s, d):
+    """The map from the second front part to before the second chapter."""
+    return pages.chapter_map(books.book_toc(s, d), ["source"], "last_page", "FRONT 1", "CHAPTER 2")
 
-_HEAD = "trim(substr(text, 1, 60), " + WS + ")"
+
+@query(_MAP + "SELECT * FROM m WHERE num = 2")
+def chapter_of_number(s, d):
+    return schedule.chapter_numbered(chapter_map(s, d), 2)
+
+
+@query(_MAP + "SELECT * FROM m WHERE start_page = 31")
+def chapter_at_place(s, d):
+    return schedule.nth_chapter(chapter_map(s, d), ["source"], ["start_page"], 3)
+
+
+_HEAD = "trim(text, " + WS + ")"
 
 
 @query(rf"""
@@ -224,7 +315,7 @@ _HEAD = "trim(substr(text, 1, 60), " + WS + ")"
     SELECT doc_id, {_TRIM.format("translate(t, '*_`#', '')")} AS title, regexp_replace(lower(translate(t, '*_`#', '')), '[^a-z0-9]', '', 'g') AS key, printf('%03d', (doc_id % 2000)::INT) || '_' || regexp_replace(lower(t), '[^a-z0-9]+', '_', 'g') AS slug,
       substr(regexp_replace(lower(t), '[^a-z0-9]+', '_', 'g'), 1, 40) AS slug_40, printf('%03d', (doc_id % 2000)::INT) || '_' || trim(regexp_replace(lower(t), '[^a-z0-9]+', '_', 'g'), '_') AS slug_trimmed, printf('doc-%05d', doc_id) AS chunk_id FROM x""")
 def slugs(s, d):
-    x = books.table(s, d, "documents").select("doc_id", F.concat(F.lit("**"), F.regexp_replace(F.btrim(F.substring("text", 1, 60), F.lit(" \t\n\r")), "\n", " "), F.lit("**")).alias("t"))
+    x = books.table(s, d, "documents").select("doc_id", F.concat(F.lit("**"), F.regexp_replace(F.btrim("text", F.lit(" \t\n\r")), "\n", " "), F.lit("**")).alias("t"))
     n = (F.col("doc_id") % 2000).cast("int")
     return x.select("doc_id", titles.strip_title(F.col("t")).alias("title"), titles.heading_key(F.col("t")).alias("key"), titles.slug(F.col("t"), n).alias("slug"), titles.slug(F.col("t"), length=40).alias("slug_40"), titles.slug(F.col("t"), n, trimmed=True).alias("slug_trimmed"), titles.chunk_id(F.lit("doc"), F.col("doc_id")).alias("chunk_id"))
 
@@ -241,7 +332,9 @@ def spoken_headers(s, d):
     return m.select("source", "num", "label", titles.spoken_header(F.col("num"), F.col("label"), F.lit("Part")).alias("spoken"), titles.chapter_number(F.col("label")).alias("chapter_no"))
 
 
-@query()
+@query(_MAP + rf"""
+    , o AS (SELECT m.source, num, label, list_filter(list_transform(string_split(label || chr(10) || p.text, chr(10)), lambda x: {_TRIM.format('x')}), lambda x: x <> '') AS ls FROM m JOIN p ON p.source = m.source AND p.page = m.start_page)
+    SELECT source, num, CASE WHEN label LIKE 'CHAPTER%' AND len(ls) > 1 THEN trim(ls[2], ' -–—:') WHEN label LIKE 'CHAPTER%' THEN 'Chapter' || substr(label, 8) ELSE label END AS title FROM o""")
 def page_titles(s, d):
     m, p = chapter_map(s, d), books.book_pages(s, d)
     opening = m.join(p, (m["source"] == p["source"]) & (m["start_page"] == p["page"])).select(m["source"], "num", "label", F.concat_ws("\n", "label", "text").alias("text"))
@@ -304,11 +397,112 @@ def pcm16(s, d):
     return x.select("vec_id", F.col("i").cast("long").alias("i"), audio.to_pcm16(F.col("x").cast("double") * 4).alias("pcm"))
 
 
-@query()
+@query(_segments_sql(180, f"(SELECT conv_id AS doc_id, md AS t FROM {_MD})").replace("SELECT doc_id, para_no::INT AS para_no", ", x AS (SELECT doc_id, para_no::INT AS para_no") + """)
+    SELECT doc_id AS conv_id, (44 + 2 * sum(100 * length(seg) + CASE WHEN ends_paragraph THEN 12000 ELSE 2880 END))::INT AS n_bytes FROM x GROUP BY doc_id""")
 def synthesis(s, d):
     said = audio.synthesise(segments.segments(books.book_markdown(s, d), ["conv_id"], "md", 180), P["bold_single"])
-    wav = books.audio_files(said, ["conv_id"], ["para_no", "seg_no"])
-    return wav.select("conv_id", F.length("wav").alias("n_bytes"), F.sha2("wav", 256).alias("sha"))
+    return books.audio_files(said, ["conv_id"], ["para_no", "seg_no"]).select("conv_id", F.length("wav").alias("n_bytes"))
+
+
+@query("SELECT name, count(*) OVER () AS n FROM (VALUES ('am_adam'), ('am_eric')) v(name)")
+def voices(s, d):
+    """The voices of a prefix, and how many."""
+    names = books.voices(s, ["bf_emma", "am_eric", "am_adam", "af_sky"], "am_")
+    return names.crossJoin(F.broadcast(names.agg(F.count("*").alias("n"))))
+
+
+@query("SELECT r_name, name FROM region, (VALUES ('am_adam'), ('am_eric')) v(name)")
+def voice_samples(s, d):
+    return books.samples(books.table(s, d, "region").select("r_name"), books.voices(s, ["am_eric", "am_adam"]))
+
+
+@query(f"SELECT conv_id, md AS text FROM {_MD}")
+def books_round_trip(s, d):
+    """A text file for every book, read back whole."""
+    at = shared(s, "books")
+    books.write_books(books.book_markdown(s, d), "conv_id", "md", at)
+    return books.read_books(s, at, "conv_id").select(F.col("conv_id").cast("long").alias("conv_id"), "text")
+
+
+@query("SELECT DISTINCT conv_id, 'conv_id=' || conv_id AS folder FROM conversations")
+def listed_books(s, d):
+    """The folders of the books' files, found without reading them."""
+    at = shared(s, "books")
+    books.write_books(books.book_markdown(s, d), "conv_id", "md", at)
+    name = F.element_at(F.split("path", "/"), -2)
+    return books.listing(s, at, "*.txt").select(F.regexp_extract(name, r"(\d+)", 1).cast("long").alias("conv_id"), name.alias("folder")).distinct()
+
+
+@query(f"SELECT conv_id, md AS text FROM {_MD}")
+def whole_files(s, d):
+    at = shared(s, "books")
+    books.write_books(books.book_markdown(s, d), "conv_id", "md", at)
+    return books.whole_texts(s, at).select(F.regexp_extract("path", r"conv_id=(\d+)", 1).cast("long").alias("conv_id"), F.regexp_replace("text", r"\n\z", "").alias("text"))
+
+
+@query(_MAP + "SELECT num, label, label AS title, start_page, end_page FROM m WHERE source = (SELECT min(source) FROM documents)")
+def chapter_map_round_trip(s, d):
+    """One book's chapter map as a JSON array, read back."""
+    at, m = shared(s, "map"), chapter_map(s, d)
+    first = books.table(s, d, "documents").agg(F.min("source").alias("source"))
+    books.write_json_array(m.join(F.broadcast(first), "source").select("num", "label", F.col("label").alias("title"), "start_page", "end_page"), ["start_page"], at)
+    return books.chapter_maps(s, at)
+
+
+@query("SELECT printf('doc-%05d', doc_id) AS id, text, (length(text) // 4)::INT AS n_tokens, source FROM documents")
+def chunks_round_trip(s, d):
+    """Chunks as JSON lines, read back; a column that isn't asked for isn't parsed."""
+    at, docs = shared(s, "chunks"), books.table(s, d, "documents")
+    books.write_chunks(docs.select(titles.chunk_id(F.lit("doc"), F.col("doc_id")).alias("id"), "text", titles.rough_tokens(F.col("text")).cast("int").alias("n_tokens"), F.create_map(F.lit("h1"), F.col("lang")).alias("headers"), "source"), at)
+    return books.chunk_files(s, at, "id string, text string, n_tokens int, source string")
+
+
+@query(f"WITH p AS {_PAGES} SELECT source, page, text FROM p WHERE page BETWEEN 3 AND 6")
+def pages_of_range(s, d):
+    """Books written as files of pages; the pages 3 to 6 of each read back."""
+    at = shared(s, "paged")
+    books.write_books(pages.chapters_from_pages(books.book_pages(s, d).groupBy("source").agg(F.min("page").alias("start_page"), F.max("page").alias("end_page")), books.book_pages(s, d).withColumn("text", F.concat("text", F.lit("\f"))), ["source"]), "source", "body", at)
+    got = books.document_pages(s, at, "*.txt", first=3, last=6)
+    return got.where("page is not null").select(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"), "page", "text")
+
+
+@query(f"SELECT conv_id, md AS merged FROM {_MD}")
+def merged_books(s, d):
+    """Parts of a book, by path, as one text again."""
+    turns = books.table(s, d, "conversations")
+    t = F.concat(F.lit("## **"), F.col("turn").cast("string"), F.lit(". "), F.col("role"), F.lit("**\n\n"), F.col("text"))
+    return books.merged(turns.select("conv_id", F.format_string("%05d.md", "turn").alias("path"), t.alias("t")), ["conv_id"], "path", "t")
+
+
+@query("SELECT conv_id, printf('%05d.wav', turn) AS path, (row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1)::INT AS place, coalesce(sum(length(text)) OVER (PARTITION BY conv_id ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM conversations")
+def merge_manifest(s, d):
+    parts = books.table(s, d, "conversations").select("conv_id", F.format_string("%05d.wav", "turn").alias("path"), F.length("text").alias("n"))
+    return books.manifest(parts, ["conv_id"], "path", "n")
+
+
+@query("SELECT doc_id, doc_id % 7 AS segments, n_chars AS total FROM documents WHERE doc_id % 3 <> 0")
+def checkpoints_that_fit(s, d):
+    docs = books.table(s, d, "documents")
+    noted = docs.select("doc_id", (F.col("doc_id") % 7).alias("segments"), F.col("n_chars").alias("total"))
+    now = docs.select("doc_id", F.when(F.col("doc_id") % 3 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars")).alias("total"))
+    return resume.valid_progress(noted, now, "doc_id")
+
+
+@query("SELECT doc_id, done, n_chars, seconds, CASE WHEN seconds > 0 THEN done / seconds END AS rate, CASE WHEN seconds > 0 AND done > 0 THEN (n_chars - done) / (done / seconds) END AS eta_s FROM (SELECT doc_id, doc_id % 50 AS done, n_chars, doc_id % 5 AS seconds FROM documents)")
+def render_rates(s, d):
+    x = books.table(s, d, "documents").select("doc_id", (F.col("doc_id") % 50).alias("done"), "n_chars", (F.col("doc_id") % 5).alias("seconds"))
+    return resume.rates(x, "done", "n_chars", "seconds")
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 5 > 0 THEN n_chars / 14.0::DOUBLE / (doc_id % 5) END AS factor FROM documents")
+def real_time_factors(s, d):
+    return books.table(s, d, "documents").select("doc_id", schedule.real_time_factor(F.col("n_chars") / F.lit(14.0), F.col("doc_id") % 5).alias("factor"))
+
+
+@query("SELECT doc_id, 'out/' || lower(source) || '_' || doc_id || '.mp4' AS mp4, 'out/' || lower(source) || '_' || doc_id || '.wav' AS wav, 'out/' || lower(source) || '_' || doc_id || '.raw' AS raw, 'out/' || lower(source) || '_' || doc_id || '.idx' AS idx FROM documents")
+def output_paths(s, d):
+    name = F.concat(F.lower("source"), F.lit("_"), F.col("doc_id").cast("string"))
+    return books.table(s, d, "documents").select("doc_id", *titles.output_paths(name, "out"))
 
 
 @query()
@@ -316,15 +510,15 @@ def html_pages(s, d):
     return books.extracted_pages(books.table(s, d, "pages"))
 
 
-@query()
+@query(_segments_sql(280, "(SELECT doc_id, text AS t FROM documents)"))
 def resumed(s, d):
     """A stream of documents rendered to segments, batch by batch."""
-    at = (s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="docflow-")).rstrip("/")
-    at = f"{at}/docflow-stream-{uuid.uuid4().hex}"
-    out = f"{at}/out"
-    docs = books.table(s, d, "documents").select("doc_id", "text")
-    docs.write.mode("overwrite").parquet(f"{at}/in")
-    resume.render(s, f"{at}/in", "doc_id long, text string", out, f"{at}/checkpoint", lambda x: segments.segments(x, ["doc_id"], "text", 280), files_at_once=64)
+    at = shared(s, "stream")
+    source, out = f"{d}/documents.parquet", f"{at}/out"
+    schema = s.read.parquet(source).schema.simpleString()[len("struct<"):-1].replace(":", " ").replace(",", ", ")
+    # A stream reads a folder; a table that is one file is picked out of the folder that holds it.
+    folder, glob = (d, "documents.parquet") if books.listing(s, source, "documents.parquet").limit(1).count() else (source, "*.parquet")
+    resume.render(s, folder, schema, out, f"{at}/checkpoint", lambda x: segments.segments(x, ["doc_id"], "text", 280), files_at_once=64, glob=glob)
     return resume.rendered(s, out)
 
 

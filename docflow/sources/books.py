@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Iterator
 from html import unescape
 
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docflow.functions.audio import wav_bytes
+from docflow.operators.schedule import numbered
 
 CHAPTER_MAP = "num int, label string, title string, start_page int, end_page int"
 
@@ -56,6 +58,31 @@ def samples(texts: DataFrame, voice_names: DataFrame) -> DataFrame:
     return texts.crossJoin(F.broadcast(voice_names))
 
 
+def form_feed_pages(content: bytes) -> list[str]:
+    """Pages of a plain text, divided by form feeds: the extractor used if none is given."""
+    return content.decode("utf-8", "replace").split("\f")
+
+
+def document_pages(spark: SparkSession, path: str, glob: str = "*", extract: Callable[[bytes], list[str]] = form_feed_pages, first: int = 1, last: int | None = None) -> DataFrame:
+    """path, page (from 1) and text of the pages first to last of binary documents; extract gives the pages of one.
+
+    An extractor of another format (a PDF library, say) is a parameter. A document that it can't read has one row with page null
+    and the error; the others are read.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path).select("path", "content")
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            for name, content in zip(p["path"], p["content"]):
+                try:
+                    got = [(name, i, t, None) for i, t in enumerate(extract(bytes(content)), 1) if i >= first and (last is None or i <= last)]
+                except Exception as e:  # noqa: BLE001  one bad document must not end the others
+                    got = [(name, None, None, f"{type(e).__name__}: {e}")]
+                yield pd.DataFrame(got, columns=["path", "page", "text", "error"]).astype({"page": "Int32"})
+
+    return files.mapInPandas(run, "path string, page int, text string, error string")
+
+
 @F.pandas_udf(T.StringType())
 def html_to_markdown(html: pd.Series) -> pd.Series:
     """Headings, paragraphs and line breaks of a page as markdown; scripts, styles and other tags dropped."""
@@ -82,18 +109,32 @@ def write_chunks(chunks: DataFrame, path: str) -> None:
     chunks.write.mode("overwrite").json(path)
 
 
-def write_texts(rows: DataFrame, text: str, path: str) -> None:
-    """One file line group a row, ordered writers' own part files."""
-    rows.select(text).write.mode("overwrite").text(path)
+def write_books(rows: DataFrame, book: str, text: str, path: str) -> None:
+    """One text file for every book (a row each), in a folder named after it."""
+    rows.select(book, text).repartition(book).write.mode("overwrite").partitionBy(book).text(path)
+
+
+def read_books(spark: SparkSession, path: str, book: str) -> DataFrame:
+    """The books that write_books wrote; a file's closing line end isn't part of the text."""
+    return spark.read.text(path, wholetext=True).select(book, F.regexp_replace("value", r"\n\z", "").alias("text"))
 
 
 def write_json(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").json(path)
 
 
+def write_json_array(rows: DataFrame, order: list[str], path: str) -> None:
+    """A small table, as a chapter map of a book is, as one JSON array in order."""
+    names = rows.columns
+    array = F.array_sort(F.collect_list(F.struct(*order, F.struct(*names).alias("row"))))
+    rows.agg(F.to_json(F.transform(array, lambda x: x["row"])).alias("value")).write.mode("overwrite").text(path)
+
+
 def audio_files(segments: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """keys and wav: a chapter's PCM in order, as a WAV file's bytes."""
+    """keys and wav: a chapter's PCM in order, as a WAV file's bytes; a chapter with a failed segment (pcm null) has none."""
     kinds = dict(segments.dtypes)
+    broken = segments.where("pcm is null").select(*keys).distinct()
+    segments = segments.join(broken, keys, "left_anti")
 
     def run(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([[*key, wav_bytes(b"".join(p.sort_values(order)["pcm"]))]], columns=[*keys, "wav"])
@@ -101,31 +142,38 @@ def audio_files(segments: DataFrame, keys: list[str], order: list[str]) -> DataF
     return segments.select(*keys, *order, "pcm").groupBy(*keys).applyInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", wav binary")
 
 
-def merged(parts: DataFrame, book: list[str], order: str, text: str) -> DataFrame:
+def manifest(parts: DataFrame, book: list[str], order: str, size: str) -> DataFrame:
+    """book, order, place (from 0) and start of every part of a book, by path: where it lies in the merged whole."""
+    w = Window.partitionBy(*book).orderBy(order)
+    return parts.select(*book, order, (F.row_number().over(w) - 1).alias("place"), F.coalesce(F.sum(size).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long").alias("start"))
+
+
+def merged(parts: DataFrame, book: list[str], order: str, text: str, between: str = "\n\n") -> DataFrame:
     """A book's parts, by path, as one text."""
-    return parts.groupBy(*book).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text]), "\n\n").alias("merged"))
+    return parts.groupBy(*book).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text]), between).alias("merged"))
 
 
 # The test tables as books.
 
 def book_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """source, page and text: documents of a source in order are a book's pages."""
-    n = F.row_number().over(Window.partitionBy("source").orderBy("doc_id"))
-    return table(spark, sf_dir, "documents").select("source", n.alias("page"), "text")
+    docs = table(spark, sf_dir, "documents")
+    pages = numbered(docs.select("source", "doc_id"), ["source"], ["doc_id"], "page").select("source", "doc_id", (F.col("page") + 1).cast("int").alias("page"))
+    return pages.join(docs.select("doc_id", "text"), "doc_id").select("source", "page", "text")
 
 
 def book_toc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every tenth page starts a chapter; the first two entries have no number."""
-    p = book_pages(spark, sf_dir)
+    p = book_pages(spark, sf_dir).drop("text")
     last = p.groupBy("source").agg(F.max("page").alias("last_page"))
     starts = p.where("page % 10 = 1").select("source", ((F.col("page") - 1) / 10).cast("int").alias("ord"), F.col("page"))
     title = F.when(F.col("ord") < 2, F.concat(F.lit("Front "), F.col("ord").cast("string"))).otherwise(F.concat(F.lit("CHAPTER "), (F.col("ord") - 1).cast("string")))
     return starts.join(last, "source").select("source", "ord", title.alias("title"), "page", "last_page")
 
 
-def book_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+def book_markdown(spark: SparkSession, sf_dir: str, dot: str = ". ") -> DataFrame:
     """conv_id and md: turns under bold numbered headings."""
-    t = F.concat(F.lit("## **"), F.col("turn").cast("string"), F.lit(". "), F.col("role"), F.lit("**\n\n"), F.col("text"))
+    t = F.concat(F.lit("## **"), F.col("turn").cast("string"), F.lit(dot), F.col("role"), F.lit("**\n\n"), F.col("text"))
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", t.alias("t"))
     return turns.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "t"))), lambda x: x["t"]), "\n\n").alias("md"))
 

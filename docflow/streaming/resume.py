@@ -12,13 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def render(spark: SparkSession, source: str, schema: str, out: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame], files_at_once: int = 1) -> None:
+def render(spark: SparkSession, source: str, schema: str, out: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame], files_at_once: int = 1, glob: str = "*.parquet") -> None:
     """Renders what is new under source (Parquet files) to out, and returns when all is done."""
 
     def commit(rows: DataFrame, batch: int) -> None:
         transform(rows).write.mode("overwrite").parquet(f"{out}/batch={batch}")
 
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once).parquet(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_at_once).option("pathGlobFilter", glob).parquet(source)
     stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True).foreachBatch(commit).start().awaitTermination()
 
 

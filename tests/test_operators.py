@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from docflow.functions import audio, clean, titles
 from docflow.operators import chunks, pages, schedule, sections, segments
 from docflow.profiles import PROFILES
+from docflow.sources import books
 from docflow.streaming import resume
 
 
@@ -56,8 +57,8 @@ def test_titles(spark):
 
 
 def test_audio(spark):
-    x = spark.createDataFrame([(v,) for v in (-2.0, -0.99999, 0.5, 1.5)], "x double").select(audio.to_pcm16(F.col("x")).alias("p"))
-    assert [r["p"] for r in x.collect()] == [-32767, -32766, 16383, 32767]
+    x = spark.createDataFrame([(v,) for v in (-2.0, -0.99999, 0.5, 1.5, float("nan"))], "x double").select(audio.to_pcm16(F.col("x")).alias("p"))
+    assert [r["p"] for r in x.collect()] == [-32767, -32766, 16383, 32767, 0]
     calls = []
 
     def voice(texts):
@@ -79,6 +80,75 @@ def test_sections(spark):
     assert [(r["title"], r["body"]) for r in sections.sections(bold, ["k"], "md", "bold").orderBy("num").collect()] == [("A", "x\n## **12**\ny\n## **Notes**\nz"), ("B", "w")]
 
 
+def test_numbers_beyond_an_int(spark):
+    rows = spark.createDataFrame([(1, "## 99999999999. X\na\n## 2. Y\nb")], "k int, md string")
+    assert [(r["num"], r["title"]) for r in sections.sections(rows, ["k"], "md", "numbered").collect()] == [(2, "Y")]
+    assert one(spark, "CHAPTER 99999999999", titles.chapter_number) == 0
+    marked = spark.createDataFrame([(1, "<!--PAGE:99999999999-->x<!--PAGE:2-->y")], "k int, md string")
+    assert [(r["page"], r["text"]) for r in pages.split_marked(marked, ["k"], "md").collect()] == [(None, "x"), (2, "y")]
+
+
+def test_running_titles_and_footers_go(spark):
+    rows = spark.createDataFrame([(1, "# Hackers & Painters\n# Nerds\nbody one\n# ***\n# Nerds\nbody two\n## Other"), (2, "no heading"), (3, "# A")], "k int, md string")
+    got = sections.without_lines(rows, ["k"], "md", sections.elected_titles(rows, ["k"], "md"))
+    assert {r["k"]: r["body"] for r in got.collect()} == {1: "body one\nbody two\n## Other", 2: "no heading", 3: ""}
+
+
+def test_marked_book(spark):
+    md = "x\n## _Note to readers_\nnote\n## Contents\nlist\n## Preface\npreface\n## _Chapter 1_\n## _WhyNerds_\none\n# Why Nerds\n## _Chapter 2_\ntwo\n## Notes\nend"
+    rows = spark.createDataFrame([(1, md), (2, "## Preface\np\n## _Chapter 3_\nc")], "k int, md string")
+    got = {(r["k"], r["num"], r["title"], r["body"]) for r in sections.sections(rows, ["k"], "md", "marked").collect()}
+    assert got == {(1, 0, "Preface", "note\n\npreface"), (1, 1, "Why Nerds", "one"), (1, 2, "Chapter 2", "two"), (2, 3, "Chapter 3", "c")}
+
+
+def test_numbered_over_spans(spark):
+    rows = spark.createDataFrame([(k, i) for k in (1, 2) for i in (5, 70_000, 140_000, -3, 70_001)] + [(1, None)], "k int, i long")
+    got = {(r["k"], r["i"]): r["n"] for r in schedule.numbered(rows, ["k"], ["i"], "n").collect()}
+    assert got == {(1, None): 0} | {(1, x): n + 1 for n, x in enumerate([-3, 5, 70_000, 70_001, 140_000])} | {(2, x): n for n, x in enumerate([-3, 5, 70_000, 70_001, 140_000])}
+
+
+def test_bad_texts_don_t_end_a_chapter(spark):
+    def make():
+        def voice(texts):
+            if any("bad" in t for t in texts):
+                raise RuntimeError("no")
+            return [np.zeros(len(t), np.float32) for t in texts]
+
+        return voice
+
+    rows = spark.createDataFrame([(1, 0, 0, "good", False), (1, 0, 1, "bad", True), (2, 0, 0, "fine", True)], "k int, para_no int, seg_no int, seg string, ends_paragraph boolean").coalesce(1)
+    said = audio.synthesise(rows, PROFILES["numbered_a"], make, tries=2)
+    assert {(r["seg"], r["pcm"] is None, r["error"]) for r in said.collect()} == {("good", False, None), ("bad", True, "RuntimeError: the voice failed"), ("fine", False, None)}
+    assert [(r["k"], r["n_failed"]) for r in audio.failed(said, ["k"]).collect()] == [(1, 1)]
+    assert [r["k"] for r in books.audio_files(said, ["k"], ["para_no", "seg_no"]).collect()] == [2]
+
+
+def test_documents_by_an_extractor(spark, tmp_path):
+    (tmp_path / "a.txt").write_bytes("one\ftwo\fthree".encode())
+    (tmp_path / "b.txt").write_bytes(b"bad")
+
+    def extract(content):
+        if content == b"bad":
+            raise ValueError("not a document")
+        return books.form_feed_pages(content)
+
+    got = {(r["path"][-5:], r["page"], r["text"], r["error"]) for r in books.document_pages(spark, str(tmp_path), "*.txt", extract, first=2).collect()}
+    assert got == {("a.txt", 2, "two", None), ("a.txt", 3, "three", None), ("b.txt", None, None, "ValueError: not a document")}
+    assert books.first_input(spark, str(tmp_path), "*.txt").endswith("a.txt") and books.first_input(spark, str(tmp_path), "*.txt", "x") == "x"
+
+
+def test_html(spark):
+    page = "<html><script>x</script><h2>Title &amp; more</h2><p>One<br>two</p><!-- c --><div>three</div></html>"
+    assert one(spark, page, books.html_to_markdown) == "## Title & more\n\nOne\ntwo\n\nthree"
+
+
+def test_overlap_of_chunks():
+    text = " ".join(f"w{i}" for i in range(200))
+    got = chunks.split_tokens(text, 30, 10, lambda t: len(t.split()))
+    for a, b in zip(got, got[1:]):
+        assert b.split()[:10] == a.split()[-10:]
+
+
 def test_headings_reset(spark):
     rows = spark.createDataFrame([(1, "# A\nx\n## B\ny\n# C\nz")], "k int, md string")
     assert [(r["h1"], r["h2"]) for r in sections.carried_headings(rows, ["k"], "md").orderBy("sec_no").collect()] == [("A", None), ("A", "B"), ("C", None)]
