@@ -216,7 +216,9 @@ def test_components_of_no_edges(spark):
     assert {(r["node"], r["label"]) for r in components.components(loops).collect()} == {(4, 4), (5, 4)}
 
 
-def test_components(spark):
+@pytest.mark.parametrize("one", [200_000, 0])
+def test_components(spark, monkeypatch, one):
+    monkeypatch.setattr(components, "ONE_TASK", one)
     edges = [(i, i + 1) for i in range(30)] + [(100, 50), (50, 70), (200, 201)]
     got = {r["node"]: r["label"] for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(31)} | {100: 50, 50: 50, 70: 50, 200: 200, 201: 200}
