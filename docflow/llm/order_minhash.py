@@ -224,7 +224,7 @@ def _bit_rows(bits: list[bytes], size: int) -> np.ndarray:
 
 
 CELL_KEY = ["s", "entry", "i", "j"]
-CELL_ROW = [*CELL_KEY, "own", "node", "label", "n", "bits"]
+CELL_ROW = [*CELL_KEY, "own", "node", "label", "n", "bits", "before"]
 
 
 @tidy
@@ -236,6 +236,7 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows.sort(key=lambda r: r[7])  # by words: texts of like size together, so that little is folded and lengths rule out whole runs
         own, node, label, n = (np.array([r[c] for r in rows], np.int64) for c in range(4, 8))
         longest = np.floor(n / SIMILARITY * (1 + 1e-9)) + 1  # of a text that can be similar to one of n words
+        before = np.array([r[9] for r in rows], np.int64).reshape(len(rows), -1)
         a = 0
         while a < len(rows):
             size = len(rows[a][8])
@@ -252,6 +253,10 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if a == b:
                     ok = np.triu(ok, 1)
                 p, q = np.nonzero(ok)
+                # A pair that shares an entry of a sketch before this one is found there: that entry holds both, so it is mixed.
+                one, two = before[u][p], before[v][q]
+                new = ~((one == two) & (one != 0)).any(1)
+                p, q = p[new], q[new]
                 if p.size:
                     one, two = node[u][p], node[v][q]
                     found = pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(lack[p, q].astype(np.int64))], names=["a", "b", "lack"])
@@ -277,7 +282,7 @@ def searched(mixed: DataFrame, nodes: DataFrame) -> DataFrame:
     at = mixed.join(parts, key).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     at = at.select(*key, "node", "label", "n", "own", other).select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    cells = at.join(nodes.select("node", "bits"), "node").select(*CELL_ROW)
+    cells = at.join(nodes.select("node", "bits", "entries"), "node").withColumn("before", F.slice("entries", F.lit(1), F.col("s"))).select(*CELL_ROW)
     pairs = cells.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY).mapInArrow(_search, "a long, b long, lack long")
     return pairs.groupBy("a", "b").agg(F.min("lack").alias("lack"))
 
