@@ -215,7 +215,7 @@ def _halves(rows: DataFrame, window: int) -> DataFrame:
 
 def _over_full(rows: DataFrame) -> DataFrame | None:
     """The keys of more than GROUP_MOST rows, if any."""
-    crowd = rows.groupBy("key").count().where(F.col("count") > GROUP_MOST).select("key")
+    crowd = written(rows.groupBy("key").count().where(F.col("count") > GROUP_MOST).select("key"), "crowd")
     return crowd if crowd.limit(1).count() else None
 
 
@@ -247,16 +247,17 @@ def solved(rows: DataFrame, spec: Spec) -> DataFrame:
 def repeat_spans(base: DataFrame, spec: Spec) -> DataFrame:
     """doc, th, a, b: spans of base (doc_id, text, th) that an earlier place repeats, each at least a window long."""
     found = written(repeated(base, spec), "anchors")
-    asked = found.where("request").select("key", "doc", "th", "a", "b")
     told = found.where("not request").select("doc", "th", "a", "b")
-    crowd = _over_full(asked)
+    # Written, so that the texts are shuffled once for the contexts of all keys, over-full ones too.
+    rows = written(contexts(base, found.where("request").select("key", "doc", "th", "a", "b")), "contexts")
+    crowd = _over_full(rows)
     if crowd is None:
-        return told.unionByName(solved(contexts(base, asked), spec))
-    more, parts = split(contexts(base, asked.join(crowd, "key", "left_semi")), spec)
-    for rows in [contexts(base, asked.join(crowd, "key", "left_anti")), *parts]:
-        told = told.unionByName(solved(rows, spec))
-    for rows in more:
-        told = told.unionByName(rows)
+        return told.unionByName(solved(rows, spec))
+    more, parts = split(rows.join(crowd, "key", "left_semi"), spec)
+    for part in [rows.join(crowd, "key", "left_anti"), *parts]:
+        told = told.unionByName(solved(part, spec))
+    for part in more:
+        told = told.unionByName(part)
     return told
 
 
