@@ -295,9 +295,15 @@ def labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The linked pairs (a, b) among pairs; texts (node, text) has every node once."""
-    one = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("ta")), "a")
-    two = one.join(texts.select(F.col("node").alias("b"), F.col("text").alias("tb")), "b")
+    """The linked pairs (a, b) among pairs (a written table); texts (node, text) has every node once.
+
+    Only texts of pairs go on; where the pairs are few by Spark's size check, others aren't shuffled.
+    """
+
+    def asked(x: str) -> DataFrame:
+        return texts.select(F.col("node").alias(x), F.col("text").alias(f"t{x}")).join(pairs.select(x), x, "left_semi")
+
+    two = pairs.join(asked("a"), "a").join(asked("b"), "b")
     return two.select("a", "b", "ta", "tb").mapInArrow(_verify, "a long, b long")
 
 
@@ -363,8 +369,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     now = labelled(rest, labels).groupBy(F.least("la", "lb"), F.greatest("la", "lb")).agg(F.min_by(F.struct("a", "b"), "lack").alias("p"))
     now = written(now.select("p.a", "p.b"), "pairs")
     links, labels = _linked(now, texts, links, labels)
-    last = labelled(rest.join(now, ["a", "b"], "left_anti"), labels)
-    links, labels = _linked(last.select("a", "b"), texts, links, labels)
+    last = written(labelled(rest.join(now, ["a", "b"], "left_anti"), labels).select("a", "b"), "pairs")
+    links, labels = _linked(last, texts, links, labels)
     members = base.select("doc_id", "h1", "h2").join(nodes.select("h1", "h2", "node"), ["h1", "h2"], "left").join(labels, "node", "left")
     members = members.select("doc_id", F.coalesce("label", "node").alias("label"), "h1")
     if sole:
