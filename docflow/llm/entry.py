@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 import public_tokenizers
 
-from . import bpe, decontam, langid, multi_index, order_minhash, repeats, sharding, substring, token_files, toxicity
+from . import bpe, decontam, importance, langid, multi_index, order_minhash, repeats, sharding, substring, token_files, toxicity
 from .common import table
 
 
@@ -49,8 +49,12 @@ def op10_distinct_word_bpe(spark, sf_dir):
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op13_hashed_importance(spark, sf_dir):
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries():
-    own = (op1_order_minhash, op2_inverted_multi_index, op3_suffix_array_dedup, op4_ordinal_toxicity, op5_vector_bin_packing, op6_template_decontamination, op7_bit_plane_tokens, op8_word_first_language, op9_doubling_substring_dedup, op10_distinct_word_bpe)
+    own = (op1_order_minhash, op2_inverted_multi_index, op3_suffix_array_dedup, op4_ordinal_toxicity, op5_vector_bin_packing, op6_template_decontamination, op7_bit_plane_tokens, op8_word_first_language, op9_doubling_substring_dedup, op10_distinct_word_bpe, op13_hashed_importance)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
@@ -176,6 +180,43 @@ WHERE n_matched >= ceil(n_windows * 0.5) OR n_matched >= 13
 """
 
 
+#: CRC-32 of the bytes of x, by the polynomial's table t of 256 numbers (tab).
+CRC_TABLE_SQL = "SELECT list(c ORDER BY i) AS t FROM (SELECT i, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i::BIGINT) AS c FROM range(256) r(i))"
+
+
+def _crc_sql(x):
+    return f"xor(list_reduce(list_transform(range(1, 2 * octet_length(encode({x})), 2), lambda i: ('0x' || substr(hex(encode({x})), i, 2))::BIGINT), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT), 4294967295)"
+
+
+def op13_sql():
+    def words(table_):
+        return rf"SELECT *, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {table_}"
+
+    def grams(source, key):
+        return f"SELECT {key}, unnest(w || list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS f FROM {source}"
+
+    return f"""
+WITH tab AS ({CRC_TABLE_SQL}), d AS ({words("documents")}), b AS ({words("benchmark")}),
+df AS ({grams("d", "doc_id")}), bf AS ({grams("b", "item_id")}),
+hashed AS (SELECT f, {_crc_sql("f")} % 10000 AS bucket FROM (SELECT f FROM df UNION SELECT f FROM bf), tab),
+s AS (SELECT bucket, count(*) AS s FROM df JOIN hashed USING (f) GROUP BY bucket),
+tt AS (SELECT bucket, count(*) AS t FROM bf JOIN hashed USING (f) GROUP BY bucket),
+gain AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT count(*) FROM df) + 10000)::DOUBLE / ((s + 1)::DOUBLE * ((SELECT count(*) FROM bf) + 10000)::DOUBLE)))::BIGINT AS g
+  FROM s LEFT JOIN tt USING (bucket)
+),
+weighed AS (SELECT doc_id, count(*) AS n_features, floor(sum(g)::DOUBLE / count(*))::BIGINT AS weight FROM df JOIN hashed USING (f) JOIN gain USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, len(w) >= 20 AS long,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN weighed USING (doc_id)
+),
+drawn AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place FROM scored WHERE long)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN place <= 25 * (SELECT count(*) FROM scored WHERE long) // 100 THEN place END AS rank
+FROM scored LEFT JOIN drawn USING (doc_id)
+"""
+
+
 def oracle_sql():
-    own = {"op3_suffix_array_dedup": OP3_SQL, "op6_template_decontamination": op6_sql(), "op9_doubling_substring_dedup": OP9_SQL}
+    own = {"op13_hashed_importance": op13_sql(), "op3_suffix_array_dedup": OP3_SQL, "op6_template_decontamination": op6_sql(), "op9_doubling_substring_dedup": OP9_SQL}
     return own | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -2,8 +2,11 @@
 
 import base64
 import hashlib
+import math
 import random
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
@@ -11,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from docflow.llm import bpe, components, decontam, entry, langid, multi_index, order_minhash, repeats, sharding, substring, token_files, toxicity
+from docflow.llm import bpe, components, decontam, entry, importance, langid, multi_index, order_minhash, repeats, sharding, substring, token_files, toxicity
 
 D = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, th long, key string, label int, _a string, h1 int, a int, w string, hash long, node long, number int, _h int, _id int, _n int, h int, id int, least int, n int, c0 int"
@@ -600,3 +603,39 @@ def test_op8_words_that_never_repeat_teach(spark):
     model = langid.train(spark.createDataFrame(docs[:40], "doc_id long, text string, lang string"))
     got = {r["doc_id"]: r["lang_pred"] for r in langid.predict(spark.createDataFrame(docs[40:], "doc_id long, text string, lang string"), model).collect()}
     assert got == {i: lang for i, _, lang in docs[40:]}
+
+
+def plain_importance(docs, target):
+    def grams(t):
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+        return len(w), [zlib.crc32(x.encode()) % 10_000 for x in w + [f"{a} {b}" for a, b in zip(w, w[1:])]]
+
+    own, s, t = [(i, *grams(x)) for i, x in docs], Counter(), Counter()
+    for _, _, g in own:
+        s.update(g)
+    for _, x in target:
+        t.update(grams(x)[1])
+    S, T = sum(s.values()), sum(t.values())
+    gain = {b: math.floor(1000 * math.log((t[b] + 1) * (S + 10_000) / ((s[b] + 1) * (T + 10_000)))) for b in s}
+    rows = []
+    for i, n, g in own:
+        h = int(hashlib.sha256(f"7:{'' if i is None else i}".encode()).hexdigest()[:8], 16)
+        w = sum(gain[b] for b in g) // len(g) if g else 0
+        rows.append((i, n, len(g), w, w + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))))
+    best = sorted((r for r in rows if r[1] >= 20), key=lambda r: (-r[4], r[0]))
+    rank = {r[0]: k for k, r in enumerate(best[: 25 * len(best) // 100], 1)}
+    return sorted((i, g, w, x, rank.get(i)) for i, _, g, w, x in rows)
+
+
+def test_importance_against_plain(spark):
+    rng, target = random.Random(3), [(1, "aé B c d word one"), (2, None), (3, "x" * 70 + " tail x")]
+    docs = corpus(11) + [(100 + i, t) for i, t in enumerate(["", None, "x" * 70, "x" * 70 + " " + "Y" * 90 + " y", "É Ａ a1b2\x00c_d", "one\tWORD one"])]
+    docs += [(200 + i, "copy of one text " * 8) for i in range(40)] + [(300 + i, " ".join(rng.choice("abcdefgh") * rng.randint(1, 80) for _ in range(50))) for i in range(20)]
+    got = importance.resample(spark.createDataFrame(docs, "doc_id long, text string").repartition(5), spark.createDataFrame(target, "item_id long, text string"))
+    assert sorted(tuple(r) for r in got.collect()) == plain_importance(docs, target)
+
+
+def test_importance_of_nothing(spark, odd, none, bench):
+    assert importance.resample(none, bench).collect() == []
+    got = importance.resample(odd, bench.limit(0)).collect()
+    assert len(got) == len(ODD) and {r["weight"] for r in got if r["doc_id"] in (1, 2, 3)} == {0}
