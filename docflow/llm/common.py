@@ -10,7 +10,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that the vectorised scans take at a time; one longer text makes a block of its own.
@@ -46,6 +46,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def joined(rows: DataFrame, facts: DataFrame, keys: list[str], hot: Column) -> DataFrame:
+    """rows with the one row of facts that agrees in keys (rows without any go).
+
+    hot must hold for a bounded number of facts, those with many rows: these are broadcast, so that their rows needn't meet in
+    one task; the others are joined by a shuffle.
+    """
+    few = F.broadcast(facts.where(hot))
+    return rows.join(few, keys).unionByName(rows.join(few.select(*keys), keys, "left_anti").join(facts.where(~hot), keys))
+
+
 def n_partitions(df: DataFrame) -> int:
     """Partitions for a shuffle of df: as many as the session asks for, more where the files read are large."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()

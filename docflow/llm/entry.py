@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 import public_tokenizers
 
-from . import bpe, decontam, importance, langid, multi_index, order_minhash, repeats, sharding, substring, token_files, toxicity
+from . import bpe, decontam, importance, langid, multi_index, order_minhash, prefix_trie, repeats, sharding, substring, token_files, toxicity
 from .common import table
 
 
@@ -49,12 +49,16 @@ def op10_distinct_word_bpe(spark, sf_dir):
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op12_prefix_doubling_trie(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_hashed_importance(spark, sf_dir):
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def queries():
-    own = (op1_order_minhash, op2_inverted_multi_index, op3_suffix_array_dedup, op4_ordinal_toxicity, op5_vector_bin_packing, op6_template_decontamination, op7_bit_plane_tokens, op8_word_first_language, op9_doubling_substring_dedup, op10_distinct_word_bpe, op13_hashed_importance)
+    own = (op1_order_minhash, op2_inverted_multi_index, op3_suffix_array_dedup, op4_ordinal_toxicity, op5_vector_bin_packing, op6_template_decontamination, op7_bit_plane_tokens, op8_word_first_language, op9_doubling_substring_dedup, op10_distinct_word_bpe, op12_prefix_doubling_trie, op13_hashed_importance)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
@@ -188,6 +192,36 @@ def _crc_sql(x):
     return f"xor(list_reduce(list_transform(range(1, 2 * octet_length(encode({x})), 2), lambda i: ('0x' || substr(hex(encode({x})), i, 2))::BIGINT), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT), 4294967295)"
 
 
+def op12_sql():
+    return f"""
+WITH tab AS ({CRC_TABLE_SQL}), r AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL
+), t AS (
+  SELECT conv_id, octet_length(encode(text)) AS b, sha256(length(role) || ':' || role || text) AS x, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(length(role) || ':' || role || text)) - 1 AS place FROM r
+), i AS (
+  SELECT conv_id, n, h, conv_id - conv_id % 5 AS base FROM (SELECT conv_id, n, {_crc_sql("conv_id::VARCHAR")} % 9 AS h FROM (SELECT conv_id, count(*) AS n FROM t GROUP BY conv_id), tab)
+), g AS (
+  SELECT i.*, least(i.h, coalesce(o.n, 0)) AS taken FROM i LEFT JOIN i o ON o.conv_id = i.base
+), re AS (
+  SELECT g.conv_id, place, x, b FROM g JOIN t ON t.conv_id = g.base AND place < h UNION ALL SELECT conv_id, place - h + taken, x, b FROM g JOIN t USING (conv_id) WHERE place >= h
+), ls AS (
+  SELECT g.conv_id, coalesce(list(x ORDER BY place) FILTER (x IS NOT NULL), []) AS xs, coalesce(list(b ORDER BY place) FILTER (x IS NOT NULL), []) AS bs FROM g LEFT JOIN re USING (conv_id) GROUP BY g.conv_id
+), pre AS (
+  SELECT conv_id, d, len(xs) AS size, md5(array_to_string(xs[1:d], ' ')) AS k, CASE WHEN d > 0 THEN bs[d] ELSE 0 END AS b FROM (SELECT *, unnest(range(len(xs) + 1)) AS d FROM ls)
+), node AS (
+  SELECT d, k, min(conv_id) AS owner, count(*) AS n, any_value(b) AS b, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (d = size), '')) AS e FROM pre GROUP BY d, k
+), up AS (
+  SELECT node.*, o.k AS pk, o.d AS pd FROM node LEFT JOIN pre o ON o.conv_id = node.owner AND o.d = node.d - 1
+), kids AS (
+  SELECT pd AS d, pk AS k, count(*) AS n_children FROM up WHERE pk IS NOT NULL GROUP BY ALL
+), below AS (
+  SELECT p.d, p.k, count(*) FILTER (kids.k IS NULL) AS n_leaves, sum((node.n - 1) * node.b) AS saved FROM node LEFT JOIN kids USING (d, k) JOIN pre p ON p.conv_id = node.owner AND p.d <= node.d GROUP BY ALL
+)
+SELECT up.owner AS conv_id, up.d::BIGINT AS depth, o.owner AS parent_conv_id, up.n AS n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved::BIGINT AS saved_tokens, up.e AS ends_sha256
+FROM up LEFT JOIN kids USING (d, k) JOIN below USING (d, k) LEFT JOIN node o ON o.d = up.pd AND o.k = up.pk
+"""
+
+
 def op13_sql():
     def words(table_):
         return rf"SELECT *, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {table_}"
@@ -218,5 +252,5 @@ FROM scored LEFT JOIN drawn USING (doc_id)
 
 
 def oracle_sql():
-    own = {"op13_hashed_importance": op13_sql(), "op3_suffix_array_dedup": OP3_SQL, "op6_template_decontamination": op6_sql(), "op9_doubling_substring_dedup": OP9_SQL}
+    own = {"op12_prefix_doubling_trie": op12_sql(), "op13_hashed_importance": op13_sql(), "op3_suffix_array_dedup": OP3_SQL, "op6_template_decontamination": op6_sql(), "op9_doubling_substring_dedup": OP9_SQL}
     return own | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from docflow.operators.running import running
 
-from .common import in_rows, pieces, text_blocks, tidy, written
+from .common import in_rows, joined, pieces, text_blocks, tidy, written
 
 BUCKETS, LEAST_WORDS, PERCENT, SEED = 10_000, 20, 25, 7
 #: Words up to this many bytes are hashed together, longer ones one by one.
@@ -189,12 +189,10 @@ def resample(docs: DataFrame, target: DataFrame, buckets: int = BUCKETS, least_w
     weights = written(own.mapInArrow(tidy(_weighed(gain)), "m long, key binary, n_words long, n_features long, weight long"), "weights")
     n = weights.agg(F.sum("m").alias("all"), F.sum(F.when(F.col("n_words") >= least_words, F.col("m"))).alias("long")).first()
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256)).alias("key"))
-    hot = F.col("m") > (n["all"] or 0) / 1000
-    few = F.broadcast(weights.where(hot).drop("m"))  # at most a thousand
-    rows = ids.join(few, "key").unionByName(ids.join(few, "key", "left_anti").join(weights.where(~hot).drop("m"), "key"))
+    rows = joined(ids, weights, ["key"], F.col("m") > (n["all"] or 0) / 1000)
     h = F.conv(F.substring(F.sha2(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 256), 1, 8), 16, 10).cast("long")
     noise = F.floor(F.lit(-1000.0) * F.log(-F.log((h + F.lit(0.5)) / F.lit(4294967296.0))))
     rows = rows.select("doc_id", "n_features", "weight", (F.col("weight") + noise).alias("score"), (F.col("n_words") >= least_words).alias("long"))
-    placed = running(rows, ["long"], [F.desc("score"), F.asc_nulls_first("doc_id")], name="place")
+    placed = running(rows, ["long"], [F.desc("score"), F.asc_nulls_first("doc_id")], {"place": None})
     rank = F.when(F.col("long") & (F.col("place") < percent * (n["long"] or 0) // 100), F.col("place") + 1)
     return placed.select("doc_id", "n_features", "weight", "score", rank.cast("long").alias("rank"))

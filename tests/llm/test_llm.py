@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from docflow.llm import bpe, components, decontam, entry, importance, langid, multi_index, order_minhash, repeats, sharding, substring, token_files, toxicity
+from docflow.llm import bpe, components, decontam, entry, importance, langid, multi_index, order_minhash, prefix_trie, repeats, sharding, substring, token_files, toxicity
 
 D = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, th long, key string, label int, _a string, h1 int, a int, w string, hash long, node long, number int, _h int, _id int, _n int, h int, id int, least int, n int, c0 int"
@@ -639,3 +639,47 @@ def test_importance_of_nothing(spark, odd, none, bench):
     assert importance.resample(none, bench).collect() == []
     got = importance.resample(odd, bench.limit(0)).collect()
     assert len(got) == len(ODD) and {r["weight"] for r in got if r["doc_id"] in (1, 2, 3)} == {0}
+
+
+def plain_trie(rows):
+    own = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            own.setdefault(c, []).append((turn is not None, turn or 0, hashlib.sha256(f"{len(role or '')}:{role or ''}{text or ''}".encode()).digest(), (role or "", text or "")))
+    own = {c: [x[-1] for x in sorted(v)] for c, v in own.items()}
+    whole = {c: own.get(c - int(math.fmod(c, 5)), [])[: (h := zlib.crc32(str(c).encode()) % 9)] + v[h:] for c, v in own.items()}
+    members = {}
+    for c, v in whole.items():
+        for d in range(len(v) + 1):
+            members.setdefault(tuple(v[:d]), []).append(c)
+    kids = Counter(k[:-1] for k in members if k)
+    saved, leaves = Counter(), Counter()
+    for k, m in members.items():
+        for d in range(len(k) + 1):
+            saved[k[:d]] += (len(m) - 1) * len(k[-1][1].encode()) if k else 0
+            leaves[k[:d]] += kids[k] == 0
+    return sorted(
+        (min(m), len(k), min(members[k[:-1]]) if k else None, len(m), kids[k], leaves[k], saved[k], hashlib.sha256(",".join(str(c) for c in sorted(m) if len(whole[c]) == len(k)).encode()).hexdigest()) for k, m in members.items()
+    )
+
+
+def test_trie_against_plain(spark):
+    rng, rows = random.Random(5), []
+    for c in rng.sample(range(400), 120):
+        same = rng.random() < 0.4
+        for t in range(rng.choice([1, 2, 3, 8, 9, 15, 30])):
+            rows.append((c, t, "user" if t % 2 else None, "the same" if same else rng.choice(["é one", "two", None, "", "three"])))
+    rows += [(c, t, "user", "hi") for c in (1000, 1001, 1002, 1003, 1004, 2001, 2002) for t in range(c % 3 + 1)]
+    rows += [(500, None, "a", "null turn"), (500, None, "b", "null turn"), (500, 3, "a", "x"), (500, 3, "a", "x"), (500, -1, "a", "y"), (None, 1, "a", "lost"), (-7, 0, "a", "minus"), (-5, 0, "a", "base"), (3, 1 << 40, "z", "far")]
+    rows += [(700, t, "r", f"turn {t % 3}") for t in range(300)] + [(701, t, "r", f"turn {t % 3}") for t in range(290)]
+    rng.shuffle(rows)
+    table = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], "conv_id long, turn long, role string, text string, size long, name string, depth int")
+    assert sorted((tuple(r) for r in prefix_trie.trie(table.repartition(6)).collect()), key=str) == sorted(plain_trie(rows), key=str)
+
+
+def test_trie_of_nothing(spark):
+    rows = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert prefix_trie.trie(rows).collect() == []
+    c = next(c for c in range(1, 99) if c % 5 and zlib.crc32(str(c).encode()) % 9 > 1)
+    got = prefix_trie.trie(spark.createDataFrame([(c, 0, "a", "b")], rows.schema)).collect()  # its head is that of an absent conversation
+    assert [tuple(r) for r in got] == [(c, 0, None, 1, 0, 1, 0, hashlib.sha256(str(c).encode()).hexdigest())]
