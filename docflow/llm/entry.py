@@ -5,7 +5,7 @@ from __future__ import annotations
 import corpus_pipeline
 import public_tokenizers
 
-from . import bpe, decontam, importance, langid, multi_index, order_minhash, prefix_trie, repeats, sharding, substring, token_files, toxicity
+from . import bpe, decontam, euclid_lsh, importance, langid, multi_index, order_minhash, prefix_trie, repeats, sharding, substring, token_files, toxicity
 from .common import table
 
 
@@ -49,6 +49,10 @@ def op10_distinct_word_bpe(spark, sf_dir):
     return bpe.encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_p_stable_near_dedup(spark, sf_dir):
+    return euclid_lsh.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op12_prefix_doubling_trie(spark, sf_dir):
     return prefix_trie.trie(table(spark, sf_dir, "conversations"))
 
@@ -58,7 +62,7 @@ def op13_hashed_importance(spark, sf_dir):
 
 
 def queries():
-    own = (op1_order_minhash, op2_inverted_multi_index, op3_suffix_array_dedup, op4_ordinal_toxicity, op5_vector_bin_packing, op6_template_decontamination, op7_bit_plane_tokens, op8_word_first_language, op9_doubling_substring_dedup, op10_distinct_word_bpe, op12_prefix_doubling_trie, op13_hashed_importance)
+    own = (op1_order_minhash, op2_inverted_multi_index, op3_suffix_array_dedup, op4_ordinal_toxicity, op5_vector_bin_packing, op6_template_decontamination, op7_bit_plane_tokens, op8_word_first_language, op9_doubling_substring_dedup, op10_distinct_word_bpe, op11_p_stable_near_dedup, op12_prefix_doubling_trie, op13_hashed_importance)
     return {f.__name__: f for f in own} | {"pipeline": corpus_pipeline.run}
 
 
@@ -192,6 +196,20 @@ def _crc_sql(x):
     return f"xor(list_reduce(list_transform(range(1, 2 * octet_length(encode({x})), 2), lambda i: ('0x' || substr(hex(encode({x})), i, 2))::BIGINT), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8), 4294967295::BIGINT), 4294967295)"
 
 
+OP11_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS x FROM embeddings WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE list_cosine_similarity(a.x, b.x) >= 0.95
+), reach AS (
+  SELECT a, b FROM link UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a
+), of AS (
+  SELECT vec_id, (SELECT count(*) FROM link WHERE a = vec_id) AS n_links, least(vec_id, coalesce((SELECT min(b) FROM reach WHERE a = vec_id), vec_id)) AS component_id FROM embeddings
+)
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM of
+"""
+
+
 def op12_sql():
     return f"""
 WITH tab AS ({CRC_TABLE_SQL}), r AS (
@@ -252,5 +270,5 @@ FROM scored LEFT JOIN drawn USING (doc_id)
 
 
 def oracle_sql():
-    own = {"op12_prefix_doubling_trie": op12_sql(), "op13_hashed_importance": op13_sql(), "op3_suffix_array_dedup": OP3_SQL, "op6_template_decontamination": op6_sql(), "op9_doubling_substring_dedup": OP9_SQL}
+    own = {"op11_p_stable_near_dedup": OP11_SQL, "op12_prefix_doubling_trie": op12_sql(), "op13_hashed_importance": op13_sql(), "op3_suffix_array_dedup": OP3_SQL, "op6_template_decontamination": op6_sql(), "op9_doubling_substring_dedup": OP9_SQL}
     return own | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

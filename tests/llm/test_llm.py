@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from docflow.llm import bpe, components, decontam, entry, importance, langid, multi_index, order_minhash, prefix_trie, repeats, sharding, substring, token_files, toxicity
+from docflow.llm import bpe, components, decontam, entry, euclid_lsh, importance, langid, multi_index, order_minhash, prefix_trie, repeats, sharding, substring, token_files, toxicity
 
 D = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, th long, key string, label int, _a string, h1 int, a int, w string, hash long, node long, number int, _h int, _id int, _n int, h int, id int, least int, n int, c0 int"
@@ -683,3 +683,72 @@ def test_trie_of_nothing(spark):
     c = next(c for c in range(1, 99) if c % 5 and zlib.crc32(str(c).encode()) % 9 > 1)
     got = prefix_trie.trie(spark.createDataFrame([(c, 0, "a", "b")], rows.schema)).collect()  # its head is that of an absent conversation
     assert [tuple(r) for r in got] == [(c, 0, None, 1, 0, 1, 0, hashlib.sha256(str(c).encode()).hexdigest())]
+
+
+def plain_links(rows, least=0.95):
+    """n_links and component of (vec_id, vector) rows that take part."""
+    ids, x = [i for i, _ in rows], np.array([v for _, v in rows], float)
+    x /= np.abs(x).max(1, keepdims=True)
+    x /= np.sqrt((x * x).sum(1))[:, None]
+    near = x @ x.T >= least
+    np.fill_diagonal(near, False)
+    up = {i: i for i in ids}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for a, b in zip(*np.nonzero(near)):
+        u, v = root(ids[a]), root(ids[b])
+        up[max(u, v)] = min(u, v)
+    return {i: (int(n), root(i), root(i) == i) for i, n in zip(ids, near.sum(1))}
+
+
+def spread_vectors(seed, size=24):
+    """Groups around centres, tight and wide, a chain of neighbours that link pairwise only, equal vectors and lone ones."""
+    rng, out = np.random.default_rng(seed), []
+
+    def around(c, noise, n):
+        out.extend(c + noise * rng.standard_normal(size) for _ in range(n))
+
+    for noise, n in ((0.01, 700), (0.04, 60), (0.055, 60), (0.07, 40)):
+        c = rng.standard_normal(size)
+        around(c / np.sqrt(c @ c), noise, n)
+    a, b = np.linalg.qr(rng.standard_normal((size, 2)))[0].T
+    out += [np.cos(t) * a + np.sin(t) * b for t in np.arange(0, 3, 0.2)]
+    out += [out[0]] * 50 + [3 * out[1], 1e200 * out[2], 1e-200 * out[3]]
+    around(np.zeros(size), 1, 400)
+    return [(int(i) - 50, [float(y) for y in x]) for i, x in zip(rng.permutation(len(out)), out)]
+
+
+@pytest.mark.parametrize("cells, members", [(512, 256), (2, 7)])
+def test_p_stable_links_against_plain(spark, monkeypatch, cells, members):
+    monkeypatch.setattr(euclid_lsh, "CELLS", cells)
+    monkeypatch.setattr(euclid_lsh, "MEMBERS", members)
+    rows = spread_vectors(3)
+    got = euclid_lsh.near_duplicates(spark.createDataFrame([(*r, 1, 2, "x") for r in rows], "vec_id long, embedding array<double>, label int, size int, cell string").repartition(3))
+    got, want = {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got.collect()}, plain_links(rows)
+    assert {i: x[1:] for i, x in got.items()} == {i: x[1:] for i, x in want.items()}
+    # Hundreds of pairs lie at the threshold, where one in ten thousand may be missed; none is made up.
+    assert all(got[i][0] <= want[i][0] for i in want) and sum(want[i][0] - got[i][0] for i in want) <= 2
+
+
+def test_p_stable_recall_at_the_threshold(spark):
+    rng = np.random.default_rng(9)
+    rows = []
+    for i in range(400):  # pairs at a cosine of 0.9501
+        a, b = np.linalg.qr(rng.standard_normal((32, 2)))[0].T
+        rows += [(2 * i, a.tolist()), (2 * i + 1, (0.9501 * a + np.sqrt(1 - 0.9501**2) * b).tolist())]
+    got = euclid_lsh.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert got.where("n_links > 0").count() >= 0.99 * 800
+
+
+def test_p_stable_odd_vectors(spark):
+    schema = "vec_id long, embedding array<float>"
+    good = [0.5, 0.25, -1.0, 2.0]
+    rows = [(1, good), (2, good), (2, good), (3, None), (4, [0.0] * 4), (5, [1.0, None, 2.0, 3.0]), (6, [float("nan"), 1.0, 1.0, 1.0]), (7, [float("inf"), 1.0, 1.0, 1.0]), (8, [1.0]), (None, good), (9, []), (10, [-x for x in good])]
+    got = [tuple(r) for r in euclid_lsh.near_duplicates(spark.createDataFrame(rows, schema)).collect()]
+    assert sorted(got, key=str) == sorted([(1, 1, 1, True), (2, 1, 1, False), (2, 1, 1, False), (None, 0, None, True), *((i, 0, i, True) for i in (3, 4, 5, 6, 7, 8, 9, 10))], key=str)
+    assert euclid_lsh.near_duplicates(spark.createDataFrame([], schema)).collect() == []
+    assert [tuple(r) for r in euclid_lsh.near_duplicates(spark.createDataFrame(rows[:1], schema)).collect()] == [(1, 0, 1, True)]
