@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docflow.functions import titles
+from docflow.operators.keys import matched
 
 
 def marked(page: Column, text: Column) -> Column:
@@ -40,8 +41,8 @@ def chapter_map(toc: DataFrame, keys: list[str], last_page: str, start_at: str |
 def chapters_from_pages(chapters: DataFrame, pages: DataFrame, keys: list[str]) -> DataFrame:
     """The chapters with body: their pages' texts, in order; '' where there is none.
 
-    Chapters are exploded to their pages, so the range join is an equi-join on book and page.
+    Chapters are exploded to their pages, so the range join is an equi-join on book and page; null books are a book.
     """
     wanted = chapters.select(*keys, "start_page", "end_page", F.explode_outer(F.when(F.col("end_page") >= F.col("start_page"), F.sequence("start_page", "end_page"))).alias("page"))
-    got = wanted.join(pages.select(*keys, "page", F.col("text").alias("_t")), [*keys, "page"], "left")
+    got = matched(wanted, pages.select(*keys, "page", F.col("text").alias("_t")).where("page is not null"), [*keys, "page"], "left")
     return got.groupBy(*keys, "start_page", "end_page").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", F.coalesce("_t", F.lit("")).alias("t")))), lambda x: x["t"]), "").alias("body"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docflow.functions import titles
+from docflow.operators.keys import matched
 
 
 def pending(chapters: DataFrame, done: DataFrame, by: str) -> DataFrame:
@@ -27,14 +28,14 @@ def numbered(rows: DataFrame, keys: list[str], order: list[str], name: str) -> D
     """rows with their place (from 0) within keys by order, whose first column is a whole number.
 
     Rows are numbered in spans of that column's values, each after the rows of the spans before it: no task
-    sorts a whole key, and a hot key is spread over its spans.
+    sorts a whole key, and a hot key is spread over its spans. Null keys are a key.
     """
     span = F.floor(F.col(order[0]) / SPAN)
     at = rows.withColumn("_span", F.coalesce(span, F.lit(-(1 << 62))))
     before = Window.partitionBy(*keys).orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
     counts = at.groupBy(*keys, "_span").agg(F.count("*").alias("_n")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
     number = F.row_number().over(Window.partitionBy(*keys, "_span").orderBy(*order)) - 1
-    return at.withColumn("_in", number).join(counts, [*keys, "_span"]).withColumn(name, F.col("_before") + F.col("_in")).drop("_span", "_before", "_in")
+    return matched(at.withColumn("_in", number), counts, [*keys, "_span"]).withColumn(name, F.col("_before") + F.col("_in")).drop("_span", "_before", "_in")
 
 
 def dealt(rows: DataFrame, keys: list[str], order: list[str], workers: int) -> DataFrame:

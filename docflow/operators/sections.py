@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docflow.functions import titles
+from docflow.functions import clean, titles
+from docflow.operators.keys import matched
 
 # Heading shapes; group 1 is the number or the title, group 2 the title after a number.
 HEADINGS = {
@@ -32,50 +35,62 @@ def lines(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     return rows.select(*keys, F.posexplode(F.split(F.col(text), "\n")).alias("line_no", "line"))
 
 
-def _sliced(rows: DataFrame, keys: list[str], text: str, opens) -> DataFrame:
-    """Runs of lines from one that opens(line) to the next: keys, part (0: before the first), head and body."""
-    all_ = lines(rows, keys, text).withColumn("opens", opens(F.col("line")))
+def _sliced(rows: DataFrame, keys: list[str], text: str, opens, extra: Sequence[str] = ()) -> DataFrame:
+    """Runs of lines from one that opens(line) to the next: keys, part (0: before the first), head, body and what is extra in rows."""
+    all_ = lines(rows, [*keys, *extra], text).withColumn("opens", opens(F.col("line")))
     run = Window.partitionBy(*keys).orderBy("line_no").rowsBetween(Window.unboundedPreceding, 0)
     all_ = all_.withColumn("part", F.sum(F.col("opens").cast("int")).over(run).cast("int"))
     body = F.array_sort(F.collect_list(F.when(~F.col("opens"), F.struct("line_no", "line"))))
-    parts = all_.groupBy(*keys, "part").agg(F.max(F.when(F.col("opens"), F.col("line"))).alias("head"), body.alias("_body"))
-    return parts.select(*keys, "part", "head", F.array_join(F.transform("_body", lambda x: x["line"]), "\n").alias("body"))
+    parts = all_.groupBy(*keys, "part").agg(F.max(F.when(F.col("opens"), F.col("line"))).alias("head"), body.alias("_body"), *(F.max(c).alias(c) for c in extra))
+    return parts.select(*keys, "part", "head", F.array_join(F.transform("_body", lambda x: x["line"]), "\n").alias("body"), *extra)
 
 
-def sections(rows: DataFrame, keys: list[str], text: str, kind: str, most_number: int = 200, marks: str = titles.QUOTED) -> DataFrame:
-    """keys, part, num, title and body of the sections of rows' markdown.
+def sections(rows: DataFrame, keys: list[str], text: str, kind: str, most_number: int = 200, marks: str = titles.QUOTED, whole: str = "Introduction") -> DataFrame:
+    """keys, part, num, title, head (the heading line, null without one) and body of the sections of rows' markdown.
 
-    Numbered kinds give text before the first heading as "Introduction" (num 0) and drop numbers
-    over most_number; a text without a heading is one section. For `any`, titles of 1 to 80
-    characters with a body of 30 words at least stay. For `bold`, headings that open no chapter are
-    part of the section before, and titles lose the marks named. A number that is no 32-bit number is
-    over most_number. `marked` books are marked_sections.
+    A text without a heading is one section, titled `whole`, number 0. Text before the first heading is the section
+    "Introduction" (num 0), but for `bold`, which drops it. Numbered kinds drop numbers over most_number. For `any`, sections
+    with a title of 1 to 80 characters and 30 words at least, the heading's among them, stay; the introduction stays whatever its
+    length. For `bold`, headings that open no chapter are part of the section before, and titles lose the marks named.
+    Sections of these two are numbered anew. A number that is no 32-bit number is over most_number. `marked` books are
+    marked_sections. Null keys are a book; a null text has no section.
     """
     if kind == "marked":
         return marked_sections(rows, keys, text)
     pattern = "(?d)^" + HEADINGS[kind] + "$"
+    rows = rows.withColumn("_headed", F.col(text).rlike("(?md)^" + HEADINGS[kind] + "$"))
     found = (lambda x: x.rlike(pattern) & real_chapter(F.regexp_extract(x, pattern, 1), marks)) if kind == "bold" else (lambda x: x.rlike(pattern))
-    parts = _sliced(rows, keys, text, found)
+    parts = _sliced(rows, keys, text, found, ["_headed"]).withColumn("body", titles.stripped(F.col("body")))
+    front = F.col("head").isNull()
+    opening = F.when(F.col("_headed"), F.lit("Introduction")).otherwise(F.lit(whole))
     if kind in NUMBERED:
-        num = F.when(F.col("head").isNull(), F.lit(0)).otherwise(F.regexp_extract("head", pattern, 1).try_cast("int"))
-        title = F.when(F.col("head").isNull(), F.lit("Introduction")).otherwise(titles.strip_title(F.regexp_extract("head", pattern, 2)))
-        return parts.select(*keys, "part", num.alias("num"), title.alias("title"), titles.stripped(F.col("body")).alias("body")).where("num is not null").where((F.col("body") != "") | (F.col("num") > 0)).where(F.col("num") <= most_number)
-    title = F.coalesce(titles.strip_title(F.regexp_extract("head", pattern, 1), marks if kind == "bold" else titles.MARKUP), F.lit(""))
-    out = parts.select(*keys, "part", title.alias("title"), titles.stripped(F.col("body")).alias("body")).where(F.length("title").between(1, 80))
-    if kind == "any":
-        out = out.where(titles.word_count(F.col("body")) >= 30)
+        num = F.when(front, F.lit(0)).otherwise(F.regexp_extract("head", pattern, 1).try_cast("int"))
+        title = F.when(front, opening).otherwise(titles.strip_title(F.regexp_extract("head", pattern, 2)))
+        return parts.select(*keys, "part", num.alias("num"), title.alias("title"), "head", "body").where("num is not null").where((F.col("body") != "") | (F.col("num") > 0)).where(F.col("num") <= most_number)
+    title = F.when(front, opening).otherwise(titles.strip_title(F.regexp_extract("head", pattern, 1), marks if kind == "bold" else titles.MARKUP))
+    out = parts.withColumn("title", title)
+    if kind == "bold":
+        out = out.where(~front | ~F.col("_headed")).where(~front | (F.col("body") != ""))
+    else:
+        spoken = clean.clean(section_text(F.col("head"), F.col("body")), "basic", normalise=False)
+        out = out.where(F.when(front, F.col("body") != "").otherwise(F.length("title").between(1, 80) & (titles.word_count(spoken) >= 30)))
     number = F.row_number().over(Window.partitionBy(*keys).orderBy("part")) - 1
-    return out.select(*keys, "part", number.alias("num"), "title", "body")
+    return out.select(*keys, "part", number.alias("num"), "title", "head", "body")
+
+
+def section_text(head: Column, body: Column) -> Column:
+    """A section with its heading line, if it has one."""
+    return F.concat_ws("\n\n", head, body)
 
 
 def best_by_key(rows: DataFrame, keys: list[str], num: str, body: str, place: str) -> DataFrame:
-    """Of sections with one number the longest by words; the first of equals. place tells all rows apart.
+    """Of sections with one number the longest by words; the first of equals. place tells all rows apart; null numbers and keys are equal.
 
     Aggregated in part before the shuffle; the bodies are joined after.
     """
     best = rows.groupBy(*keys, num).agg(F.min(F.struct((-titles.word_count(F.col(body))).alias("words"), F.col(place).alias("place"))).alias("_best"))
     best = best.select(*keys, num, F.col("_best.place").alias(place))
-    return rows.join(best, [*keys, num, place], "left_semi")
+    return matched(rows, best, [*keys, num, place], "left_semi")
 
 
 def between(text: Column, start: str, end: str) -> Column:
@@ -113,13 +128,13 @@ def without_lines(rows: DataFrame, keys: list[str], text: str, drop: DataFrame)
     heading = F.col("line").rlike("(?d)^#{1,6}[ \t]*.+$")
     all_ = lines(rows, keys, text).withColumn("key", F.when(heading, titles.heading_key(F.col("line"))))
     all_ = all_.where(F.col("key").isNull() | ((F.col("key") != "") & ~F.col("key").isin(*FOOTER_KEYS)))
-    kept = all_.join(drop.select(*keys, "key").distinct(), [*keys, "key"], "left_anti")
+    kept = matched(all_, drop.select(*keys, "key").where("key is not null").distinct(), [*keys, "key"], "left_anti")
     body = kept.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]), "\n").alias("body"))
-    return rows.select(*keys).join(body, keys, "left").withColumn("body", F.coalesce("body", F.lit("")))
+    return matched(rows.select(*keys), body, keys, "left").withColumn("body", F.coalesce("body", F.lit("")))
 
 
 def marked_sections(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
-    """keys, part, num, title and body of a book whose chapters begin at mark lines.
+    """keys, part, num, title, head (null) and body of a book whose chapters begin at mark lines.
 
     The last chapter ends before the first line that marks the notes. Part 0 is the note to readers (up to the contents)
     and the preface (up to the first chapter), if all three marks are there. Titles are elected among a section's
@@ -149,5 +164,5 @@ def marked_sections(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     elected = elected_titles(spans, [*keys, "part"], "span")
     bodies = without_lines(spans, [*keys, "part"], "span", elected)
     label = F.when(F.col("part") > 0, F.concat(F.lit("Chapter "), F.col("num").cast("string"))).otherwise(F.lit("Preface"))
-    named = spans.drop("span").join(elected.select(*keys, "part", "title"), [*keys, "part"], "left").join(bodies, [*keys, "part"])
-    return named.select(*keys, "part", "num", F.coalesce(F.when(F.col("title") != "", F.col("title")), label).alias("title"), titles.stripped(F.col("body")).alias("body"))
+    named = matched(matched(spans.drop("span"), elected.select(*keys, "part", "title"), [*keys, "part"], "left"), bodies, [*keys, "part"])
+    return named.select(*keys, "part", "num", F.coalesce(F.when(F.col("title") != "", F.col("title")), label).alias("title"), F.lit(None).cast("string").alias("head"), titles.stripped(F.col("body")).alias("body"))

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import re
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,16 +19,37 @@ def sentences(paragraph: Column) -> Column:
     return F.filter(F.transform(F.split(paragraph, SENTENCE_END), stripped), lambda s: s != "")
 
 
-def packed(pieces: Column, most: int) -> Column:
-    """Pieces joined by a space into segments of at most `most` characters; a longer piece stays whole."""
-    empty = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("open"))
+def bounds(most: int):
+    """From the lengths of pieces to (first, last) of the pieces of every segment: joined by a space, they have at most `most`
+    characters; a longer piece stays alone."""
+
+    @F.arrow_udf("array<struct<first:int,last:int>>")
+    def run(lengths: pa.Array) -> pa.Array:
+        firsts, lasts, n = [], [], []
+        for one in lengths:
+            total = np.concatenate([[0], np.cumsum(one.values.to_numpy(zero_copy_only=False).astype(np.int64) + 1)]) if one.is_valid else np.zeros(1)
+            at = count = 0
+            while at < len(total) - 1:
+                end = max(at + 1, int(np.searchsorted(total, total[at] + most + 1, "right")) - 1)
+                firsts.append(at)
+                lasts.append(end - 1)
+                at, count = end, count + 1
+            n.append(count)
+        both = pa.StructArray.from_arrays([pa.array(firsts, pa.int32()), pa.array(lasts, pa.int32())], ["first", "last"])
+        return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n]), pa.int32()), both)
+
+    return run
 
-    def step(acc, s):
-        full = (F.length(acc["open"]) + F.length(s) + 1 > most) & (acc["open"] != "")
-        joined = F.when(acc["open"] == "", s).otherwise(F.concat(acc["open"], F.lit(" "), s))
-        return F.struct(F.when(full, F.concat(acc["done"], F.array(acc["open"]))).otherwise(acc["done"]).alias("done"), F.when(full, s).otherwise(joined).alias("open"))
 
-    return F.aggregate(pieces, empty, step, lambda a: F.when(a["open"] == "", a["done"]).otherwise(F.concat(a["done"], F.array(a["open"]))))
+def packed(rows: DataFrame, pieces: str, most: int, name: str) -> DataFrame:
+    """rows with `name`: the array column `pieces` joined into segments.
+
+    Where segments begin is found from lengths alone, in one pass over each array; texts stay in the JVM and are joined after.
+    (A fold over the texts would be quadratic: Spark copies a fold's state, and any array that a lambda names, at every step.)
+    """
+    found = rows.withColumn("_bounds", bounds(most)(F.transform(pieces, F.length)))
+    join = F.transform("_bounds", lambda b: F.array_join(F.transform(F.sequence(b["first"], b["last"]), lambda k: F.get(pieces, k)), " "))
+    return found.withColumn(name, join).drop("_bounds")
 
 
 def wrap(sentence: str, most: int) -> list[str]:
@@ -64,5 +87,7 @@ def segments(rows: DataFrame, keys: list[str], text: str, most: int, wrap_long:
     pieces = sentences(F.col("para"))
     if wrap_long:
         pieces = hard_wrap(most)(pieces)
-    segs = para.select(*keys, "para_no", packed(pieces, most).alias("segs"))
-    return segs.select(*keys, "para_no", F.posexplode("segs").alias("seg_no", "seg"), F.size("segs").alias("n")).select(*keys, "para_no", "seg_no", "seg", (F.col("seg_no") == F.col("n") - 1).alias("ends_paragraph"))
+    # What is needed of the whole array is told before it is exploded, or every row would carry it.
+    segs = packed(para.select(*keys, "para_no", pieces.alias("pieces")), "pieces", most, "segs").select(*keys, "para_no", "segs", F.size("segs").alias("n"))
+    # An inner explode would be guarded by a filter on the array, for which all of it is computed a second time.
+    return segs.select(*keys, "para_no", "n", F.posexplode_outer("segs").alias("seg_no", "seg")).where("seg is not null").select(*keys, "para_no", "seg_no", "seg", (F.col("seg_no") == F.col("n") - 1).alias("ends_paragraph"))

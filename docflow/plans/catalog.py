@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from docflow.functions import audio, clean, titles
 from docflow.operators import chunks, pages, schedule, sections, segments
 from docflow.profiles import PROFILES
-from docflow.sources import books
+from docflow.sources import books, shared
 from docflow.streaming import resume
 
 P = PROFILES
@@ -31,12 +29,6 @@ def _paragraphs(s, d):
     return books.table(s, d, "documents").select("doc_id", F.replace("text", F.lit("\n"), F.lit("\n\n")).alias("text"))
 
 
-def shared(s, name):
-    """A new folder that driver and executors share: below spark.checkpoint.dir, or below the warehouse where that is unset."""
-    at = s.conf.get("spark.checkpoint.dir", None) or s.sparkContext.getConf().get("spark.checkpoint.dir") or s.conf.get("spark.sql.warehouse.dir")
-    return f"{at.rstrip('/')}/docflow-{name}-{uuid.uuid4().hex}"
-
-
 WS = "chr(32) || chr(9) || chr(10) || chr(13)"
 
 
@@ -68,7 +60,7 @@ def hard_wrap(s, d):
 _DIRTY = "(SELECT doc_id, '" + books.DIRT.replace("'", "''") + "' || text || ' ' || chr(10) || ' ' AS text FROM documents)"
 
 
-#: The cleaning rules written as SQL of their own, so that a wrong pattern on one side shows.
+#: The cleaning rules as SQL. The patterns, which must be these for right results.
 _RULES_SQL = {
     "picture": r"regexp_replace({}, '==>.*?intentionally omitted.*?<==', '', 'gi')",
     "link": r"regexp_replace({}, '\[([^\]]+)\]\([^)]*\)', '\1', 'g')",
@@ -79,14 +71,14 @@ _RULES_SQL = {
     "dashes": r"replace(replace({}, '—', ', '), '–', ', ')",
     "apostrophes": "replace(replace({}, '‘', chr(39)), '’', chr(39))",
     "quotes": r"""translate({}, '“”', '""')""",
-    "newlines": r"regexp_replace({}, '\n\n\n+', chr(10) || chr(10), 'g')",
+    "newlines": r"regexp_replace({}, '\n{{3,}}', chr(10) || chr(10), 'g')",
     "strip": r"regexp_replace(regexp_replace({}, '^\s+', ''), '\s+$', '')",
-    "page_mark": r"regexp_replace({}, '<!--PAGE:[0-9]+-->', '', 'g')",
-    "caption": r"regexp_replace({}, '(?ms)^_\*\*.*?\((Courtesy|Cou[0-9A-Za-z_]*)[^)]*\)_\s*$', '', 'g')",
-    "page_picture": r"regexp_replace({}, '\*?\*?==>.*?intentionally omitted.*?<==\*?\*?', '', 'g')",
-    "credit": r"regexp_replace({}, '\((Courtesy of|Photo by)[^)]*\)', '', 'g')",
-    "endnote": r"regexp_replace({}, '\[\s*[0-9][0-9]?[0-9]?\s*\]', '', 'g')",
-    "spaces": r"regexp_replace({}, '[ \t][ \t]+', ' ', 'g')",
+    "page_mark": r"regexp_replace({}, '<!--PAGE:\d+-->', '', 'g')",
+    "caption": r"regexp_replace({}, '(?ms)^_\*\*.*?\((?:Courtesy|Cou\w*)[^)]*\)_\s*$', '', 'g')",
+    "page_picture": r"regexp_replace({}, '\*{{0,2}}==>.*?intentionally omitted.*?<==\*{{0,2}}', '', 'g')",
+    "credit": r"regexp_replace({}, '\((?:Courtesy of|Photo by)[^)]*\)', '', 'g')",
+    "endnote": r"regexp_replace({}, '\[\s*\d{{1,3}}\s*\]', '', 'g')",
+    "spaces": r"regexp_replace({}, '[ \t]{{2,}}', ' ', 'g')",
     # NFKC of what the decorated documents hold: a ligature, an ellipsis, and letters that compose.
     "nfkc": "nfc_normalize(replace(replace({}, 'ﬁ', 'fi'), '…', '...'))",
 }
@@ -112,12 +104,15 @@ for _n in dict.fromkeys(n for n, p, _ in (*clean.BASIC, *clean.PAGES) if p is no
     _rule_query(_n)
 
 
-def _chain_sql(kind, normalise=False):
-    x = "text"
+def _cleaned_sql(x, kind, normalise=False):
     for name in _CHAINS[kind]:
         if normalise or name != "nfkc":
             x = _rule_sql(x, name)
-    return f"SELECT doc_id, {x} AS text FROM {_DIRTY}"
+    return x
+
+
+def _chain_sql(kind, normalise=False):
+    return f"SELECT doc_id, {_cleaned_sql('text', kind, normalise)} AS text FROM {_DIRTY}"
 
 
 @query(_chain_sql("basic"))
@@ -139,63 +134,110 @@ _MD = "(SELECT conv_id, string_agg('## **' || turn || '. ' || role || '**' || ch
 _TRIM = r"regexp_replace({}, '^\s+|\s+$', '', 'g')"
 
 
-def _sliced_sql(pattern, where="TRUE"):
+def _sliced_sql(pattern, where="TRUE", md=_MD):
     return rf"""
-    WITH ls AS (SELECT conv_id, unnest(string_split(md, chr(10))) AS line, generate_subscripts(string_split(md, chr(10)), 1) AS line_no FROM {_MD}),
-    op AS (SELECT *, regexp_matches(line, '^{pattern}$') AND {where} AS opens FROM ls),
+    WITH ls AS (SELECT conv_id, unnest(string_split(md, chr(10))) AS line, generate_subscripts(string_split(md, chr(10)), 1) AS line_no FROM {md}),
+    op AS (SELECT *, regexp_matches(line, '^{pattern}$') AS headed, headed AND {where} AS opens FROM ls),
     pt AS (SELECT *, sum(opens::INT) OVER (PARTITION BY conv_id ORDER BY line_no) AS part FROM op),
-    parts AS (SELECT conv_id, part::INT AS part, max(line) FILTER (opens) AS head, coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT opens), '') AS raw FROM pt GROUP BY conv_id, part)
+    hd AS (SELECT conv_id, bool_or(headed) AS headed FROM op GROUP BY conv_id),
+    parts AS (SELECT conv_id, part::INT AS part, any_value(hd.headed) AS headed, max(line) FILTER (opens) AS head, coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT opens), '') AS raw FROM pt JOIN hd USING (conv_id) GROUP BY conv_id, part)
     """
 
 
-_NUM = r"##\s+.*?\b([0-9]+)\.\s+(.+?)[*_]*\s*"
-_NUMBERED_SQL = _sliced_sql(_NUM) + f"""
-    , secs AS (SELECT conv_id, part, CASE WHEN head IS NULL THEN 0 ELSE regexp_extract(head, '^{_NUM}$', 1)::INT END AS num, CASE WHEN head IS NULL THEN 'Introduction' ELSE {_TRIM.format(f"translate(regexp_extract(head, '^{_NUM}$', 2), '*_`#', '')")} END AS title, {_TRIM.format('raw')} AS body FROM parts)
+_NUM = r"##\s+.*?\b(\d+)\.\s+(.+?)[\*_]*\s*"
+def _secs_sql(pattern, md=_MD):
+    """Numbered sections of md."""
+    return _sliced_sql(pattern, md=md) + f"""
+    , secs AS (SELECT conv_id, part, CASE WHEN head IS NULL THEN 0 ELSE regexp_extract(head, '^{pattern}$', 1)::INT END AS num, CASE WHEN head IS NULL THEN 'Introduction' ELSE {_TRIM.format(f"translate(regexp_extract(head, '^{pattern}$', 2), '*_`#', '')")} END AS title, head, {_TRIM.format('raw')} AS body FROM parts),
+    numbered AS (SELECT * FROM secs WHERE (body <> '' OR num > 0) AND num <= 200)
 """
 
 
-@query(_NUMBERED_SQL + "SELECT * FROM secs WHERE (body <> '' OR num > 0) AND num <= 200")
+_NUMBERED_SQL = _secs_sql(_NUM)
+_WORDS = r"len(regexp_extract_all({}, '\S+'))"
+
+
+@query(_NUMBERED_SQL + "SELECT * FROM numbered")
 def sections_numbered(s, d):
     return sections.sections(books.book_markdown(s, d), ["conv_id"], "md", "numbered")
 
 
-@query(_NUMBERED_SQL + r", r AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY len(regexp_extract_all(body, '\S+')) DESC, conv_id, part) AS b FROM secs WHERE (body <> '' OR num > 0) AND num <= 200) SELECT conv_id, part, num, title, body FROM r WHERE b = 1")
+@query(_NUMBERED_SQL + f", r AS (SELECT *, row_number() OVER (PARTITION BY title ORDER BY {_WORDS.format('body')} DESC, conv_id, part) AS b FROM numbered) SELECT conv_id, part, num, title, head, body FROM r WHERE b = 1")
 def best_section_per_key(s, d):
     rows = sections_numbered(s, d).withColumn("place", F.struct("conv_id", "part"))
     return sections.best_by_key(rows, [], "title", "body", "place").drop("place")
 
 
-_ANY = r"##?#?\s+(.+)"
-
-
-_BOLD_NUM = r"##\s+\*\*([0-9][0-9]?)\s+(.+?)\*\*\s*"
+_ANY = r"#{1,3}\s+(.+)"
+_BOLD_NUM = r"##\s+\*\*(\d{1,2})\s+(.+?)\*\*\s*"
+_BOLD = r"## \*\*(.+?)\*\*\s*"
 
 
-@query(_sliced_sql(_BOLD_NUM).replace(". ' || role", " ' || role") + f"""
-    , secs AS (SELECT conv_id, part, CASE WHEN head IS NULL THEN 0 ELSE regexp_extract(head, '^{_BOLD_NUM}$', 1)::INT END AS num, CASE WHEN head IS NULL THEN 'Introduction' ELSE {_TRIM.format(f"translate(regexp_extract(head, '^{_BOLD_NUM}$', 2), '*_`#', '')")} END AS title, {_TRIM.format('raw')} AS body FROM parts)
-    SELECT * FROM secs WHERE body <> '' OR num > 0""")
+@query(_secs_sql(_BOLD_NUM).replace(". ' || role", " ' || role") + "SELECT * FROM numbered")
 def sections_bold_numbered(s, d):
     return sections.sections(books.book_markdown(s, d, " "), ["conv_id"], "md", "bold_numbered")
 
 
-@query(_sliced_sql(_ANY) + rf"""
-    , t AS (SELECT conv_id, part, coalesce({_TRIM.format(f"translate(regexp_extract(head, '^{_ANY}$', 1), '*_`#', '')")}, '') AS title, {_TRIM.format('raw')} AS body FROM parts)
-    SELECT conv_id, part, (row_number() OVER (PARTITION BY conv_id ORDER BY part) - 1)::INT AS num, title, body FROM t WHERE length(title) BETWEEN 1 AND 80 AND len(regexp_extract_all(body, '\S+')) >= 30""")
+def _any_sql(md=_MD):
+    """Sections under any heading: text before the first one, and titled ones of 30 words with their heading's."""
+    return _sliced_sql(_ANY, md=md) + rf"""
+    , t AS (SELECT conv_id, part, head, CASE WHEN head IS NULL THEN 'Introduction' ELSE coalesce({_TRIM.format(f"translate(regexp_extract(head, '^{_ANY}$', 1), '*_`#', '')")}, '') END AS title, {_TRIM.format('raw')} AS body FROM parts),
+    w AS (SELECT *, head || chr(10) || chr(10) || body AS text FROM t)
+    SELECT conv_id, part, (row_number() OVER (PARTITION BY conv_id ORDER BY part) - 1)::INT AS num, title, head, body FROM w
+    WHERE CASE WHEN head IS NULL THEN body <> '' ELSE length(title) BETWEEN 1 AND 80 AND {_WORDS.format(_cleaned_sql('text', 'basic'))} >= 30 END"""
+
+
+@query(_any_sql())
 def sections_any_heading(s, d):
     return sections.sections(books.book_markdown(s, d), ["conv_id"], "md", "any")
 
 
-_BOLD = r"## \*\*(.+?)\*\*\s*"
-_T = f"trim(translate(regexp_extract(line, '^{_BOLD}$', 1), '*_`#\"', ''))"
+def _bold_sql(marks, md=_MD):
+    """Sections under bold headings that open a chapter; a book without a bold heading is one section."""
+    title = f"trim(translate(regexp_extract({{}}, '^{_BOLD}$', 1), '{marks}', ''))"
+    t = title.format("line")
+    back = "('Photographs', 'Acknowledgments', 'About the Authors', 'Notes', 'Bibliography', 'Index', 'Contents', 'CLICK HERE TO SIGN UP', 'Thank you for downloading this Simon & Schuster ebook.')"
+    return _sliced_sql(_BOLD, rf"NOT (starts_with({t}, '—') OR starts_with({t}, '-')) AND NOT regexp_matches({t}, '^\d+$') AND {t} NOT IN {back}", md) + rf"""
+    , t AS (SELECT conv_id, part, headed, head, CASE WHEN head IS NULL THEN 'Introduction' ELSE {title.format('head')} END AS title, {_TRIM.format('raw')} AS body FROM parts)
+    SELECT conv_id, part, (row_number() OVER (PARTITION BY conv_id ORDER BY part) - 1)::INT AS num, title, head, body FROM t WHERE head IS NOT NULL OR (NOT headed AND body <> '')"""
 
 
-@query(_sliced_sql(_BOLD, f"NOT (starts_with({_T}, '—') OR starts_with({_T}, '-')) AND NOT regexp_matches({_T}, '^[0-9]+$') AND {_T} NOT IN ('Photographs', 'Acknowledgments', 'About the Authors', 'Notes', 'Bibliography', 'Index', 'Contents', 'CLICK HERE TO SIGN UP', 'Thank you for downloading this Simon & Schuster ebook.')") + rf"""
-    , t AS (SELECT conv_id, part, coalesce({_TRIM.format(f"translate(regexp_extract(head, '^{_BOLD}$', 1), '*_`#{chr(34)}', '')")}, '') AS title, {_TRIM.format('raw')} AS body FROM parts)
-    SELECT conv_id, part, (row_number() OVER (PARTITION BY conv_id ORDER BY part) - 1)::INT AS num, title, body FROM t WHERE length(title) BETWEEN 1 AND 80""")
+@query(_bold_sql('*_`#"'))
 def sections_bold(s, d):
     return sections.sections(books.book_markdown(s, d), ["conv_id"], "md", "bold")
 
 
+#: Books of four kinds: without headings, with text before the first one, with doubled numbers, with curly quotes and back matter.
+_MIXED = """(SELECT conv_id, string_agg(CASE WHEN conv_id % 4 = 0 OR (conv_id % 4 = 1 AND turn = 0) THEN '' WHEN conv_id % 4 = 3 AND turn = 2 THEN '## **Notes**' || chr(10) || chr(10)
+    ELSE '## **' || CASE WHEN conv_id % 4 = 2 THEN turn // 2 ELSE turn END || '. “' || role || '”**' || chr(10) || chr(10) END || text, chr(10) || chr(10) ORDER BY turn) AS md FROM conversations GROUP BY conv_id)"""
+_MIXED_SQL = _secs_sql(_NUM, _MIXED)
+
+
+@query(_MIXED_SQL + "SELECT * FROM numbered")
+def sections_mixed_numbered(s, d):
+    return sections.sections(books.mixed_markdown(s, d), ["conv_id"], "md", "numbered")
+
+
+@query(_MIXED_SQL + f", r AS (SELECT *, row_number() OVER (PARTITION BY conv_id, num ORDER BY {_WORDS.format('body')} DESC, part) AS b FROM numbered) SELECT conv_id, part, num, title, head, body FROM r WHERE b = 1")
+def best_section_per_number(s, d):
+    return sections.best_by_key(sections_mixed_numbered(s, d), ["conv_id"], "num", "body", "part")
+
+
+@query(_any_sql(_MIXED))
+def sections_mixed_any(s, d):
+    return sections.sections(books.mixed_markdown(s, d), ["conv_id"], "md", "any")
+
+
+@query(_bold_sql('*_`#"', _MIXED))
+def sections_mixed_bold(s, d):
+    return sections.sections(books.mixed_markdown(s, d), ["conv_id"], "md", "bold")
+
+
+@query(_bold_sql('*_`#“”‘’"', _MIXED))
+def sections_bold_curly(s, d):
+    return sections.sections(books.mixed_markdown(s, d), ["conv_id"], "md", "bold", marks=titles.CURLY)
+
+
 @query(_sliced_sql("#{1,3} .*") + rf"""
     , lv AS (SELECT *, coalesce(length(regexp_extract(head, '^(#{{1,3}}) ', 1)), 0) AS level, regexp_replace(head, '^#{{1,3}} +| +$', '', 'g') AS name FROM parts),
     h AS (SELECT conv_id, part AS sec_no, {_TRIM.format("CASE WHEN head IS NULL THEN raw ELSE head || chr(10) || raw END")} AS content, last_value(CASE WHEN level = 2 THEN name END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY part) AS h2 FROM lv)
@@ -246,9 +288,9 @@ def _marked_book(s, d):
 
 @query(rf"""
     WITH c AS (SELECT conv_id, turn, {_TRIM.format('text')} AS text, max(turn) OVER (PARTITION BY conv_id) AS last FROM conversations)
-    SELECT conv_id, (turn - 1)::INT AS part, (turn - 1)::INT AS num, 'The Turn' AS title, text AS body FROM c WHERE turn > 1
+    SELECT conv_id, (turn - 1)::INT AS part, (turn - 1)::INT AS num, 'The Turn' AS title, NULL::VARCHAR AS head, text AS body FROM c WHERE turn > 1
     UNION ALL
-    SELECT conv_id, 0, 0, 'Preface', {_TRIM.format("string_agg(raw, chr(10) || chr(10) ORDER BY turn)")} FROM (SELECT conv_id, turn, text AS raw FROM conversations WHERE turn < 2) GROUP BY conv_id HAVING count(*) = 2""")
+    SELECT conv_id, 0, 0, 'Preface', NULL, {_TRIM.format("string_agg(raw, chr(10) || chr(10) ORDER BY turn)")} FROM (SELECT conv_id, turn, text AS raw FROM conversations WHERE turn < 2) GROUP BY conv_id HAVING count(*) = 2""")
 def marked_sections(s, d):
     return sections.sections(_marked_book(s, d), ["conv_id"], "md", "marked")
 
@@ -371,7 +413,7 @@ def dry_run_totals(s, d):
     return schedule.estimates(dry_run_report(s, d))
 
 
-@query(_NUMBERED_SQL + r"SELECT conv_id, part, len(regexp_extract_all(body, '\S+'))::INT AS n_words FROM secs WHERE (body <> '' OR num > 0) AND num <= 200")
+@query(_NUMBERED_SQL + r"SELECT conv_id, part, len(regexp_extract_all(body, '\S+'))::INT AS n_words FROM numbered")
 def section_words(s, d):
     return schedule.word_report(sections_numbered(s, d), ["conv_id", "part"], "body")
 
@@ -386,6 +428,15 @@ def token_chunks(s, d):
     return chunks.chunks(books.book_markdown(s, d), "conv_id", "md", 200, 30).select("id", "text", "n_tokens", F.to_json("headers").alias("headers"), "source")
 
 
+@query()
+def exact_token_chunks(s, d):
+    """Chunks by the exact tokens of a public byte-pair encoding."""
+    import public_tokenizers
+
+    counter = chunks.BpeCounter(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return chunks.chunks(books.book_markdown(s, d), "conv_id", "md", 200, 30, counter).select("id", "text", "n_tokens", F.to_json("headers").alias("headers"), "source")
+
+
 @query(f"WITH x AS ({_segments_sql(280)}) SELECT doc_id, para_no, seg_no, CASE WHEN ends_paragraph THEN 13200 ELSE 3600 END::INT AS n_samples FROM x")
 def silence_samples(s, d):
     return segments_280(s, d).select("doc_id", "para_no", "seg_no", audio.silence_samples(F.col("ends_paragraph"), P["numbered_a"]).alias("n_samples"))
@@ -419,7 +470,7 @@ def voice_samples(s, d):
 @query(f"SELECT conv_id, md AS text FROM {_MD}")
 def books_round_trip(s, d):
     """A text file for every book, read back whole."""
-    at = shared(s, "books")
+    at = shared.new(s, "books")
     books.write_books(books.book_markdown(s, d), "conv_id", "md", at)
     return books.read_books(s, at, "conv_id").select(F.col("conv_id").cast("long").alias("conv_id"), "text")
 
@@ -427,7 +478,7 @@ def books_round_trip(s, d):
 @query("SELECT DISTINCT conv_id, 'conv_id=' || conv_id AS folder FROM conversations")
 def listed_books(s, d):
     """The folders of the books' files, found without reading them."""
-    at = shared(s, "books")
+    at = shared.new(s, "books")
     books.write_books(books.book_markdown(s, d), "conv_id", "md", at)
     name = F.element_at(F.split("path", "/"), -2)
     return books.listing(s, at, "*.txt").select(F.regexp_extract(name, r"(\d+)", 1).cast("long").alias("conv_id"), name.alias("folder")).distinct()
@@ -435,7 +486,7 @@ def listed_books(s, d):
 
 @query(f"SELECT conv_id, md AS text FROM {_MD}")
 def whole_files(s, d):
-    at = shared(s, "books")
+    at = shared.new(s, "books")
     books.write_books(books.book_markdown(s, d), "conv_id", "md", at)
     return books.whole_texts(s, at).select(F.regexp_extract("path", r"conv_id=(\d+)", 1).cast("long").alias("conv_id"), F.regexp_replace("text", r"\n\z", "").alias("text"))
 
@@ -443,7 +494,7 @@ def whole_files(s, d):
 @query(_MAP + "SELECT num, label, label AS title, start_page, end_page FROM m WHERE source = (SELECT min(source) FROM documents)")
 def chapter_map_round_trip(s, d):
     """One book's chapter map as a JSON array, read back."""
-    at, m = shared(s, "map"), chapter_map(s, d)
+    at, m = shared.new(s, "map"), chapter_map(s, d)
     first = books.table(s, d, "documents").agg(F.min("source").alias("source"))
     books.write_json_array(m.join(F.broadcast(first), "source").select("num", "label", F.col("label").alias("title"), "start_page", "end_page"), ["start_page"], at)
     return books.chapter_maps(s, at)
@@ -452,7 +503,7 @@ def chapter_map_round_trip(s, d):
 @query("SELECT printf('doc-%05d', doc_id) AS id, text, (length(text) // 4)::INT AS n_tokens, source FROM documents")
 def chunks_round_trip(s, d):
     """Chunks as JSON lines, read back; a column that isn't asked for isn't parsed."""
-    at, docs = shared(s, "chunks"), books.table(s, d, "documents")
+    at, docs = shared.new(s, "chunks"), books.table(s, d, "documents")
     books.write_chunks(docs.select(titles.chunk_id(F.lit("doc"), F.col("doc_id")).alias("id"), "text", titles.rough_tokens(F.col("text")).cast("int").alias("n_tokens"), F.create_map(F.lit("h1"), F.col("lang")).alias("headers"), "source"), at)
     return books.chunk_files(s, at, "id string, text string, n_tokens int, source string")
 
@@ -460,7 +511,7 @@ def chunks_round_trip(s, d):
 @query(f"WITH p AS {_PAGES} SELECT source, page, text FROM p WHERE page BETWEEN 3 AND 6")
 def pages_of_range(s, d):
     """Books written as files of pages; the pages 3 to 6 of each read back."""
-    at = shared(s, "paged")
+    at = shared.new(s, "paged")
     books.write_books(pages.chapters_from_pages(books.book_pages(s, d).groupBy("source").agg(F.min("page").alias("start_page"), F.max("page").alias("end_page")), books.book_pages(s, d).withColumn("text", F.concat("text", F.lit("\f"))), ["source"]), "source", "body", at)
     got = books.document_pages(s, at, "*.txt", first=3, last=6)
     return got.where("page is not null").select(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"), "page", "text")
@@ -513,7 +564,7 @@ def html_pages(s, d):
 @query(_segments_sql(280, "(SELECT doc_id, text AS t FROM documents)"))
 def resumed(s, d):
     """A stream of documents rendered to segments, batch by batch."""
-    at = shared(s, "stream")
+    at = shared.new(s, "stream")
     source, out = f"{d}/documents.parquet", f"{at}/out"
     schema = s.read.parquet(source).schema.simpleString()[len("struct<"):-1].replace(":", " ").replace(",", ", ")
     # A stream reads a folder; a table that is one file is picked out of the folder that holds it.

@@ -178,6 +178,16 @@ def book_markdown(spark: SparkSession, sf_dir: str, dot: str = ". ") -> DataFram
     return turns.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "t"))), lambda x: x["t"]), "\n\n").alias("md"))
 
 
+def mixed_markdown(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id and md of books of four kinds: without headings, with text before the first one, with doubled numbers, with back matter."""
+    turn, kind = F.col("turn"), F.col("conv_id") % 4
+    number = F.when(kind == 2, F.floor(turn / 2)).otherwise(turn).cast("string")
+    head = F.concat(F.lit("## **"), number, F.lit(". “"), F.col("role"), F.lit("”**\n\n"))
+    head = F.when((kind == 0) | ((kind == 1) & (turn == 0)), F.lit("")).when((kind == 3) & (turn == 2), F.lit("## **Notes**\n\n")).otherwise(head)
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.concat(head, F.col("text")).alias("t"))
+    return turns.groupBy("conv_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "t"))), lambda x: x["t"]), "\n\n").alias("md"))
+
+
 #: Fragments that set off every cleaning rule.
 DIRT = (
     "<!--PAGE:12-->\n_**A view.** text\n(Courtesy of the Archive)_\n**==> a picture intentionally omitted <==**\n# Title one\n\n\n\n[link](http://x) `code` a_b **bold** x—y 1920–30 ‘a’ “b” ﬁ… end.[ 12 ] (Photo by Ann)  two  spaces\n"

@@ -1,5 +1,9 @@
 """Hand-written cases: expected values follow from the rules."""
 
+import random
+import time
+from collections import Counter
+
 import numpy as np
 import pytest
 from hypothesis import given, settings
@@ -8,6 +12,7 @@ from pyspark.sql import functions as F
 
 from docflow.functions import audio, clean, titles
 from docflow.operators import chunks, pages, schedule, sections, segments
+from docflow.operators.running import running
 from docflow.profiles import PROFILES
 from docflow.sources import books
 from docflow.streaming import resume
@@ -48,6 +53,31 @@ def test_wrap_is_whole(text, most):
     assert len(text) <= most or all(len(x) <= most for x in out)
 
 
+def plain_pack(pieces, most):
+    out = []
+    for p in pieces:
+        if out and len(out[-1]) + len(p) + 1 <= most:
+            out[-1] += " " + p
+        else:
+            out.append(p)
+    return out
+
+
+def test_pack_against_plain(spark):
+    rng = random.Random(1)
+    rows = [(i, [f"{'x' * rng.randint(0, 40)}." for _ in range(rng.choice([1, 2, 30, 3000]))]) for i in range(30)]
+    got = segments.segments(spark.createDataFrame([(i, " ".join(p)) for i, p in rows], "k int, t string"), ["k"], "t", 60).collect()
+    for i, pieces in rows:
+        assert [r["seg"] for r in sorted((r for r in got if r["k"] == i), key=lambda r: r["seg_no"])] == plain_pack(pieces, 60)
+
+
+def test_long_paragraphs_take_linear_time(spark):
+    texts = spark.range(1).select("id", F.array_join(F.transform(F.sequence(F.lit(1), F.lit(120_000)), lambda i: F.concat(F.lit("A sentence of sixty characters or so, that has the number "), i.cast("string"), F.lit("."))), " ").alias("t"))
+    began = time.time()
+    n, size = segments.segments(texts, ["id"], "t", 280).agg(F.count("*"), F.sum(F.length("seg"))).first()
+    assert n >= 28_000 and time.time() - began < 60  # minutes, were it quadratic
+
+
 def test_titles(spark):
     assert one(spark, "**NerdsAre**", lambda c: titles.spaced_title(F.translate(c, "*", ""))) == "Nerds Are"
     assert one(spark, "o'neil", titles.title_case) == "O'Neil"
@@ -76,8 +106,16 @@ def test_sections(spark):
     s = sections.sections(rows, ["k"], "md", "numbered")
     assert sorted((r["k"], r["num"], r["title"], r["body"]) for r in s.collect()) == [(1, 0, "Introduction", "before"), (1, 1, "One", "a b"), (1, 1, "One", "a b c"), (2, 0, "Introduction", "no heading")]
     assert sorted(r["body"] for r in sections.best_by_key(s, ["k"], "num", "body", "part").collect()) == ["a b c", "before", "no heading"]
-    bold = spark.createDataFrame([(1, "## **A**\nx\n## **12**\ny\n## **Notes**\nz\n## **B**\nw")], "k int, md string")
-    assert [(r["title"], r["body"]) for r in sections.sections(bold, ["k"], "md", "bold").orderBy("num").collect()] == [("A", "x\n## **12**\ny\n## **Notes**\nz"), ("B", "w")]
+    both = sections.best_by_key(sections.sections(spark.createDataFrame([(None, md), (None, None)], "k int, md string"), ["k"], "md", "numbered"), ["k"], "num", "body", "part")
+    assert sorted(r["body"] for r in both.collect()) == ["a b c", "before"]
+    long = " ".join(["word"] * 29)
+    book = spark.createDataFrame([(1, f"front\n# Heading\n{long}\n## Stub\nfew\n### {'x' * 81}\n{long} {long}"), (2, "no heading"), (3, f"# Two words\n{long[5:]}"), (4, f"# One\n{long[5:]}"), (5, "")], "k int, md string")
+    assert sorted((r["k"], r["num"], r["title"], r["body"][:9]) for r in sections.sections(book, ["k"], "md", "any", whole="Book").collect()) == [(1, 0, "Introduction", "front"), (1, 1, "Heading", "word word"), (2, 0, "Book", "no headin"), (3, 0, "Two words", "word word")]
+    bold = spark.createDataFrame([(2, "no heading"), (3, "x\n## **Notes**\ny"), (1, "x\n## **A**\nx\n## **12**\ny\n## **Notes**\nz\n## **B**\nw")], "k int, md string")
+    assert sorted((r["k"], r["num"], r["title"], r["body"]) for r in sections.sections(bold, ["k"], "md", "bold").collect()) == [(1, 0, "A", "x\n## **12**\ny\n## **Notes**\nz"), (1, 1, "B", "w"), (2, 0, "Introduction", "no heading")]
+    curly = spark.createDataFrame([(1, "## **“A”**\nx\n## **“Notes”**\ny")], "k int, md string")
+    assert [r["title"] for r in sections.sections(curly, ["k"], "md", "bold", marks=titles.CURLY).collect()] == ["A"]
+    assert [r["title"] for r in sections.sections(curly, ["k"], "md", "bold").orderBy("num").collect()] == ["“A”", "“Notes”"]
 
 
 def test_numbers_beyond_an_int(spark):
@@ -143,12 +181,101 @@ def test_html(spark):
 
 
 def test_overlap_of_chunks():
+    class Words:
+        exact = True
+        weights, most, count = staticmethod(lambda ps: [len(p.split()) for p in ps]), staticmethod(lambda n: n), staticmethod(lambda t: len(t.split()))
+
     text = " ".join(f"w{i}" for i in range(200))
-    got = chunks.split_tokens(text, 30, 10, lambda t: len(t.split()))
+    got = chunks.split_tokens(text, 30, 10, Words)
     for a, b in zip(got, got[1:]):
         assert b.split()[:10] == a.split()[-10:]
 
 
+def test_null_keys_are_a_key(spark):
+    """No row of a null key is lost, and no text is emptied, by any operator."""
+    rows = spark.createDataFrame([(None, i) for i in (3, 1, 2)] + [(1, 5), (1, None)], "k int, i long")
+    assert sorted((str(r["k"]), str(r["i"]), r["n"]) for r in schedule.numbered(rows, ["k"], ["i"], "n").collect()) == [("1", "5", 1), ("1", "None", 0), ("None", "1", 0), ("None", "2", 1), ("None", "3", 2)]
+    assert schedule.dealt(rows, ["k"], ["i"], 2).count() == schedule.batched(rows, ["k"], ["i"], 2).count() == 5
+    assert schedule.nth_chapter(rows, ["k"], ["i"], 2).collect() == [(None, 3)]
+    md = spark.createDataFrame([(None, "# A\nx\n# A\ny"), (1, "# B\nz")], "k int, md string")
+    heads = sections.elected_titles(md, ["k"], "md")
+    assert {r["k"]: r["body"] for r in sections.without_lines(md, ["k"], "md", heads).collect()} == {None: "x\ny", 1: "z"}
+    assert {r["k"]: r["h1"] for r in sections.carried_headings(md, ["k"], "md").collect()} == {None: "A", 1: "B"}
+    book = spark.createDataFrame([(None, "## _Chapter 1_\n## _One_\ntext")], "k int, md string")
+    assert [tuple(r) for r in sections.sections(book, ["k"], "md", "marked").select("k", "num", "title", "body").collect()] == [(None, 1, "One", "text")]
+    p = spark.createDataFrame([(None, 1, "x"), (None, 2, "y"), (None, None, "lost")], "book string, page int, text string")
+    ch = spark.createDataFrame([(None, 1, 2)], "book string, start_page int, end_page int")
+    assert [r["body"] for r in pages.chapters_from_pages(ch, p, ["book"]).collect()] == ["xy"]
+    segs = segments.segments(spark.createDataFrame([(None, "One. Two.")], "k int, t string"), ["k"], "t", 5)
+    assert [r["seg"] for r in segs.orderBy("seg_no").collect()] == ["One.", "Two."]
+    assert [r["n_segs"] for r in schedule.dry_run(segs, ["k"]).collect()] == [2]
+    assert [r["text"] for r in chunks.chunks(md, "k", "md").orderBy("text").collect()] == ["# A\nx", "# A\ny", "# B\nz"]
+
+
+def test_running_sums(spark):
+    rng = random.Random(2)
+    rows = [(rng.choice(["a", "b", None, "hot", "hot", "hot"]), rng.choice([None, *range(500)]), i, rng.choice([None, 1, 7])) for i in range(3000)]
+    got = running(spark.createDataFrame(rows, "k string, x long, i long, n long").repartition(7), ["k"], ["x", F.desc("i")], {"before": "n", "place": None}).collect()
+    sums, places = Counter(), Counter()
+    want = {}
+    for k, x, i, n in sorted(rows, key=lambda r: (r[1] is not None, r[1] or 0, -r[2])):
+        want[i] = (sums[k], places[k])
+        sums[k] += n or 0
+        places[k] += 1
+    assert {r["i"]: (r["before"], r["place"]) for r in got} == want
+    assert running(spark.createDataFrame([], "k int, i int"), ["k"], ["i"], {"place": None}).collect() == []
+    assert sorted(r["place"] for r in running(spark.range(1000).repartition(5), [], [F.desc("id")], {"place": None}).collect()) == list(range(1000))
+
+
+def plain_split(text, size, overlap, counter, separators=chunks.SEPARATORS):
+    """The chunker's rule, with sums taken anew at every step."""
+    if counter.count(text) <= size:
+        return [text] if text.strip() else []
+    sep = next(s for s in separators if s == "" or s in text)
+    weaker = separators[separators.index(sep) + 1:]
+    pieces = [p for p in (list(text) if sep == "" else [p + sep for p in text.split(sep)[:-1]] + [text.split(sep)[-1]]) if p]
+    weigh, most, back = (lambda ps: sum(counter.weights(ps))), counter.most(size), counter.most(overlap)
+    out, held, fresh = [], [], 0
+    for piece in pieces:
+        if weigh([piece]) > most and weaker:
+            out += ["".join(held)] * bool(fresh) + plain_split(piece, size, overlap, counter, weaker)
+            held, fresh = [], 0
+            continue
+        if fresh and weigh([*held, piece]) > most:
+            out.append("".join(held))
+            while held and (weigh(held) > back or weigh([*held, piece]) > most):
+                held.pop(0)
+            fresh = 0
+        held.append(piece)
+        fresh += 1
+    out += ["".join(held)] * bool(fresh)
+    return [x.strip() for x in out if x.strip()]
+
+
+@given(st.text(alphabet="ab .\n;é", max_size=300), st.integers(1, 12), st.integers(0, 6))
+@settings(max_examples=150, deadline=None)
+def test_split_against_plain(text, size, overlap):
+    assert chunks.split_tokens(text, size, overlap) == plain_split(text, size, overlap, chunks.QUARTER)
+
+
+def bpe_counter():
+    tokenizers = pytest.importorskip("public_tokenizers")
+    return chunks.BpeCounter(tokenizers.path("byte_bpe_50k.tiktoken"), tokenizers.PATTERN)
+
+
+def test_split_by_exact_tokens():
+    counter, rng = bpe_counter(), random.Random(4)
+    words = ["alpha", "beta,", "gamma.", "delta;", "epsilon\n\n", "zeta?", "internationalisation", "12345"]
+    for _ in range(20):
+        text = " ".join(rng.choice(words) for _ in range(rng.randint(1, 300)))
+        got = chunks.split_tokens(text, 40, 10, counter)
+        assert got == plain_split(text, 40, 10, counter) and all(counter.count(x) <= 40 for x in got)
+    began = time.time()
+    got = chunks.split_tokens(" ".join(rng.choice(words) for _ in range(160_000)), 800, 120, counter)  # over a megabyte
+    assert time.time() - began < 30 and all(counter.count(x) <= 800 for x in got)
+    assert "".join(chunks.split_tokens("x" * 5000, 50, 0, counter)) == "x" * 5000
+
+
 def test_headings_reset(spark):
     rows = spark.createDataFrame([(1, "# A\nx\n## B\ny\n# C\nz")], "k int, md string")
     assert [(r["h1"], r["h2"]) for r in sections.carried_headings(rows, ["k"], "md").orderBy("sec_no").collect()] == [("A", None), ("A", "B"), ("C", None)]
