@@ -36,7 +36,7 @@ from .common import BATCH_ROWS, keyed, pieces, tidy, unique_ids, written
 
 GRAM, GROUP_MOST = 24, 20_000
 #: Suffixes that are sorted together.
-SORT_ROWS = 50_000
+SORT_ROWS = 20_000
 
 R_SCHEMA = "key long, doc long, th long, a int, back binary, fore binary"
 R_NAMES = ["key", "doc", "th", "a", "back", "fore"]
