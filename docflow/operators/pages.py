@@ -21,6 +21,15 @@ def split_marked(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
     return rows.select(*keys, F.explode(both).alias("x")).select(*keys, F.col("x.page").try_cast("int").alias("page"), F.col("x.text").alias("text"))
 
 
+def page_map(rows: DataFrame, keys: list[str], text: str) -> DataFrame:
+    """As split_marked(), with the last text of a page that is marked more than once."""
+    mark = r"<!--PAGE:(\d+)-->"
+    parts = F.split(F.col(text), mark)
+    both = F.arrays_zip(F.regexp_extract_all(F.col(text), F.lit(mark), 1).alias("page"), F.slice(parts, F.lit(2), F.size(parts)).alias("text"))
+    found = rows.select(*keys, F.posexplode(both).alias("at", "x")).select(*keys, "at", F.col("x.page").try_cast("int").alias("page"), F.col("x.text").alias("text"))
+    return found.where("page is not null").groupBy(*keys, "page").agg(F.max_by("text", "at").alias("text"))
+
+
 def chapter_map(toc: DataFrame, keys: list[str], last_page: str, start_at: str | None = None, stop_at: str | None = None) -> DataFrame:
     """keys, num, label, start_page and end_page from toc rows (keys, ord, title, page, last_page).
 

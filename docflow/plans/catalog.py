@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from docflow.functions import audio, clean, titles
+from docflow.functions import audio, clean, codec, titles
 from docflow.operators import chunks, pages, schedule, sections, segments
+from docflow.operators.running import running
 from docflow.profiles import PROFILES
-from docflow.sources import books, shared
-from docflow.streaming import resume
+from docflow.sources import books, paged, ranges, shared
+from docflow.streaming import append, ledger, resume
 
 P = PROFILES
 Q: dict = {}
@@ -448,23 +449,90 @@ def pcm16(s, d):
     return x.select("vec_id", F.col("i").cast("long").alias("i"), audio.to_pcm16(F.col("x").cast("double") * 4).alias("pcm"))
 
 
-@query(_segments_sql(180, f"(SELECT conv_id AS doc_id, md AS t FROM {_MD})").replace("SELECT doc_id, para_no::INT AS para_no", ", x AS (SELECT doc_id, para_no::INT AS para_no") + """)
-    SELECT doc_id AS conv_id, (44 + 2 * sum(100 * length(seg) + CASE WHEN ends_paragraph THEN 12000 ELSE 2880 END))::INT AS n_bytes FROM x GROUP BY doc_id""")
-def synthesis(s, d):
-    said = audio.synthesise(segments.segments(books.book_markdown(s, d), ["conv_id"], "md", 180), P["bold_single"])
-    return books.audio_files(said, ["conv_id"], ["para_no", "seg_no"]).select("conv_id", F.length("wav").alias("n_bytes"))
+#: Segments of books as a voice of steps says them: samples of a segment, the silence behind it, and how many samples come before it.
+_SAID = _segments_sql(180, f"(SELECT conv_id AS doc_id, md AS t FROM {_MD})").replace("SELECT doc_id, para_no::INT AS para_no", ", x AS (SELECT doc_id AS conv_id, para_no::INT AS para_no") + """),
+    y AS (SELECT conv_id, length(seg) AS n, 4 * length(seg) + CASE WHEN ends_paragraph THEN 12000 ELSE 2880 END AS size, para_no, seg_no FROM x),
+    z AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY conv_id ORDER BY para_no, seg_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before FROM y),
+    k AS (SELECT conv_id, before + i AS pos, (i + 1) * (17 + 2 * n) % 4001 - 2000 AS k FROM (SELECT *, unnest(range(4 * n)) AS i FROM z)),
+    sums AS (SELECT conv_id, sum((k - sign(k)) * (1 + pos % 1009))::BIGINT AS sample_sum FROM k GROUP BY conv_id),
+    sizes AS (SELECT conv_id, count(*) AS n_segs, (2 * sum(size))::BIGINT AS n_pcm FROM y GROUP BY conv_id)
+"""
+
+
+def _book_segments(s, d):
+    return segments.segments(books.book_markdown(s, d), ["conv_id"], "md", 180)
+
 
+def _said(s, d):
+    """The segments of books with their PCM, stored."""
+    return shared.written(audio.synthesise(_book_segments(s, d), P["bold_single"], audio.Steps), "said")
 
-@query("SELECT name, count(*) OVER () AS n FROM (VALUES ('am_adam'), ('am_eric')) v(name)")
+
+@query(_SAID + "SELECT conv_id, n_pcm + 44 AS n_bytes, sample_sum FROM sizes JOIN sums USING (conv_id)")
+def synthesis(s, d):
+    """Books as WAV files, a row each."""
+    wav = books.audio_files(_said(s, d), ["conv_id"], ["para_no", "seg_no"])
+    return wav.select("conv_id", F.octet_length("wav").cast("long").alias("n_bytes"), audio.sample_sum(F.expr("substring(wav, 45)"), F.lit(0)).alias("sample_sum"))
+
+
+def _samples_of_files(rows, header):
+    """conv_id, n_bytes and sample_sum of audio files read in ranges; `header` bytes come before the samples."""
+    body = F.when(F.col("start") == 0, F.expr(f"substring(data, {header + 1})")).otherwise(F.col("data"))
+    first = F.greatest(F.col("start") - header, F.lit(0)) / 2
+    got = rows.select(F.regexp_extract("name", r"(\d+)", 1).cast("long").alias("conv_id"), F.octet_length("data").cast("long").alias("n"), audio.sample_sum(body, first.cast("long")).alias("s"))
+    return got.groupBy("conv_id").agg(F.sum("n").alias("n_bytes"), F.sum("s").alias("sample_sum"))
+
+
+@query(_SAID + "SELECT conv_id, n_pcm + 44 AS n_bytes, sample_sum FROM sizes JOIN sums USING (conv_id)")
+def merged_audio(s, d):
+    """Books' WAV files, each written by many tasks at the offsets of its segments, read back in ranges."""
+    at = shared.new(s, "merged")
+    ranges.write_wavs(_said(s, d).withColumn("file", F.concat(F.col("conv_id").cast("string"), F.lit(".wav"))), "file", ["para_no", "seg_no"], "pcm", at)
+    return _samples_of_files(ranges.read_ranges(s, at, row_bytes=1 << 16, part_bytes=1 << 20), 44)
+
+
+@query(_SAID + "SELECT conv_id, n_pcm AS n_bytes, sample_sum FROM sizes JOIN sums USING (conv_id)")
+def appended_audio(s, d):
+    """A stream of segments appended to a file for every book, some before their turn."""
+    at = shared.new(s, "append")
+    segs = _book_segments(s, d).select(F.col("conv_id").cast("string").alias("chapter"), "para_no", "seg_no", "seg", "ends_paragraph")
+    whole = running(segs.select("chapter", "para_no", "seg_no"), ["chapter"], ["para_no", "seg_no"], {"seq": None})
+    totals = segs.groupBy("chapter").agg(F.count("*").alias("total"))
+    rows = segs.join(whole, ["chapter", "para_no", "seg_no"]).join(totals, "chapter")
+    rows.select("chapter", "seq", "total", "seg", "ends_paragraph").write.parquet(f"{at}/in")
+    append.append(s, f"{at}/in", f"{at}/out", f"{at}/checkpoint", P["bold_single"], audio.Steps, files_at_once=64)
+    return _samples_of_files(ranges.read_ranges(s, f"{at}/out/audio", row_bytes=1 << 16), 0)
+
+
+@query(_SAID + "SELECT conv_id, n_segs, n_pcm AS n_bytes FROM sizes")
+def ledger_of_books(s, d):
+    """Books rendered by a ledger in two runs, of which the second has nothing left to do."""
+    at, segs = shared.new(s, "ledger"), shared.written(_book_segments(s, d), "segments")
+    for run in ("first", "second"):
+        ledger.render(segs, ["conv_id"], P["bold_single"], at, audio.Steps, run)
+    done = ledger.finished(s, at, segs, ["conv_id"], P["bold_single"])
+    return ledger.complete(segs, done, ["conv_id"])
+
+
+@query(_SAID + "SELECT conv_id, n_segs, n_pcm AS n_bytes, sample_sum, TRUE AS sound FROM sizes JOIN sums USING (conv_id)")
+def transcoded_audio(s, d):
+    """Books' segments encoded without loss, the originals deleted after a verified round trip, and decoded."""
+    at = shared.new(s, "coded")
+    places = running(_said(s, d).select("conv_id", "para_no", "seg_no", (F.octet_length("pcm") / 2).cast("long").alias("n"), "pcm"), ["conv_id"], ["para_no", "seg_no"], {"before": "n"})
+    places.select("conv_id", "before", "pcm").write.parquet(f"{at}/pcm")
+    got = codec.decoded(codec.transcode(s, f"{at}/pcm", f"{at}/coded"))
+    return got.groupBy("conv_id").agg(F.count("*").alias("n_segs"), F.sum("n_bytes").alias("n_bytes"), F.sum(audio.sample_sum("pcm", "before")).alias("sample_sum"), F.bool_and("sound").alias("sound"))
+
+
+@query("SELECT source AS name, count(*) OVER () AS n FROM (SELECT DISTINCT source FROM documents WHERE source LIKE 'src1%')")
 def voices(s, d):
-    """The voices of a prefix, and how many."""
-    names = books.voices(s, ["bf_emma", "am_eric", "am_adam", "af_sky"], "am_")
-    return names.crossJoin(F.broadcast(names.agg(F.count("*").alias("n"))))
+    """The voices of a catalogue that have a prefix, and how many: sources stand for voices."""
+    return books.voices(books.table(s, d, "documents"), "source", "src1")
 
 
-@query("SELECT r_name, name FROM region, (VALUES ('am_adam'), ('am_eric')) v(name)")
+@query("SELECT r_name, name FROM region, (SELECT DISTINCT role AS name FROM conversations)")
 def voice_samples(s, d):
-    return books.samples(books.table(s, d, "region").select("r_name"), books.voices(s, ["am_eric", "am_adam"]))
+    return books.samples(books.table(s, d, "region").select("r_name"), books.voices(books.table(s, d, "conversations"), "role").select("name"))
 
 
 @query(f"SELECT conv_id, md AS text FROM {_MD}")
@@ -491,13 +559,21 @@ def whole_files(s, d):
     return books.whole_texts(s, at).select(F.regexp_extract("path", r"conv_id=(\d+)", 1).cast("long").alias("conv_id"), F.regexp_replace("text", r"\n\z", "").alias("text"))
 
 
-@query(_MAP + "SELECT num, label, label AS title, start_page, end_page FROM m WHERE source = (SELECT min(source) FROM documents)")
+@query(_MAP + "SELECT source, (row_number() OVER (PARTITION BY source ORDER BY start_page) - 1)::INT AS place, num, label, label AS title, start_page, end_page FROM m")
 def chapter_map_round_trip(s, d):
-    """One book's chapter map as a JSON array, read back."""
-    at, m = shared.new(s, "map"), chapter_map(s, d)
-    first = books.table(s, d, "documents").agg(F.min("source").alias("source"))
-    books.write_json_array(m.join(F.broadcast(first), "source").select("num", "label", F.col("label").alias("title"), "start_page", "end_page"), ["start_page"], at)
-    return books.chapter_maps(s, at)
+    """Every book's chapter map as a JSON array, written in ranges and read back."""
+    at, m = shared.new(s, "map"), shared.written(chapter_map(s, d), "map")
+    ranges.write_json_arrays(m.withColumn("title", F.col("label")), "source", ["start_page"], ["num", "label", "title", "start_page", "end_page"], at)
+    return books.map_files(s, at).withColumn("source", F.element_at(F.split("path", "/"), -1)).drop("path")
+
+
+@query(f"SELECT source, octet_length(encode(string_agg(text, chr(10) || chr(10) ORDER BY page)))::BIGINT AS n_bytes, md5(string_agg(text, chr(10) || chr(10) ORDER BY page)) AS hash FROM {_PAGES} GROUP BY source")
+def books_in_ranges(s, d):
+    """Books as text files, each written by many tasks; no book is a row before it is read whole."""
+    at = shared.new(s, "texts")
+    ranges.write_texts(shared.written(books.book_pages(s, d), "pages"), "source", ["page"], "text", at)
+    name = F.element_at(F.split("path", "/"), -1)
+    return books.whole_texts(s, at).select(name.alias("source"), F.octet_length("text").cast("long").alias("n_bytes"), F.md5("text").alias("hash"))
 
 
 @query("SELECT printf('doc-%05d', doc_id) AS id, text, (length(text) // 4)::INT AS n_tokens, source FROM documents")
@@ -510,11 +586,11 @@ def chunks_round_trip(s, d):
 
 @query(f"WITH p AS {_PAGES} SELECT source, page, text FROM p WHERE page BETWEEN 3 AND 6")
 def pages_of_range(s, d):
-    """Books written as files of pages; the pages 3 to 6 of each read back."""
+    """Books written as files of pages; the pages 3 to 6 of each read back, and no other extracted."""
     at = shared.new(s, "paged")
-    books.write_books(pages.chapters_from_pages(books.book_pages(s, d).groupBy("source").agg(F.min("page").alias("start_page"), F.max("page").alias("end_page")), books.book_pages(s, d).withColumn("text", F.concat("text", F.lit("\f"))), ["source"]), "source", "body", at)
-    got = books.document_pages(s, at, "*.txt", first=3, last=6)
-    return got.where("page is not null").select(F.regexp_extract("path", "source=([^/]+)/", 1).alias("source"), "page", "text")
+    ranges.write_texts(shared.written(books.book_pages(s, d), "pages"), "source", ["page"], "text", at, between="\f")
+    got = paged.document_pages(s, at).where("page between 3 and 6")
+    return got.select(F.element_at(F.split("path", "/"), -1).alias("source"), "page", "text")
 
 
 @query(f"SELECT conv_id, md AS merged FROM {_MD}")

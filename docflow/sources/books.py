@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
 from html import unescape
 
 import pandas as pd
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docflow.functions.audio import wav_bytes
+from docflow.operators.keys import matched
 from docflow.operators.schedule import numbered
 
 CHAPTER_MAP = "num int, label string, title string, start_page int, end_page int"
@@ -32,6 +32,13 @@ def chapter_maps(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CHAPTER_MAP).json(path, multiLine=True)
 
 
+def map_files(spark: SparkSession, path: str) -> DataFrame:
+    """path, place (from 0) and the entries of chapter maps, a JSON array a file."""
+    kind = f"array<struct<{', '.join(c.replace(' ', ':') for c in CHAPTER_MAP.split(', '))}>>"
+    rows = whole_texts(spark, path).select("path", F.posexplode(F.from_json("text", kind)).alias("place", "x"))
+    return rows.select("path", "place", "x.*")
+
+
 def chunk_files(spark: SparkSession, path: str, columns: str = "id string, text string, n_tokens int, headers map<string,string>, source string") -> DataFrame:
     """JSON lines; only the named columns are parsed."""
     return spark.read.schema(columns).json(path)
@@ -42,15 +49,20 @@ def listing(spark: SparkSession, path: str, glob: str) -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
 
 
-def first_input(spark: SparkSession, path: str, glob: str, named: str | None = None) -> str | None:
-    """The named input, else the first by path."""
-    found = named or (r := listing(spark, path, glob).orderBy("path").first()) and r["path"]
-    return found or None
+def first_input(spark: SparkSession, path: str, glob: str, named: str | None = None, default: str | None = None) -> str | None:
+    """The named input; else the default, if such a file is there; else the first by path; else None."""
+    if named:
+        return named
+    found = listing(spark, path, glob).orderBy("path")
+    usual = found.where(F.element_at(F.split("path", "/"), -1) == default).first() if default else None
+    first = usual or found.first()
+    return first["path"] if first else None
 
 
-def voices(spark: SparkSession, names: list[str], prefix: str = "") -> DataFrame:
-    """A literal relation of voice names, those with the prefix."""
-    return spark.createDataFrame([(n,) for n in names], "name string").where(F.col("name").startswith(prefix)).orderBy("name")
+def voices(catalogue: DataFrame, name: str, prefix: str = "") -> DataFrame:
+    """name and n of the voices that a catalogue (a table or a file read as one) names with the prefix, sorted; n is their number. Null is no voice."""
+    found = catalogue.select(F.col(f"`{name}`").cast("string").alias("name")).where(F.col("name").startswith(prefix)).distinct()
+    return found.crossJoin(F.broadcast(found.agg(F.count("*").alias("n")))).orderBy("name")
 
 
 def samples(texts: DataFrame, voice_names: DataFrame) -> DataFrame:
@@ -58,31 +70,6 @@ def samples(texts: DataFrame, voice_names: DataFrame) -> DataFrame:
     return texts.crossJoin(F.broadcast(voice_names))
 
 
-def form_feed_pages(content: bytes) -> list[str]:
-    """Pages of a plain text, divided by form feeds: the extractor used if none is given."""
-    return content.decode("utf-8", "replace").split("\f")
-
-
-def document_pages(spark: SparkSession, path: str, glob: str = "*", extract: Callable[[bytes], list[str]] = form_feed_pages, first: int = 1, last: int | None = None) -> DataFrame:
-    """path, page (from 1) and text of the pages first to last of binary documents; extract gives the pages of one.
-
-    An extractor of another format (a PDF library, say) is a parameter. A document that it can't read has one row with page null
-    and the error; the others are read.
-    """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True).load(path).select("path", "content")
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in parts:
-            for name, content in zip(p["path"], p["content"]):
-                try:
-                    got = [(name, i, t, None) for i, t in enumerate(extract(bytes(content)), 1) if i >= first and (last is None or i <= last)]
-                except Exception as e:  # noqa: BLE001  one bad document must not end the others
-                    got = [(name, None, None, f"{type(e).__name__}: {e}")]
-                yield pd.DataFrame(got, columns=["path", "page", "text", "error"]).astype({"page": "Int32"})
-
-    return files.mapInPandas(run, "path string, page int, text string, error string")
-
-
 @F.pandas_udf(T.StringType())
 def html_to_markdown(html: pd.Series) -> pd.Series:
     """Headings, paragraphs and line breaks of a page as markdown; scripts, styles and other tags dropped."""
@@ -123,23 +110,19 @@ def write_json(rows: DataFrame, path: str) -> None:
     rows.write.mode("overwrite").json(path)
 
 
-def write_json_array(rows: DataFrame, order: list[str], path: str) -> None:
-    """A small table, as a chapter map of a book is, as one JSON array in order."""
-    names = rows.columns
-    array = F.array_sort(F.collect_list(F.struct(*order, F.struct(*names).alias("row"))))
-    rows.agg(F.to_json(F.transform(array, lambda x: x["row"])).alias("value")).write.mode("overwrite").text(path)
-
-
 def audio_files(segments: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """keys and wav: a chapter's PCM in order, as a WAV file's bytes; a chapter with a failed segment (pcm null) has none."""
-    kinds = dict(segments.dtypes)
+    """keys and wav: a chapter's PCM in order, as a WAV file's bytes; a chapter with a failed segment (pcm null) has none.
+
+    For chapters that fit in a row; ranges.write_wavs writes files of any length.
+    """
     broken = segments.where("pcm is null").select(*keys).distinct()
-    segments = segments.join(broken, keys, "left_anti")
+    segments = matched(segments, broken, keys, "left_anti")
 
     def run(key: tuple, p: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame([[*key, wav_bytes(b"".join(p.sort_values(order)["pcm"]))]], columns=[*keys, "wav"])
 
-    return segments.select(*keys, *order, "pcm").groupBy(*keys).applyInPandas(run, ", ".join(f"{k} {kinds[k]}" for k in keys) + ", wav binary")
+    schema = T.StructType([*(segments.schema[k] for k in keys), T.StructField("wav", T.BinaryType())])
+    return segments.select(*keys, *order, "pcm").groupBy(*keys).applyInPandas(run, schema)
 
 
 def manifest(parts: DataFrame, book: list[str], order: str, size: str) -> DataFrame:

@@ -161,18 +161,11 @@ def test_bad_texts_don_t_end_a_chapter(spark):
     assert [r["k"] for r in books.audio_files(said, ["k"], ["para_no", "seg_no"]).collect()] == [2]
 
 
-def test_documents_by_an_extractor(spark, tmp_path):
-    (tmp_path / "a.txt").write_bytes("one\ftwo\fthree".encode())
-    (tmp_path / "b.txt").write_bytes(b"bad")
-
-    def extract(content):
-        if content == b"bad":
-            raise ValueError("not a document")
-        return books.form_feed_pages(content)
-
-    got = {(r["path"][-5:], r["page"], r["text"], r["error"]) for r in books.document_pages(spark, str(tmp_path), "*.txt", extract, first=2).collect()}
-    assert got == {("a.txt", 2, "two", None), ("a.txt", 3, "three", None), ("b.txt", None, None, "ValueError: not a document")}
-    assert books.first_input(spark, str(tmp_path), "*.txt").endswith("a.txt") and books.first_input(spark, str(tmp_path), "*.txt", "x") == "x"
+def test_first_input(spark, tmp_path):
+    for name in ("b.txt", "a.txt", "usual.txt"):
+        (tmp_path / name).write_text("x")
+    first = lambda **k: (books.first_input(spark, str(tmp_path), "*.txt", **k) or "none").split("/")[-1]
+    assert [first(), first(default="usual.txt"), first(default="absent.txt"), first(named="x"), books.first_input(spark, str(tmp_path), "*.md")] == ["a.txt", "usual.txt", "a.txt", "x", None]
 
 
 def test_html(spark):
