@@ -6,12 +6,16 @@ letters' script: a word that only begins a sentence is then a slot that keeps it
 an item are looked up in small letters as well, so that a copy that lost its capitals is found. Windows of WINDOW canonical words of the documents are hash-joined
 with those of the benchmark. For every document, item and alignment (place in the document less
 place in the item) the slots of the matching windows are then compared: each value in the item must
-stand for one value in the document. A document holds an item if consistently aligned windows cover
-at least COVERAGE of the item's windows, or LONG words: verbatim and re-parameterised copies alike.
-Alignments count together if their slots agree with each other as well, else the one that covers most.
+stand for one value in the document, and each name in the document for one name in the item (two numbers may become
+equal, two people may not). Of an alignment that isn't consistent only the windows without a changed slot count.
+A document holds an item if the windows that count cover at least COVERAGE of the item's windows, or LONG words: verbatim
+and re-parameterised copies alike. Alignments count together if their slots agree with each other as well, else the one
+that covers most.
 
-Windows of the benchmark with fewer than LITERALS literal words say too little and take no part; an
-item with fewer words than WINDOW is one window if it has SHORTEST words, and else never matches.
+Windows of the benchmark with fewer than LITERALS literal words say too little as templates and take no part; an item with
+fewer words than WINDOW is one window if it has SHORTEST words. An item without any such window is looked up by its exact
+words instead, in small letters and without punctuation: in windows of WINDOW, or whole if it is shorter. An item without a
+word never matches.
 
 The benchmark's windows are broadcast only if BROADCAST_WINDOWS at most were counted, the ids of
 matching documents only if BROADCAST_DOCS at most were; more are joined by shuffle. Defined cases: null texts have no window; null or repeated doc_ids are told apart
@@ -90,42 +94,48 @@ def benchmark_windows(benchmark: DataFrame) -> DataFrame:
     items = benchmark.where("text is not null").select(F.col("item_id"), F.col("text").cast("string").alias("text"))
     low = words(canonical(F.lower("text")))  # a copy in small letters has no name left
     items = items.select("item_id", words(canonical(F.col("text"))).alias("w"), low.alias("low"), words(F.lower("text")).alias("raw"))
-    items = items.withColumn("size", F.least(F.lit(WINDOW), F.size("w"))).where(F.col("size") >= SHORTEST)
+    items = items.withColumn("size", F.least(F.lit(WINDOW), F.size("w")))
+    literal = F.transform("w", lambda x: F.when(is_slot(x), 0).otherwise(1))
+    said = F.exists(F.sequence(F.lit(1), F.size("w") - F.col("size") + 1), lambda i: F.aggregate(F.slice(literal, i, F.col("size")), F.lit(0), lambda n, x: n + x) >= LITERALS)
+    items = items.withColumn("exact", ~((F.col("size") >= SHORTEST) & said)).where(~F.col("exact") | (F.col("raw") != F.array(F.lit(""))))
 
     def hashes(w: str) -> Column:
         out = F.array().cast("array<bigint>")
-        for n in range(SHORTEST, WINDOW + 1):
+        for n in range(1, WINDOW + 1):
             out = F.when(F.col("size") == n, window_hashes(F.col(w), n)).otherwise(out)
         return out
 
     def at(w: str) -> Column:
         return F.slice(w, F.col("ipos") + 1, F.col("size"))
 
-    both = F.arrays_zip(hashes("w").alias("w"), hashes("low").alias("low"))
-    rows = items.select("item_id", "size", "w", "low", "raw", F.posexplode(both).alias("ipos", "h"))
-    rows = rows.select("item_id", "size", "ipos", "h", at("w").alias("w"), at("low").alias("low"), at("raw").alias("values"))
-    rows = rows.where(F.size(F.filter("w", lambda x: ~is_slot(x))) >= LITERALS)
+    both = F.when(F.col("exact"), F.arrays_zip(hashes("raw").alias("w"), hashes("raw").alias("low"))).otherwise(F.arrays_zip(hashes("w").alias("w"), hashes("low").alias("low")))
+    rows = items.select("item_id", "exact", "size", *(F.when(F.col("exact"), F.col("raw")).otherwise(F.col(c)).alias(c) for c in ("w", "low")), "raw", F.posexplode(both).alias("ipos", "h"))
+    rows = rows.select("item_id", "exact", "size", "ipos", "h", at("w").alias("w"), at("low").alias("low"), at("raw").alias("values"))
+    rows = rows.where(F.col("exact") | (F.size(F.filter("w", lambda x: ~is_slot(x))) >= LITERALS))
     forms = F.array_distinct(F.array(F.struct(F.col("h.w").alias("hash"), F.col("w").alias("window")), F.struct(F.col("h.low").alias("hash"), F.col("low").alias("window"))))
-    rows = rows.select("item_id", "size", "ipos", "values", F.explode(forms).alias("form")).select("item_id", "size", "ipos", "form.hash", "form.window", "values")
+    rows = rows.select("item_id", "exact", "size", "ipos", "values", F.explode(forms).alias("form")).select("item_id", "exact", "size", "ipos", "form.hash", "form.window", "values")
     total = rows.groupBy("item_id").agg(F.count_distinct("ipos").alias("n_windows"))
-    return rows.join(total, "item_id")
+    return rows.join(total, rows["item_id"].eqNullSafe(total["item_id"])).drop(total["item_id"])
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, n_matched, n_windows and reparameterised of every document that holds an item (th: the text's hash)."""
-    bench = benchmark_windows(benchmark)
-    sizes = bench.groupBy("size").count().collect()  # at most four sizes
+    bench = written(benchmark_windows(benchmark), "benchmark-windows")
+    sizes = bench.groupBy("exact", "size").count().collect()  # at most twelve
     if not sizes:
         return docs.sparkSession.createDataFrame([], f"doc_id long, th long, item_id {dict(benchmark.dtypes)['item_id']}, n_matched long, n_windows long, reparameterised boolean")
     few = sum(r["count"] for r in sizes) <= BROADCAST_WINDOWS
     base = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
-    coded = base.select("doc_id", "th", words(canonical(F.col("text"))).alias("w"))
-    found = None
-    for size in sorted(r["size"] for r in sizes):
-        rows = coded.select("doc_id", "th", F.posexplode(window_hashes(F.col("w"), size)).alias("pos", "hash"))
-        own = bench.where(F.col("size") == size)
-        hit = rows.join(F.broadcast(own) if few else own, "hash").select("doc_id", "th", "pos", "item_id", "ipos", "n_windows", "size", "window", "values")
-        found = hit if found is None else found.unionByName(hit)
+
+    def windows(w: Column, exact: bool) -> list[Column]:
+        """An array of a text's windows for every size of this kind, all from one list of words."""
+        own = sorted(r["size"] for r in sizes if r["exact"] == exact)
+        of = lambda x, n: F.transform(window_hashes(x, n), lambda h, i: F.struct(F.lit(exact).alias("exact"), F.lit(n).alias("size"), i.alias("pos"), h.alias("hash")))
+        return [let(w, lambda x: F.concat(*(of(x, n) for n in own)))] if own else []
+
+    every = F.concat(*windows(words(canonical(F.col("text"))), False), *windows(words(F.lower("text")), True))
+    rows = base.select("doc_id", "th", F.explode(every).alias("x")).select("doc_id", "th", "x.*")
+    found = rows.join(F.broadcast(bench) if few else bench, ["exact", "size", "hash"]).select("doc_id", "th", "pos", "item_id", "ipos", "n_windows", "size", "window", "values")
     # Slots as (item's value, document's value); equal literal words are equal by the hash. A document's
     # own words are cut once, for all its matching windows that have a slot.
     found = written(found, "template-matches")
@@ -137,16 +147,20 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     def slots(raw: Column, hit: Column) -> Column:
         got = F.slice(raw, hit["pos"] + 1, hit["size"])
         both = F.zip_with(F.arrays_zip(hit["window"].alias("type"), hit["values"].alias("of")), got, lambda x, y: F.struct(x["type"].alias("type"), x["of"].alias("of"), y.alias("to")))
-        return F.struct(hit["item_id"].alias("item_id"), (hit["pos"] - hit["ipos"]).alias("shift"), F.filter(both, lambda x: is_slot(x["type"])).alias("pairs"))
+        return F.struct(hit["item_id"].alias("item_id"), (hit["pos"] - hit["ipos"]).alias("shift"), hit["ipos"].alias("ipos"), F.filter(both, lambda x: is_slot(x["type"])).alias("pairs"))
 
-    each = cut.select("doc_id", "th", F.explode(let(words(F.lower("text")), lambda raw: F.transform("hits", lambda h: slots(raw, h)))).alias("x"))
-    pairs = each.select("doc_id", "th", "x.item_id", "x.shift", "x.pairs").groupBy("doc_id", "th", "item_id", "shift").agg(F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"))
+    each = cut.select("doc_id", "th", F.explode(let(words(F.lower("text")), lambda raw: F.transform("hits", lambda h: slots(raw, h)))).alias("x")).select("doc_id", "th", "x.*")
+    moved = F.collect_set(F.when(F.exists("pairs", lambda x: x["of"] != x["to"]), F.col("ipos")))
+    pairs = each.groupBy("doc_id", "th", "item_id", "shift").agg(F.array_distinct(F.flatten(F.collect_list("pairs"))).alias("pairs"), moved.alias("moved"))
     places = found.groupBy("doc_id", "th", "item_id", "n_windows", (F.col("pos") - F.col("ipos")).alias("shift")).agg(F.collect_set("ipos").alias("places"))
-    named = pairs.select(F.col("doc_id").alias("_d"), F.col("th").alias("_h"), F.col("item_id").alias("_i"), F.col("shift").alias("_s"), "pairs")
-    aligned = places.join(named, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_h")) & (F.col("item_id") == F.col("_i")) & (F.col("shift") == F.col("_s")), "left")
+    named = pairs.select(F.col("doc_id").alias("_d"), F.col("th").alias("_h"), F.col("item_id").alias("_i"), F.col("shift").alias("_s"), "pairs", "moved")
+    aligned = places.join(named, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_h")) & F.col("item_id").eqNullSafe(F.col("_i")) & (F.col("shift") == F.col("_s")), "left")
     aligned = aligned.withColumn("pairs", F.coalesce("pairs", F.array().cast("array<struct<type:string,of:string,to:string>>")))
-    one_each = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda x: F.struct(x["type"], x["of"]))))
-    aligned = aligned.where(one_each)
+    names = F.filter("pairs", lambda x: x["type"].contains(NAME))
+    one_each = (F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda x: F.struct(x["type"], x["of"]))))) & (F.size(names) == F.size(F.array_distinct(F.transform(names, lambda x: F.struct(x["type"], x["to"])))))
+    aligned = aligned.withColumn("whole", one_each)
+    aligned = aligned.withColumn("places", F.when(F.col("whole"), F.col("places")).otherwise(F.array_except("places", "moved"))).where(F.size("places") > 0)
+    aligned = aligned.withColumn("pairs", F.when(F.col("whole"), F.col("pairs")).otherwise(F.filter("pairs", lambda x: x["of"] == x["to"])))
     agree = F.array_distinct(F.flatten(F.collect_list("pairs")))
     one = F.struct(F.size("places").alias("n"), F.exists("pairs", lambda x: x["of"] != x["to"]).alias("changed"))
     held = aligned.groupBy("doc_id", "th", "item_id", "n_windows").agg(

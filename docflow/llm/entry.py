@@ -137,40 +137,49 @@ def op6_sql():
     slot = "contains(x, '0n') OR contains(x, '0u') OR contains(x, '0a')"
     return f"""
 WITH it AS (
-  SELECT item_id, {_words_sql(_canonical_sql('text'))} AS w, {_words_sql(_canonical_sql('lower(text)'))} AS low, {_words_sql('lower(text)')} AS raw FROM benchmark WHERE text IS NOT NULL
+  SELECT row_number() OVER () AS r, item_id, {_words_sql(_canonical_sql('text'))} AS w, {_words_sql(_canonical_sql('lower(text)'))} AS low, {_words_sql('lower(text)')} AS raw FROM benchmark WHERE text IS NOT NULL
 ), sized AS (
   SELECT *, least(8, len(w)) AS size FROM it WHERE len(w) >= 5
 ), ex AS (
-  SELECT item_id, size, w, low, raw, unnest(range(len(w) - size + 1)) AS ipos FROM sized
+  SELECT r, item_id, size, w, low, raw, unnest(range(len(w) - size + 1)) AS ipos FROM sized
 ), bw0 AS (
-  SELECT item_id, size, ipos, w[ipos + 1:ipos + size] AS win, low[ipos + 1:ipos + size] AS lowwin, raw[ipos + 1:ipos + size] AS vals FROM ex
+  SELECT r, item_id, size, ipos, w[ipos + 1:ipos + size] AS win, low[ipos + 1:ipos + size] AS lowwin, raw[ipos + 1:ipos + size] AS vals FROM ex
 ), bw1 AS (
   SELECT * FROM bw0 WHERE len(list_filter(win, lambda x: NOT ({slot}))) >= 4
+), exact AS (
+  SELECT item_id, least(8, len(raw)) AS size, raw, unnest(range(len(raw) - least(8, len(raw)) + 1)) AS ipos FROM it WHERE raw <> [''] AND r NOT IN (SELECT r FROM bw1)
 ), bw AS (
-  SELECT item_id, size, ipos, win, vals, array_to_string(win, ' ') AS k FROM bw1 UNION SELECT item_id, size, ipos, lowwin, vals, array_to_string(lowwin, ' ') FROM bw1
+  SELECT FALSE AS exact, item_id, size, ipos, win, vals, array_to_string(win, ' ') AS k FROM bw1 UNION SELECT FALSE, item_id, size, ipos, lowwin, vals, array_to_string(lowwin, ' ') FROM bw1
+  UNION SELECT TRUE, item_id, size, ipos, raw[ipos + 1:ipos + size], raw[ipos + 1:ipos + size], array_to_string(raw[ipos + 1:ipos + size], ' ') FROM exact
 ), tot AS (
   SELECT item_id, count(DISTINCT ipos) AS n_windows FROM bw GROUP BY item_id
 ), dd AS (
   SELECT doc_id, md5(text) AS th, {_words_sql(_canonical_sql('text'))} AS w, {_words_sql('lower(text)')} AS raw FROM documents WHERE text IS NOT NULL
 ), dx AS (
-  SELECT doc_id, th, w, raw, size, unnest(range(len(w) - size + 1)) AS pos FROM dd, (SELECT DISTINCT size FROM bw) s WHERE len(w) >= size
+  SELECT doc_id, th, exact, CASE WHEN exact THEN raw ELSE w END AS w, raw, size, unnest(range(len(w) - size + 1)) AS pos FROM dd, (SELECT DISTINCT exact, size FROM bw) s WHERE len(w) >= size
 ), dw AS (
-  SELECT doc_id, th, size, pos, array_to_string(w[pos + 1:pos + size], ' ') AS k, raw[pos + 1:pos + size] AS got FROM dx
+  SELECT doc_id, th, exact, size, pos, array_to_string(w[pos + 1:pos + size], ' ') AS k, raw[pos + 1:pos + size] AS got FROM dx
 ), hit AS (
-  SELECT doc_id, th, pos, item_id, ipos, n_windows, win, vals, got FROM dw JOIN bw USING (size, k) JOIN tot USING (item_id)
+  SELECT doc_id, th, pos, item_id, ipos, n_windows, win, vals, got FROM dw JOIN bw USING (exact, size, k) JOIN tot USING (item_id)
 ), slots AS (
-  SELECT doc_id, th, item_id, pos - ipos AS shift, type, of_, to_ FROM (SELECT doc_id, th, item_id, pos, ipos, unnest(win) AS type, unnest(vals) AS of_, unnest(got) AS to_ FROM hit)
+  SELECT doc_id, th, item_id, pos - ipos AS shift, ipos, type, of_, to_ FROM (SELECT doc_id, th, item_id, pos, ipos, unnest(win) AS type, unnest(vals) AS of_, unnest(got) AS to_ FROM hit)
   WHERE {slot.replace('(x,', '(type,')}
 ), bad AS (
   SELECT DISTINCT doc_id, th, item_id, shift FROM slots GROUP BY doc_id, th, item_id, shift, type, of_ HAVING count(DISTINCT to_) > 1
+  UNION SELECT DISTINCT doc_id, th, item_id, shift FROM slots WHERE contains(type, '0a') GROUP BY doc_id, th, item_id, shift, type, to_ HAVING count(DISTINCT of_) > 1
+), moved AS (
+  SELECT DISTINCT s.doc_id, s.th, s.item_id, s.shift, s.ipos FROM slots s JOIN bad b ON s.doc_id IS NOT DISTINCT FROM b.doc_id AND s.th = b.th AND s.item_id = b.item_id AND s.shift = b.shift WHERE of_ <> to_
 ), good AS (
-  SELECT h.* FROM hit h ANTI JOIN bad b ON h.doc_id IS NOT DISTINCT FROM b.doc_id AND h.th = b.th AND h.item_id = b.item_id AND h.pos - h.ipos = b.shift
+  SELECT h.* FROM hit h ANTI JOIN moved b ON h.doc_id IS NOT DISTINCT FROM b.doc_id AND h.th = b.th AND h.item_id = b.item_id AND h.pos - h.ipos = b.shift AND h.ipos = b.ipos
+), kept AS (
+  SELECT s.* FROM slots s ANTI JOIN bad b ON s.doc_id IS NOT DISTINCT FROM b.doc_id AND s.th = b.th AND s.item_id = b.item_id AND s.shift = b.shift
+  UNION ALL SELECT s.* FROM slots s JOIN bad b ON s.doc_id IS NOT DISTINCT FROM b.doc_id AND s.th = b.th AND s.item_id = b.item_id AND s.shift = b.shift
+    WHERE of_ = to_ AND EXISTS (SELECT 1 FROM good g WHERE g.doc_id IS NOT DISTINCT FROM s.doc_id AND g.th = s.th AND g.item_id = s.item_id AND g.pos - g.ipos = s.shift)
 ), changed AS (
-  SELECT DISTINCT doc_id, th, item_id, shift FROM slots WHERE of_ <> to_
+  SELECT DISTINCT doc_id, th, item_id, shift FROM kept WHERE of_ <> to_
 ), clash AS (
-  SELECT DISTINCT doc_id, th, item_id FROM (
-    SELECT s.doc_id, s.th, s.item_id FROM slots s ANTI JOIN bad b ON s.doc_id IS NOT DISTINCT FROM b.doc_id AND s.th = b.th AND s.item_id = b.item_id AND s.shift = b.shift
-    GROUP BY s.doc_id, s.th, s.item_id, s.type, s.of_ HAVING count(DISTINCT s.to_) > 1)
+  SELECT DISTINCT doc_id, th, item_id FROM (SELECT doc_id, th, item_id FROM kept GROUP BY doc_id, th, item_id, type, of_ HAVING count(DISTINCT to_) > 1)
+  UNION SELECT DISTINCT doc_id, th, item_id FROM (SELECT doc_id, th, item_id FROM kept WHERE contains(type, '0a') GROUP BY doc_id, th, item_id, type, to_ HAVING count(DISTINCT of_) > 1)
 ), one AS (
   SELECT g.doc_id, g.th, g.item_id, g.n_windows, g.pos - g.ipos AS shift, count(DISTINCT g.ipos) AS n, bool_or(c.shift IS NOT NULL) AS changed
   FROM good g LEFT JOIN changed c ON g.doc_id IS NOT DISTINCT FROM c.doc_id AND g.th = c.th AND g.item_id = c.item_id AND g.pos - g.ipos = c.shift GROUP BY ALL

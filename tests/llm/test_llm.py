@@ -344,7 +344,7 @@ def test_op6_against_sql(spark, monkeypatch, few):
     monkeypatch.setattr(decontam, "BROADCAST_DOCS", few)
     rng, items, docs = random.Random(6), [], []
     for i in range(12):
-        items.append((i, " ".join(rng.choice(["Anna", "Ben", "Zoë", "12", "3.5 km", "the", "goes", "to", "market", "with", "apples.", "sells", "How", "many", "für", "7 euros"]) for _ in range(rng.randint(3, 30)))))
+        items.append((i, " ".join(rng.choice(["Anna", "Ben", "Zoë", "12", "3.5 km", "the", "goes", "to", "market", "with", "apples.", "sells", "How", "many", "für", "7 euros"]) for _ in range(rng.randint(2, 30)))))
     for i in range(60):
         t = rng.choice(items)[1]
         for a, b in (("Anna", "Élodie"), ("12", "40"), ("Ben", "Max"), ("goes", "runs"), ("3.5", "4")):
@@ -377,8 +377,22 @@ def test_op6_reparameterised(spark):
     # Twice in one text, with other values: the alignments don't agree, so the better one counts.
     twice = decontam.contaminated(spark.createDataFrame([(1, anna + " " + anna.replace("Anna", "Clara"))], "doc_id long, text string"), spark.createDataFrame(asked, "item_id long, text string")).collect()
     assert [(r["item_id"], r["n_matched"] == r["n_windows"]) for r in twice] == [(2, True)]
-    clash = item.replace("12 cows", "14 cows").replace("knows 12", "knows 15")  # one value stands for two
-    assert not decontam.contaminated(spark.createDataFrame([(1, clash)], "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    # One value stands for two: only the windows without a changed slot count, here most of them.
+    clash = item.replace("12 cows", "14 cows").replace("knows 12", "knows 15")
+    rows = decontam.contaminated(spark.createDataFrame([(1, clash)], "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert [(r["n_matched"], r["n_windows"], r["reparameterised"]) for r in rows] == [(16, 22, False)]
+    # Two people can't become one; two numbers can.
+    one = [(1, sue.replace("Tom", "Max").replace("Sue", "Max")), (2, sue.replace("12", "5"))]
+    rows = decontam.contaminated(spark.createDataFrame(one, "doc_id long, text string"), spark.createDataFrame(asked, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in rows} == {(2, 1)}
+
+
+def test_op6_items_without_a_window(spark):
+    """Items too short or too bare for a template are found by their exact words."""
+    asked = [(1, "What is 2 plus 2?"), (2, "What is it?"), (3, "Anna Ben Carl Dora Emil Fritz Gerd Hans Ida"), (4, None), (5, " ?! "), (6, "")]
+    told = [(1, "Tell me: what is 2 plus 2? Four."), (2, "what is 3 plus 3"), (3, "I ask what is it, then"), (4, "What it is"), (5, "so anna ben carl dora emil fritz gerd hans ida"), (6, "Xaver Ben Carl Dora Emil Fritz Gerd Hans Ida"), (7, ""), (8, None), (9, "?!")]
+    rows = decontam.contaminated(spark.createDataFrame(told, "doc_id long, text string"), spark.createDataFrame(asked, "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"], r["reparameterised"]) for r in rows} == {(1, 1, False), (3, 2, False), (5, 3, False), (6, 3, False)}
 
 
 @pytest.mark.parametrize("planes", ["byte", "bit"])
