@@ -34,6 +34,8 @@ from .common import tidy
 
 SAMPLE, TUNING_QUERIES, TARGET, ROUNDS = 16_000, 256, 0.95, 8
 BLOCK_ROWS = 4_096
+#: Vectors, a query's once for each block that it visits, that a batch of probes holds at most (one query's, if it visits more).
+PROBE_ROWS = 8_192
 
 
 def _distances(y: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -169,6 +171,11 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
 
     def probes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         books, (counts, block, parts, enough) = sent.value, plan.value
+
+        def asked(b: pa.RecordBatch, to: list[int], row: list[int], cells: list[list[int]]) -> pa.RecordBatch:
+            pick = pa.array(row, pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array([1] * len(to), pa.int32()), b.column(0).take(pick), pa.array(cells, pa.list_(pa.int32())), b.column(1).take(pick)], names=names)
+
         for b in batches:
             x = np.array(b.column(1).flatten()).reshape(b.num_rows, -1)
             to, row, cells = [], [], []
@@ -177,12 +184,14 @@ def search(vectors: DataFrame, k: int = 20, every: int = 20) -> DataFrame:
                 for c in books.walk(x[i], counts, enough):
                     for p in range(int(parts[c])):
                         by.setdefault(int(block[c]) + p, []).append(c)
-                for t, own in by.items():
-                    to.append(t)
-                    row.append(i)
-                    cells.append(own)
-            pick = pa.array(row, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(to, pa.int64()), pa.array([1] * len(to), pa.int32()), b.column(0).take(pick), pa.array(cells, pa.list_(pa.int32())), b.column(1).take(pick)], names=names)
+                if to and len(to) + len(by) > PROBE_ROWS:
+                    yield asked(b, to, row, cells)
+                    to, row, cells = [], [], []
+                to += by
+                row += [i] * len(by)
+                cells += by.values()
+            if to:
+                yield asked(b, to, row, cells)
 
     names, kind = ["block", "kind", "id", "cells", "v"], "block long, kind int, id long, cells array<int>, v array<double>"
     asked = ok.where(F.col("vec_id") % every == 0).select("vec_id", "v")
