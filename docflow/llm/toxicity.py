@@ -173,7 +173,8 @@ def train(docs: DataFrame, graded: DataFrame, sample_docs: int = SAMPLE_DOCS) ->
         for b in batches:
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([features(x) for x in b.column(2).to_pylist()], pa.list_(pa.int32()))], names=["doc_id", "grade", "x"])
 
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some), "doc_id")  # sample_docs rows at most
+    # Repeated ids would multiply the rows: of the texts under one id and grade the least teaches, so sample_docs rows at most.
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(some.distinct()), "doc_id").groupBy("doc_id", "grade").agg(F.min("text").alias("text"))
     got = texts.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("grade").alias("grade"), "text").mapInArrow(run, "doc_id long, grade int, x array<int>").toArrow().combine_chunks()
     ids, grades, x = (got.column(i).combine_chunks() for i in range(3))
     values, off = x.values.to_numpy(), x.offsets.to_numpy()

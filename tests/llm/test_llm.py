@@ -766,3 +766,23 @@ def test_p_stable_odd_vectors(spark):
     assert sorted(got, key=str) == sorted([(1, 1, 1, True), (2, 1, 1, False), (2, 1, 1, False), (None, 0, None, True), *((i, 0, i, True) for i in (3, 4, 5, 6, 7, 8, 9, 10))], key=str)
     assert euclid_lsh.near_duplicates(spark.createDataFrame([], schema)).collect() == []
     assert [tuple(r) for r in euclid_lsh.near_duplicates(spark.createDataFrame(rows[:1], schema)).collect()] == [(1, 0, 1, True)]
+
+
+def test_repeated_ids_teach_once(spark, monkeypatch):
+    """The sample that reaches the driver holds no more rows than it may, however often an id repeats."""
+    docs = spark.createDataFrame([(i % 4, f"text {'bad ' * (i % 2)}{i}") for i in range(400)], "doc_id long, text string")
+    graded = spark.createDataFrame([(i, i % 2) for i in range(4)] * 3, "doc_id long, grade int")
+    seen = []
+    monkeypatch.setattr(toxicity, "fit", lambda rows, grades: seen.append(len(rows)) or (rows, grades))
+    toxicity.train(docs, graded)
+    assert seen == [4]
+
+
+@pytest.mark.parametrize("rows", [1, 50])
+def test_probe_batches_are_bounded(spark, monkeypatch, rows):
+    """Probes cut into batches of any size give the same answers."""
+    rng = np.random.default_rng(8)
+    table = spark.createDataFrame([(i, rng.standard_normal(8).tolist()) for i in range(600)], "vec_id long, embedding array<double>")
+    want = sorted(tuple(r) for r in multi_index.search(table).collect())
+    monkeypatch.setattr(multi_index, "PROBE_ROWS", rows)
+    assert sorted(tuple(r) for r in multi_index.search(table).collect()) == want
