@@ -10,7 +10,8 @@ texts it could be linked with, and each part gets PIVOTS further pivots. What st
 classes then is searched whole: every pair of different classes whose lengths and words (see
 could_link) don't rule a link out is aligned, first the most alike one of any two classes, then all
 that are still of different classes. So each pair that shares an entry is aligned, ruled out, or of
-one class. A pair is linked if banded alignment of its words finds an edit distance of at most
+one class. An entry over-full of short texts, as a common phrase makes, is split by words first (see tokened), which loses no
+pair. A pair is linked if banded alignment of its words finds an edit distance of at most
 (1 - SIMILARITY) of the longer text. Links make classes by connected components.
 
 Equal texts are merged before (by a 128-bit hash, pre-aggregated), so copies cost nothing more.
@@ -45,6 +46,8 @@ ORDERS = 4
 PIVOTS = 4
 #: Rows of a part of an entry that are compared with each other or with as many others in one place; larger parts are cut.
 CELL = 4096
+#: Rows of an over-full entry whose words are counted, and the share of them that has a common word.
+COMMON_SAMPLE, COMMON = 400, 0.02
 #: Bits of a text's set for each of its words: two different words fall on one bit, and hide a difference, once in so many.
 WORD_BITS = 16
 #: Bits of the texts of a cell that are unpacked at a time, and the most texts then.
@@ -223,7 +226,7 @@ def _bit_rows(bits: list[bytes], size: int) -> np.ndarray:
     return np.unpackbits(out, axis=1).astype(np.float32)
 
 
-CELL_KEY = ["s", "entry", "i", "j"]
+CELL_KEY = ["s", "entry", "token", "i", "j"]
 CELL_ROW = [*CELL_KEY, "own", "node", "label", "n", "bits", "before"]
 
 
@@ -232,20 +235,20 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by cell to the pairs of different labels that could link; whole cells at a time."""
 
     def solve(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        cross = rows[0][2] != rows[0][3]
-        rows.sort(key=lambda r: r[7])  # by words: texts of like size together, so that little is folded and lengths rule out whole runs
-        own, node, label, n = (np.array([r[c] for r in rows], np.int64) for c in range(4, 8))
+        cross = rows[0][3] != rows[0][4]
+        rows.sort(key=lambda r: r[8])  # by words: texts of like size together, so that little is folded and lengths rule out whole runs
+        own, node, label, n = (np.array([r[c] for r in rows], np.int64) for c in range(5, 9))
         longest = np.floor(n / SIMILARITY * (1 + 1e-9)) + 1  # of a text that can be similar to one of n words
-        before = np.array([r[9] for r in rows], np.int64).reshape(len(rows), -1)
+        before = np.array([r[10] for r in rows], np.int64).reshape(len(rows), -1)
         a = 0
         while a < len(rows):
-            size = len(rows[a][8])
+            size = len(rows[a][9])
             step = max(1, min(STEP, UNPACKED // (8 * size)))
             u = slice(a, a + step)
-            x = _bit_rows([r[8] for r in rows[u]], size)
+            x = _bit_rows([r[9] for r in rows[u]], size)
             for b in range(a, int(np.searchsorted(n, longest[u][-1], "right")), step):
                 v = slice(b, b + step)
-                y = x if a == b else _bit_rows([r[8] for r in rows[v]], size)
+                y = x if a == b else _bit_rows([r[9] for r in rows[v]], size)
                 ok, lack = could_link(x, y, n[u], n[v])
                 ok &= label[u][:, None] != label[v][None, :]
                 if cross:
@@ -266,7 +269,7 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[tuple] = []
     for b in batches:
         for r in zip(*(c.to_pylist() for c in b.columns)):
-            if held and held[0][:4] != r[:4]:
+            if held and held[0][:5] != r[:5]:
                 yield from solve(held)
                 held = []
             held.append(r)
@@ -274,12 +277,49 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from solve(held)
 
 
-def searched(mixed: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b, lack) of mixed (s, entry, node, n, label) that share an entry, have different labels and could link."""
+@tidy
+def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, text to node and the hashes of its words, labelled by occurrence number."""
+    for b in pieces(batches, 1):
+        for i, j, raw, off in text_blocks(b.column(1)):
+            sym, at = symbols("word", raw, off)
+            row = np.repeat(np.arange(j - i), np.diff(at))
+            h = mix(sym + nth_of(sym, row).astype(U64) * U64(0xC2B2AE3D27D4EB4F)).view(np.int64)
+            yield from in_rows(pa.RecordBatch.from_arrays([b.column(0).slice(i, j - i), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(h))], names=["node", "tokens"]))
+
+
+def tokened(crowd: DataFrame, texts: DataFrame) -> DataFrame:
+    """Rows (s, entry, rows, node, label, n) of over-full entries once for each of their rarest words: texts that can be similar share one.
+
+    Texts of n and m words within an edit distance of k lack at most k words of each other, so if words are put in any one order, the
+    first k + 1 of both have one in common; k is a quarter of n at most. The order puts the words last that many texts of the entry
+    have, as a sample of about COMMON_SAMPLE of them says: how good the sample is decides the work, not what is found.
+    """
     key = ["s", "entry"]
-    parts = mixed.groupBy(*key).agg(F.count("*").alias("rows"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
-    parts = parts.select(*key, F.ceil(F.col("rows") / CELL).cast("int").alias("blocks"))
-    at = mixed.join(parts, key).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    tokens = written(texts.join(crowd.select("node").distinct(), "node", "left_semi").select("node", "text").mapInArrow(_tokens, "node long, tokens array<long>"), "tokens")
+    some = crowd.where(F.pmod(F.xxhash64("node", F.lit(5)), F.ceil(F.col("rows") / COMMON_SAMPLE)) == 0)
+    seen = some.select(*key, "rows", "node").join(tokens, "node").select(*key, "rows", F.explode("tokens").alias("token")).groupBy(*key, "rows", "token").agg(F.count("*").alias("c"))
+    common = seen.where(F.col("c") > 2 + COMMON * F.least("rows", F.lit(COMMON_SAMPLE))).groupBy(*key).agg(F.collect_set("token").alias("common"))
+    at = crowd.join(tokens, "node").join(F.broadcast(written(common, "common")), key, "left").withColumn("common", F.coalesce("common", F.array().cast("array<bigint>")))
+    order = F.concat(F.array_sort(F.array_except("tokens", "common")), F.array_sort(F.array_intersect("tokens", "common")))
+    return at.select(*key, "node", "label", "n", F.explode(F.slice(order, F.lit(1), F.floor(F.col("n") * ((1 - SIMILARITY) / SIMILARITY) + 1e-6).cast("int") + 1)).alias("token"))
+
+
+def searched(mixed: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b, lack) of mixed (s, entry, node, n, label) that share an entry, have different labels and could link.
+
+    Entries of more than CELL rows, if they have more blocks than their texts have first words, are split by words.
+    """
+    key, rows = ["s", "entry"], F.count("*").alias("rows")
+    classes = [F.min("label").alias("lo"), F.max("label").alias("hi")]
+    full = mixed.groupBy(*key).agg(rows, F.avg("n").alias("words"), *classes).where("lo < hi")
+    full = written(full.where(F.col("rows") / CELL > F.greatest(F.lit(1.0), F.col("words") * ((1 - SIMILARITY) / SIMILARITY) + 1)).select(*key, "rows"), "crowded")
+    at = mixed.select(*key, "node", "label", "n", F.lit(0).cast("long").alias("token"))
+    if full.limit(1).count():
+        at = at.join(full, key, "left_anti").unionByName(written(tokened(mixed.select(*key, "node", "label", "n").join(full, key), texts), "tokened"))
+    key = [*key, "token"]
+    parts = at.groupBy(*key).agg(rows, *classes).where("lo < hi").select(*key, F.ceil(F.col("rows") / CELL).cast("int").alias("blocks"))
+    at = at.join(parts, key).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     at = at.select(*key, "node", "label", "n", "own", other).select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     cells = at.join(nodes.select("node", "bits", "entries"), "node").withColumn("before", F.slice("entries", F.lit(1), F.col("s"))).select(*CELL_ROW)
@@ -365,7 +405,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     links, labels = _linked(more, texts, links, labels)
     tested = tested.unionByName(more)
     # The rest, whole: of any two classes the most alike pair, then all pairs that are still of different classes.
-    rest = written(searched(_mixed(rows, labels, key), nodes).join(tested, ["a", "b"], "left_anti"), "pairs")
+    rest = written(searched(_mixed(rows, labels, key), nodes, texts).join(tested, ["a", "b"], "left_anti"), "pairs")
     now = labelled(rest, labels).groupBy(F.least("la", "lb"), F.greatest("la", "lb")).agg(F.min_by(F.struct("a", "b"), "lack").alias("p"))
     now = written(now.select("p.a", "p.b"), "pairs")
     links, labels = _linked(now, texts, links, labels)

@@ -786,3 +786,19 @@ def test_probe_batches_are_bounded(spark, monkeypatch, rows):
     want = sorted(tuple(r) for r in multi_index.search(table).collect())
     monkeypatch.setattr(multi_index, "PROBE_ROWS", rows)
     assert sorted(tuple(r) for r in multi_index.search(table).collect()) == want
+
+
+def test_over_full_entries_lose_nothing(spark, monkeypatch):
+    """Entries of a common phrase, split by words or compared whole, give the same classes."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    docs = [f"thanks for the {word()} {word()} {word()} {word()}" for _ in range(600)]
+    docs += [" ".join([*t.split()[:5], word(), *t.split()[6:]]) for t in docs[:80]] + [t + " " + word() for t in docs[80:120]] + [f"{word()} thanks for the {word()}" for _ in range(100)]
+    table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    want = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(table).collect()}
+    monkeypatch.setattr(order_minhash, "CELL", 40)
+    seen = []
+    split = order_minhash.tokened
+    monkeypatch.setattr(order_minhash, "tokened", lambda *a: seen.append(1) or split(*a))
+    got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(table).collect()}
+    assert seen and got == want and len(docs) - len(set(got.values())) >= 100
