@@ -56,6 +56,40 @@ def joined(rows: DataFrame, facts: DataFrame, keys: list[str], hot: Column) -> D
     return rows.join(few, keys).unionByName(rows.join(few.select(*keys), keys, "left_anti").join(facts.where(~hot), keys))
 
 
+#: Bits of a filter of ids, whatever their number: 8 MB.
+FILTER_BITS = 1 << 26
+
+
+def id_filter(ids: DataFrame) -> Callable[[Column], Column]:
+    """A test of a column of longs: true for every one of ids (one column) and, where these are far fewer than FILTER_BITS, for few others.
+
+    It keeps rows that a join would drop out of its shuffle. The filter has one size; of many ids it lets all pass.
+    """
+    bit = F.pmod(F.xxhash64(F.col(ids.columns[0])), F.lit(FILTER_BITS)).cast("int")
+    parts = ids.select(F.shiftright(bit, 16).alias("part"), bit.bitwiseAND(0xFFFF).alias("bit")).groupBy("part").agg(F.collect_set("bit").alias("bits"))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out = []
+            for x in b.column(1):
+                own = np.zeros(1 << 16, bool)
+                own[x.values.to_numpy()] = True
+                out.append(np.packbits(own).tobytes())
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.binary())], names=["part", "bits"])
+
+    all_ = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in parts.mapInArrow(tidy(pack), "part int, bits binary").collect():  # at most 1,024 rows of 8 KB
+        all_[r["part"] << 13:(r["part"] + 1) << 13] = np.frombuffer(r["bits"], np.uint8)
+    sent = ids.sparkSession.sparkContext.broadcast(all_)
+
+    @F.arrow_udf("boolean")
+    def test(h: pa.Array) -> pa.Array:
+        at = h.to_numpy(zero_copy_only=False) & (FILTER_BITS - 1)
+        return pa.array((sent.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool))
+
+    return lambda c: test(F.xxhash64(c))
+
+
 def n_partitions(df: DataFrame) -> int:
     """Partitions for a shuffle of df: as many as the session asks for, more where the files read are large."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import WORD_HASH, symbols
-from .common import U64, in_rows, mix, pieces, text_blocks, tidy, written
+from .common import U64, id_filter, in_rows, mix, pieces, text_blocks, tidy, written
 from .components import components
 
 SHINGLE, SIMILARITY, SKETCHES, PICKED = 5, 0.8, 10, 2
@@ -337,11 +337,12 @@ def labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The linked pairs (a, b) among pairs (a written table); texts (node, text) has every node once.
 
-    Only texts of pairs go on; where the pairs are few by Spark's size check, others aren't shuffled.
+    Texts of no pair are kept out of the shuffle by a filter of ids.
     """
+    some = texts.where(id_filter(pairs.select(F.explode(F.array("a", "b")).alias("id")))(F.col("node")))
 
     def asked(x: str) -> DataFrame:
-        return texts.select(F.col("node").alias(x), F.col("text").alias(f"t{x}")).join(pairs.select(x), x, "left_semi")
+        return some.select(F.col("node").alias(x), F.col("text").alias(f"t{x}"))
 
     two = pairs.join(asked("a"), "a").join(asked("b"), "b")
     return two.select("a", "b", "ta", "tb").mapInArrow(_verify, "a long, b long")

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import A_SCHEMA, Spec, lists_of, repeated, scan, union_of, with_lists
-from .common import BATCH_ROWS, keyed, pieces, tidy, unique_ids, written
+from .common import BATCH_ROWS, id_filter, keyed, pieces, tidy, unique_ids, written
 
 GRAM, GROUP_MOST = 24, 20_000
 #: Suffixes that are sorted together.
@@ -194,7 +194,7 @@ def _repeats(spec: Spec):
 
 def contexts(base: DataFrame, asked: DataFrame) -> DataFrame:
     """The contexts of asked (key, doc, th, a, b) in the texts of base."""
-    joined = with_lists(base, asked, "inner", "key", "a", "b").select("doc_id", "th", "text", "_key", "_a", "_b")
+    joined = with_lists(base.where(id_filter(asked.select("doc"))(F.col("doc_id"))), asked, "inner", "key", "a", "b").select("doc_id", "th", "text", "_key", "_a", "_b")
     return joined.mapInArrow(_contexts, R_SCHEMA)
 
 
@@ -419,11 +419,18 @@ def _cut():
     return tidy(run)
 
 
+def with_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """rows (doc_id, th, ...) with the lists _a and _b of their spans; rows without any are told by a filter of ids and not shuffled."""
+    spans = written(spans, "spans")
+    has = F.coalesce(id_filter(spans.select("doc"))(F.col("doc_id")), F.lit(False))
+    none = F.lit(None).cast("array<int>")
+    return with_lists(rows.where(has), spans, "left", "a", "b").unionByName(rows.where(~has).select("*", none.alias("_a"), none.alias("_b")))
+
+
 def dedup(docs: DataFrame, window: int = 100) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row."""
     base = keyed(docs)
-    spans = repeat_spans(base, Spec("byte", window, GRAM, within=True))
-    return with_lists(base, spans, "left", "a", "b").select("doc_id", "text", "_a", "_b").mapInArrow(_cut(), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return with_spans(base, repeat_spans(base, Spec("byte", window, GRAM, within=True))).select("doc_id", "text", "_a", "_b").mapInArrow(_cut(), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 @tidy
@@ -450,7 +457,7 @@ def cut(docs: DataFrame, window: int = 100) -> DataFrame:
     names = docs.columns
     rows = docs.select(F.col("text").cast("string").alias("_t"), *(F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(names)))
     rows = rows.select("*", F.col(f"_c{names.index('doc_id')}").cast("long").alias("doc_id"), (F.xxhash64(F.coalesce("_t", F.lit(""))) if not unique else F.lit(0).cast("long")).alias("th"))
-    joined = with_lists(rows, spans, "left", "a", "b").select("_t", "_a", "_b", *(f"_c{i}" for i in range(len(names)) if names[i] != "text"))
+    joined = with_spans(rows, spans).select("_t", "_a", "_b", *(f"_c{i}" for i in range(len(names)) if names[i] != "text"))
     kept = ", ".join(f"_c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields) if f.name != "text")
     done = joined.mapInArrow(_cut_text, f"_cut string, {kept}")
     return done.select(*(F.col("_cut" if c == "text" else f"_c{i}").alias(c) for i, c in enumerate(names)))
