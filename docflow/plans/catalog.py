@@ -632,7 +632,19 @@ def output_paths(s, d):
     return books.table(s, d, "documents").select("doc_id", *titles.output_paths(name, "out"))
 
 
-@query()
+def _html_sql(x):
+    x = rf"regexp_replace({x}, '(?is)<(script|style)\b.*?</(script|style)>|<!--.*?-->', '', 'g')"
+    for n in range(1, 7):
+        x = f"regexp_replace({x}, '(?i)<h{n}[^>]*>', chr(10) || chr(10) || '{'#' * n} ', 'g')"
+    x = rf"regexp_replace({x}, '(?i)<br\s*/?>', chr(10), 'g')"
+    x = rf"regexp_replace({x}, '(?i)</h[1-6]>|</?p\b[^>]*>|</?div\b[^>]*>|</?li\b[^>]*>', chr(10) || chr(10), 'g')"
+    x = f"regexp_replace({x}, '<[^>]+>', '', 'g')"
+    for entity, to in (("&quot;", '"'), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&")):  # those that the pages have
+        x = f"replace({x}, '{entity}', '{to}')"
+    return _TRIM.format(rf"regexp_replace({x}, '\n{{3,}}', chr(10) || chr(10), 'g')")
+
+
+@query(f"SELECT page_id, {_html_sql('html')} AS md FROM pages")
 def html_pages(s, d):
     return books.extracted_pages(books.table(s, d, "pages"))
 
