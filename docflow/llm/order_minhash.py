@@ -352,21 +352,33 @@ def _pairs(at: DataFrame, key: list[str], orders: list[Column]) -> DataFrame:
     """The pairs (a, b) of each row of at with the pivots of its key, one of each order, if labels and lengths allow a new link."""
     told = ["label"] if "label" in at.columns else []
     firsts = [F.min(F.struct(o.alias("o"), F.col("node").alias("pivot"), F.col("n").alias("pn"), *(F.col(x).alias("pl") for x in told))) for o in orders]
-    pivots = at.groupBy(*key).agg(F.array_distinct(F.array(*firsts)).alias("p"), F.count("*").alias("rows")).where("rows > 1").select(*key, "p")
+    pivots = written(at.groupBy(*key).agg(F.array_distinct(F.array(*firsts)).alias("p"), F.count("*").alias("rows")).where("rows > 1").select(*key, "p"), "pivots")
 
     def may_link(p: Column) -> Column:
         other = (p["pivot"] != F.col("node")) & near_in_length(F.col("n"), p["pn"])
         return other & (p["pl"] != F.col("label")) if told else other
 
-    pairs = at.join(pivots, key).select("node", F.explode(F.filter("p", may_link)).alias("p")).select("node", "p.pivot")
+    pairs = held(at, pivots, key).join(pivots, key).select("node", F.explode(F.filter("p", may_link)).alias("p")).select("node", "p.pivot")
     return pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
 
 
-def _mixed(rows: DataFrame, labels: DataFrame, key: list[str]) -> DataFrame:
+def held(rows: DataFrame, other: DataFrame, key: list[str]) -> DataFrame:
+    """rows without most of those whose key other (a written table) lacks, so that these aren't shuffled for the join that drops them."""
+    return rows.where(id_filter(other.select(F.xxhash64(*key).alias("h")))(F.xxhash64(*key)))
+
+
+def entries_of(nodes: DataFrame, sketches: int = ALL_SKETCHES) -> DataFrame:
+    """The columns of nodes with s and entry of the first sketches."""
+    own = [c for c in nodes.columns if c not in ("entries", "bits", "h1", "h2")]
+    return nodes.select(*own, F.posexplode(F.slice("entries", 1, sketches)).alias("s", "entry")).where("entry <> 0")
+
+
+def _mixed(nodes: DataFrame, labels: DataFrame, key: list[str], sketches: int = ALL_SKETCHES) -> DataFrame:
     """The rows of entries that hold several classes, with label."""
-    at = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    mixed = at.groupBy(*key).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select(*key)
-    return at.join(mixed, key)
+    named = nodes.select("node", "n", "entries").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    at = entries_of(named, sketches)
+    mixed = written(at.groupBy(*key).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select(*key), "mixed-entries")
+    return held(at, mixed, key).join(mixed, key)
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, links: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -390,23 +402,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     own = F.col("doc_id") if sole else lost
     nodes = worded.select("h1", "h2", own.alias("node"), "text").mapInArrow(_sketch, "h1 long, h2 long, node long, n long, entries array<long>, bits binary")
     nodes = written(nodes.groupBy("h1", "h2").agg(F.min("node").alias("node"), F.first("n").alias("n"), F.first("entries").alias("entries"), F.first("bits").alias("bits")), "nodes")
-    rows = nodes.select("node", "n", F.posexplode("entries").alias("s", "entry")).where("entry <> 0")
-    ordered = rows.where(F.col("s") < SKETCHES)
     texts = worded.select(own.alias("node"), "text")
     if not sole:
         texts = texts.groupBy("node").agg(F.first("text").alias("text"))
     key = ["s", "entry"]
-    tested = written(_pairs(ordered, key, [F.xxhash64("node", F.pmod("s", F.lit(ORDERS)))]), "pairs")
+    tested = written(_pairs(entries_of(nodes.select("node", "n", "entries"), SKETCHES), key, [F.xxhash64("node", F.pmod("s", F.lit(ORDERS)))]), "pairs")
     links = written(verified(tested, texts), "links")
     labels = written(components(links), "labels")
     # Entries that still hold several classes; written, so that the pivots of a hot one are found by partial aggregation.
-    mixed = written(_mixed(ordered, labels, key).withColumn("length", F.explode(lengths("n"))), "mixed")
+    mixed = written(_mixed(nodes, labels, key, SKETCHES).withColumn("length", F.explode(lengths("n"))), "mixed")
     orders = [F.xxhash64("node", F.pmod("s", F.lit(ORDERS)), F.lit(k)) for k in range(1, PIVOTS + 1)]
     more = written(_pairs(mixed, [*key, "length"], orders).join(tested, ["a", "b"], "left_anti"), "pairs")
     links, labels = _linked(more, texts, links, labels)
     tested = tested.unionByName(more)
     # The rest, whole: of any two classes the most alike pair, then all pairs that are still of different classes.
-    rest = written(searched(_mixed(rows, labels, key), nodes, texts).join(tested, ["a", "b"], "left_anti"), "pairs")
+    rest = written(searched(written(_mixed(nodes, labels, key), "mixed"), nodes, texts).join(tested, ["a", "b"], "left_anti"), "pairs")
     now = labelled(rest, labels).groupBy(F.least("la", "lb"), F.greatest("la", "lb")).agg(F.min_by(F.struct("a", "b"), "lack").alias("p"))
     now = written(now.select("p.a", "p.b"), "pairs")
     links, labels = _linked(now, texts, links, labels)
