@@ -419,18 +419,20 @@ def _cut():
     return tidy(run)
 
 
-def with_spans(rows: DataFrame, spans: DataFrame) -> DataFrame:
-    """rows (doc_id, th, ...) with the lists _a and _b of their spans; rows without any are told by a filter of ids and not shuffled."""
+def with_spans(rows: DataFrame, spans: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows (doc_id, th, ...) with the lists _a and _b of their spans, most rows without any): these are told by a filter of ids and not shuffled."""
     spans = written(spans, "spans")
     has = F.coalesce(id_filter(spans.select("doc"))(F.col("doc_id")), F.lit(False))
-    none = F.lit(None).cast("array<int>")
-    return with_lists(rows.where(has), spans, "left", "a", "b").unionByName(rows.where(~has).select("*", none.alias("_a"), none.alias("_b")))
+    return with_lists(rows.where(has), spans, "left", "a", "b"), rows.where(~has)
 
 
 def dedup(docs: DataFrame, window: int = 100) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every row."""
     base = keyed(docs)
-    return with_spans(base, repeat_spans(base, Spec("byte", window, GRAM, within=True))).select("doc_id", "text", "_a", "_b").mapInArrow(_cut(), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    some, others = with_spans(base, repeat_spans(base, Spec("byte", window, GRAM, within=True)))
+    done = some.select("doc_id", "text", "_a", "_b").mapInArrow(_cut(), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    text, none = F.coalesce("text", F.lit("")), F.lit(0).cast("long")
+    return done.unionByName(others.select("doc_id", F.octet_length(text).cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), F.sha2(text, 256).alias("kept_sha256")))
 
 
 @tidy
@@ -457,7 +459,8 @@ def cut(docs: DataFrame, window: int = 100) -> DataFrame:
     names = docs.columns
     rows = docs.select(F.col("text").cast("string").alias("_t"), *(F.col(f"`{c}`").alias(f"_c{i}") for i, c in enumerate(names)))
     rows = rows.select("*", F.col(f"_c{names.index('doc_id')}").cast("long").alias("doc_id"), (F.xxhash64(F.coalesce("_t", F.lit(""))) if not unique else F.lit(0).cast("long")).alias("th"))
-    joined = with_spans(rows, spans).select("_t", "_a", "_b", *(f"_c{i}" for i in range(len(names)) if names[i] != "text"))
+    some, others = with_spans(rows, spans)
+    rest = [f"_c{i}" for i in range(len(names)) if names[i] != "text"]
     kept = ", ".join(f"_c{i} {f.dataType.simpleString()}" for i, f in enumerate(docs.schema.fields) if f.name != "text")
-    done = joined.mapInArrow(_cut_text, f"_cut string, {kept}")
+    done = some.select("_t", "_a", "_b", *rest).mapInArrow(_cut_text, f"_cut string, {kept}").unionByName(others.select(F.col("_t").alias("_cut"), *rest))
     return done.select(*(F.col("_cut" if c == "text" else f"_c{i}").alias(c) for i, c in enumerate(names)))
