@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,6 +31,38 @@ def pcm_bytes(x: np.ndarray) -> bytes:
     return (np.clip(np.nan_to_num(x, nan=0.0), -1, 1) * 32767).astype("<i2").tobytes()
 
 
+def silence(ends_paragraph: bool, profile: Profile, rate: int = SAMPLE_RATE) -> bytes:
+    """The PCM of the silence behind a segment."""
+    return bytes(2 * int(rate * (profile.paragraph_s if ends_paragraph else profile.sentence_s)))
+
+
+#: Bytes of PCM that a task gathers before it passes them on.
+OUT_BYTES = 8 << 20
+
+
+@F.arrow_udf(T.BinaryType())
+def deflated(data: pa.Array) -> pa.Array:
+    """PCM for a shuffle or a sort: silence takes next to nothing. Null stays null."""
+    return pa.array([zlib.compress(x.as_buffer(), 1) if x.is_valid else None for x in data], pa.binary())
+
+
+def inflated(rows: DataFrame, column: str) -> DataFrame:
+    """rows with what deflated() made of a column as it was."""
+    at = rows.columns.index(column)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            out, size, start = [], 0, 0
+            for i, x in enumerate(b.column(at)):
+                out.append(zlib.decompress(x.as_buffer()) if x.is_valid else None)
+                size += len(out[-1] or b"")
+                if size >= OUT_BYTES or i + 1 == b.num_rows:
+                    yield b.slice(start, len(out)).set_column(at, column, pa.array(out, pa.binary()))
+                    out, size, start = [], 0, i + 1
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 #: Bytes of a WAV header, and of one with 64-bit sizes, which PCM of WAV_MOST bytes and more needs.
 WAV_HEADER, RF64_HEADER, WAV_MOST = 44, 80, (1 << 32) - 44
 
@@ -61,8 +94,9 @@ def sample_sum(pcm: pd.Series, first: pd.Series) -> pd.Series:
     """A checksum that adds up over pieces: the sum of 16-bit samples, each times 1 + its place modulo 1009; first is the first's place."""
 
     def one(data: bytes, at: int) -> int:
-        x = np.frombuffer(data, "<i2").astype(np.int64)
-        return int((x * (1 + (at + np.arange(len(x))) % 1009)).sum())
+        x = np.frombuffer(data, "<i2")
+        i = np.flatnonzero(x)  # most is silence
+        return int((x[i].astype(np.int64) * (1 + (at + i) % 1009)).sum())
 
     return pd.Series([None if d is None else one(d, int(a)) for d, a in zip(pcm, first)], dtype="Int64")
 
@@ -122,14 +156,16 @@ def synthesise(segments: DataFrame, profile: Profile, make_voice: Callable[[], C
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         voice = make_voice()
         for p in parts:
-            out, errors = [], []
+            texts, lasts = p["seg"].tolist(), p["ends_paragraph"].tolist()
+            out, errors, at, size = [], [], 0, 0
             for i in range(0, len(p), profile.batch):
-                some = p.iloc[i:i + profile.batch]
-                for (x, error), last in zip(_spoken(voice, some["seg"].tolist(), tries, pause_s), some["ends_paragraph"]):
-                    rest = np.zeros(int(SAMPLE_RATE * (profile.paragraph_s if last else profile.sentence_s)), np.float32)
-                    out.append(None if x is None else pcm_bytes(np.concatenate([x, rest])))
+                for (x, error), last in zip(_spoken(voice, texts[i:i + profile.batch], tries, pause_s), lasts[i:i + profile.batch]):
+                    out.append(None if x is None else pcm_bytes(x) + silence(last, profile))
                     errors.append(error)
-            yield p.assign(pcm=out, error=errors)
+                    size += len(out[-1] or b"")
+                if size >= OUT_BYTES or i + profile.batch >= len(p):
+                    yield p.iloc[at:at + len(out)].assign(pcm=out, error=errors)
+                    out, errors, at, size = [], [], at + len(out), 0
 
     return segments.mapInPandas(run, schema)
 

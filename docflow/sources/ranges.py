@@ -16,6 +16,7 @@ import glob
 import os
 import shutil
 import uuid
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,12 +26,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, InputPartition, WriterCommitMessage
 
 from docflow.functions import audio
-from docflow.operators.keys import matched
 from docflow.operators.running import running
 from docflow.profiles import SAMPLE_RATE
+from docflow.sources.shared import written
 
-#: Bytes of a file that one row of the reader holds, and that one partition reads.
-ROW_BYTES, PART_BYTES = 1 << 20, 64 << 20
+#: Bytes of a file that one row of the reader holds, and that one partition reads at least, if there are so many. More are
+#: read by one where there would be more than PARTS partitions: each is a task, so files of any number are read by few.
+ROW_BYTES, PART_BYTES, PARTS = 1 << 20, 64 << 20, 512
 
 
 def local(path: str) -> str:
@@ -58,8 +60,8 @@ class Written(WriterCommitMessage):
 
 
 class RangeWriter(DataSourceArrowWriter):
-    def __init__(self, folder: str, overwrite: bool):
-        self.folder, self.overwrite = os.path.normpath(folder), overwrite
+    def __init__(self, folder: str, overwrite: bool, deflated: bool):
+        self.folder, self.overwrite, self.deflated = os.path.normpath(folder), overwrite, deflated
         self.staged = os.path.join(os.path.dirname(self.folder), f"_{os.path.basename(self.folder)}-{uuid.uuid4().hex}")
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
@@ -77,6 +79,8 @@ class RangeWriter(DataSourceArrowWriter):
                         os.makedirs(os.path.dirname(at), exist_ok=True)
                         now, file = name, os.open(at, os.O_CREAT | os.O_WRONLY, 0o644)
                     piece, done = memoryview(data.as_buffer()) if data.is_valid else memoryview(b""), 0
+                    if self.deflated and len(piece):
+                        piece = memoryview(zlib.decompress(piece))
                     while done < len(piece):
                         done += os.pwrite(file, piece[done:], start + done)
                     sizes[name] = sizes.get(name, 0) + len(piece)
@@ -113,10 +117,10 @@ class RangeWriter(DataSourceArrowWriter):
 
 
 @dataclass
-class Range(InputPartition):
-    name: str
-    start: int
-    end: int
+class Ranges(InputPartition):
+    """Pieces of files: name, start and end."""
+
+    pieces: list
 
 
 class RangeReader(DataSourceReader):
@@ -132,24 +136,28 @@ class RangeReader(DataSourceReader):
             else:
                 yield f
 
-    def partitions(self) -> list[Range]:
+    def partitions(self) -> list[Ranges]:
         found = [x for x in glob.glob(self.pattern, root_dir=self.folder, recursive=True) if os.path.isfile(os.path.join(self.folder, x))]
+        sizes = [(x, os.path.getsize(os.path.join(self.folder, x))) for x in sorted(found) if self.name in (None, x)]
         step = max(self.row, self.part // self.row * self.row)
-        out = []
-        for name in sorted(found):
-            if self.name in (None, name):
-                size = os.path.getsize(os.path.join(self.folder, name))
-                out += [Range(name, i, min(size, i + step)) for i in range(0, size, step)]
-        return out or [Range("", 0, 0)]
-
-    def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
-        if not partition.name:
-            return
-        with open(_inside(self.folder, partition.name), "rb") as f:
-            f.seek(partition.start)
-            for at in range(partition.start, partition.end, self.row):
-                data = f.read(min(self.row, partition.end - at))
-                yield pa.RecordBatch.from_arrays([pa.array([partition.name]), pa.array([at], pa.int64()), pa.array([data], pa.binary())], names=["name", "start", "data"])
+        most, held, out = max(step, sum(n for _, n in sizes) // PARTS), 0, [Ranges([])]
+        for name, size in sizes:
+            for i in range(0, size, step):
+                end = min(size, i + step)
+                if held and held + end - i > most:
+                    out.append(Ranges([]))
+                    held = 0
+                out[-1].pieces.append((name, i, end))
+                held += end - i
+        return out
+
+    def read(self, partition: Ranges) -> Iterator[pa.RecordBatch]:
+        for name, start, end in partition.pieces:
+            with open(_inside(self.folder, name), "rb") as f:
+                f.seek(start)
+                for at in range(start, end, self.row):
+                    data = f.read(min(self.row, end - at))
+                    yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([at], pa.int64()), pa.array([data], pa.binary())], names=["name", "start", "data"])
 
 
 class ByteRanges(DataSource):
@@ -164,7 +172,7 @@ class ByteRanges(DataSource):
         return RangeReader(self.options)
 
     def writer(self, schema, overwrite: bool) -> RangeWriter:
-        return RangeWriter(local(self.options["path"]), overwrite)
+        return RangeWriter(local(self.options["path"]), overwrite, self.options.get("deflated") == "true")
 
 
 def registered(spark: SparkSession) -> SparkSession:
@@ -174,17 +182,18 @@ def registered(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def placed(parts: DataFrame, name: str, order: list[str], data: str) -> DataFrame:
+def placed(parts: DataFrame, name: str, order: list[str], data: str, deflate: bool = False) -> DataFrame:
     """name, start, total and data of parts: the files of every name are its parts' data in order.
 
-    order must tell a name's parts apart. parts is read twice, once for sizes only: pass a stored table. A null name is no file
-    and a null data no bytes.
+    A null name is no file and a null data no bytes. With deflate, data comes deflated, as it is sorted here; write_ranges takes it so.
     """
     keys = [f"_order{i}" for i in range(len(order))]
     parts = parts.where(F.col(f"`{name}`").isNotNull()).select(F.col(f"`{name}`").cast("string").alias("name"), *(F.col(f"`{c}`").alias(k) for c, k in zip(order, keys)), F.col(f"`{data}`").cast("binary").alias("data"))
-    sizes = running(parts.select("name", *keys, F.coalesce(F.octet_length("data"), F.lit(0)).cast("long").alias("_size")), ["name"], list(keys), {"start": "_size"})
-    totals = sizes.groupBy("name").agg(F.sum("_size").alias("total"))
-    return matched(parts, sizes.drop("_size"), ["name", *keys]).join(totals, "name").select("name", "start", "total", "data")
+    size = F.coalesce(F.octet_length("data"), F.lit(0)).cast("long").alias("_size")
+    parts = parts.select("name", *keys, size, audio.deflated("data").alias("data") if deflate else "data")
+    at = running(written(parts, "parts") if deflate else parts, ["name"], list(keys), {"start": "_size"})
+    totals = at.groupBy("name").agg(F.sum("_size").alias("total"))
+    return at.join(totals, "name").select("name", "start", "total", "data")
 
 
 def shifted(rows: DataFrame, by: int | Column) -> DataFrame:
@@ -193,10 +202,14 @@ def shifted(rows: DataFrame, by: int | Column) -> DataFrame:
     return rows.select("name", (F.col("start") + by).alias("start"), (F.col("total") + by).alias("total"), "data")
 
 
-def write_ranges(rows: DataFrame, path: str, replace: bool = True) -> None:
-    """Files below path from placed rows. What was there is replaced when all is written; without replace, other files stay."""
+def write_ranges(rows: DataFrame, path: str, replace: bool = True, deflated: bool = False) -> None:
+    """Files below path from placed rows. What was there is replaced when all is written; without replace, other files stay.
+
+    Rows are dealt by ranges, so a file is opened and synced once by each of the few tasks that have some of it.
+    """
     registered(rows.sparkSession)
-    rows.select("name", "start", "total", "data").write.format("byte_ranges").option("path", local(path)).mode("overwrite" if replace else "append").save()
+    rows = rows.select("name", "start", "total", "data").repartitionByRange("name", "start").sortWithinPartitions("name", "start")
+    rows.write.format("byte_ranges").option("path", local(path)).option("deflated", str(deflated).lower()).mode("overwrite" if replace else "append").save()
 
 
 def read_ranges(spark: SparkSession, path: str, pattern: str = "**", row_bytes: int = ROW_BYTES, part_bytes: int = PART_BYTES) -> DataFrame:
@@ -225,7 +238,7 @@ def write_json_arrays(rows: DataFrame, name: str, order: list[str], columns: lis
 
 def write_wavs(parts: DataFrame, name: str, order: list[str], pcm: str, path: str, rate: int = SAMPLE_RATE, replace: bool = True) -> None:
     """A WAV file for every name: its parts' 16-bit PCM in order, behind a header that knows the whole length."""
-    at = placed(parts, name, order, pcm)
+    at = placed(parts, name, order, pcm, deflate=True)
     size = F.when(F.col("total") >= audio.WAV_MOST, F.lit(audio.RF64_HEADER)).otherwise(F.lit(audio.WAV_HEADER)).cast("long")
-    heads = at.select("name", "total").distinct().select("name", F.lit(0).cast("long").alias("start"), (F.col("total") + size).alias("total"), audio.wav_header_of(rate)("total").alias("data"))
-    write_ranges(shifted(at, size).unionByName(heads), path, replace)
+    heads = at.select("name", "total").distinct().select("name", F.lit(0).cast("long").alias("start"), (F.col("total") + size).alias("total"), audio.deflated(audio.wav_header_of(rate)("total")).alias("data"))
+    write_ranges(shifted(at, size).unionByName(heads), path, replace, deflated=True)

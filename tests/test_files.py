@@ -6,6 +6,7 @@ import random
 import struct
 
 import numpy as np
+import pandas as pd
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from docflow.functions import audio, codec
 from docflow.operators import segments
 from docflow.profiles import PROFILES
-from docflow.sources import paged, ranges, shared
+from docflow.sources import books, paged, ranges, shared
 from docflow.streaming import append, ledger
 
 PROFILE = PROFILES["bold_single"]
@@ -89,6 +90,59 @@ def test_a_file_with_a_gap_is_not_published(spark, tmp_path):
         ranges.local("s3://bucket/x")
 
 
+def test_many_files_are_few_partitions_and_opened_once(spark, tmp_path, monkeypatch):
+    rows = [(f"{i % 300}.raw", i // 300 * 2, 8, b"xy") for i in range(1200)]
+    at = str(tmp_path / "many")
+    ranges.write_ranges(spark.createDataFrame(rows, "name string, start long, total long, data binary").repartition(8), at)
+    got = ranges.read_ranges(spark, at, row_bytes=4)
+    assert got.count() == 600 and got.rdd.getNumPartitions() < 20
+    monkeypatch.setattr(ranges, "PARTS", 10)
+    reader = ranges.RangeReader({"path": at, "row_bytes": "4", "part_bytes": "4"})
+    assert len(reader.partitions()) <= 11 and sum(e - s for p in reader.partitions() for _, s, e in p.pieces) == 2400
+    dealt = []
+    monkeypatch.setattr(type(got.write), "save", lambda self: dealt.append(self._df))
+    ranges.write_ranges(spark.createDataFrame(rows, "name string, start long, total long, data binary").repartition(8), at)
+    names = dealt[0].rdd.map(lambda r: r["name"]).glom().collect()
+    assert sum(sum(a != b for a, b in zip(p, p[1:])) + 1 for p in names if p) < 300 + len(names)
+
+
+class State:
+    """What the appender keeps, in memory; counts what goes into the waiting rows."""
+
+    def __init__(self):
+        self.value, self.map, self.puts = None, {}, 0
+
+    def getValueState(self, *a):
+        return self
+
+    getMapState = getValueState
+    get = lambda self: self.value
+    update = lambda self, v: setattr(self, "value", v)
+    exists = lambda self: bool(self.map)
+    containsKey = lambda self, k: k in self.map
+    getValue = lambda self, k: self.map[k]
+    removeKey = lambda self, k: self.map.pop(k)
+    clear = lambda self: self.map.clear()
+
+    def updateValue(self, k, v):
+        self.map[k], self.puts = v, self.puts + 1
+
+
+def test_only_segments_before_their_turn_go_into_the_state(tmp_path):
+    texts = [f"segment {i}" for i in range(40)]
+    rows = pd.DataFrame(chapter_rows("one", texts), columns=["chapter", "seq", "total", "seg", "ends_paragraph"])
+    state, a = State(), append.Appender(str(tmp_path), PROFILE, audio.Steps)
+    a.init(state)
+    list(a.handleInputRows(("one",), iter([rows.iloc[[3, 1, 0, 2]], rows.iloc[[6, 5, 20]]]), None))
+    assert state.puts == 3 and state.value[0] == 4
+    list(a.handleInputRows(("one",), iter([rows.iloc[4:20].sample(frac=1, random_state=1), rows.iloc[21:]]), None))
+    assert state.puts == 3 and state.value == (40, len(plain_audio(texts)), 40) and not state.map
+    assert (tmp_path / "one.raw").read_bytes() == plain_audio(texts)
+    other = pd.DataFrame(chapter_rows("one", ["new", "text"]), columns=rows.columns)
+    list(a.handleInputRows(("one",), iter([rows.iloc[:2], other]), None))
+    assert (tmp_path / "one.raw").read_bytes() == plain_audio(["new", "text"]) and state.value[0] == 2
+
+
 def test_only_the_pages_asked_for_are_extracted(spark, tmp_path):
     docs = tmp_path / "docs"
     docs.mkdir()
@@ -115,6 +169,36 @@ def test_codec_round_trip(samples, smooth, odd):
     assert codec.LinearRice().decode(codec.LinearRice().encode(raw)) == raw
 
 
+def test_silence_costs_the_codec_next_to_nothing(monkeypatch):
+    raw, blocks = audio.pcm_bytes(audio.Steps()(["some text"])[0]) + audio.silence(True, PROFILE), []
+    block, samples = codec._block, codec._samples
+    codec.LinearRice().encode(raw)
+    monkeypatch.setattr(codec, "_block", lambda x: blocks.append(len(x)) or block(x))
+    monkeypatch.setattr(codec, "_samples", lambda c, at, n: blocks.append(n) or samples(c, at, n))
+    assert codec.LinearRice().decode(codec.LinearRice().encode(raw)) == raw
+    assert blocks == [codec.BLOCK, codec.BLOCK]  # of three blocks only the spoken one is computed, once each way
+
+
+def test_pcm_is_passed_on_in_pieces_and_deflated_before_it_is_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(audio, "OUT_BYTES", 100_000)
+    rows = spark.createDataFrame([(1, 0, i, "some text", i == 99) for i in range(100)], "k int, para_no int, seg_no int, seg string, ends_paragraph boolean").coalesce(1)
+    said = audio.synthesise(rows, PROFILE, audio.Steps)
+    # The function as the plan runs it: one batch of 100 rows comes out in several.
+    made = []
+    monkeypatch.setattr(type(rows), "mapInPandas", lambda self, f, schema: made.append(f) or self)
+    audio.synthesise(rows, PROFILE, audio.Steps)
+    out = list(made[0](iter([rows.toPandas()])))
+    assert len(out) > 4 and max(p["pcm"].map(len).sum() for p in out) < 110_000 and sum(len(p) for p in out) == 100
+    assert pd.concat(out)["seg_no"].tolist() == list(range(100)) and b"".join(pd.concat(out)["pcm"]) == plain_audio(["some text"] * 100)
+    packed = said.select("seg_no", audio.deflated("pcm").alias("pcm"))
+    assert packed.agg(F.max(F.octet_length("pcm"))).first()[0] < 500
+    assert audio.inflated(packed, "pcm").exceptAll(said.select("seg_no", "pcm")).count() == 0
+    plan = books.audio_files(said, ["k"], ["para_no", "seg_no"])
+    assert bytes(plan.first()["wav"]) == audio.wav_bytes(plain_audio(["some text"] * 100))
+    text = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("FlatMapGroupsInPandas") < text.index("deflated(")
+
+
 def test_codec_shrinks_a_tone():
     raw = audio.pcm_bytes(audio.Tone()(["a tone of some length" * 20])[0])
     assert len(codec.LinearRice().encode(raw)) < 0.5 * len(raw)
