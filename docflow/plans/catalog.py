@@ -495,7 +495,7 @@ def merged_audio(s, d):
 def appended_audio(s, d):
     """A stream of segments appended to a file for every book, some before their turn."""
     at = shared.new(s, "append")
-    segs = _book_segments(s, d).select(F.col("conv_id").cast("string").alias("chapter"), "para_no", "seg_no", "seg", "ends_paragraph")
+    segs = shared.written(_book_segments(s, d), "segments").select(F.col("conv_id").cast("string").alias("chapter"), "para_no", "seg_no", "seg", "ends_paragraph")
     whole = running(segs.select("chapter", "para_no", "seg_no"), ["chapter"], ["para_no", "seg_no"], {"seq": None})
     totals = segs.groupBy("chapter").agg(F.count("*").alias("total"))
     rows = segs.join(whole, ["chapter", "para_no", "seg_no"]).join(totals, "chapter")

@@ -36,34 +36,48 @@ class Appender(StatefulProcessor):
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         segments, size, total = self.confirmed.get() or (0, 0, None)
-        for p in rows:
-            for seq, now, seg, last in zip(p["seq"], p["total"], p["seg"], p["ends_paragraph"]):
-                if total != now:  # another text
-                    segments, size, total = 0, 0, int(now)
-                    self.waiting.clear()
-                if seq >= segments:
-                    self.waiting.updateValue((int(seq),), (seg, bool(last)))
         path = os.path.join(self.folder, f"{key[0]}.raw")
         os.makedirs(os.path.dirname(path), exist_ok=True)
         with open(path, "r+b" if os.path.exists(path) else "w+b") as f:
             f.truncate(size)
             f.seek(size)
-            while some := self._next(segments):
-                for x, last in zip(audio.speak_with_retries(self._voice(), [s for s, _ in some]), [e for _, e in some]):
-                    rest = np.zeros(int(SAMPLE_RATE * (self.profile.paragraph_s if last else self.profile.sentence_s)), np.float32)
-                    size += f.write(audio.pcm_bytes(np.concatenate([x, rest])))
-                for i in range(len(some)):
-                    self.waiting.removeKey((segments + i,))
-                segments += len(some)
+            held = self.waiting.exists()
+            for p in rows:
+                here: dict[int, tuple] = {}
+                for seq, now, seg, last in zip(p["seq"], p["total"], p["seg"], p["ends_paragraph"]):
+                    if total != now:  # another text
+                        segments, size, total, held, here = 0, 0, int(now), False, {}
+                        self.waiting.clear()
+                        f.truncate(0)
+                        f.seek(0)
+                    if seq >= segments:
+                        here[int(seq)] = (seg, bool(last))
+                while some := self._next(segments, here, held):
+                    for x, last in zip(audio.speak_with_retries(self._voice(), [s for s, _ in some]), [e for _, e in some]):
+                        size += f.write(audio.pcm_bytes(x) + audio.silence(last, self.profile))
+                    segments += len(some)
+                for seq, row in here.items():  # only what comes before its turn goes into the state
+                    self.waiting.updateValue((seq,), row)
+                    held = True
             f.flush()
             os.fsync(f.fileno())
         self.confirmed.update((segments, size, total))
         yield pd.DataFrame([[key[0], segments, size, total]], columns=["chapter", "segments", "bytes", "total"])
 
-    def _next(self, at: int) -> list[tuple]:
+    def _next(self, at: int, here: dict[int, tuple], held: bool) -> list[tuple]:
+        """A batch of the segments that follow, taken from the rows that are here or, if it holds some, from the state."""
         out = []
-        while len(out) < self.profile.batch and self.waiting.containsKey((at + len(out),)):
-            out.append(tuple(self.waiting.getValue((at + len(out),))))
+        while len(out) < self.profile.batch:
+            n = at + len(out)
+            if held and self.waiting.containsKey((n,)):
+                row = tuple(self.waiting.getValue((n,)))
+                self.waiting.removeKey((n,))
+                row = here.pop(n, row)  # a row that comes again replaces what waited
+            elif n in here:
+                row = here.pop(n)
+            else:
+                break
+            out.append(row)
         return out
 
     def _voice(self) -> Callable:
