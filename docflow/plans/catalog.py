@@ -518,8 +518,9 @@ def ledger_of_books(s, d):
 def transcoded_audio(s, d):
     """Books' segments encoded without loss, the originals deleted after a verified round trip, and decoded."""
     at = shared.new(s, "coded")
-    places = running(_said(s, d).select("conv_id", "para_no", "seg_no", (F.octet_length("pcm") / 2).cast("long").alias("n"), "pcm"), ["conv_id"], ["para_no", "seg_no"], {"before": "n"})
-    places.select("conv_id", "before", "pcm").write.parquet(f"{at}/pcm")
+    said = _said(s, d).select("conv_id", "para_no", "seg_no", (F.octet_length("pcm") / 2).cast("long").alias("n"), audio.deflated("pcm").alias("pcm"))
+    places = running(shared.written(said, "parts"), ["conv_id"], ["para_no", "seg_no"], {"before": "n"})
+    audio.inflated(places.select("conv_id", "before", "pcm"), "pcm").write.option("compression", "zstd").parquet(f"{at}/pcm")
     got = codec.decoded(codec.transcode(s, f"{at}/pcm", f"{at}/coded"))
     return got.groupBy("conv_id").agg(F.count("*").alias("n_segs"), F.sum("n_bytes").alias("n_bytes"), F.sum(audio.sample_sum("pcm", "before")).alias("sample_sum"), F.bool_and("sound").alias("sound"))
 
