@@ -31,7 +31,7 @@ def finished(spark: SparkSession, path: str, segments: DataFrame, keys: list[str
     if not at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at):
         return None
     own = [*keys, *PLACE, "mark"]
-    rows = spark.read.parquet(path).where("pcm is not null")
+    rows = spark.read.parquet(path).where("n_bytes is not null")  # null where pcm is, which need not be read for it
     # A segment that two runs have rendered counts once: by the first run's name.
     first = rows.groupBy(*own).agg(F.min("run").alias("run"))
     rows = matched(rows, first, [*own, "run"], "left_semi")
