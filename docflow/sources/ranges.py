@@ -3,10 +3,10 @@
 `byte_ranges` is a data source. Its writer takes rows (name, start, total, data) in any order and from any task, and
 writes each at its offset of a staged file; the commit checks that every file has got all its bytes and only then moves
 the files to their names, so a reader never sees half of one, a failed job leaves nothing, and a task that runs again
-writes the same bytes to the same places. Its reader has a partition for every range of a file. The folder must be one
+writes the same bytes to the same places. Its reader packs ranges of many files into a partition. The folder must be one
 that driver and executors share as files (file:/ or a plain path).
 
-placed() gives parts their offsets by running sums over sizes alone, so neither a book nor its list of parts is one
+placed() gives parts their offsets by running sums over their sizes, so neither a book nor its list of parts is one
 row, one group or one task, and no row is longer than the longest part.
 """
 
