@@ -48,8 +48,9 @@ PIVOTS = 4
 CELL = 4096
 #: Rows of an over-full entry whose words are counted, and the share of them that has a common word.
 COMMON_SAMPLE, COMMON = 400, 0.02
-#: Bits of a text's set for each of its words: two different words fall on one bit, and hide a difference, once in so many.
-WORD_BITS = 16
+#: Bits of a text's set for each of its words, at least: what the cells are dealt is mostly these. Words that fall on one bit hide a
+#: difference; a stranger lacks far more than the fifth of the words that a link may.
+WORD_BITS = 4
 #: Bits of the texts of a cell that are unpacked at a time, and the most texts then.
 UNPACKED, STEP = 1 << 23, 512
 MOST = U64(0xFFFFFFFFFFFFFFFF)
@@ -239,32 +240,40 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows.sort(key=lambda r: r[8])  # by words: texts of like size together, so that little is folded and lengths rule out whole runs
         own, node, label, n = (np.array([r[c] for r in rows], np.int64) for c in range(5, 9))
         longest = np.floor(n / SIMILARITY * (1 + 1e-9)) + 1  # of a text that can be similar to one of n words
-        before = np.array([r[10] for r in rows], np.int64).reshape(len(rows), -1)
+        sizes = np.array([len(r[9]) for r in rows])
+        before = np.zeros((len(rows), max(len(r[10]) for r in rows)), np.int64)
+        for i, r in enumerate(rows):
+            before[i, :len(r[10])] = r[10]
         a = 0
         while a < len(rows):
+            # The texts of u have sets of one size, to which only those of longer texts are folded: in folded sets all texts look alike.
             size = len(rows[a][9])
             step = max(1, min(STEP, UNPACKED // (8 * size)))
-            u = slice(a, a + step)
-            x = _bit_rows([r[9] for r in rows[u]], size)
-            for b in range(a, int(np.searchsorted(n, longest[u][-1], "right")), step):
-                v = slice(b, b + step)
-                y = x if a == b else _bit_rows([r[9] for r in rows[v]], size)
-                ok, lack = could_link(x, y, n[u], n[v])
-                ok &= label[u][:, None] != label[v][None, :]
+            u = slice(a, min(a + step, int(np.searchsorted(sizes, size, "right"))))
+            x, end = None, int(np.searchsorted(n, longest[u][-1], "right"))
+            for b in range(a, end, step):
+                v = slice(b, min(b + step, end))
+                ok = (label[u][:, None] != label[v][None, :]) & (longest[u][:, None] >= n[v][None, :])
                 if cross:
                     ok &= own[u][:, None] != own[v][None, :]
                 if a == b:
                     ok = np.triu(ok, 1)
-                p, q = np.nonzero(ok)
+                if not ok.any():
+                    continue
+                x = _bit_rows([r[9] for r in rows[u]], size) if x is None else x
+                near, lack = could_link(x, _bit_rows([r[9] for r in rows[v]], size), n[u], n[v])
+                p, q = np.nonzero(ok & near)
                 # A pair that shares an entry of a sketch before this one is found there: that entry holds both, so it is mixed.
                 one, two = before[u][p], before[v][q]
-                new = ~((one == two) & (one != 0)).any(1)
+                new = np.ones(p.size, bool)
+                for c in range(before.shape[1]):
+                    new &= ~((one[:, c:c + 1] == two) & (two != 0)).any(1)
                 p, q = p[new], q[new]
                 if p.size:
                     one, two = node[u][p], node[v][q]
                     found = pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(lack[p, q].astype(np.int64))], names=["a", "b", "lack"])
                     yield from in_rows(found)
-            a += step
+            a = u.stop
 
     held: list[tuple] = []
     for b in batches:
@@ -322,7 +331,10 @@ def searched(mixed: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     at = at.join(parts, key).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     at = at.select(*key, "node", "label", "n", "own", other).select("*", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    cells = at.join(nodes.select("node", "bits", "entries"), "node").withColumn("before", F.slice("entries", F.lit(1), F.col("s"))).select(*CELL_ROW)
+    # Of a text's earlier entries only mixed ones are needed.
+    own = mixed.groupBy("node").agg(F.collect_list(F.struct("s", "entry")).alias("mixed"))
+    before = F.transform(F.filter("mixed", lambda x: x["s"] < F.col("s")), lambda x: x["entry"]).alias("before")
+    cells = at.join(nodes.select("node", "bits").join(own, "node"), "node").select(*CELL_ROW[:-1], before)
     pairs = cells.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY).mapInArrow(_search, "a long, b long, lack long")
     return pairs.groupBy("a", "b").agg(F.min("lack").alias("lack"))
 

@@ -10,6 +10,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -802,3 +803,33 @@ def test_over_full_entries_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(order_minhash, "tokened", lambda *a: seen.append(1) or split(*a))
     got = {r["doc_id"]: r["class_id"] for r in order_minhash.near_duplicates(table).collect()}
     assert seen and got == want and len(docs) - len(set(got.values())) >= 100
+
+def test_op1_a_short_text_does_not_blunt_the_bound():
+    """Strangers of many words that share an entry with one of few words: no pair is told but the one that could link."""
+    rng = np.random.default_rng(4)
+    docs = [[f"s{i}" for i in range(12)]]
+    docs += [[f"w{i}" for i in rng.choice(1000, 300 + 5 * g, replace=False)] for g in range(30)]
+    docs.append([w if i % 10 else "new" + w for i, w in enumerate(docs[7])])
+    raw = [" ".join(x).encode() for x in docs]
+    _, n, bits = order_minhash.sketch_block(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    rows = [(20, 1, 0, 0, 0, 0, i, i, int(n[i]), bits[i], [i + 1] * 20) for i in range(len(docs))]
+    cell = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=order_minhash.CELL_ROW)
+    assert [(p["a"], p["b"]) for b in order_minhash._search(iter([cell])) for p in b.to_pylist()] == [(7, 31)]
+
+
+def test_op1_each_pair_of_a_cell_is_told_once(monkeypatch):
+    """Cells cut into any blocks, of texts of all lengths, tell every pair that can link, but for those an earlier entry tells."""
+    rng, docs = random.Random(6), []
+    for g in range(24):
+        x = [f"{g}w{i}" for i in range(rng.randint(1, 120))]
+        docs += [x, x + ["more"] * (len(x) // 8), [w for i, w in enumerate(x) if i % 9]]
+    raw = [" ".join(x).encode() for x in docs]
+    _, n, bits = order_minhash.sketch_block(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    before = [[i + 1, 900][i % 2:] if i % 4 < 2 else [] for i in range(len(docs))]
+    rows = [(20, 1, 0, 0, 0, 0, i, i, int(n[i]), bits[i], before[i]) for i in range(len(docs))]
+    cell = pa.RecordBatch.from_arrays([pa.array(c, pa.list_(pa.int64())) if k == 10 else pa.array(c) for k, c in enumerate(zip(*rows))], names=order_minhash.CELL_ROW)
+    want = {(i, j) for i in range(len(docs)) for j in range(i + 1, len(docs)) if n[i] and n[j] and order_minhash.similar(raw[i].decode(), raw[j].decode()) and not set(before[i]) & set(before[j])}
+    for step in (1, 7, 512):
+        monkeypatch.setattr(order_minhash, "STEP", step)
+        got = [(p["a"], p["b"]) for b in order_minhash._search(iter([cell])) for p in b.to_pylist()]
+        assert len(got) == len(set(got)) and want <= set(got) and not any(set(before[i]) & set(before[j]) for i, j in got)
