@@ -48,9 +48,9 @@ PIVOTS = 4
 CELL = 4096
 #: Rows of an over-full entry whose words are counted, and the share of them that has a common word.
 COMMON_SAMPLE, COMMON = 400, 0.02
-#: Bits of a text's set for each of its words, at least: what the cells are dealt is mostly these. Words that fall on one bit hide a
-#: difference; a stranger lacks far more than the fifth of the words that a link may.
-WORD_BITS = 4
+#: Bits of a text's set for each of its words, at least: two different words on one bit hide a difference. Sets are most of what the
+#: cells are dealt, but texts that share a long passage lack hardly more than a link may, and with 4 bits too many of their pairs pass.
+WORD_BITS = 8
 #: Bits of the texts of a cell that are unpacked at a time, and the most texts then.
 UNPACKED, STEP = 1 << 23, 512
 MOST = U64(0xFFFFFFFFFFFFFFFF)
