@@ -48,25 +48,23 @@ PIVOTS = 4
 CELL = 4096
 #: Rows of an over-full entry whose words are counted, and the share of them that has a common word.
 COMMON_SAMPLE, COMMON = 400, 0.02
-#: Bits of a text's set for each of its words, at least: two different words on one bit hide a difference. Sets are most of what the
-#: cells are dealt, but texts that share a long passage lack hardly more than a link may, and with 4 bits too many of their pairs pass.
-WORD_BITS = 8
+#: A word is dealt to the cells as a mark of 16 bits, of 32 in texts of more words than WIDE: two different words of one mark hide a
+#: difference. Texts are first compared by sets of bits made of the marks, at least WORD_BITS bits a word.
+WIDE, WORD_BITS = 2048, 8
 #: Bits of the texts of a cell that are unpacked at a time, and the most texts then.
 UNPACKED, STEP = 1 << 23, 512
 MOST = U64(0xFFFFFFFFFFFFFFFF)
 
 
-def word_bits(sym: np.ndarray, at: np.ndarray) -> list[bytes]:
-    """The words of each text, labelled by occurrence number, as a set of hashed bits: a power of two, WORD_BITS a word at least."""
-    n = np.diff(at)
-    row = np.repeat(np.arange(len(n)), n)
-    h = mix(sym + nth_of(sym, row).astype(U64) * U64(0xC2B2AE3D27D4EB4F))
-    size = 1 << np.ceil(np.log2(np.maximum(WORD_BITS * n, 64))).astype(np.int64)
-    start = np.concatenate([[0], np.cumsum(size)])
-    flat = np.zeros(start[-1], bool)
-    flat[start[row] + (h & (size[row] - 1).astype(U64)).astype(np.int64)] = True
-    raw = np.packbits(flat).tobytes()
-    return [raw[i:j] for i, j in zip((start[:-1] // 8).tolist(), (start[1:] // 8).tolist())]
+def word_marks(sym: np.ndarray, at: np.ndarray) -> list[bytes]:
+    """The words of each text, labelled by occurrence number, as sorted marks."""
+    row = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    h = mix(sym + nth_of(sym, row).astype(U64) * U64(0xC2B2AE3D27D4EB4F)).astype(np.uint32)
+    return [np.sort(h[i:j] if j - i > WIDE else h[i:j].astype(np.uint16)).tobytes() for i, j in zip(at[:-1].tolist(), at[1:].tolist())]
+
+
+def marks_of(x: bytes) -> np.ndarray:
+    return np.frombuffer(x, np.uint16 if len(x) <= 2 * WIDE else np.uint32)
 
 
 def nth_of(h: np.ndarray, row: np.ndarray) -> np.ndarray:
@@ -80,7 +78,7 @@ def nth_of(h: np.ndarray, row: np.ndarray) -> np.ndarray:
 
 
 def sketch_block(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """[text, sketch] entries, 0 where a text has no word; and the number of words and the word bits of each text."""
+    """[text, sketch] entries, 0 where a text has no word; and the number of words and the marks of each text."""
     sym, at = symbols("word", raw, off)
     n = np.diff(at)
     out = np.zeros((len(n), ALL_SKETCHES), U64)
@@ -91,7 +89,7 @@ def sketch_block(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarr
         if has.size:
             _entries(pre, at, has, full[has], size, range(s, s + sketches), picked, out)
         s += sketches
-    return out, n, word_bits(sym, at)
+    return out, n, word_marks(sym, at)
 
 
 def _entries(pre: np.ndarray, at: np.ndarray, has: np.ndarray, m: np.ndarray, size: int, numbers: range, picked: int, out: np.ndarray) -> None:
@@ -126,9 +124,9 @@ def _entries(pre: np.ndarray, at: np.ndarray, has: np.ndarray, m: np.ndarray, si
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in pieces(batches, 3):
         for i, j, raw, off in text_blocks(b.column(3)):
-            e, n, bits = sketch_block(raw, off)
+            e, n, marks = sketch_block(raw, off)
             part, e = b.slice(i, j - i), e.view(np.int64)
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()), pa.FixedSizeListArray.from_arrays(pa.array(e.ravel()), ALL_SKETCHES).cast(pa.list_(pa.int64())), pa.array(bits, pa.binary())], names=["h1", "h2", "node", "n", "entries", "bits"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(n, pa.int64()), pa.FixedSizeListArray.from_arrays(pa.array(e.ravel()), ALL_SKETCHES).cast(pa.list_(pa.int64())), pa.array(marks, pa.binary())], names=["h1", "h2", "node", "n", "entries", "marks"])
 
 
 def banded_distance(x: list, y: list, most: int) -> int:
@@ -207,6 +205,11 @@ def lengths(n: str) -> Column:
     return F.array(at, at + 1)
 
 
+def allowed(n: np.ndarray) -> np.ndarray:
+    """The greatest edit distance of similar texts, of which the longer has n words."""
+    return np.floor((1 - SIMILARITY) * n + 1e-9)
+
+
 def could_link(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whether texts of n and m words with bits x and y (a row each) can be similar, and how many bits one lacks of the other.
 
@@ -215,20 +218,33 @@ def could_link(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray) -> tu
     both = x @ y.T
     lack = np.maximum(x.sum(1)[:, None], y.sum(1)[None, :]) - both
     longest = np.maximum(n[:, None], m[None, :])
-    most = np.floor((1 - SIMILARITY) * longest + 1e-9)
+    most = allowed(longest)
     return (lack <= most) & (longest - np.minimum(n[:, None], m[None, :]) <= most), lack
 
 
-def _bit_rows(bits: list[bytes], size: int) -> np.ndarray:
-    """Sets of bits folded to size bytes, as rows of zeros and ones."""
-    out = np.zeros((len(bits), size), np.uint8)
-    for i, b in enumerate(bits):
-        out[i] = np.bitwise_or.reduce(np.frombuffer(b, np.uint8).reshape(-1, size), axis=0)
-    return np.unpackbits(out, axis=1).astype(np.float32)
+def _bit_rows(marks: list[bytes], size: int) -> np.ndarray:
+    """Sets of size bytes made of marks, as rows of zeros and ones."""
+    out = np.zeros((len(marks), 8 * size), np.float32)
+    for i, x in enumerate(marks):
+        out[i, marks_of(x) % (8 * size)] = 1
+    return out
+
+
+def _counted(x: bytes, wide: bool) -> np.ndarray:
+    """Sorted marks, each with the number of equal ones before it; wide ones are cut to 16 bits unless asked for."""
+    m = marks_of(x)
+    m = m.astype(np.int64) if wide or m.itemsize == 2 else np.sort(m.astype(np.uint16)).astype(np.int64)
+    return m << 32 | (np.arange(len(m)) - np.searchsorted(m, m))
+
+
+def lacks(x: np.ndarray, y: np.ndarray) -> int:
+    """How many counted marks one text lacks of the other: never more than their edit distance, as no edit changes two labelled words."""
+    at = np.searchsorted(y, x)
+    return max(len(x), len(y)) - int(np.count_nonzero(y[np.minimum(at, len(y) - 1)] == x))
 
 
 CELL_KEY = ["s", "entry", "token", "i", "j"]
-CELL_ROW = [*CELL_KEY, "own", "node", "label", "n", "bits", "before"]
+CELL_ROW = [*CELL_KEY, "own", "node", "label", "n", "marks", "before"]
 
 
 @tidy
@@ -240,17 +256,17 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows.sort(key=lambda r: r[8])  # by words: texts of like size together, so that little is folded and lengths rule out whole runs
         own, node, label, n = (np.array([r[c] for r in rows], np.int64) for c in range(5, 9))
         longest = np.floor(n / SIMILARITY * (1 + 1e-9)) + 1  # of a text that can be similar to one of n words
-        sizes = np.array([len(r[9]) for r in rows])
+        sizes = 1 << np.ceil(np.log2(np.maximum(WORD_BITS * n, 64))).astype(np.int64) - 3  # bytes of a text's set
         before = np.zeros((len(rows), max(len(r[10]) for r in rows)), np.int64)
         for i, r in enumerate(rows):
             before[i, :len(r[10])] = r[10]
         a = 0
         while a < len(rows):
-            # The texts of u have sets of one size, to which only those of longer texts are folded: in folded sets all texts look alike.
-            size = len(rows[a][9])
+            # The sets of u are of the size of its own texts, not of shorter ones: in small sets all texts look alike.
+            size, wide = int(sizes[a]), bool(n[a] > WIDE)
             step = max(1, min(STEP, UNPACKED // (8 * size)))
             u = slice(a, min(a + step, int(np.searchsorted(sizes, size, "right"))))
-            x, end = None, int(np.searchsorted(n, longest[u][-1], "right"))
+            x, counted, end = None, {}, int(np.searchsorted(n, longest[u][-1], "right"))
             for b in range(a, end, step):
                 v = slice(b, min(b + step, end))
                 ok = (label[u][:, None] != label[v][None, :]) & (longest[u][:, None] >= n[v][None, :])
@@ -261,18 +277,24 @@ def _search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if not ok.any():
                     continue
                 x = _bit_rows([r[9] for r in rows[u]], size) if x is None else x
-                near, lack = could_link(x, _bit_rows([r[9] for r in rows[v]], size), n[u], n[v])
+                near, _ = could_link(x, _bit_rows([r[9] for r in rows[v]], size), n[u], n[v])
                 p, q = np.nonzero(ok & near)
                 # A pair that shares an entry of a sketch before this one is found there: that entry holds both, so it is mixed.
                 one, two = before[u][p], before[v][q]
                 new = np.ones(p.size, bool)
                 for c in range(before.shape[1]):
                     new &= ~((one[:, c:c + 1] == two) & (two != 0)).any(1)
-                p, q = p[new], q[new]
+                # What the sets let pass is compared mark by mark.
+                p, q = p[new] + a, q[new] + b
+                others = {i: _counted(rows[i][9], wide) for i in np.unique(q).tolist()}
+                for i in np.setdiff1d(p, list(counted)).tolist():
+                    counted[i] = _counted(rows[i][9], wide)
+                lack = np.array([lacks(counted[i], others[j]) for i, j in zip(p.tolist(), q.tolist())], np.int64)
+                near = lack <= allowed(np.maximum(n[p], n[q]))
+                p, q, lack = p[near], q[near], lack[near]
                 if p.size:
-                    one, two = node[u][p], node[v][q]
-                    found = pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(lack[p, q].astype(np.int64))], names=["a", "b", "lack"])
-                    yield from in_rows(found)
+                    one, two = node[p], node[q]
+                    yield from in_rows(pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two)), pa.array(lack)], names=["a", "b", "lack"]))
             a = u.stop
 
     held: list[tuple] = []
@@ -334,7 +356,7 @@ def searched(mixed: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
     # Of a text's earlier entries only mixed ones are needed.
     own = mixed.groupBy("node").agg(F.collect_list(F.struct("s", "entry")).alias("mixed"))
     before = F.transform(F.filter("mixed", lambda x: x["s"] < F.col("s")), lambda x: x["entry"]).alias("before")
-    cells = at.join(nodes.select("node", "bits").join(own, "node"), "node").select(*CELL_ROW[:-1], before)
+    cells = at.join(nodes.select("node", "marks").join(own, "node"), "node").select(*CELL_ROW[:-1], before)
     pairs = cells.repartition(*CELL_KEY).sortWithinPartitions(*CELL_KEY).mapInArrow(_search, "a long, b long, lack long")
     return pairs.groupBy("a", "b").agg(F.min("lack").alias("lack"))
 
@@ -381,7 +403,7 @@ def held(rows: DataFrame, other: DataFrame, key: list[str]) -> DataFrame:
 
 def entries_of(nodes: DataFrame, sketches: int = ALL_SKETCHES) -> DataFrame:
     """The columns of nodes with s and entry of the first sketches."""
-    own = [c for c in nodes.columns if c not in ("entries", "bits", "h1", "h2")]
+    own = [c for c in nodes.columns if c not in ("entries", "marks", "h1", "h2")]
     return nodes.select(*own, F.posexplode(F.slice("entries", 1, sketches)).alias("s", "entry")).where("entry <> 0")
 
 
@@ -412,8 +434,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     lost = -2 - F.abs(F.shiftright("h1", 1))
     sole = _sole(docs)
     own = F.col("doc_id") if sole else lost
-    nodes = worded.select("h1", "h2", own.alias("node"), "text").mapInArrow(_sketch, "h1 long, h2 long, node long, n long, entries array<long>, bits binary")
-    nodes = written(nodes.groupBy("h1", "h2").agg(F.min("node").alias("node"), F.first("n").alias("n"), F.first("entries").alias("entries"), F.first("bits").alias("bits")), "nodes")
+    nodes = worded.select("h1", "h2", own.alias("node"), "text").mapInArrow(_sketch, "h1 long, h2 long, node long, n long, entries array<long>, marks binary")
+    nodes = written(nodes.groupBy("h1", "h2").agg(F.min("node").alias("node"), F.first("n").alias("n"), F.first("entries").alias("entries"), F.first("marks").alias("marks")), "nodes")
     texts = worded.select(own.alias("node"), "text")
     if not sole:
         texts = texts.groupBy("node").agg(F.first("text").alias("text"))

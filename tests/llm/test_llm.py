@@ -833,3 +833,20 @@ def test_op1_each_pair_of_a_cell_is_told_once(monkeypatch):
         monkeypatch.setattr(order_minhash, "STEP", step)
         got = [(p["a"], p["b"]) for b in order_minhash._search(iter([cell])) for p in b.to_pylist()]
         assert len(got) == len(set(got)) and want <= set(got) and not any(set(before[i]) & set(before[j]) for i, j in got)
+
+
+def test_op1_marks_tell_sharers_of_a_passage_apart():
+    """Texts that share hardly fewer words than a link needs make no pairs; links of texts with narrow and wide marks stay."""
+    rng = np.random.default_rng(5)
+    passage = [f"p{i}" for i in range(560)]
+    docs = [passage + [f"{g}w{i}" for i in range(190)] for g in range(40)]
+    docs.append([w if i % 10 else "new" + w for i, w in enumerate(docs[3])])
+    long = [f"l{i}" for i in rng.integers(0, 3000, 2000)]
+    docs += [long, long + [f"m{i}" for i in range(300)], [w if i % 6 else "new" + w for i, w in enumerate(long)]]
+    raw = [" ".join(x).encode() for x in docs]
+    _, n, marks = order_minhash.sketch_block(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    rows = [(20, 1, 0, 0, 0, 0, i, i, int(n[i]), marks[i], [i + 1] * 20) for i in range(len(docs))]
+    cell = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], names=order_minhash.CELL_ROW)
+    got = {(p["a"], p["b"]): p["lack"] for b in order_minhash._search(iter([cell])) for p in b.to_pylist()}
+    assert got.keys() == {(3, 40), (41, 42), (41, 43)}
+    assert got[3, 40] == 75 and 290 <= got[41, 42] <= 300
