@@ -46,6 +46,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Batches that the session's tasks send to Python hold about PIECE_BYTES, not 10,000 texts: the JVM builds a batch outside its
+    heap, in buffers that double, and the worker holds it too. Set for the session, as plans may run after this; a smaller limit stays.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if _bytes(spark.conf.get(key, "2147483647")) > PIECE_BYTES:
+        spark.conf.set(key, str(PIECE_BYTES))
+
+
+def _bytes(x: str) -> int:
+    """A size as Spark writes it: 4194304, 4194304b, 4m, 4mb."""
+    x = x.strip().lower().rstrip("b")
+    return int(x[:-1]) << 10 * (1 + "kmgt".index(x[-1])) if x[-1:] in tuple("kmgt") else int(x)
+
+
 def joined(rows: DataFrame, facts: DataFrame, keys: list[str], hot: Column) -> DataFrame:
     """rows with the one row of facts that agrees in keys (rows without any go).
 

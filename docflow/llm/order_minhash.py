@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import WORD_HASH, symbols
-from .common import U64, id_filter, in_rows, mix, pieces, text_blocks, tidy, written
+from .common import U64, bounded_batches, id_filter, in_rows, mix, pieces, text_blocks, tidy, written
 from .components import components
 
 SHINGLE, SIMILARITY, SKETCHES, PICKED = 5, 0.8, 10, 2
@@ -426,6 +426,7 @@ def _linked(pairs: DataFrame, texts: DataFrame, links: DataFrame, labels: DataFr
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, class_id and kept (one row of each class) of every row of docs."""
+    bounded_batches(docs.sparkSession)
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     base = base.withColumns({"h1": F.xxhash64("text"), "h2": F.xxhash64("text", F.lit(1))})

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import A_SCHEMA, Spec, lists_of, repeated, scan, union_of, with_lists
-from .common import BATCH_ROWS, id_filter, keyed, pieces, tidy, unique_ids, written
+from .common import BATCH_ROWS, bounded_batches, id_filter, keyed, pieces, tidy, unique_ids, written
 
 GRAM, GROUP_MOST = 24, 20_000
 #: Suffixes that are sorted together.
@@ -246,6 +246,7 @@ def solved(rows: DataFrame, spec: Spec) -> DataFrame:
 
 def repeat_spans(base: DataFrame, spec: Spec) -> DataFrame:
     """doc, th, a, b: spans of base (doc_id, text, th) that an earlier place repeats, each at least a window long."""
+    bounded_batches(base.sparkSession)
     found = written(repeated(base, spec), "anchors")
     told = found.where("not request").select("doc", "th", "a", "b")
     # Written, so that the texts are shuffled once for the contexts of all keys, over-full ones too.

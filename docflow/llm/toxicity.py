@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces, spans, tidy
+from .common import bounded_batches, pieces, spans, tidy
 
 SAMPLE_DOCS, FEATURES = 8_000, 1 << 21
 #: Rows whose features are counted at once while the model is fitted.
@@ -240,6 +240,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS)
 
 def keep_clean(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """docs without the rejected rows, all columns kept; the model scores the text beside its row, so no join is needed."""
+    bounded_batches(docs.sparkSession)
     model = train(docs, labels.select("doc_id", grade_of(F.col("toxic"), F.col("quality")).alias("grade")), sample_docs)
     sent = docs.sparkSession.sparkContext.broadcast(Scorer(model))
 

@@ -15,7 +15,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from docflow.llm import bpe, components, decontam, entry, euclid_lsh, importance, langid, multi_index, order_minhash, prefix_trie, repeats, sharding, substring, token_files, toxicity
+from docflow.llm import bpe, common, components, decontam, entry, euclid_lsh, importance, langid, multi_index, order_minhash, prefix_trie, repeats, sharding, substring, token_files, toxicity
 
 D = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, th long, key string, label int, _a string, h1 int, a int, w string, hash long, node long, number int, _h int, _id int, _n int, h int, id int, least int, n int, c0 int"
@@ -850,3 +850,17 @@ def test_op1_marks_tell_sharers_of_a_passage_apart():
     got = {(p["a"], p["b"]): p["lack"] for b in order_minhash._search(iter([cell])) for p in b.to_pylist()}
     assert got.keys() == {(3, 40), (41, 42), (41, 43)}
     assert got[3, 40] == 75 and 290 <= got[41, 42] <= 300
+
+
+@pytest.mark.parametrize("stage", [repeats.cut, order_minhash.keep_one])
+def test_batches_of_long_texts_are_bounded(spark, stage):
+    """What a task sends to Python at a time follows bytes, not rows."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        stage(spark.createDataFrame([(1, "a b c"), (2, "d e f")], "doc_id long, text string"))
+        texts = spark.range(0, 4000, 1, 1).select("id", F.repeat(F.lit("some text "), 1000).alias("text"))
+        sizes = [r["n"] for r in texts.mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in bs), "n long").collect()]
+        assert sum(sizes) > 40_000_000 and max(sizes) < 2 * common.PIECE_BYTES
+    finally:
+        spark.conf.set(key, before)
