@@ -146,26 +146,30 @@ def _spoken(voice: Callable, texts: list[str], tries: int, pause_s: float) -> It
                 yield from _spoken(voice, [t], tries, pause_s)
 
 
-def synthesise(segments: DataFrame, profile: Profile, make_voice: Callable[[], Callable] = Tone, tries: int = 20, pause_s: float = 0.0) -> DataFrame:
-    """Adds pcm (with the silence that follows) and error to segments (seg, ends_paragraph); the model loads once a task.
+def synthesise(segments: DataFrame, profile: Profile, make_voice: Callable[[], Callable] = Tone, tries: int = 20, pause_s: float = 0.0, deflate: bool = False) -> DataFrame:
+    """Adds pcm (with the silence that follows), error and n_pcm (its bytes) to segments (seg, ends_paragraph); the model loads once a task.
 
-    A text that the voice can't render has null pcm and the error; all others are rendered.
+    A text that the voice can't render has null pcm and the error; all others are rendered. n_pcm is there with deflate,
+    where pcm comes as deflated() makes it, before it leaves Python.
     """
-    schema = T.StructType([*segments.schema.fields, T.StructField("pcm", T.BinaryType()), T.StructField("error", T.StringType())])
+    schema = T.StructType([*segments.schema.fields, T.StructField("pcm", T.BinaryType()), T.StructField("error", T.StringType()), *([T.StructField("n_pcm", T.LongType())] if deflate else [])])
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         voice = make_voice()
         for p in parts:
             texts, lasts = p["seg"].tolist(), p["ends_paragraph"].tolist()
-            out, errors, at, size = [], [], 0, 0
+            out, errors, sizes, at, size = [], [], [], 0, 0
             for i in range(0, len(p), profile.batch):
                 for (x, error), last in zip(_spoken(voice, texts[i:i + profile.batch], tries, pause_s), lasts[i:i + profile.batch]):
-                    out.append(None if x is None else pcm_bytes(x) + silence(last, profile))
+                    raw = None if x is None else pcm_bytes(x) + silence(last, profile)
+                    out.append(zlib.compress(raw, 1) if deflate and raw is not None else raw)
                     errors.append(error)
+                    sizes.append(None if raw is None else len(raw))
                     size += len(out[-1] or b"")
                 if size >= OUT_BYTES or i + profile.batch >= len(p):
-                    yield p.iloc[at:at + len(out)].assign(pcm=out, error=errors)
-                    out, errors, at, size = [], [], at + len(out), 0
+                    made = {"pcm": out, "error": errors} | ({"n_pcm": pd.array(sizes, "Int64")} if deflate else {})
+                    yield p.iloc[at:at + len(out)].assign(**made)
+                    out, errors, sizes, at, size = [], [], [], at + len(out), 0
 
     return segments.mapInPandas(run, schema)
 

@@ -487,7 +487,8 @@ def _samples_of_files(rows, header):
 def merged_audio(s, d):
     """Books' WAV files, each written by many tasks at the offsets of its segments, read back in ranges."""
     at = shared.new(s, "merged")
-    ranges.write_wavs(_said(s, d).withColumn("file", F.concat(F.col("conv_id").cast("string"), F.lit(".wav"))), "file", ["para_no", "seg_no"], "pcm", at)
+    said = audio.synthesise(_book_segments(s, d), P["bold_single"], audio.Steps, deflate=True)
+    ranges.write_wavs(said.withColumn("file", F.concat(F.col("conv_id").cast("string"), F.lit(".wav"))), "file", ["para_no", "seg_no"], "pcm", at, size="n_pcm")
     return _samples_of_files(ranges.read_ranges(s, at, row_bytes=1 << 16, part_bytes=1 << 20), 44)
 
 

@@ -3,8 +3,9 @@
 `byte_ranges` is a data source. Its writer takes rows (name, start, total, data) in any order and from any task, and
 writes each at its offset of a staged file; the commit checks that every file has got all its bytes and only then moves
 the files to their names, so a reader never sees half of one, a failed job leaves nothing, and a task that runs again
-writes the same bytes to the same places. Its reader packs ranges of many files into a partition. The folder must be one
-that driver and executors share as files (file:/ or a plain path).
+writes the same bytes to the same places. Blocks of zeros are left as holes, which read as zeros and take no disk. Its
+reader packs ranges of many files into a partition. The folder must be one that driver and executors share as files
+(file:/ or a plain path).
 
 placed() gives parts their offsets by running sums over their sizes, so neither a book nor its list of parts is one
 row, one group or one task, and no row is longer than the longest part.
@@ -20,19 +21,22 @@ import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, Filter, InputPartition, WriterCommitMessage
 
 from docflow.functions import audio
 from docflow.operators.running import running
 from docflow.profiles import SAMPLE_RATE
-from docflow.sources.shared import written
+from docflow.sources import shared
 
 #: Bytes of a file that one row of the reader holds, and that one partition reads at least, if there are so many. More are
 #: read by one where there would be more than PARTS partitions: each is a task, so files of any number are read by few.
 ROW_BYTES, PART_BYTES, PARTS = 1 << 20, 64 << 20, 512
+#: Bytes of a file that take disk together, or are a hole.
+BLOCK = 4096
 
 
 def local(path: str) -> str:
@@ -51,11 +55,26 @@ def _inside(folder: str, name: str) -> str:
     return at
 
 
+def _spoken(piece: memoryview, start: int) -> Iterator[tuple[int, int]]:
+    """From where to where a piece that lies at `start` of a file has blocks that aren't all zeros."""
+    if not len(piece):
+        return
+    head = min(len(piece), -start % BLOCK)
+    some = (len(piece) - head) // BLOCK
+    x, tail = np.frombuffer(piece, np.uint8), head + some * BLOCK
+    full = x[head:tail].view(np.uint64).reshape(some, BLOCK // 8).any(axis=1)
+    said = np.array([False, x[:head].any(), *full, x[tail:].any(), False])
+    ends = [0, *range(head, tail + 1, BLOCK), len(piece)]
+    turns = np.flatnonzero(said[1:] != said[:-1])
+    yield from ((ends[i], ends[j]) for i, j in zip(turns[::2], turns[1::2]))
+
+
 @dataclass
 class Written(WriterCommitMessage):
-    """Bytes written of every file of a task, and the totals that its rows said."""
+    """Bytes written of every file of a task, where the last of them ends, and the totals that its rows said."""
 
     sizes: dict
+    ends: dict
     totals: dict
 
 
@@ -66,6 +85,7 @@ class RangeWriter(DataSourceArrowWriter):
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         sizes: dict[str, int] = {}
+        ends: dict[str, int] = {}
         totals: dict[str, int] = {}
         now, file = None, None
         try:
@@ -78,31 +98,38 @@ class RangeWriter(DataSourceArrowWriter):
                         at = _inside(self.staged, name)
                         os.makedirs(os.path.dirname(at), exist_ok=True)
                         now, file = name, os.open(at, os.O_CREAT | os.O_WRONLY, 0o644)
-                    piece, done = memoryview(data.as_buffer()) if data.is_valid else memoryview(b""), 0
+                    piece = memoryview(data.as_buffer()) if data.is_valid else memoryview(b"")
                     if self.deflated and len(piece):
                         piece = memoryview(zlib.decompress(piece))
-                    while done < len(piece):
-                        done += os.pwrite(file, piece[done:], start + done)
+                    for done, end in _spoken(piece, start):
+                        while done < end:
+                            done += os.pwrite(file, piece[done:end], start + done)
                     sizes[name] = sizes.get(name, 0) + len(piece)
-                    if totals.setdefault(name, total) != total:
-                        raise ValueError(f"two sizes are given for {name}")
+                    ends[name] = max(ends.get(name, 0), start + len(piece))
+                    if total is not None:
+                        if totals.setdefault(name, total) != total:
+                            raise ValueError(f"two sizes are given for {name}")
+                        if start == 0 or start + len(piece) == total:
+                            os.ftruncate(file, total)  # its end may be a hole
         finally:
             if file is not None:
                 os.fsync(file)
                 os.close(file)
-        return Written(sizes, totals)
+        return Written(sizes, ends, totals)
 
     def commit(self, messages: list) -> None:
         sizes: dict[str, int] = {}
+        ends: dict[str, int] = {}
         totals: dict[str, int] = {}
-        for m in messages:
-            for name, n in (m.sizes if m else {}).items():
-                sizes[name] = sizes.get(name, 0) + n
-                if totals.setdefault(name, m.totals[name]) != m.totals[name]:
+        for m in filter(None, messages):
+            for name, n in m.sizes.items():
+                sizes[name], ends[name] = sizes.get(name, 0) + n, max(ends.get(name, 0), m.ends[name])
+            for name, n in m.totals.items():
+                if totals.setdefault(name, n) != n:
                     raise ValueError(f"two sizes are given for {name}")
         for name, n in sizes.items():
-            if n != totals[name] or os.path.getsize(_inside(self.staged, name)) != n:
-                raise ValueError(f"{name} has {n} of {totals[name]} bytes")
+            if not n == ends[name] == totals.get(name) == os.path.getsize(_inside(self.staged, name)):
+                raise ValueError(f"{name} has {n} of {totals.get(name)} bytes")
         if self.overwrite:
             shutil.rmtree(self.folder, ignore_errors=True)
         os.makedirs(self.folder, exist_ok=True)
@@ -182,33 +209,31 @@ def registered(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def placed(parts: DataFrame, name: str, order: list[str], data: str, deflate: bool = False) -> DataFrame:
-    """name, start, total and data of parts: the files of every name are its parts' data in order.
-
-    A null name is no file and a null data no bytes. With deflate, data comes deflated, as it is sorted here; write_ranges takes it so.
-    """
+def _parts(parts: DataFrame, name: str, order: list[str], data: str, size: str | None = None) -> tuple[DataFrame, list[str]]:
+    """name, order, data and _size (what the data has, or the column size) of parts, and what the order's columns are now called."""
     keys = [f"_order{i}" for i in range(len(order))]
-    parts = parts.where(F.col(f"`{name}`").isNotNull()).select(F.col(f"`{name}`").cast("string").alias("name"), *(F.col(f"`{c}`").alias(k) for c, k in zip(order, keys)), F.col(f"`{data}`").cast("binary").alias("data"))
-    size = F.coalesce(F.octet_length("data"), F.lit(0)).cast("long").alias("_size")
-    parts = parts.select("name", *keys, size, audio.deflated("data").alias("data") if deflate else "data")
-    at = running(written(parts, "parts") if deflate else parts, ["name"], list(keys), {"start": "_size"})
-    totals = at.groupBy("name").agg(F.sum("_size").alias("total"))
-    return at.join(totals, "name").select("name", "start", "total", "data")
+    parts = parts.where(F.col(f"`{name}`").isNotNull()).select(F.col(f"`{name}`").cast("string").alias("name"), *(F.col(f"`{c}`").alias(k) for c, k in zip(order, keys)), F.col(f"`{data}`").cast("binary").alias("data"), *([F.col(f"`{size}`").alias("_size")] if size else []))
+    return parts.withColumn("_size", F.coalesce(F.col("_size") if size else F.octet_length("data"), F.lit(0)).cast("long")), keys
 
 
-def shifted(rows: DataFrame, by: int | Column) -> DataFrame:
-    """Placed rows behind `by` more bytes."""
-    by = F.lit(by).cast("long") if isinstance(by, int) else by
-    return rows.select("name", (F.col("start") + by).alias("start"), (F.col("total") + by).alias("total"), "data")
+def placed(parts: DataFrame, name: str, order: list[str], data: str) -> DataFrame:
+    """name, start, total and data of parts: the files of every name are its parts' data in order. A null name is no file and a null data no bytes."""
+    parts, keys = _parts(parts, name, order, data)
+    at = running(parts, ["name"], list(keys), {"start": "_size"})
+    totals = at.groupBy("name").agg(F.sum("_size").alias("total"))
+    return at.join(totals, "name").select("name", "start", "total", "data")
 
 
-def write_ranges(rows: DataFrame, path: str, replace: bool = True, deflated: bool = False) -> None:
+def write_ranges(rows: DataFrame, path: str, replace: bool = True, deflated: bool = False, dealt: bool = False) -> None:
     """Files below path from placed rows. What was there is replaced when all is written; without replace, other files stay.
 
-    Rows are dealt by ranges, so a file is opened and synced once by each of the few tasks that have some of it.
+    Rows are dealt by ranges, unless they come so, and a file is opened and synced once by each of the few tasks that have
+    some of it. A file's total must be in one of its rows and may be null in others.
     """
     registered(rows.sparkSession)
-    rows = rows.select("name", "start", "total", "data").repartitionByRange("name", "start").sortWithinPartitions("name", "start")
+    rows = rows.select("name", "start", "total", "data")
+    if not dealt:
+        rows = rows.repartitionByRange("name", "start").sortWithinPartitions("name", "start")
     rows.write.format("byte_ranges").option("path", local(path)).option("deflated", str(deflated).lower()).mode("overwrite" if replace else "append").save()
 
 
@@ -236,9 +261,20 @@ def write_json_arrays(rows: DataFrame, name: str, order: list[str], columns: lis
     write_ranges(opened.unionByName(closed), path)
 
 
-def write_wavs(parts: DataFrame, name: str, order: list[str], pcm: str, path: str, rate: int = SAMPLE_RATE, replace: bool = True) -> None:
-    """A WAV file for every name: its parts' 16-bit PCM in order, behind a header that knows the whole length."""
-    at = placed(parts, name, order, pcm, deflate=True)
-    size = F.when(F.col("total") >= audio.WAV_MOST, F.lit(audio.RF64_HEADER)).otherwise(F.lit(audio.WAV_HEADER)).cast("long")
-    heads = at.select("name", "total").distinct().select("name", F.lit(0).cast("long").alias("start"), (F.col("total") + size).alias("total"), audio.deflated(audio.wav_header_of(rate)("total")).alias("data"))
-    write_ranges(shifted(at, size).unionByName(heads), path, replace, deflated=True)
+def write_wavs(parts: DataFrame, name: str, order: list[str], pcm: str, path: str, rate: int = SAMPLE_RATE, replace: bool = True, size: str | None = None) -> None:
+    """A WAV file for every name: its parts' 16-bit PCM in order, behind a header that knows the whole length.
+
+    With size, a column of the PCM's bytes, PCM comes deflated; a size that isn't so fails the commit.
+    The header is a file's first part, so PCM is dealt once, deflated, for the running sums, whose table is written as it lies.
+    Tables made on the way are deleted.
+    """
+    spark = parts.sparkSession
+    parts, keys = _parts(parts, name, order, pcm, size)
+    with shared.passing(spark) as made:
+        kept = shared.written(parts.select("name", *keys, "_size", "data" if size else audio.deflated("data").alias("data")), "parts")
+        head = F.when(F.col("_pcm") >= audio.WAV_MOST, F.lit(audio.RF64_HEADER)).otherwise(F.lit(audio.WAV_HEADER)).cast("long")
+        heads = kept.groupBy("name").agg(F.sum("_size").alias("_pcm")).select("name", head.alias("_size"), (F.col("_pcm") + head).alias("total"), audio.deflated(audio.wav_header_of(rate)("_pcm")).alias("data"))
+        rows = kept.withColumn("_head", F.lit(0)).unionByName(heads.withColumn("_head", F.lit(-1)), allowMissingColumns=True)
+        at = running(rows, ["name"], ["_head", *keys], {"start": "_size"})
+        shared.delete(spark, made[0])  # its rows are in the sums' table
+        write_ranges(at, path, replace, deflated=True, dealt=True)

@@ -6,10 +6,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 _MADE: list[str] = []
+_PASSING: ContextVar[list[str] | None] = ContextVar("passing", default=None)
 
 
 def folder(spark: SparkSession) -> str:
@@ -28,8 +32,22 @@ def folder(spark: SparkSession) -> str:
 
 def new(spark: SparkSession, name: str) -> str:
     """A path below it that nothing else uses, until sweep()."""
-    _MADE.append(f"{folder(spark)}/docflow-{name}-{uuid.uuid4().hex}")
-    return _MADE[-1]
+    path, passing_now = f"{folder(spark)}/docflow-{name}-{uuid.uuid4().hex}", _PASSING.get()
+    (_MADE if passing_now is None else passing_now).append(path)
+    return path
+
+
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[list[str]]:
+    """What new() gives inside, to this thread, is deleted at the end; nothing that is needed later may read there."""
+    made: list[str] = []
+    before = _PASSING.set(made)
+    try:
+        yield made
+    finally:
+        _PASSING.reset(before)
+        for path in made:
+            delete(spark, path)
 
 
 def delete(spark: SparkSession, path: str) -> bool:

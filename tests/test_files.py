@@ -99,6 +99,69 @@ def test_wavs_equal_plain_concatenation(spark, tmp_path):
     assert b"".join(bytes(r["data"]) for r in got) == audio.wav_bytes(want["1.wav"]) and max(len(r["data"]) for r in got) == 1000
 
 
+def test_silence_takes_no_disk(spark, tmp_path):
+    parts, want = [], {}
+    for b in range(3):
+        for i in range(60):
+            parts.append((f"{b}.wav", i, b"\1\2" * (100 + i) + bytes(24000) if i % 20 else None if i else bytes(30000)))
+            want[f"{b}.wav"] = want.get(f"{b}.wav", b"") + (parts[-1][2] or b"")
+    at, made = str(tmp_path / "audio"), lambda: {x for x in os.listdir(ranges.local(shared.folder(spark))) if x.startswith("docflow-")}
+    before = made()
+    ranges.write_wavs(spark.createDataFrame(parts, "f string, i int, pcm binary").repartition(6), "f", ["i"], "pcm", at)
+    assert {f: open(f"{at}/{f}", "rb").read() for f in os.listdir(at)} == {f: audio.wav_bytes(x) for f, x in want.items()}
+    assert sum(os.stat(f"{at}/{f}").st_blocks * 512 for f in want) < 0.5 * sum(map(len, want.values()))
+    assert made() == before  # tables made on the way are gone
+
+
+def test_wavs_of_deflated_pcm(spark, tmp_path):
+    class Fussy(audio.Steps):
+        def __call__(self, texts):
+            if "bad" in texts:
+                raise ValueError("bad")
+            return super().__call__(texts)
+
+    rows = spark.createDataFrame([("a.wav", 0, i, t, i == 2) for i, t in enumerate(["one", "bad", "three"])], "f string, para_no int, seg_no int, seg string, ends_paragraph boolean")
+    said, plain = (audio.synthesise(rows, PROFILE, Fussy, deflate=x) for x in (True, False))
+    assert sorted(said.select("seg_no", "n_pcm", "error").collect()) == sorted(plain.select("seg_no", F.octet_length("pcm").cast("long"), "error").collect())
+    assert said.agg(F.max(F.octet_length("pcm"))).first()[0] < 200
+    for at, x, size in (("deflated", said, "n_pcm"), ("plain", plain, None)):
+        ranges.write_wavs(x, "f", ["para_no", "seg_no"], "pcm", str(tmp_path / at), size=size)
+    assert (tmp_path / "deflated" / "a.wav").read_bytes() == (tmp_path / "plain" / "a.wav").read_bytes()
+    with pytest.raises(Exception):
+        ranges.write_wavs(said.withColumn("n_pcm", F.col("n_pcm") + 2), "f", ["para_no", "seg_no"], "pcm", str(tmp_path / "wrong"), size="n_pcm")
+    assert not (tmp_path / "wrong").exists()
+
+
+def test_pcm_of_wavs_is_dealt_once(spark, tmp_path, monkeypatch):
+    parts, dealt = [(f"{i % 50}.wav", i, b"\1\2" * (1 + i % 7)) for i in range(1000)], []
+    rows = spark.createDataFrame(parts, "f string, i int, pcm binary").repartition(6)
+    writer = type(rows.write)
+    save = writer.save
+
+    def seen(self, *a, **k):
+        if self._df.columns == ["name", "start", "total", "data"]:
+            dealt.append((self._df._jdf.queryExecution().optimizedPlan().toString(), self._df.rdd.map(lambda r: r["name"]).glom().collect()))
+        return save(self, *a, **k)
+
+    monkeypatch.setattr(writer, "save", seen)
+    ranges.write_wavs(rows, "f", ["i"], "pcm", str(tmp_path / "audio"))
+    (plan, names), = dealt
+    assert "Repartition" not in plan and plan.count("Join") == 1  # with the broadcast sums of partitions
+    assert sum(sum(a != b for a, b in zip(p, p[1:])) + 1 for p in names if p) <= 50 + 2 * len(names)
+
+
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 9000)), max_size=6), st.integers(0, 9000))
+@settings(max_examples=200, deadline=None)
+def test_what_is_no_hole_is_written(runs, start):
+    piece = b"".join(bytes(n) if kind else b"\7" * n for kind, n in runs)
+    got, block = bytearray(len(piece)), ranges.BLOCK
+    for a, b in ranges._spoken(memoryview(piece), start):
+        got[a:b] = piece[a:b]
+        whole = range(a + -(start + a) % block, b - block + 1, block)
+        assert a < b and all(any(piece[x:x + block]) for x in whole)
+    assert bytes(got) == piece
+
+
 def test_headers_of_large_files():
     assert len(audio.wav_header(10)) == audio.WAV_HEADER and len(audio.wav_header(1 << 33)) == audio.RF64_HEADER
     head = audio.wav_header(1 << 33)
@@ -116,6 +179,17 @@ def test_a_file_with_a_gap_is_not_published(spark, tmp_path):
         ranges.local("s3://bucket/x")
 
 
+def test_a_file_whose_total_is_wrong_or_missing_is_not_published(spark, tmp_path):
+    at, kind = str(tmp_path / "out"), "name string, start long, total long, data binary"
+    zeros = bytes(5000)
+    ranges.write_ranges(spark.createDataFrame([("a", 0, 10001, b"x"), ("a", 1, None, zeros), ("a", 5001, None, zeros)], kind).repartition(3), at)
+    assert open(f"{at}/a", "rb").read() == b"x" + zeros + zeros
+    for bad in ([("a", 0, None, b"new")], [("a", 0, 9, b"new"), ("a", 0, None, b"new"), ("a", 3, None, b"new")], [("a", 0, 4, b"ab"), ("a", 4, None, bytes(2))], [("a", 0, 4, b"ab"), ("a", 2, 5, b"cd")]):
+        with pytest.raises(Exception):
+            ranges.write_ranges(spark.createDataFrame(bad, kind).repartition(2), at)
+    assert os.listdir(tmp_path) == ["out"] and os.path.getsize(f"{at}/a") == 10001
+
+
 def test_many_files_are_few_partitions_and_opened_once(spark, tmp_path, monkeypatch):
     rows = [(f"{i % 300}.raw", i // 300 * 2, 8, b"xy") for i in range(1200)]
     at = str(tmp_path / "many")
